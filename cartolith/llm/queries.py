@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from .chat import OP10_SQL, op10_chat_formatting
 from .decontamination import OP8_SQL, op8_benchmark_decontamination
+from .embeddings import op1_embedding_near_dedup
 from .minhash import op7_minhash_near_dedup
 from .mixing import OP4_SQL, op4_source_mixing
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
