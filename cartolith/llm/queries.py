@@ -5,18 +5,22 @@ from __future__ import annotations
 from .chat import OP10_SQL, op10_chat_formatting
 from .decontamination import OP8_SQL, op8_benchmark_decontamination
 from .embeddings import op1_embedding_near_dedup
+from .html import op9_html_extraction
 from .minhash import op7_minhash_near_dedup
 from .mixing import OP4_SQL, op4_source_mixing
 from .quality import op5_quality_classifier
 from .substrings import op2_substring_dedup
+from .toxicity import op3_toxicity
 
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_source_mixing": op4_source_mixing,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_html_extraction": op9_html_extraction,
     "op10_chat_formatting": op10_chat_formatting,
 }
 ORACLE_SQL = {
