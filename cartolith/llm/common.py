@@ -41,6 +41,7 @@ class Written:
         self.path = f"{scratch(self.spark)}/cartolith-{label}-{uuid.uuid4().hex}"
         self.schema = df.schema
         df.write.parquet(self.path)
+        self.spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of what is written now
         self.df = self.spark.read.schema(self.schema).parquet(self.path)
 
     def bytes(self) -> int:

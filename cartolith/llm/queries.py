@@ -10,6 +10,7 @@ from .minhash import op7_minhash_near_dedup
 from .mixing import OP4_SQL, op4_source_mixing
 from .quality import op5_quality_classifier
 from .substrings import op2_substring_dedup
+from .suffixes import op6_suffix_array_dedup
 from .toxicity import op3_toxicity
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_source_mixing": op4_source_mixing,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_html_extraction": op9_html_extraction,
