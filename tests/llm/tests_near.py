@@ -1,0 +1,3 @@
+"""Brute-force near-duplicates, for the tests of this folder."""
+
+from test_operators import near_components, near_sets  # noqa: F401
