@@ -1,10 +1,10 @@
 """Benchmark decontamination (operator 8): a broadcast hash set of benchmark windows, DataFrame functions only.
 
 Words are runs of characters other than ASCII punctuation, space and control, with A-Z lower-cased.  A window is ten
-consecutive words of an item; an item of fewer words, but not none, is one window.  Each document's window
-hashes are built in the scan from hashes of 1, 2, 4 and 8 words, joined with the set of benchmark windows, and
-each hit is verified on the words themselves.  The set is broadcast when its number of windows is within
-``max_broadcast``; beyond that the same join is shuffled.
+consecutive words of an item; an item of fewer words, but not none, is one window.  The hash set of windows is keyed on
+the longest word of each; the scan looks up each word of a document, lays the windows of that word over it and
+verifies all their words.  The set is broadcast when its number of windows is within ``max_broadcast``; beyond
+that the same join is shuffled.
 
 Null and empty texts have no words and are never hit; an empty benchmark hits nothing; repeated rows get equal results;
 extra columns are ignored.
@@ -22,57 +22,36 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), NOT_WORD), "")
-
-
-def _later(a: Column, k: int) -> Column:
-    return F.slice(a, F.lit(k + 1), F.greatest(F.size(a) - k, F.lit(0)))
-
-
-def _pairs(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
-
-
-def with_window_hashes(df: DataFrame, length: int) -> DataFrame:
-    """Adds wh: hashes of the windows of ``length`` words that start at each word; entries past size - length mean nothing."""
-    df = df.withColumn("p1", F.transform("words", lambda w: F.xxhash64(w)))
-    span = 1
-    while span * 2 <= length:
-        df = df.withColumn(f"p{span * 2}", _pairs(F.col(f"p{span}"), _later(F.col(f"p{span}"), span)))
-        span *= 2
-    at, rest, whole = span, length - span, F.col(f"p{span}")
-    while rest:
-        span = 1 << (rest.bit_length() - 1)
-        whole = _pairs(whole, _later(F.col(f"p{span}"), at))
-        at, rest = at + span, rest - span
-    return df.withColumn("wh", F.slice(whole, F.lit(1), F.greatest(F.size("words") - (length - 1), F.lit(0))))
+    """The words of a text.  lower() does for pure ASCII; other texts must keep their other capitals."""
+    text = F.coalesce(text, F.lit(""))
+    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.array_remove(F.split(low, NOT_WORD), "")
 
 
 def benchmark_windows(benchmark: DataFrame, n: int) -> DataFrame:
-    """(length, wh, phrase, items): one row per distinct window text."""
+    """(anchor, ahead, length, phrase, items): one row per distinct window; its anchor is its longest word, the first of
+    several, with ``ahead`` words before it."""
     b = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     b = b.withColumn("length", F.least(F.size("words"), F.lit(n)))
     at = F.explode(F.sequence(F.lit(1), F.size("words") - F.col("length") + 1))
     b = b.select("item_id", "length", "words", at.alias("at")).select("item_id", "length", F.slice("words", F.col("at"), F.col("length")).alias("words"))
     b = b.groupBy("length", F.concat_ws(" ", "words").alias("phrase")).agg(F.collect_set("item_id").alias("items"), F.first("words").alias("words"))
-    return b
+    longest = F.array_max(F.transform("words", lambda w, i: F.struct(F.length(w).alias("chars"), (-i).alias("at"))))
+    b = b.withColumn("ahead", -longest["at"])
+    return b.select(F.get("words", F.col("ahead")).alias("anchor"), "ahead", "length", "phrase", "items")
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_broadcast: int = 1_000_000) -> DataFrame:
     """(doc_id, th, at, length, items): verified occurrences; at counts words from 0; th is a hash of the text."""
-    found = Written(benchmark_windows(benchmark, n), "bench").df
-    sizes = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    keys = Written(benchmark_windows(benchmark, n), "bench").df
+    keys = F.broadcast(keys) if keys.count() <= max_broadcast else keys
     d = docs.select("doc_id", F.xxhash64("text").alias("th"), words_of(F.col("text")).alias("words"))
-    out = None
-    for length, count in sorted(sizes.items()) or [(n, 0)]:
-        keys = with_window_hashes(found.where(F.col("length") == length), length)
-        keys = keys.select(F.col("wh")[0].alias("wh"), "phrase", "items")
-        keys = F.broadcast(keys) if count <= max_broadcast else keys
-        at = with_window_hashes(d.where(F.size("words") >= length), length).select("doc_id", "th", "words", F.posexplode("wh").alias("at", "wh"))
-        hit = at.join(keys, "wh").where(F.concat_ws(" ", F.slice("words", F.col("at") + 1, F.lit(length))) == F.col("phrase"))
-        hit = hit.select("doc_id", "th", "at", F.lit(length).alias("length"), "items")
-        out = hit if out is None else out.unionByName(hit)
-    return out
+    # the outer form: for the inner one Catalyst infers a filter on the array and splits the text once more
+    d = d.select("doc_id", "th", "words", F.posexplode_outer("words").alias("word_at", "word"))
+    at = F.col("word_at") - F.col("ahead")
+    same = F.concat_ws(" ", F.slice("words", F.greatest(at + 1, F.lit(1)), F.col("length"))) == F.col("phrase")
+    hit = d.join(keys, (d["word"] == keys["anchor"]) & (at >= 0) & same)
+    return hit.select("doc_id", "th", at.alias("at"), "length", "items")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
