@@ -7,6 +7,7 @@ import os
 import time
 from concurrent.futures import ThreadPoolExecutor
 
+from . import layers_land  # noqa: F401  registers its layers
 from .layers import LAYERS, Catalog
 
 SUCCESS, FAILED, PARTIAL = "SUCCESS", "FAILED", "PARTIAL_FAILURE"

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartolith.functions import jts
+from cartolith.plans import layers_land  # noqa: F401
 from cartolith.plans.layers import LAYERS, Catalog
 
 KINDS = {"id": "bigint", "member_id": "bigint", "bool": "boolean", "integer": "int", "direction": "int", "wayzorder": "int", "area": "float", "hstore_tags": "map<string,string>", "geometry": "string", "validated_geometry": "string"}
@@ -18,6 +19,14 @@ AUX = {
     "mirtalocations_a": "sitereportingcomponent string, countryname string, isjointbase string, siteoperationalstatus string, sitename string, statenamecode string",
     "ourairports_airports": "id bigint, ident string, type string, name string, elevation_ft string, continent string, iso_country string, iso_region string, municipality string, scheduled_service string, gps_code string, iata_code string, local_code string",
     "ourairports_runways": "airport_ref bigint, length_ft string, width_ft string, surface string, lighted string, closed string, le_ident string, le_heading_degt string, he_ident string, he_heading_degt string",
+    "ne_10m_geography_marine_polys": "ne_id bigint, name string, featurecla string, scalerank int, min_label double", "ne_10m_lakes": "ne_id bigint, name string, featurecla string, scalerank int, min_label double",
+    "nga_geonames_hydrographic": "full_nm_nd string, desig_cd string, name_rank int, display string, nt string", "usgs_domestic_names": "feature_name string, feature_class string, bgn_type string",
+    "nga_geonames_populated_places": "ufi bigint, full_nm_nd string, desig_cd string, name_rank int, nt string, display string, term_dt_f string", "ne_10m_populated_places": "name string, nameascii string, rank_max int, pop_max bigint",
+    "ne_10m_geography_regions_polys": "name string, name_en string, featurecla string, scalerank int", "dos_lsib": "cc1 string, cc2 string", "adm0_line_supplements": "cc1 string, cc2 string, country2 string, label string",
+    "fieldmaps_adm0_lines": "cc1 string, cc2 string, country1 string, country2 string, label string, notes string, rank int, status string", "fieldmaps_adm0_points": "adm0_id string, iso_2 string, adm0_name string, adm0_name1 string, status_cd int, status_nm string",
+    "fieldmaps_adm0_polygon": "adm0_id string", "nga_geonames_administrative_regions": "full_nm_nd string, cc_ft string, desig_cd string, name_rank int, nt string, term_dt_f string", "nga_country_abbrev": "adm0_prefix string, nga_name string, nga_abbrev string",
+    "fieldmaps_adm1_lines": "iso_2 string, iso_3 string, adm0_name string, status_cd int", "fieldmaps_adm2_lines": "iso_2 string, iso_3 string, adm0_name string, adm1_name string, status_cd int",
+    "fieldmaps_adm1_points": "adm1_id string, adm1_name string, adm1_name1 string, iso_2 string, iso_3 string, src_lang string, src_lang1 string", "fieldmaps_adm2_points": "adm2_id string, adm2_name string, adm2_name1 string, iso_2 string, iso_3 string, src_lang string, src_lang1 string",
 } | {f"ne_10m_bathymetry_{k}_{d}": "depth int" for k, d in zip("abcdefghijk", (10000, 9000, 8000, 7000, 6000, 5000, 4000, 3000, 2000, 1000, 200))}
 
 
@@ -74,7 +83,19 @@ ROWS = {
     "ourairports_runways": [dict(airport_ref=1, length_ft="5000", surface="ASPH-CONC-F"), dict(airport_ref=1, length_ft="", surface="")],
     "ne_10m_bathymetry_k_200": [dict(depth=200, geometry=box(0, 0, 4))], "ne_10m_bathymetry_j_1000": [dict(depth=1000, geometry=box(1, 1, 2))], "ne_10m_bathymetry_h_3000": [dict(depth=3000, geometry=box(1.5, 1.5, 2))],
     "overture_land_cover": [dict(subtype="urban", min_zoom=8, max_zoom=13, geometry=box(10, 48, 0.1)), dict(subtype="urban", min_zoom=8, max_zoom=13, geometry=box(10.101, 48, 0.1)), dict(subtype="forest", min_zoom=0, max_zoom=7, geometry=box(0, 40, 3)), dict(subtype="urban", min_zoom=8, max_zoom=13, geometry=box(15, 48, 0.005))],
-    "osm_landcover_polygon": [dict(osm_id=41, subclass="wood", leaf_type="needleleaved", geometry=box(0, 40, 0.3)), dict(osm_id=42, subclass="wood", leaf_type="coniferous", geometry=box(0.3, 40, 0.3)), dict(osm_id=43, subclass="wetland", wetland="bog", is_seasonal=True, geometry=box(1, 41, 0.2)), dict(osm_id=44, subclass="glacier", tags={"name": " G "}, geometry=box(5, 60, 0.1))],
+    "osm_landcover_polygon": [dict(osm_id=41, subclass="wood", leaf_type="needleleaved", geometry=box(0, 40, 0.3)), dict(osm_id=42, subclass="wood", leaf_type="coniferous", geometry=box(0.3, 40, 0.3)), dict(osm_id=43, subclass="wetland", wetland="bog", is_seasonal=True, geometry=box(1, 41, 0.2)), dict(osm_id=44, subclass="glacier", tags={"name": " G "}, geometry=box(5, 60, 0.3))],
+    "ne_10m_geography_marine_polys": [dict(ne_id=1, name="Gulf of Mexico", featurecla="gulf", scalerank=1, min_label=2.0, geometry=box(-95, 20, 10)), dict(ne_id=1159115321, name="Med", featurecla="Sea", geometry=box(0, 30, 20))],
+    "ne_10m_lakes": [dict(ne_id=1159126643, name="Lake Ontario", featurecla="Lake", scalerank=2, min_label=1.0, geometry=box(-79, 43, 1))],
+    "nga_geonames_hydrographic": [dict(full_nm_nd="lake ontario", desig_cd="LK", nt="N", geometry="POINT(-78 43)"), dict(full_nm_nd="Brook", desig_cd="STM", nt="N", geometry="POINT(3 3)"), dict(full_nm_nd="Bach", desig_cd="STM", nt="C", geometry="POINT(3 3)")],
+    "usgs_domestic_names": [dict(feature_name="Big Bend", feature_class="Bend", bgn_type="Official", geometry="POINT(-90 40)"), dict(feature_name="X", feature_class="Bend", bgn_type="Variant", geometry="POINT(-90 40)")],
+    "osm_city_point": [dict(osm_id=50, name="Bern", place="city", capital="yes", geometry="POINT(7.4 46.9)"), dict(osm_id=51, name="Saint Paul", place="town", geometry="POINT(-93 45)"), dict(osm_id=52, name="Dorf", place="village", capital="4", geometry="POINT(1 1)")],
+    "nga_geonames_populated_places": [dict(ufi=1, full_nm_nd="Bern", desig_cd="PPLC", name_rank=1, nt="N", display="1,2,7", geometry="POINT(7.41 46.91)"), dict(ufi=1, full_nm_nd="Berne", desig_cd="PPLC", name_rank=1, nt="C", display="1,5", geometry="POINT(7.41 46.91)")],
+    "ne_10m_populated_places": [dict(name="St. Paul", nameascii="St. Paul", rank_max=11, pop_max=300000, geometry="POINT(-93.01 45)"), dict(name="St. Paul", nameascii="St. Paul", rank_max=13, pop_max=9, geometry="POINT(10 45)")],
+    "osm_island_polygon": [dict(osm_id=60, name="Isla", geometry=box(30, 30, 0.1))], "osm_island_point": [dict(osm_id=61, name="isla", geometry="POINT(30.15 30.05)"), dict(osm_id=62, name="Other", geometry="POINT(30.15 30.05)")],
+    "fieldmaps_adm0_lines": [dict(cc1="A", cc2="B", country2="b", label="x", geometry="LINESTRING(0 0,1 0)"), dict(cc1="C", cc2="D", country2="d", label="y", geometry="LINESTRING(0 1,1 1)"), dict(cc1="Q2", cc2="E", country2="e", label="z", geometry="LINESTRING(0 2,1 2)")],
+    "dos_lsib": [dict(cc1="B", cc2="A", geometry="LINESTRING(0 0,1 0)"), dict(cc1="F", cc2="G", geometry="LINESTRING(0 2,0.5 2)")], "adm0_line_supplements": [dict(cc1="Q2", cc2="E", country2="e", label="z")],
+    "fieldmaps_adm0_points": [dict(adm0_id="AAA-1", iso_2="A", adm0_name="Isle (Fr.)", adm0_name1="Alpha", geometry="POINT(0 0)"), dict(adm0_id="CCC-1", iso_2="C", adm0_name="C", geometry="POINT(0 0)"), dict(adm0_id="GLP", iso_2="Z", adm0_name="G", status_cd=1, geometry="POINT(0 0)")],
+    "nga_country_abbrev": [dict(adm0_prefix="AAA", nga_abbrev="A.")], "fieldmaps_adm1_lines": [dict(iso_2="C", geometry="LINESTRING(0 0,1 1)"), dict(iso_2="Z", geometry="LINESTRING(0 0,1 1)")],
 }
 
 
@@ -160,3 +181,34 @@ def test_airports(cat):
 def test_dams(cat):
     d = rows(cat, "dam_label")
     assert {(x["name"], x["water_intersect"]) for x in d} == {("Dam", "Y"), ("W", "N")}
+
+
+def test_builtup_and_cover(cat):
+    b = [x for x in rows(cat, "builtup_polygon") if x["class"] == "overture"]
+    assert len(b) == 1 and b[0]["area"] > 1e8
+    z = cat.layer("landcover_polygon").groupBy("z_level", "subclass").agg(F.count("*").alias("n"), F.sum("area").alias("a")).collect()
+    got = {(r["z_level"], r["subclass"]): r["n"] for r in z}
+    assert got[13, "wood"] == 2 and got[13, "bog"] == 1 and got[4, "glacier"] == 1 and (5, "wood") not in got and set(range(4, 14)) == {k for k, _ in got}
+    assert {x["z_level"] for x in rows(cat, "landcover_small_polygon")} == {4, 5, 6, 7}
+
+
+def test_landcover_unites_neighbours_of_one_kind(cat, spark):
+    d = spark.createDataFrame([("a", box(0, 0, 60000)), ("a", box(60000, 0, 60000)), ("b", box(120000, 0, 60000)), ("a", box(500000, 0, 10))], "k string, w string").withColumn("geometry", jts.from_wkt("w")).select("k", "geometry")
+    got = layers_land.dissolve_touching(d, ["k"]).withColumn("m", jts.area("geometry")).collect()
+    assert sorted((r["k"], round(r["m"])) for r in got) == [("a", 100), ("a", 2 * 60000**2), ("b", 60000**2)]
+
+
+def test_names(cat):
+    h = {x["name"]: x for x in rows(cat, "hydrographic_label")}
+    assert set(h) == {"Gulf of America", "Med", "Lake America", "Bach", "Big Bend"} and h["Lake America"]["min_label"] == 5.0 and h["Big Bend"]["class"] == "stream bend"
+    p = {x["osm_id"]: x for x in rows(cat, "place_labels")}
+    assert set(p) == {50, 51, 52, 60, 62} and p[50]["name"] == "Berne" and p[50]["rank"] == 2 and p[50]["capital_role"] == "primary" and p[51]["rank"] == 6 and p[52]["capital"] == 3
+
+
+def test_borders(cat):
+    assert {(x["cc1"], x["cc2"]) for x in rows(cat, "adm0_line")} == {("A", "B"), ("Q2", "E")}
+    a = {x["iso_3"]: x for x in rows(cat, "adm0_label")}
+    assert set(a) == {"AAA", "GLP"} and a["AAA"]["adm0_name"] == "Isle (FR.)" and a["AAA"]["nga_short_name"] == "A. (FR.)" and a["GLP"]["status_cd"] == 98
+    assert [x["iso_2"] for x in rows(cat, "adm1_line")] == ["Z"]
+    pct = {r["cc2"]: r["pct"] for r in layers_land.border_coincidence(cat).collect()}
+    assert 49 < pct["E"] < 52
