@@ -4,11 +4,13 @@ Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased.  A docu
 ``shingle``-word shingles as 64-bit hashes (the whole word sequence where it has fewer words); a document without words
 has an empty set and is linked with nothing.  Documents of equal sets are one class from the start.
 
-Candidates are found among the classes by banding: each bucket links its members to one pivot, drawn anew for each
-band, so a dense group meets many pivots and buckets never emit their pairs.  Links are confirmed on full sets.  What
-the pivots can leave apart, members of one bucket in different components, is compared after that, pair by pair
-inside the join behind a one-bit signature test that keeps pairs far below the threshold.  With 30 bands of 6 rows a pair at
-similarity 0.85 misses all buckets with probability 7e-7.
+Candidates are found among the classes by banding: each bucket links its members to its least one, so buckets never
+emit their pairs and a dense group shares few pivots.  Links are confirmed on full sets.  In buckets that still hold
+several components, members outside the largest one are tried against members of it, drawn anew in each of a few rounds.
+What stays apart after that is compared on full sets in blocks of ``BLOCK`` members, the largest component of a bucket
+against the others and these among themselves; a task returns one edge per linked member, and buckets of equal
+members are compared once.  So no link between different components is lost, and members of one component are not compared.
+With 30 bands of 6 rows a pair at similarity 0.85 misses all buckets with probability 7e-7, one at 0.8 with 1e-4.
 
 Null and empty texts form components of their own, ties take the smallest doc_id, repeated rows (same doc_id) share
 one component, an empty table gives an empty result; extra columns are ignored.
@@ -18,13 +20,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp as tn
 from .common import Written, components, table
 
 BANDS, ROWS = 30, 6
+BLOCK = 512
+#: Rounds of drawn pivots, and pivots a member tries in one.
+DRAWS, TRIES = 4, 2
 
 
 def shingles(buf: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,14 +105,11 @@ def _signed(k: int, bands: int, rows: int):
                 s = sums[at[1:]] - sums[at[:-1]]
                 sig = superminhash(x, at, bands * rows).view(np.uint64)
                 band = tn.mix64((tn.mix64(sig).reshape(n, bands, rows) * weight).sum(2, dtype=np.uint64))
-                bits = np.zeros((n, 192), np.uint8)
-                bits[:, : bands * rows] = (tn.mix64(sig) >> np.uint64(40)) & np.uint64(1)
-                bits = np.packbits(bits, axis=1).view(np.int64)
                 full = size > 0
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(full, bands, 0))]).astype(np.int32)), tn.as_long(band[full].reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, n), tn.as_long(size), tn.as_long(np.ascontiguousarray(s[:, 0])), tn.as_long(np.ascontiguousarray(s[:, 1])), lists, *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(3))],
-                    ["doc_id", "n", "s1", "s2", "bands", "b1", "b2", "b3"],
+                    [b.column(0).slice(lo, n), tn.as_long(size), tn.as_long(np.ascontiguousarray(s[:, 0])), tn.as_long(np.ascontiguousarray(s[:, 1])), lists],
+                    ["doc_id", "n", "s1", "s2", "bands"],
                 )
 
     return run
@@ -123,13 +125,45 @@ def _sets(k: int):
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _linked(percent: int):
+    """Edges (member, least member of its component) by full sets; of two blocks (side 1 and 2) only across them."""
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("rep")
+        rep, part, side = (t.column(c).to_numpy() for c in ("rep", "component", "side"))
+        sets = t.column("shingles").combine_chunks()
+        values, code = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        size = np.diff(sets.offsets.to_numpy())
+        at = np.cumsum(size) - size
+        link = np.zeros((len(rep), len(rep)), bool)
+        mark = np.zeros(len(values), np.int32)
+        for i in range(len(rep)):
+            mine = code[at[i] : at[i] + size[i]]
+            mark[mine] = 1
+            both = np.add.reduceat(mark[code], at)
+            mark[mine] = 0
+            link[i] = 100 * both >= percent * (size[i] + size - both)
+        link &= part[:, None] != part[None]
+        if (side != 0).any():
+            link &= side[:, None] != side[None]
+        least, todo = np.arange(len(rep)), link.any(1)
+        for i in np.flatnonzero(todo):
+            if todo[i]:
+                front = np.array([i])
+                todo[i] = False
+                while len(front):
+                    new = link[front].any(0) & todo
+                    todo[new], least[new] = False, i
+                    front = np.flatnonzero(new)
+        new = least != np.arange(len(rep))
+        return pa.table({"a": rep[least[new]], "b": rep[new]})
+
+    return run
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.join(ids, "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets(k), "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"])
-    sets = Written(sets, "sets").df
-    x = pairs.join(sets.withColumnsRenamed({"doc_id": "a", "shingles": "sa"}), "a").join(sets.withColumnsRenamed({"doc_id": "b", "shingles": "sb"}), "b")
+    x = pairs.join(sets.withColumnsRenamed({"rep": "a", "shingles": "sa"}), "a").join(sets.withColumnsRenamed({"rep": "b", "shingles": "sb"}), "b")
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     return x.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
@@ -137,38 +171,54 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id, kept: one row per row of docs."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = Written(d.mapInArrow(_signed(k, bands, rows), "doc_id bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>, b1 bigint, b2 bigint, b3 bigint"), "signed").df
+    signed = Written(d.mapInArrow(_signed(k, bands, rows), "doc_id bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>"), "signed").df
     key = ["s1", "s2", "n"]
-    classes = signed.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    classes = Written(classes, "classes").df
+    classes = Written(signed.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes").df
     reps = signed.join(classes.select("rep"), signed["doc_id"] == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
-    banded = reps.select(F.col("doc_id").alias("rep"), "n", "b1", "b2", "b3", F.posexplode("bands").alias("band", "bh"))
-    turn = F.xxhash64("rep", "band")
-    pivots = banded.groupBy("band", "bh").agg(F.min(turn).alias("turn"), F.count("*").alias("c")).where("c > 1").drop("c")
+    banded = reps.select(F.col("doc_id").alias("rep"), "n", F.posexplode("bands").alias("band", "bh"))
+    pivots = banded.groupBy("band", "bh").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1")
     shared = Written(banded.join(pivots, ["band", "bh"]), "buckets").df
-    # the pivot is the member whose turn is least
-    pivot = shared.where(turn == F.col("turn")).groupBy("band", "bh").agg(F.min("rep").alias("pivot"), F.min(F.when(turn == F.col("turn"), F.col("n"))).alias("pn"))
-    near_size = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    star = shared.join(pivot, ["band", "bh"]).where((F.col("rep") != F.col("pivot")) & near_size(F.col("n"), F.col("pn")))
-    star = Written(star.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct(), "star").df
-    links = Written(verified(star, d, k, percent), "links").df
-    parts = Written(components(links), "parts").df
+    ids = Written(shared.select(F.col("rep").alias("doc_id")).distinct(), "members").sized()
+    sets = d.join(ids, "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id bigint, shingles array<bigint>")
+    sets = Written(sets.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets").df
 
-    placed = shared.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    open_ = placed.groupBy("band", "bh").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "bh")
-    placed = Written(placed.join(open_, ["band", "bh"], "left_semi").drop("turn"), "placed").df
-    one, two = placed.alias("x"), placed.alias("y")
-    m = bands * rows
-    p = (1 - percent / 100) / 2
-    far = int(m * p + 6 * (m * p * (1 - p)) ** 0.5)
-    apart = F.bit_count(F.expr("x.b1 ^ y.b1")) + F.bit_count(F.expr("x.b2 ^ y.b2")) + F.bit_count(F.expr("x.b3 ^ y.b3"))
-    rest = one.join(
-        two,
-        F.expr("x.band = y.band and x.bh = y.bh and x.rep < y.rep and x.component <> y.component") & near_size(F.col("x.n"), F.col("y.n")) & (apart <= far),
-    )
-    rest = rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    rest = Written(rest, "rest").df
-    more = Written(verified(rest, d, k, percent), "more").df
+    star = shared.where(F.col("rep") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    links = Written(verified(star, sets, percent), "links").df
+    parts = Written(components(links), "parts").df
+    placed = shared.where("members > 2").select("band", "bh", "rep", "members")  # two members are a star
+    for draw in range(DRAWS + 1):
+        # members of the buckets that hold several components, with the largest of these
+        x = placed.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        sizes = x.groupBy("band", "bh", "component").agg(F.count("*").alias("m"))
+        largest = sizes.groupBy("band", "bh").agg(F.max(F.struct("m", "component")).alias("x"), F.count("*").alias("parts")).where("parts > 1")
+        x = Written(x.join(largest.select("band", "bh", F.col("x.component").alias("largest")), ["band", "bh"]), "apart").df
+        placed = x.select("band", "bh", "rep", "members")
+        if draw == DRAWS:
+            break
+        turn = F.xxhash64("rep", "band", F.lit(draw))
+        drawn = x.where("component = largest").groupBy("band", "bh").agg(F.min(F.struct(turn.alias("turn"), "rep")).alias("x")).select("band", "bh", F.col("x.rep").alias("pivot"))
+        tried = x.where("component <> largest").join(drawn, ["band", "bh"]).groupBy("rep").agg(F.collect_set("pivot").alias("pivots"))  # one per band at most
+        tried = tried.select(F.col("rep").alias("b"), F.explode(F.slice(F.array_sort("pivots"), 1, TRIES)).alias("a"))
+        more = Written(verified(tried, sets, percent), "more").df
+        if not more.limit(1).count():
+            break
+        links = Written(links.unionByName(more), "links").df
+        parts = Written(components(links), "parts").df
+
+    same = F.struct(F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y"))
+    host = F.col("component") == F.col("largest")
+    blocks = lambda which: F.ceil(F.count_if(which) / BLOCK).cast("int")
+    once = x.groupBy("band", "bh").agg(same.alias("same"), blocks(host).alias("hosts"), blocks(~host).alias("others"))
+    once = once.groupBy("same").agg(F.min(F.struct("band", "bh", "hosts", "others")).alias("of")).select("of.*")
+    y = x.join(Written(once, "once").sized(), ["band", "bh"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.when(host, F.col("hosts")).otherwise(F.col("others"))).cast("int"))
+    task = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+    # blocks i <= j of the others meet under (i, j); block i of the others meets block j of the largest under (i, -1 - j)
+    among = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda j: task(F.least(j, "block"), F.greatest(j, "block"), F.when(j == F.col("block"), 0).when(j < F.col("block"), 2).otherwise(1)))
+    against = F.transform(F.sequence(F.lit(0), F.col("hosts") - 1), lambda j: task(F.col("block"), -1 - j, F.lit(1)))
+    hosted = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda i: task(i, -1 - F.col("block"), F.lit(2)))
+    y = y.withColumn("task", F.explode(F.when(host, hosted).otherwise(F.concat(among, against))))
+    y = y.select("band", "bh", "rep", "component", "task.i", "task.j", "task.side").join(sets, "rep")
+    more = Written(y.groupBy("band", "bh", "i", "j").applyInArrow(_linked(percent), "a bigint, b bigint"), "more").df
     if more.limit(1).count():
         parts = Written(components(links.unionByName(more)), "parts").df
     out = signed.select("doc_id", *key).join(classes, key, "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
