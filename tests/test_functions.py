@@ -51,7 +51,7 @@ def test_geometry(spark):
     assert one(spark, jts.area_mercator(sq)) == pytest.approx(111319.4908**2 * 1.00005, rel=1e-4)
     assert one(spark, geo.haversine(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(0.0))) == pytest.approx(111195.08, rel=1e-5)
     assert one(spark, geo.mercator_x(F.lit(180.0))) == pytest.approx(20037508.34, abs=0.01)
-    assert one(spark, jts.wkt(jts.from_3857(jts.to_3857(jts.point(10.0, 50.0))))).startswith("POINT (10 5")
+    assert one(spark, jts.distance(jts.from_3857(jts.to_3857(jts.point(10.0, 50.0))), jts.point(10.0, 50.0))) < 1e-9
     parts = one(spark, F.transform(jts.subdivide(jts.buffer(jts.point(0.0, 0.0), 1.0, 64), 32), lambda g: F.call_function("ct_npoints", g)))
     assert len(parts) > 4 and max(parts) <= 32
     pts = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0.0, 0.0), (4.0, 0.0), (4.0, 3.0))))
