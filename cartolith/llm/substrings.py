@@ -140,7 +140,7 @@ def substring_dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     pieces = d.mapInArrow(_chunked, "d1 bigint, d2 bigint, doc_id bigint, start int, size int")
     repeated = pieces.groupBy("d1", "d2").agg(F.count("*").alias("c"), F.min("doc_id").alias("first")).where("c > 1").drop("c")
-    found = pieces.join(Written(repeated, "repeated").sized(), ["d1", "d2"])
+    found = pieces.join(Written(repeated, "repeated").df, ["d1", "d2"])
     found = found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("start", "size", "first", "d1")).alias("__chunks"))
     x = docs.join(found, docs["doc_id"].cast("long") == found["__id"], "left").drop("__id")
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
