@@ -140,21 +140,26 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     grams = docs.select("text").mapInArrow(_grams(length, gram), "h bigint")
     twice = Written(grams.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "grams")
     named = docs.select("doc_id", "text").mapInArrow(_named(length, gram), "h bigint, name bigint, doc_id bigint, at int, lo int, hi int")
-    cand = Written(named.join(twice.sized(), "h"), "candidates").df
-    groups = cand.groupBy("h", "name").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "at", "lo", "hi")).alias("x"))
-    groups = Written(groups, "groups").df
-    inner = Written(cand.join(groups.where("c > 1").select("h", "name"), ["h", "name"], "left_semi").select("doc_id", "lo", "hi"), "inner").df
-    open_ = groups.groupBy("h").agg(F.count("*").alias("k"), F.min("c").alias("least")).where("k > 1 and least = 1").select("h")
-    edge = groups.join(open_, "h", "left_semi").select(F.col("x.doc_id").alias("doc_id"), F.struct("h", "x.at", "x.lo", "x.hi", F.least("c", F.lit(2)).cast("int").alias("weight")).alias("found"))
+    cand = Written(named.join(twice.sized(), "h"), "candidates")
+    twice.drop()
+    groups = cand.df.groupBy("h", "name").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "at", "lo", "hi")).alias("x"))
+    groups = Written(groups, "groups")
+    inner = Written(cand.df.join(groups.df.where("c > 1").select("h", "name"), ["h", "name"], "left_semi").select("doc_id", "lo", "hi"), "inner").df
+    cand.drop()
+    open_ = groups.df.groupBy("h").agg(F.count("*").alias("k"), F.min("c").alias("least")).where("k > 1 and least = 1").select("h")
+    edge = groups.df.join(open_, "h", "left_semi").select(F.col("x.doc_id").alias("doc_id"), F.struct("h", "x.at", "x.lo", "x.hi", F.least("c", F.lit(2)).cast("int").alias("weight")).alias("found"))
     edge = Written(edge.groupBy("doc_id").agg(F.collect_list("found").alias("found")), "edges")
+    groups.drop()
     texts = docs.select("doc_id", "text").join(edge.sized(), "doc_id")
-    ctx = Written(texts.mapInArrow(_contexts(length, gram), "h bigint, doc_id bigint, at int, lo int, hi int, weight int, left int, bytes binary"), "contexts").df
-    # d: bytes between a window's start and its gram; a set of windows is d1 .. d2
-    now = ctx.withColumns({"d1": F.lit(0), "d2": F.lit(length - gram)})
-    settled = inner
+    ctx = texts.mapInArrow(_contexts(length, gram), "h bigint, doc_id bigint, at int, lo int, hi int, weight int, left int, bytes binary")
+    ctx = Written(ctx.withColumn("id", F.monotonically_increasing_id()), "contexts")
+    edge.drop()
+    # d: bytes between a window's start and its gram; a set of windows is d1 .. d2; rows of a round hold names, no bytes
+    now = ctx.df.withColumns({"d1": F.lit(0), "d2": F.lit(length - gram)})
+    settled, before = inner, None
     for size in ROUNDS:
         part = F.explode(F.sequence(F.col("d1"), F.col("d2"), F.lit(size))).alias("from")
-        x = now.select("h", "doc_id", "at", "lo", "hi", "weight", "left", "bytes", F.col("d2").alias("to"), part)
+        x = now.select("id", "h", "doc_id", "at", "lo", "hi", "weight", "left", "bytes", F.col("d2").alias("to"), part)
         x = x.select("*", F.col("from").alias("d1"), F.least(F.col("from") + size - 1, F.col("to")).alias("d2")).drop("from", "to")
         x = x.where("d1 <= at - lo and d2 >= at - hi")
         at = lambda first, last: F.when(
@@ -162,18 +167,24 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
             F.xxhash64(F.substring(F.col("bytes"), (F.col("left") - first + 1).cast("int"), (first - last + length).cast("int"))),
         )
         x = x.withColumns({"whole": at(F.col("d2"), F.col("d1")), "core": at(F.col("d1"), F.col("d2"))}).where("core is not null")
-        x = Written(x, "round").df
+        x = Written(x.select("id", "h", "doc_id", "at", "weight", "d1", "d2", "whole", "core"), "round")
+        if before:
+            before.drop()
         by = ["h", "d1", "whole"]
-        equal = x.where("whole is not null").groupBy(*by).agg((F.sum("weight") > 1).alias("again"), F.min(F.struct("doc_id", "at")).alias("one"))
-        x = x.join(equal, by, "left").withColumn("again", F.coalesce("again", F.lit(False)))
-        x = Written(x, "equal").df
-        settled = settled.unionByName(x.where("again and weight = 1").select("doc_id", (F.col("at") - F.col("d2")).alias("lo"), (F.col("at") - F.col("d1")).alias("hi")))
+        equal = x.df.where("whole is not null").groupBy(*by).agg(F.sum("weight").alias("n"), F.min("id").alias("one")).where("n > 1").drop("n")
+        y = Written(x.df.join(equal, by, "left").drop("whole"), "equal")
+        x.drop()
+        again = F.col("one").isNotNull()
+        settled = settled.unionByName(y.df.where(again & (F.col("weight") == 1)).select("doc_id", (F.col("at") - F.col("d2")).alias("lo"), (F.col("at") - F.col("d1")).alias("hi")))
         if size > 1:
             by = ["h", "d1", "core"]
-            cores = x.groupBy(*by).agg(F.sum("weight").alias("n"), F.max(~F.col("again")).alias("unsettled")).where("n > 1 and unsettled").select(*by)
-            now = x.join(cores, by, "left_semi").where(~F.col("again") | (F.struct("doc_id", "at") == F.col("one")))
-            now = now.withColumn("weight", F.when(F.col("again"), 2).otherwise(F.col("weight"))).drop("whole", "core", "again", "one")
-            now = Written(now, "open").df
+            cores = y.df.groupBy(*by).agg(F.sum("weight").alias("n"), F.max(~again).alias("unsettled")).where("n > 1 and unsettled").select(*by)
+            before = y.df.join(cores, by, "left_semi").where(~again | (F.col("id") == F.col("one")))
+            before = Written(before.select("id", F.when(again, 2).otherwise(F.col("weight")).alias("weight"), "d1", "d2"), "open")
+            now = ctx.df.drop("weight").join(before.df, "id")
+    ctx.drop()
+    if before:
+        before.drop()
     return settled
 
 
