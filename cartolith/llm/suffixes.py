@@ -140,7 +140,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     grams = docs.select("text").mapInArrow(_grams(length, gram), "h bigint")
     twice = Written(grams.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "grams")
     named = docs.select("doc_id", "text").mapInArrow(_named(length, gram), "h bigint, name bigint, doc_id bigint, at int, lo int, hi int")
-    cand = Written(named.join(twice.sized(), "h"), "candidates")
+    cand = Written(named.join(twice.df, "h"), "candidates")
     twice.drop()
     groups = cand.df.groupBy("h", "name").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "at", "lo", "hi")).alias("x"))
     groups = Written(groups, "groups")
@@ -150,7 +150,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     edge = groups.df.join(open_, "h", "left_semi").select(F.col("x.doc_id").alias("doc_id"), F.struct("h", "x.at", "x.lo", "x.hi", F.least("c", F.lit(2)).cast("int").alias("weight")).alias("found"))
     edge = Written(edge.groupBy("doc_id").agg(F.collect_list("found").alias("found")), "edges")
     groups.drop()
-    texts = docs.select("doc_id", "text").join(edge.sized(), "doc_id")
+    texts = docs.select("doc_id", "text").join(edge.df, "doc_id")
     ctx = texts.mapInArrow(_contexts(length, gram), "h bigint, doc_id bigint, at int, lo int, hi int, weight int, left int, bytes binary")
     ctx = Written(ctx.withColumn("id", F.monotonically_increasing_id()), "contexts")
     edge.drop()
