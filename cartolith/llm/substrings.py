@@ -1,11 +1,16 @@
 """Substring deduplication (operator 2): content-defined chunks by a gear rolling hash, deduplicated by digest.
 
-The gear hash of the last 32 bytes is taken at every byte; a chunk ends where it is the strict minimum of the 32 bytes
-before and no more than the 31 after, at a character boundary.  So boundaries depend on nearby content only, come
-about every 64 bytes and fall back in step within a window after any insertion; a stretch without one (periodic text)
-is cut every 1024 bytes.  Chunks are counted by a 128-bit digest over the whole corpus.  Where adjoining repeated
-chunks of a document make up ``least`` bytes or more, all of them but the first occurrence in the corpus (smallest doc_id,
-then position) are removed.  Shorter repeats, such as single common lines, stay.
+The gear hash of the last 32 bytes is taken at the end of each word (and at every eighth byte or so of a word past 32
+bytes); a chunk ends at the last least hash of any 17 such places in a row.  So boundaries depend on nearby content only,
+come about every 9 words and fall back in step after any insertion; a stretch without one is cut every 1024 bytes.
+Chunks are counted by a 128-bit digest of them and the 32 bytes before over the whole corpus.
+
+A repeated passage of over 50 words has 35 places or more whose 32 bytes lie inside it, so two ends of chunks and a whole
+chunk between them are the same in each copy: no such passage is without a repeated chunk.  Where repeated chunks begin or
+end in a document, or go over to those of another first document, the windows of 51 words there, and those about the same
+chunks elsewhere, are counted by digest in turn, which gives the passages to their last word.  What repeated windows cover,
+and adjoining repeated chunks of ``least`` bytes or more, is removed except for the first occurrence in the corpus
+(smallest doc_id, then position).  Shorter repeats, such as single common lines, stay.
 
 Null texts stay null, empty ones empty; rows that repeat a doc_id count as occurrences at the same place, so they do
 not remove each other; an empty table gives an empty result; extra columns are passed through.
@@ -24,7 +29,11 @@ from .common import Written, table
 
 REACH = 32
 LONGEST = 1024
-#: A passage of over 50 words less what its ends lose to chunks that reach beyond it.
+#: Places of which one ends a chunk: two in a row fit into 51 words less the 16 that 32 bytes take at most.
+PLACES = 17
+#: Words of the shortest passage.
+WORDS = 51
+#: Bytes of adjoining repeated chunks that are removed without a repeated window.
 LEAST = 120
 
 
@@ -35,19 +44,23 @@ def chunks(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     row = np.repeat(np.arange(rows), size)
     at = np.arange(n) - offs[:-1][row]
     h = tn.gear(buf)
-    none = np.uint32(0xFFFFFFFF)
     ok = at >= REACH - 1
     ok[:-1] &= (buf[1:] & 0xC0) != 0x80
-    h = np.where(ok, h, none)
-    padded = np.full(n + (rows + 1) * REACH, none)
-    where = np.arange(n) + (row + 1) * REACH
-    padded[where] = h
-    low = padded
-    for k in (1, 2, 4, 8, 16):  # low[i]: least of i - 31 .. i
-        later = low.copy()
-        np.minimum(low[k:], low[:-k], out=later[k:])
-        low = later
-    cut = (h < low[where - 1]) & (h <= low[where + REACH - 1]) & (h != none)
+    first, last, _ = tn.runs(~tn.spaces()[buf], offs)
+    place = np.zeros(n, bool)
+    place[last - 1] = True
+    for s, e in zip(first[last - first > REACH], last[last - first > REACH]):
+        w = h[s:e]
+        fresh = (w[REACH:] & 7) == 0
+        for k in range(1, REACH):  # none in text of a short period
+            fresh &= w[REACH:] != w[REACH - k : -k]
+        place[s + REACH : e] |= fresh
+    place = np.flatnonzero(place & ok)
+    cut = np.zeros(n, bool)
+    if len(place) >= PLACES:
+        view = np.lib.stride_tricks.sliding_window_view(h[place], PLACES)
+        low = np.arange(len(view)) + PLACES - 1 - view[:, ::-1].argmin(axis=1)
+        cut[place[low[row[place[: len(view)]] == row[place[PLACES - 1 :]]]]] = True
     cut[offs[1:][size > 0] - 1] = True
     end = np.flatnonzero(cut) + 1
     start = np.concatenate([[0], end[:-1]]) if len(end) else end
@@ -74,15 +87,80 @@ def _chunked(batches):
             if not len(buf):
                 continue
             start, end, row = chunks(buf, offs)
-            d1, d2 = tn.Rolling(a[buf], tn.BASE_A).of(start, end), tn.Rolling(b[buf], tn.BASE_B).of(start, end)
+            back = np.maximum(start - REACH, offs[row])  # with what its begin depends on: short chunks are not equal by chance
+            d1, d2 = tn.Rolling(a[buf], tn.BASE_A).of(back, end), tn.Rolling(b[buf], tn.BASE_B).of(back, end)
             ids = batch.column(0).take(pa.array(row + lo))
             yield pa.RecordBatch.from_arrays(
                 [tn.as_long(d1), tn.as_long(d2), ids, pa.array((start - offs[row]).astype(np.int32)), pa.array((end - start).astype(np.int32))], ["d1", "d2", "doc_id", "start", "size"]
             )
 
 
-def removed(doc_id: int, start: np.ndarray, size: np.ndarray, first: np.ndarray, digest: np.ndarray, least: int) -> tuple[list[tuple[int, int]], int]:
-    """Spans to remove, and bytes in runs of repeated chunks."""
+def _edges(batches):
+    """Digests of chunks at which repeats of an earlier document begin or end."""
+    for batch in batches:
+        occ = batch.column(1)
+        flat = occ.flatten()
+        doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in occ])
+        start, size, first, d1 = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "first", "d1"))
+        order = np.lexsort((start, doc))
+        doc, start, size, first, d1 = doc[order], start[order], size[order], first[order], d1[order]
+        same = (doc[1:] == doc[:-1]) & (start[1:] == start[:-1] + size[:-1]) & (first[1:] == first[:-1])
+        left, right = np.append(True, ~same)[: len(doc)] & (start > 0), np.append(~same, True)[: len(doc)]
+        at = np.flatnonzero((left | right) & (first != doc))
+        yield pa.RecordBatch.from_arrays([pa.array(d1[at]), pa.array(left[at]), pa.array(right[at])], ["d1", "left", "right"])
+
+
+def _windows(batches):
+    """Digest, size, doc_id and start of the windows of words that may begin or end a passage at a chunk."""
+    code, space = tn.codes(13), tn.spaces()
+    for batch in batches:
+        occ = batch.column(2)
+        flat, upto = occ.flatten(), np.concatenate([[0], np.cumsum([len(x) for x in occ])])
+        begin, size, left, right = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "left", "right"))
+        for lo, buf, offs in tn.pieces(batch.column(1)):
+            first, last, row = tn.runs(~space[buf], offs)
+            if len(first) < WORDS:
+                continue
+            here = slice(upto[lo], upto[lo + len(offs) - 1])
+            s = begin[here].astype(np.int64) + np.repeat(offs[:-1], np.diff(upto[lo : lo + len(offs)]))
+            lower, upper = np.searchsorted(first, s, "right") - 1, np.searchsorted(last, s + size[here]) + 1 - WORDS  # windows from upper to lower hold the chunk
+            mark = np.zeros(len(first) + 1, np.int64)
+            # a chunk begins after 2 * PLACES words at most and ends within PLACES words of the end
+            for side, a, b in ((left[here], np.maximum(upper, lower - 2 * PLACES), lower + 1), (right[here], upper, np.minimum(lower, upper + PLACES + 1) + 1)):
+                a, b = np.maximum(a, 0), np.maximum(b, 0)
+                some = side & (a < b)
+                np.add.at(mark, a[some], 1)
+                np.add.at(mark, b[some], -1)
+            w = np.flatnonzero(np.cumsum(mark)[: len(first) + 1 - WORDS])
+            w = w[row[w] == row[w + WORDS - 1]]
+            start, end, of = first[w], last[w + WORDS - 1], row[w]
+            digest = tn.Rolling(code[buf], tn.BASE_A).of(start, end)
+            yield pa.RecordBatch.from_arrays(
+                [tn.as_long(digest), pa.array((end - start).astype(np.int32)), batch.column(0).take(pa.array(of + lo)), pa.array((start - offs[of]).astype(np.int32))], ["d1", "size", "doc_id", "start"]
+            )
+
+
+def covered(doc_id: int, start: np.ndarray, size: np.ndarray, first: np.ndarray, digest: np.ndarray) -> list[tuple[int, int]]:
+    """Spans of repeated windows that an earlier document holds, or an earlier place of this one apart from them."""
+    order = np.lexsort((size, start))
+    start, end, first, digest = start[order], start[order] + size[order], first[order], digest[order]
+    _, at, which = np.unique(digest, return_index=True, return_inverse=True)
+    gone = (first != doc_id) | (end[at][which] <= start)
+    return [(int(x), int(y)) for x, y in zip(start[gone], end[gone])]
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for x, y in sorted(spans):
+        if out and x <= out[-1][1]:
+            out[-1] = (out[-1][0], max(y, out[-1][1]))
+        else:
+            out.append((x, y))
+    return out
+
+
+def removed(doc_id: int, start: np.ndarray, size: np.ndarray, first: np.ndarray, digest: np.ndarray, least: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Spans to remove, and those of runs of repeated chunks."""
     order = np.lexsort((size, start))
     keep = np.ones(len(order), bool)
     keep[1:] = np.diff(start[order]) > 0  # rows that repeat a doc_id
@@ -93,12 +171,18 @@ def removed(doc_id: int, start: np.ndarray, size: np.ndarray, first: np.ndarray,
     seen = np.zeros(len(start), bool)
     seen[np.unique(digest, return_index=True)[1]] = True
     out: list[tuple[int, int]] = []
-    for i in np.flatnonzero(long & ~((first == doc_id) & seen)):
+    repeat = long & ~((first == doc_id) & seen)
+    gone = repeat & (end - start >= REACH)
+    beside = lambda i, j: 0 <= j < len(gone) and run[i] == run[j] and gone[j]
+    few = np.flatnonzero(repeat & ~gone)
+    for i in [*few, *few[::-1]]:  # short ones go with a neighbour of the same origin, or between two
+        gone[i] |= any(beside(i, j) and first[i] == first[j] for j in (i - 1, i + 1)) or beside(i, i - 1) and beside(i, i + 1)
+    for i in np.flatnonzero(gone):
         if out and out[-1][1] == start[i]:
             out[-1] = (out[-1][0], int(end[i]))
         else:
             out.append((int(start[i]), int(end[i])))
-    return out, int((end - start)[long].sum())
+    return out, [(int(x), int(y)) for x, y in zip(start[long], end[long])]
 
 
 def _cut(names: list[str], schema: pa.Schema, least: int):
@@ -106,16 +190,26 @@ def _cut(names: list[str], schema: pa.Schema, least: int):
         for b in batches:
             t = pa.Table.from_batches([b])
             texts, ids = t.column("text").to_pylist(), t.column("doc_id").to_pylist()
-            occ = t.column("__chunks").combine_chunks()
-            flat, at = occ.flatten(), np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in occ])])
-            col = {k: flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "first", "d1")}
+            part = {}
+            for k in ("__chunks", "__windows"):
+                occ = t.column(k).combine_chunks()
+                flat = occ.flatten()
+                part[k] = np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in occ])]), [flat.field(f).to_numpy(zero_copy_only=False) for f in ("start", "size", "first", "d1")]
+
+            def of(k, i):
+                at, (start, size, first, d1) = part[k]
+                s = slice(at[i], at[i + 1])
+                return start[s].astype(np.int64), size[s].astype(np.int64), first[s], d1[s]
+
             n_bytes, n_removed, n_shared, spans = [], [], [], []
             for i, text in enumerate(texts):
                 raw = (text or "").encode()
-                gone, shared = [], 0
-                if at[i] < at[i + 1]:
-                    s = slice(at[i], at[i + 1])
-                    gone, shared = removed(ids[i], col["start"][s].astype(np.int64), col["size"][s].astype(np.int64), col["first"][s], col["d1"][s], least)
+                chunk, window = of("__chunks", i), of("__windows", i)
+                gone, shared = removed(ids[i], *chunk, least) if len(chunk[0]) else ([], [])
+                if len(window[0]):
+                    gone = united(gone + covered(ids[i], *window))
+                    shared = shared + [(int(x), int(x + y)) for x, y in zip(window[0], window[1])]
+                shared = sum(y - x for x, y in united(shared))
                 if gone:
                     p, parts = 0, []
                     for x, y in gone:
@@ -138,11 +232,26 @@ def substring_dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    listed = lambda x, name: x.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("start", "size", "first", "d1")).alias(name))
     pieces = d.mapInArrow(_chunked, "d1 bigint, d2 bigint, doc_id bigint, start int, size int")
     repeated = pieces.groupBy("d1", "d2").agg(F.count("*").alias("c"), F.min("doc_id").alias("first")).where("c > 1").drop("c")
-    found = pieces.join(Written(repeated, "repeated").df, ["d1", "d2"])
-    found = found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("start", "size", "first", "d1")).alias("__chunks"))
+    repeated = Written(repeated, "repeated")
+    found = Written(listed(pieces.join(repeated.df, ["d1", "d2"]).where("doc_id is not null"), "__chunks"), "chunks").df
+    repeated.drop()
+    edges = found.mapInArrow(_edges, "d1 bigint, left boolean, right boolean").groupBy("d1").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    edges = Written(edges, "edges")
+    about = found.select("__id", F.explode("__chunks").alias("x")).select("__id", "x.start", "x.size", "x.d1").join(edges.df, "d1")
+    about = Written(about.groupBy("__id").agg(F.collect_list(F.struct("start", "size", "left", "right")).alias("__about")), "about")
+    edges.drop()
+    windows = d.join(about.df, d["doc_id"] == about.df["__id"]).select("doc_id", "text", "__about")
+    windows = Written(windows.mapInArrow(_windows, "d1 bigint, size int, doc_id bigint, start int"), "windows")
+    about.drop()
+    again = Written(windows.df.groupBy("d1", "size").agg(F.count("*").alias("c"), F.min("doc_id").alias("first")).where("c > 1").drop("c"), "again")
+    within = Written(listed(windows.df.join(again.df, ["d1", "size"]), "__windows"), "passages").df
+    again.drop()
+    windows.drop()
     x = docs.join(found, docs["doc_id"].cast("long") == found["__id"], "left").drop("__id")
+    x = x.join(within, docs["doc_id"].cast("long") == within["__id"], "left").drop("__id")
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in ("__n_bytes", "__n_removed", "__n_shared")), T.StructField("__spans", span)])
     return x.mapInArrow(_cut(docs.columns, to_arrow_schema(schema), least), schema)

@@ -186,6 +186,25 @@ def test_substring_dedup(spark, corpus):
     assert substrings.substring_dedup(df.limit(0)).count() == 0
 
 
+def test_substring_dedup_short_words(spark):
+    """Each of 300 passages of 51 to 60 short words goes whole from its second document, and nothing else goes."""
+    rnd = random.Random(12)
+    words = lambda n, longest: " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randrange(1, longest + 1))) for _ in range(n))
+    rows, planted = [], {}
+    for i in range(300):
+        passage = words(51 + i % 10, 1 + i % 6)
+        ends = [words(rnd.randrange(1, 40), 9) for _ in range(4)]
+        rows += [(i, f"{ends[0]} {passage} {ends[1]}", "en", "a", None), (1000 + i, f"{ends[2]} {passage} {ends[3]}", "en", "a", None)]
+        planted[1000 + i] = [*ends[2:], passage]
+    rows += [(5000, "ab " * 300, "en", "a", None), (5001, words(50, 4), "en", "a", None)]
+    text = {i: t for i, t, *_ in rows}
+    out = {r["doc_id"]: r["text"] for r in substrings.substring_dedup(spark.createDataFrame(rows, DOCS)).collect()}
+    missed = [i for i, (a, b, passage) in planted.items() if out[i].split() != f"{a} {b}".split()]
+    assert missed == []
+    assert [i for i in [*range(300), 5001] if out[i] != text[i]] == []
+    assert len(out[5000].split()) >= 51
+
+
 def test_chunks_resist_insertion():
     rnd = random.Random(2)
     one = prose(rnd, 400).encode()
