@@ -3,7 +3,8 @@
 Every page is parsed, in workers, into a tree of elements; the containers of same-host pages are merged by their path
 (tags and classes).  Two entropies weigh a node of the merged tree, both to the base of the number of pages that
 have it: that of its presentations (the sequences of child tags) and that of its contents.  A node is noise where both are
-below ``LOW``: what looks and reads alike on most pages of a host is furniture.  Counts are gathered by partial
+below ``LOW``: what looks and reads alike on most pages of a host is furniture.  Equal pages of a host count once, and a
+branch that holds a page's ``article`` or ``main`` or more than half of its text is not noise on that page.  Counts are gathered by partial
 aggregation, so a hot host is no hot task, and a host's few noise paths are joined back.
 
 A page's text is that of its ``article`` or ``main`` element where it has one, else of its body less the noise branches;
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -53,13 +53,14 @@ NAME = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "main", "children", "texts", "held")
+    __slots__ = ("tag", "path", "noise", "main", "children", "texts", "held", "size", "holds")
 
     def __init__(self, tag: str, path: str, noise: bool, main: bool):
         self.tag, self.path, self.noise, self.main = tag, path, noise, main
         self.children: list[str] = []
         self.texts: list[str] = []
         self.held = None
+        self.size, self.holds = 0, False
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -80,13 +81,13 @@ def _noise(tag: str, a: dict[str, str], inside_main: bool) -> bool:
     return not NOISE_WORD.isdisjoint(NAME.findall(f"{a.get('class', '')} {a.get('id', '')}".lower()))
 
 
-def parse(page: str, noise_paths: frozenset[str] = frozenset()) -> tuple[list[str], list[str], list[tuple[str, str, str]]]:
-    """Blocks inside article or main, blocks of the body less noise, and (path, presentation, content) of containers."""
+def parse(page: str, noise_paths: frozenset[str] = frozenset()) -> tuple[list[str], list[str], list[tuple[str, str, str, int, bool]]]:
+    """Blocks inside article or main, blocks of the body less noise, and of containers path, presentation, content, characters less noise, and whether they hold article or main."""
     root = Node("#", "", False, False)
     stack = [root]
     main: list[str] = []
     body: list[str] = []
-    seen: list[tuple[str, str, str]] = []
+    seen: list[tuple[str, str, str, int, bool]] = []
     buffer: list[str] = []
     at, end = 0, len(page)
 
@@ -99,6 +100,7 @@ def parse(page: str, noise_paths: frozenset[str] = frozenset()) -> tuple[list[st
                 for node in stack:
                     if node.held is not None:
                         node.held.append(text)
+                        node.size += 0 if top.noise else len(text)
                 if not top.noise:
                     body.append(text)
                     if top.main:
@@ -113,7 +115,7 @@ def parse(page: str, noise_paths: frozenset[str] = frozenset()) -> tuple[list[st
             if node.held is not None:
                 style = " ".join(x for i, x in enumerate(node.children) if i == 0 or x != node.children[i - 1])
                 digest = blake2b("\n".join(node.held).encode("utf-8", "replace"), digest_size=8).hexdigest()
-                seen.append((node.path, blake2b(style.encode(), digest_size=8).hexdigest(), digest))
+                seen.append((node.path, blake2b(style.encode(), digest_size=8).hexdigest(), digest, node.size, node.holds))
 
     for m in MARKUP.finditer(page):
         if m.start() < at:
@@ -174,6 +176,9 @@ def parse(page: str, noise_paths: frozenset[str] = frozenset()) -> tuple[list[st
         noise = above.noise or path in noise_paths and not above.main or _noise(tag, a, above.main)
         node = Node(tag, path, noise, above.main or tag in ("article", "main") or a.get("role", "").lower() in ("main", "article"))
         above.children.append(tag)
+        if node.main and not above.main:
+            for x in stack:
+                x.holds = True
         if tag in CONTAINER and not node.main:
             node.held = []
         stack.append(node)
@@ -185,24 +190,27 @@ def parse(page: str, noise_paths: frozenset[str] = frozenset()) -> tuple[list[st
 
 
 def extract(page: str, noise_paths: frozenset[str] = frozenset()) -> str:
-    main, body, _ = parse(page, noise_paths)
+    main, body, seen = parse(page)
+    low = noise_paths & {x[0] for x in seen}
+    if low:
+        low -= {path for path, _, _, size, holds in seen if holds or 2 * size > sum(map(len, body))}
+    if low:
+        main, body, _ = parse(page, low)
     return "\n\n".join(main or body)
 
 
 def _counted(batches):
     for b in batches:
-        count: Counter = Counter()
+        rows = set()
         for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             met = set()
-            for path, style, content in parse(page or "")[2]:
+            key = blake2b((page or "").encode("utf-8", "replace"), digest_size=16).hexdigest()
+            for path, style, content, *_ in parse(page or "")[2]:
                 if path not in met:  # the first of equal containers stands for the page
                     met.add(path)
-                    count[host, path, "s", style] += 1
-                    count[host, path, "c", content] += 1
-        rows = list(count)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], pa.string()) for i in range(4)] + [pa.array([count[r] for r in rows], pa.int64())], ["host", "path", "kind", "value", "n"]
-        )
+                    rows.add((host, path, key, style, content))
+        rows = list(rows)
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(5)], ["host", "path", "page", "s", "c"])
 
 
 def _extracted(batches):
@@ -214,8 +222,9 @@ def _extracted(batches):
 
 def style_tree(pages: DataFrame, low: float = LOW, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(host, html) -> one row per node of each host's tree: pages, style and content entropy, noise."""
-    values = pages.mapInArrow(_counted, "host string, path string, kind string, value string, n bigint")
-    values = values.groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n"))
+    values = pages.mapInArrow(_counted, "host string, path string, page string, s string, c string").distinct()
+    values = values.select("host", "path", F.expr("stack(2, 's', s, 'c', c) as (kind, value)"))
+    values = values.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
     kinds = values.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
     bits = F.when(F.col("m") > 1, (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m")).otherwise(1.0)
     of = lambda k: F.max(F.when(F.col("kind") == k, bits))

@@ -350,6 +350,17 @@ def test_html_style_tree(spark):
     assert html.extract_pages(df.limit(0)).count() == 0
 
 
+def test_html_copies(spark):
+    """Copies of one page on a host, alone or beside others, lose no text, nor does an article in a shared wrapper."""
+    page = lambda x: f"<body><div><p>{x}</p></div></body>"
+    inner = lambda x, k: f"<body><p>{k}</p><div class='w'><article><p>{x}</p></article></div></body>"
+    rows = [(i, "https://a.example/", page("one text")) for i in range(8)]
+    rows += [(100 + i, "https://b.example/", page("one text")) for i in range(30)] + [(200 + i, "https://b.example/", page(f"text {i}")) for i in range(6)]
+    rows += [(300 + i, "https://c.example/", inner("copy", i)) for i in range(30)] + [(400, "https://c.example/", inner("own", 99))]
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: "copy" if 300 <= i < 400 else "own" if i == 400 else re.search("<p>(.*?)</p>", h)[1] for i, _, h in rows}
+
+
 def test_chat_round_trip(spark):
     odd = ["<|im_end|>", "\\", "<\\|", "<\\\\|im_start|>", "a<|turn|>b", "", None, "é日本\n", "<|", "|>", "<|message|>x"]
     rnd = random.Random(8)
