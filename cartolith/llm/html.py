@@ -9,7 +9,7 @@ aggregation, so a hot host is no hot task, and a host's few noise paths are join
 
 A page's text is that of its ``article`` or ``main`` element where it has one, else of its body less the noise branches;
 branches whose tag, role, class or id says menu, header, footer, sidebar, notice, advert, form or comments go in any
-case.  Character references are decoded, white space inside a block becomes one space, blocks are joined by an empty line.
+case, as do noise branches inside ``article`` and ``main``.  Character references are decoded, white space inside a block becomes one space, blocks are joined by an empty line.
 Malformed pages are read as browsers do where it matters: unclosed tags, stray end tags, attributes with ``>`` in
 quotes, a tag cut off by the end of the page.
 
@@ -173,13 +173,13 @@ def parse(page: str, noise_paths: frozenset[str] = frozenset()) -> tuple[list[st
         above = stack[-1]
         a = _attributes(m[3] if m[2] else m[6])
         path = f"{above.path}/{tag}" + ("." + ".".join(sorted(a["class"].lower().split())) if a.get("class") else "")
-        noise = above.noise or path in noise_paths and not above.main or _noise(tag, a, above.main)
+        noise = above.noise or path in noise_paths or _noise(tag, a, above.main)
         node = Node(tag, path, noise, above.main or tag in ("article", "main") or a.get("role", "").lower() in ("main", "article"))
         above.children.append(tag)
         if node.main and not above.main:
             for x in stack:
                 x.holds = True
-        if tag in CONTAINER and not node.main:
+        if tag in CONTAINER:
             node.held = []
         stack.append(node)
     if at < end:
@@ -191,9 +191,10 @@ def parse(page: str, noise_paths: frozenset[str] = frozenset()) -> tuple[list[st
 
 def extract(page: str, noise_paths: frozenset[str] = frozenset()) -> str:
     main, body, seen = parse(page)
+    whole = sum(map(len, main or body))
     low = noise_paths & {x[0] for x in seen}
     if low:
-        low -= {path for path, _, _, size, holds in seen if holds or 2 * size > sum(map(len, body))}
+        low -= {path for path, _, _, size, holds in seen if holds or 2 * size > whole}
     if low:
         main, body, _ = parse(page, low)
     return "\n\n".join(main or body)

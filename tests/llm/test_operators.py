@@ -361,6 +361,15 @@ def test_html_copies(spark):
     assert got == {i: "copy" if 300 <= i < 400 else "own" if i == 400 else re.search("<p>(.*?)</p>", h)[1] for i, _, h in rows}
 
 
+def test_html_tree_inside_article(spark):
+    """A promo that repeats inside articles goes, whatever its class is called."""
+    rnd = random.Random(9)
+    own = [prose(rnd, 15) for _ in range(20)]
+    rows = [(i, "https://d.example/", f"<body><article><p>{x}</p><div class='zz'>buy this now</div></article></body>") for i, x in enumerate(own)]
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == dict(enumerate(own))
+
+
 def test_chat_round_trip(spark):
     odd = ["<|im_end|>", "\\", "<\\|", "<\\\\|im_start|>", "a<|turn|>b", "", None, "é日本\n", "<|", "|>", "<|message|>x"]
     rnd = random.Random(8)
