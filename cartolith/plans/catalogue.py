@@ -405,7 +405,7 @@ def cell_binning(t):
     return e.groupBy("cx", "cy").agg(n_().alias("n")).withColumn("shard", geo.cell_shard(c("cx"), c("cy"), 8))
 
 
-def boxes(t, k: int, m: int) -> DataFrame:
+def boxes(t, k: int = 0, m: int = 1) -> DataFrame:
     e = points(t).where(f"event_id % {m} = {k}")
     w, h = (c("event_id") % 13).cast("double") / 10.0 + 0.3, (c("event_id") % 7).cast("double") / 5.0 + 0.2
     return e.select(c("event_id").alias("id"), c("lon").alias("xmin"), c("lat").alias("ymin"), (c("lon") + w).alias("xmax"), (c("lat") + h).alias("ymax"))
@@ -444,11 +444,18 @@ def haversine_within(t):
 
 @query(f"with p as ({PTS}) select a.id, b.id as nearest, round(hypot, 6) as deg from (select * from p where id % 4 = 0) a left join lateral (select id, sqrt((p.lon - a.lon) * (p.lon - a.lon) + (p.lat - a.lat) * (p.lat - a.lat)) as hypot from p where id % 4 = 1 and p.event_type = a.event_type and sqrt((p.lon - a.lon) * (p.lon - a.lon) + (p.lat - a.lat) * (p.lat - a.lat)) <= 5.0 order by round(hypot, 9), id limit 1) b on true")
 def nearest_with_name(t):
-    p = points(t).select(c("event_id").alias("id"), "lon", "lat", "event_type", c("lon").alias("xmin"), c("lon").alias("xmax"), c("lat").alias("ymin"), c("lat").alias("ymax"))
-    a, b = p.where("id % 4 = 0"), p.where("id % 4 = 1")
+    p = named_points(t)
+    return nearest_named(p.where("id % 4 = 0"), p.where("id % 4 = 1"))
+
+
+def named_points(t) -> DataFrame:
+    return points(t).select(c("event_id").alias("id"), "lon", "lat", "event_type", c("lon").alias("xmin"), c("lon").alias("xmax"), c("lat").alias("ymin"), c("lat").alias("ymax"))
+
+
+def nearest_named(a: DataFrame, b: DataFrame) -> DataFrame:
     dx, dy = c("b.lon") - c("a.lon"), c("b.lat") - c("a.lat")
     d = F.sqrt(dx * dx + dy * dy)
-    near = spatial.grid_join(a, b, 5.0, grow=5.0, exact=(c("a.event_type") == c("b.event_type")) & (d <= 5.0)).select(c("a.id").alias("aid"), c("b.id").alias("nearest"), d.alias("d"))
+    near = spatial.grid_join(a, b, 5.0, grow=5.0, exact=(c("a.event_type") == c("b.event_type")) & (d <= 5.0) & (c("a.id") != c("b.id"))).select(c("a.id").alias("aid"), c("b.id").alias("nearest"), d.alias("d"))
     near = rel.distinct_on(near, ["aid"], [F.round("d", 9), c("nearest")])
     return a.join(near, c("id") == c("aid"), "left").select("id", "nearest", F.round("d", 6).alias("deg"))
 
@@ -476,7 +483,10 @@ p as (select a.id, (b.xmax - b.xmin) * (b.ymax - b.ymin) as barea, (a.xmax - a.x
 select a.id, coalesce(max(case when common > 0 then 1 else 0 end), 0)::bigint as overlaps, coalesce(max(case when common >= 0.5 * aarea and (barea > aarea or (barea = aarea and bid < p.id)) then 1 else 0 end), 0)::bigint as contained
 from a left join p on a.id = p.id group by a.id""")
 def overlap_contained_flags(t):
-    b = boxes(t, 0, 2)
+    return overlap_flags(boxes(t, 0, 2))
+
+
+def overlap_flags(b: DataFrame) -> DataFrame:
     x = spatial.grid_join(b, b, 2.0).where(c("a.id") != c("b.id"))
     area = lambda s: (c(f"{s}.xmax") - c(f"{s}.xmin")) * (c(f"{s}.ymax") - c(f"{s}.ymin"))
     common = (F.least("a.xmax", "b.xmax") - F.greatest("a.xmin", "b.xmin")) * (F.least("a.ymax", "b.ymax") - F.greatest("a.ymin", "b.ymin"))
@@ -491,13 +501,50 @@ s as (select a.id, coalesce(sum(greatest(least(a.hi, b.hi) - greatest(a.lo, b.lo
 select id, covered::bigint as covered from s where covered <= 0.6 * 20""")
 def coverage_fraction_filter(t):
     e = t("events")
-    a = e.where("event_id % 3 = 0").select(c("event_id").alias("id"), "user_id", (c("event_id") % 1000).alias("lo"), (c("event_id") % 1000 + 20).alias("hi")).alias("a")
-    b = e.where("event_id % 3 = 1").select("user_id", (c("event_id") * 7 % 1000).alias("lo"), (c("event_id") * 7 % 1000 + 10).alias("hi")).alias("b")
-    x = a.join(b, (c("a.user_id") == c("b.user_id")) & (c("b.lo") < c("a.hi")) & (c("b.hi") > c("a.lo")), "left")
-    g = x.groupBy("a.id").agg(F.coalesce(F.sum(F.greatest(F.least("a.hi", "b.hi") - F.greatest("a.lo", "b.lo"), F.lit(0))), F.lit(0)).cast("long").alias("covered"))
+    return coverage(e.where("event_id % 3 = 0"), e.where("event_id % 3 = 1"), 20)  # as in its SQL, whose least and greatest pass over nulls
+
+
+def coverage(a: DataFrame, b: DataFrame, alone: int = 0) -> DataFrame:
+    a = a.select(c("event_id").alias("id"), "user_id", (c("event_id") % 1000).alias("lo"), (c("event_id") % 1000 + 20).alias("hi")).alias("a")
+    b = b.select(c("event_id").alias("id"), "user_id", (c("event_id") * 7 % 1000).alias("lo"), (c("event_id") * 7 % 1000 + 10).alias("hi")).alias("b")
+    x = a.join(b, (c("a.user_id") == c("b.user_id")) & (c("b.lo") < c("a.hi")) & (c("b.hi") > c("a.lo")) & (c("a.id") != c("b.id")), "left")
+    g = x.groupBy("a.id").agg(F.coalesce(F.sum(F.when(c("b.id").isNull(), alone).otherwise(F.greatest(F.least("a.hi", "b.hi") - F.greatest("a.lo", "b.lo"), F.lit(0)))), F.lit(0)).cast("long").alias("covered"))
     return g.where(c("covered") <= 0.6 * 20)
 
 
+# ---- the subset queries above, whose SQL is kept, over whole tables: all events with all others
+
+@query()
+def bbox_join_all(t):
+    return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=c("a.id") != c("b.id")).select(c("a.id").alias("a"), c("b.id").alias("b"))
+
+
+@query()
+def bbox_semi_all(t):
+    return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=c("a.id") != c("b.id"), how="left_semi").select("id")
+
+
+@query()
+def bbox_anti_all(t):
+    return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=c("a.id") != c("b.id"), how="left_anti").select("id")
+
+
+@query()
+def overlap_contained_flags_all(t):
+    return overlap_flags(boxes(t))
+
+
+@query()
+def nearest_with_name_all(t):
+    p = named_points(t)
+    return nearest_named(p, p)
+
+
+@query()
+def coverage_fraction_filter_all(t):
+    return coverage(t("events"), t("events"))
+
+
 def flagship(t) -> DataFrame:
     """Points to classified, deduplicated tile counts."""
     e = points(t).where(~(c("lon").between(-1, 1) & c("lat").between(-1, 1)))
