@@ -545,6 +545,11 @@ def coverage_fraction_filter_all(t):
     return coverage(t("events"), t("events"))
 
 
+@query("select doc_id, nullif(regexp_replace(text, '[^0-9]', '', 'g'), '') as digits from documents")
+def number_extract_all(t):
+    return t("documents").select("doc_id", tx.blank_to_null(F.regexp_replace("text", "[^0-9]", "")).alias("digits"))
+
+
 def flagship(t) -> DataFrame:
     """Points to classified, deduplicated tile counts."""
     e = points(t).where(~(c("lon").between(-1, 1) & c("lat").between(-1, 1)))
