@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Largest table, in bytes of Parquet, that is broadcast after its size was measured.
 BROADCAST_BYTES = 4 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,13 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share, of spark.checkpoint.dir; a temporary one only for a local master."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("cartolith.scratch.dir", None)
     if not where:
-        where = spark.conf.get("cartolith.scratch.dir", None)
-        if not where:
-            where = tempfile.mkdtemp(prefix="cartolith-")
-            spark.conf.set("cartolith.scratch.dir", where)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        where = tempfile.mkdtemp(prefix="cartolith-")
+        spark.conf.set("cartolith.scratch.dir", where)
     return where.rstrip("/")
 
 
@@ -40,8 +42,12 @@ class Written:
         self.spark = df.sparkSession
         self.path = f"{scratch(self.spark)}/cartolith-{label}-{uuid.uuid4().hex}"
         self.schema = df.schema
-        df.write.parquet(self.path)
-        self.spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of what is written now
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")  # what this write shuffled is deleted when it is done
+        try:
+            df.write.parquet(self.path)
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         self.df = self.spark.read.schema(self.schema).parquet(self.path)
 
     def bytes(self) -> int:

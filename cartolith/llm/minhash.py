@@ -5,11 +5,10 @@ Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased.  A docu
 has an empty set and is linked with nothing.  Documents of equal sets are one class from the start.
 
 Candidates are found among the classes by banding: each bucket links its members to its least one, so buckets never
-emit their pairs and a dense group shares few pivots.  Links are confirmed on full sets.  In buckets that still hold
-several components, members outside the largest one are tried against members of it, drawn anew in each of a few rounds.
-What stays apart after that is compared on full sets in blocks of ``BLOCK`` members, the largest component of a bucket
-against the others and these among themselves; a task returns one edge per linked member, and buckets of equal
-members are compared once.  So no link between different components is lost, and members of one component are not compared.
+emit their pairs and a dense group shares few pivots; buckets of equal members are folded into one first.  Links are
+confirmed on full sets.  Buckets that then still hold several components are compared on full sets in blocks of
+``BLOCK`` members, the largest component of a bucket against the others and these among themselves; a task returns one
+edge per linked member.  So no link between different components is lost, and members of one component are not compared.
 With 30 bands of 6 rows a pair at similarity 0.85 misses all buckets with probability 7e-7, one at 0.8 with 1e-4.
 
 Null and empty texts form components of their own, ties take the smallest doc_id, repeated rows (same doc_id) share
@@ -28,8 +27,6 @@ from .common import Written, components, table
 
 BANDS, ROWS = 30, 6
 BLOCK = 512
-#: Rounds of drawn pivots, and pivots a member tries in one.
-DRAWS, TRIES = 4, 2
 
 
 def shingles(buf: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,8 +173,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     classes = Written(signed.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes").df
     reps = signed.join(classes.select("rep"), signed["doc_id"] == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
     banded = reps.select(F.col("doc_id").alias("rep"), "n", F.posexplode("bands").alias("band", "bh"))
-    pivots = banded.groupBy("band", "bh").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    shared = Written(banded.join(pivots, ["band", "bh"]), "buckets").df
+    met = banded.groupBy("band", "bh").agg(F.min("rep").alias("pivot"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y"))
+    once = met.where("members > 1").groupBy("members", "x", "y").agg(F.min(F.struct("band", "bh", "pivot")).alias("of")).select("of.*", "members")
+    once = Written(once, "pivots").df
+    shared = Written(banded.join(once, ["band", "bh"]), "buckets").df
     ids = Written(shared.select(F.col("rep").alias("doc_id")).distinct(), "members").sized()
     sets = d.join(ids, "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id bigint, shingles array<bigint>")
     sets = Written(sets.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets").df
@@ -185,32 +184,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     star = shared.where(F.col("rep") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = Written(verified(star, sets, percent), "links").df
     parts = Written(components(links), "parts").df
-    placed = shared.where("members > 2").select("band", "bh", "rep", "members")  # two members are a star
-    for draw in range(DRAWS + 1):
-        # members of the buckets that hold several components, with the largest of these
-        x = placed.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        sizes = x.groupBy("band", "bh", "component").agg(F.count("*").alias("m"))
-        largest = sizes.groupBy("band", "bh").agg(F.max(F.struct("m", "component")).alias("x"), F.count("*").alias("parts")).where("parts > 1")
-        x = Written(x.join(largest.select("band", "bh", F.col("x.component").alias("largest")), ["band", "bh"]), "apart").df
-        placed = x.select("band", "bh", "rep", "members")
-        if draw == DRAWS:
-            break
-        turn = F.xxhash64("rep", "band", F.lit(draw))
-        drawn = x.where("component = largest").groupBy("band", "bh").agg(F.min(F.struct(turn.alias("turn"), "rep")).alias("x")).select("band", "bh", F.col("x.rep").alias("pivot"))
-        tried = x.where("component <> largest").join(drawn, ["band", "bh"]).groupBy("rep").agg(F.collect_set("pivot").alias("pivots"))  # one per band at most
-        tried = tried.select(F.col("rep").alias("b"), F.explode(F.slice(F.array_sort("pivots"), 1, TRIES)).alias("a"))
-        more = Written(verified(tried, sets, percent), "more").df
-        if not more.limit(1).count():
-            break
-        links = Written(links.unionByName(more), "links").df
-        parts = Written(components(links), "parts").df
+    # members of the buckets that hold several components, with the largest of these; two members are a star
+    x = shared.where("members > 2").select("band", "bh", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    sizes = x.groupBy("band", "bh", "component").agg(F.count("*").alias("m"))
+    largest = sizes.groupBy("band", "bh").agg(F.max(F.struct("m", "component")).alias("x"), F.count("*").alias("parts")).where("parts > 1")
+    x = Written(x.join(largest.select("band", "bh", F.col("x.component").alias("largest")), ["band", "bh"]), "apart").df
 
-    same = F.struct(F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y"))
     host = F.col("component") == F.col("largest")
     blocks = lambda which: F.ceil(F.count_if(which) / BLOCK).cast("int")
-    once = x.groupBy("band", "bh").agg(same.alias("same"), blocks(host).alias("hosts"), blocks(~host).alias("others"))
-    once = once.groupBy("same").agg(F.min(F.struct("band", "bh", "hosts", "others")).alias("of")).select("of.*")
-    y = x.join(Written(once, "once").sized(), ["band", "bh"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.when(host, F.col("hosts")).otherwise(F.col("others"))).cast("int"))
+    cut = x.groupBy("band", "bh").agg(blocks(host).alias("hosts"), blocks(~host).alias("others"))
+    y = x.join(Written(cut, "cut").df, ["band", "bh"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.when(host, F.col("hosts")).otherwise(F.col("others"))).cast("int"))
     task = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
     # blocks i <= j of the others meet under (i, j); block i of the others meets block j of the largest under (i, -1 - j)
     among = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda j: task(F.least(j, "block"), F.greatest(j, "block"), F.when(j == F.col("block"), 0).when(j < F.col("block"), 2).otherwise(1)))

@@ -41,7 +41,7 @@ def measures(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     size = np.maximum(np.diff(offs), 1)
     start, end, wrow = tn.runs(k != 6, offs)
     words = np.maximum(np.bincount(wrow, minlength=n), 1)
-    h = tn.Rolling(tn.codes(21, lower=True)[buf], tn.BASE_A).of(start, end)
+    h = tn.Quick(tn.codes(21, lower=True)[buf], tn.QUICK).of(start, end)
     same = np.zeros(len(h), bool)
     same[1:] = (h[1:] == h[:-1]) & (wrow[1:] == wrow[:-1])
     mark = (end - start >= 3) & (k[end - 1] == 4) & (k[np.maximum(end - 2, 0)] == 4)

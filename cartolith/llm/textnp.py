@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is a piece of its own.
-PIECE = 1 << 20
+PIECE = 1 << 17
 
 _CACHE: dict = {}
 
@@ -50,14 +50,40 @@ def pieces(col, limit: int = PIECE):
         lo = hi
 
 
+P61 = np.uint64((1 << 61) - 1)
+BASE_A, BASE_B, QUICK = 0x1E3779B97F4A7C15, 0x1132A2543DE82EF9, 0x9E3779B97F4A7C15
+
+
+def mod61(x: np.ndarray) -> np.ndarray:
+    """64-bit values modulo the prime 2 ** 61 - 1."""
+    x = (x & P61) + (x >> np.uint64(61))
+    x -= P61 * (x >= P61)
+    return x
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2 ** 61 - 1 of values below it, from halves of 32 bits."""
+    low, half = np.uint64(0xFFFFFFFF), np.uint64(32)
+    ah, al, bh, bl = a >> half, a & low, b >> half, b & low
+    mid = ah * bl + al * bh
+    out = al * bl
+    out = (out & P61) + (out >> np.uint64(61))
+    out += (ah * bh) << np.uint64(3)
+    out += (mid >> np.uint64(29)) + ((mid & np.uint64((1 << 29) - 1)) << half)
+    return mod61(out)
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** i modulo 2 ** 64 for i < n."""
+    """base ** i modulo 2 ** 61 - 1 for i < n."""
     have = _CACHE.get(base)
     if have is None or len(have) < n:
         size = max(n, PIECE + 8)
         have = np.ones(size, np.uint64)
-        have[1:] = np.uint64(base)
-        np.multiply.accumulate(have, out=have)
+        k = 1
+        while k < size:
+            m = min(k, size - k)
+            have[k : k + m] = times(have[:m], np.uint64(pow(base, k, int(P61))))
+            k += m
         _CACHE.clear() if len(_CACHE) > 8 else None
         if size <= 4 * PIECE:
             _CACHE[base] = have
@@ -65,19 +91,47 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 class Rolling:
-    """Polynomial hashes modulo 2 ** 64 of any byte ranges of a piece."""
+    """Polynomial hashes modulo the prime 2 ** 61 - 1 of any byte ranges of a piece: two different strings of n bytes collide
+    for n bases of 2 ** 61 at most.  Codes count with 32 bits; values are mixed to 64 bits with the length."""
 
     def __init__(self, codes: np.ndarray, base: int):
+        n, low, half = len(codes), np.uint64(0xFFFFFFFF), np.uint64(32)
+        weight, code = powers(base, n), codes & low
+        term = code * (weight & low)
+        term = (term & P61) + (term >> np.uint64(61))
+        mid = code * (weight >> half)
+        term += mid >> np.uint64(29)
+        term += (mid & np.uint64((1 << 29) - 1)) << half  # below 2 ** 63
+        self.sums = np.zeros(n + 1, np.uint64)
+        high = np.cumsum(term >> half)  # sums of halves do not overflow for pieces of up to 2 ** 31 bytes
+        term &= low
+        # high * 2 ** 32: its bits from 29 up wrap round to bit 0
+        self.sums[1:] = mod61((high >> np.uint64(29)) + ((high & np.uint64((1 << 29) - 1)) << half) + mod61(np.cumsum(term)))
+        self.back = powers(pow(base, -1, int(P61)), n + 1)
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        x = mod61(self.sums[end] + (P61 - self.sums[start]))
+        return mix64(times(x, self.back[start]) + mix64((end - start).astype(np.uint64)))
+
+
+class Quick:
+    """Polynomial hashes modulo 2 ** 64, for choices that need not be free of collisions: names come from Rolling."""
+
+    def __init__(self, codes: np.ndarray, base: int = QUICK):
         n = len(codes)
+        weight = np.full(n + 1, base, np.uint64)
+        weight[0] = 1
+        np.multiply.accumulate(weight, out=weight)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(codes * powers(base, n), out=self.sums[1:])
-        self.back = powers(pow(base, -1, 1 << 64), n + 1)
+        np.cumsum(codes * weight[:n], out=self.sums[1:])
+        self.back = np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
+        self.back[0] = 1
+        np.multiply.accumulate(self.back, out=self.back)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return mix64((self.sums[end] - self.sums[start]) * self.back[start])
 
 
-BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
 
 def codes(seed: int, lower: bool = False) -> np.ndarray:
