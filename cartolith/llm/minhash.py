@@ -11,8 +11,9 @@ confirmed on full sets.  Buckets that then still hold several components are com
 edge per linked member.  So no link between different components is lost, and members of one component are not compared.
 With 30 bands of 6 rows a pair at similarity 0.85 misses all buckets with probability 7e-7, one at 0.8 with 1e-4.
 
-Null and empty texts form components of their own, ties take the smallest doc_id, repeated rows (same doc_id) share
-one component, an empty table gives an empty result; extra columns are ignored.
+Null and empty texts form components of their own, ties take the smallest doc_id; rows are judged by their own text, and
+where distinct sets without other copies share one doc_id, that of the least fingerprint is compared for all of them; a null
+doc_id has a null component; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -90,6 +91,12 @@ def superminhash(x: np.ndarray, offs: np.ndarray, m: int) -> np.ndarray:
     return best.reshape(n, m)
 
 
+def fingerprint(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Two 64-bit sums over each set."""
+    sums = np.concatenate([np.zeros((1, 2), np.uint64), np.cumsum(np.stack([tn.mix64(x), tn.mix64(x ^ np.uint64(0x5851F42D4C957F2D))], 1), 0)])
+    return sums[at[1:]] - sums[at[:-1]]
+
+
 def _signed(k: int, bands: int, rows: int):
     def run(batches):
         weight = tn.constant(9, rows) | np.uint64(1)
@@ -97,16 +104,14 @@ def _signed(k: int, bands: int, rows: int):
             for lo, buf, offs in tn.pieces(b.column(1)):
                 x, at = shingles(buf, offs, k)
                 n = len(at) - 1
-                size = np.diff(at)
-                sums = np.concatenate([np.zeros((1, 2), np.uint64), np.cumsum(np.stack([tn.mix64(x), tn.mix64(x ^ np.uint64(0x5851F42D4C957F2D))], 1), 0)])
-                s = sums[at[1:]] - sums[at[:-1]]
+                size, s = np.diff(at), fingerprint(x, at)
                 sig = superminhash(x, at, bands * rows).view(np.uint64)
                 band = tn.mix64((tn.mix64(sig).reshape(n, bands, rows) * weight).sum(2, dtype=np.uint64))
                 full = size > 0
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(full, bands, 0))]).astype(np.int32)), tn.as_long(band[full].reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, n), tn.as_long(size), tn.as_long(np.ascontiguousarray(s[:, 0])), tn.as_long(np.ascontiguousarray(s[:, 1])), lists],
-                    ["doc_id", "n", "s1", "s2", "bands"],
+                    [b.column(0).slice(lo, n), b.column(2).slice(lo, n), tn.as_long(size), tn.as_long(np.ascontiguousarray(s[:, 0])), tn.as_long(np.ascontiguousarray(s[:, 1])), lists],
+                    ["doc_id", "th", "n", "s1", "s2", "bands"],
                 )
 
     return run
@@ -117,7 +122,9 @@ def _sets(k: int):
         for b in batches:
             for lo, buf, offs in tn.pieces(b.column(1)):
                 x, at = shingles(buf, offs, k)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, len(at) - 1), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), tn.as_long(x))], ["doc_id", "shingles"])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(lo, len(at) - 1), tn.as_long(np.ascontiguousarray(fingerprint(x, at)[:, 0])), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), tn.as_long(x))], ["rep", "s1", "shingles"]
+                )
 
     return run
 
@@ -166,20 +173,21 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, text) -> doc_id, n_shingles, component_id, kept: one row per row of docs."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = Written(d.mapInArrow(_signed(k, bands, rows), "doc_id bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>"), "signed").df
+    """(doc_id, text) -> doc_id, n_shingles, component_id, kept, th (hash of the text): one row per row of docs."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
+    signed = Written(d.mapInArrow(_signed(k, bands, rows), "doc_id bigint, th bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>"), "signed").df
     key = ["s1", "s2", "n"]
     classes = Written(signed.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes").df
-    reps = signed.join(classes.select("rep"), signed["doc_id"] == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
-    banded = reps.select(F.col("doc_id").alias("rep"), "n", F.posexplode("bands").alias("band", "bh"))
+    reps = signed.join(classes, key).where("doc_id = rep").groupBy("rep").agg(F.min(F.struct("s1", "bands")).alias("x"))
+    reps = Written(reps.select("rep", "x.s1", "x.bands"), "reps").df
+    banded = reps.select("rep", F.posexplode("bands").alias("band", "bh"))
     met = banded.groupBy("band", "bh").agg(F.min("rep").alias("pivot"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y"))
     once = met.where("members > 1").groupBy("members", "x", "y").agg(F.min(F.struct("band", "bh", "pivot")).alias("of")).select("of.*", "members")
     once = Written(once, "pivots").df
     shared = Written(banded.join(once, ["band", "bh"]), "buckets").df
-    ids = Written(shared.select(F.col("rep").alias("doc_id")).distinct(), "members").sized()
-    sets = d.join(ids, "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id bigint, shingles array<bigint>")
-    sets = Written(sets.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets").df
+    ids = Written(reps.join(shared, "rep", "left_semi").select("rep", "s1"), "members").sized()
+    sets = d.join(ids.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets(k), "rep bigint, s1 bigint, shingles array<bigint>")
+    sets = Written(sets.join(ids, ["rep", "s1"], "left_semi").drop("s1").dropDuplicates(["rep"]), "sets").df
 
     star = shared.where(F.col("rep") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = Written(verified(star, sets, percent), "links").df
@@ -204,10 +212,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     more = Written(y.groupBy("band", "bh", "i", "j").applyInArrow(_linked(percent), "a bigint, b bigint"), "more").df
     if more.limit(1).count():
         parts = Written(components(links.unionByName(more)), "parts").df
-    out = signed.select("doc_id", *key).join(classes, key, "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    out = signed.select("doc_id", "th", *key).join(classes, key, "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), "th")
+    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "th")
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("th")

@@ -2,6 +2,7 @@
 
 import hashlib
 import html as entities
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -266,7 +267,10 @@ def test_mixing(spark, corpus):
         assert r["target"] == pytest.approx(target[r["source"]]) and r["taken"] <= 3 * r["size"] and r["source_size"] == size[r["source"]]
         taken[r["source"]] += r["taken"]
     for s in names:
-        assert abs(taken[s] - target[s]) <= max(r["size"] for r in out if r["source"] == s) + 1
+        assert abs(taken[s] - target[s]) <= max(0.02 * target[s], 1 + min((r["size"] for r in out if r["source"] == s and r["size"]), default=0) / 2), s
+        rates = {r["size"]: r["rate"] for r in out if r["source"] == s and 0 < r["rate"] < 3}
+        tilt = {round(math.log(r) / z, 6) for z, r in rates.items()}  # rates are exp(lambda * size), alike per size
+        assert max(tilt, default=0) - min(tilt, default=0) <= 1e-5 and (len(rates) < 3 or target[s] == size[s] or len(set(rates.values())) > 2)
     assert sorted(out, key=str) == sorted(mixing.mix_sources(df.repartition(7)).collect(), key=str)
     assert mixing.mix_sources(df.limit(0)).count() == 0
     assert {r["taken"] for r in mixing.mix_sources(df.where("text is null")).collect()} == {0}
