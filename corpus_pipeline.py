@@ -28,9 +28,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity 0.8) the document of least doc_id stays."""
-    gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
+    gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.col("th").alias("__th"))
     gone = Written(gone.distinct(), "near-duplicates").sized()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    return docs.join(gone, (docs["doc_id"] == gone["__gone"]) & (F.xxhash64(docs["text"]) == gone["__th"]), "left_anti")
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +49,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with size, target, rate, copies and taken; those of no copies are not in it."""
-    mix = mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("__id"), "size", "source_size", "target", "rate", "copies", "taken")
-    mix = mix.dropDuplicates(["__id"])
-    return docs.join(mix, docs["doc_id"].eqNullSafe(mix["__id"])).drop("__id")
+    return mix_sources(docs).where("copies > 0")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
