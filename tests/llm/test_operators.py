@@ -148,19 +148,30 @@ def test_superminhash_estimates():
 
 
 def test_suffixes_brute_force(spark, corpus):
-    df = spark.createDataFrame(corpus, DOCS).withColumn("h", F.lit(1)).withColumn("lo", F.lit("x"))
-    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffixes.remove_repeats(df).collect()}
-    raw = {i: (t or "").encode() for i, t, *_ in corpus}
-    count = Counter(b[p : p + 200] for b in raw.values() for p in range(len(b) - 199))
-    for i, b in raw.items():
+    """Also with equal rows, rows that share an id or have none, and texts of up to a megabyte."""
+    rnd = random.Random(21)
+    long = prose(rnd, 130_000, 4000)
+    mixed = corpus[1][1] + corpus[7][1][:230] + corpus[9][1][-260:]
+    rows = [(r[0], r[1]) for r in corpus] + [(1, corpus[1][1]), (1, mixed), (None, corpus[7][1]), (None, "q" * 10 + corpus[7][1]), (None, None), (3, corpus[3][1])]
+    rows += [(900, long), (901, long[500_000:500_900] + corpus[11][1]), (902, prose(rnd, 60) + long[-420:])]
+    # windows that differ in one byte at every place
+    base = prose(rnd, 90)
+    rows += [(1000 + k, base[:k] + "#" + base[k + 1 :]) for k in range(0, len(base), 23)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("h", F.lit(1)).withColumn("lo", F.lit("x")).withColumn("k1", F.lit(None).cast("string"))
+    got = Counter(tuple(r)[:5] for r in suffixes.remove_repeats(df).collect())
+    raw = [(t or "").encode() for _, t in rows]
+    count = Counter(hash(b[p : p + 200]) for b in raw for p in range(len(b) - 199))
+    want = Counter()
+    for (i, _), b in zip(rows, raw):
         gone = bytearray(len(b))
         for p in range(len(b) - 199):
-            if count[b[p : p + 200]] > 1:
+            if count[hash(b[p : p + 200])] > 1:
                 gone[p : p + 200] = b"\1" * 200
-        runs = len(re.findall(b"\1+", bytes(gone)))
         kept = bytes(c for c, g in zip(b, gone) if not g)
-        assert got[i] == (len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()), i
+        want[i, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()] += 1
+    assert got == want
     assert suffixes.remove_repeats(df.limit(0)).count() == 0
+    assert suffixes.levels(200) == [(32, 32, [0, 64, 72, 136]), (64, 64, [0, 72]), (128, 72, [0])]
 
 
 def test_substring_dedup(spark, corpus):
