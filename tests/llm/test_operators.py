@@ -376,13 +376,48 @@ def test_html_copies(spark):
     assert got == {i: "copy" if 300 <= i < 400 else "own" if i == 400 else re.search("<p>(.*?)</p>", h)[1] for i, _, h in rows}
 
 
-def test_html_tree_inside_article(spark):
-    """A promo that repeats inside articles goes, whatever its class is called."""
+def test_html_names_are_hints():
+    page = lambda x: f"<body><main><article><h1>T</h1><p>one two</p>{x}</article></main></body>"
+    for x, said in [
+        ("<h2 id='social-impact'>Impact</h2>", "Impact"), ("<h2 id=related-work>Work</h2>", "Work"), ("<div class='post-header'><h1>head</h1></div>", "head"),
+        ("<p class='notice-of-death'>died</p>", "died"), ("<table class='menu-prices'><tr><td>nine</td></tr></table>", "nine"), ("<div class='sponsored'>buy</div>", ""),
+        ("<article class='comment'>first</article>", ""), ("<section id=comments><article><p>a long comment, longer than all the rest of it</p></article></section>", ""),
+        ("<p>see <span hidden>not</span>this<button>press</button></p>", "see this"),
+    ]:
+        assert html.extract(page(x)) == "T\n\none two" + (f"\n\n{said}" if said else ""), x
+    assert html.extract("<body><form><article><p>text</p></article><input></form></body>") == "text"
+    assert html.extract("<body><form><div><p>all the text of a page</p></div></form></body>") == "all the text of a page"
+    assert html.extract(f"<body><article><p>teaser</p></article><div><p>{'long text ' * 30}</p></div></body>").startswith("teaser\n\nlong text")
+    deep = "<div>" * 3000 + "deep" + "</div>" * 3000
+    assert html.extract(deep) == "deep" and html.extract("<p>" + "word " * 200_000).count("word") == 200_000
+
+
+def test_html_tree_brute_force(spark):
+    """Unnamed furniture and slots go by the tree alone, in articles and beside them; the tree is that of a plain count."""
     rnd = random.Random(9)
-    own = [prose(rnd, 15) for _ in range(20)]
-    rows = [(i, "https://d.example/", f"<body><article><p>{x}</p><div class='zz'>buy this now</div></article></body>") for i, x in enumerate(own)]
-    got = {r["page_id"]: r["text"] for r in html.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
-    assert got == dict(enumerate(own))
+    own = [prose(rnd, 25 + i % 40) for i in range(40)]
+    body = lambda i, x: f"<div class='qq{i + 100}'>{prose(rnd, 4)}</div><article><h1>{prose(rnd, 3)}</h1><p>{x}</p><div class='zz'>buy <b>this</b> now</div></article>"
+    plain = lambda i, x: f"<div class='q{i + 100}'><div class='u'>{prose(rnd, 3)}</div><div class='v'><p>{x}</p>{'<ul><li>a b</ul>' * (i % 2)}</div></div>"
+    rows = [(i, "https://d.example/", f"<body>{body(i, x)}</body>") for i, x in enumerate(own)] + [(100 + i, "https://e.example/", f"<body>{plain(i, x)}</body>") for i, x in enumerate(own)]
+    rows += [rows[3], rows[3]]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    values = defaultdict(list)
+    for url, page in {(u, h) for _, u, h in rows}:
+        for path, x in html.branches(html.parse(page)).items():
+            values[url.split("/")[2], int.from_bytes(path, "little", signed=True)].append(x)
+
+    def entropy(v):
+        return -sum(n / len(v) * math.log(n / len(v), len(v)) for n in Counter(v).values())
+
+    want = {k: (len(v), entropy([x[0] for x in v]), entropy([x[1] for x in v]), sum(x[2] for x in v) / len(v)) for k, v in values.items() if len(v) >= html.LEAST_PAGES}
+    tree = df.select(F.element_at(F.split("url", "/"), 3).alias("host"), "html")
+    got = {(r["host"], r["path"]): tuple(r)[2:] for r in html.style_tree(tree).collect()}
+    assert set(got) == set(want) and all(g == pytest.approx(want[k], abs=1e-9) for k, g in got.items())
+    for r in html.extract_pages(df).collect():
+        i = r["page_id"]
+        page = rows[i][2] if i < 100 else rows[40 + i - 100][2]
+        title = re.findall("<h1>(.*?)</h1>", page)
+        assert r["text"] == "\n\n".join([*title, own[i % 100]]), i
 
 
 def test_chat_round_trip(spark):
