@@ -1,8 +1,10 @@
 """Chat formatting (operator 10): relational, Spark expressions only.
 
-Turns of a conversation are ordered by (turn, role, text), nulls first; a null text or role is the empty string,
-a null conversation id is a conversation of its own.  Adjacent turns of one role become one message whose parts
-are parted by a control string, so that the original turns can be read back.
+The turns of a conversation are collected as structs and sorted by (turn, role, text), nulls first; a null text or role is
+the empty string, turns without conversation id are one conversation.  Runs of turns of one role are cut out of the
+sorted array as messages, whose texts are parted by a control string, so that the original turns can be read back.  All
+array expressions are linear in the turns (running sums go by chunks), and one output row is one conversation: its turns
+are in one task, bounded by the longest conversation that a row can hold.
 
     <|im_start|>ROLE<|message|>TEXT[<|turn|>TEXT ...]<|im_end|>\\n
 
@@ -14,7 +16,7 @@ An empty table gives an empty result; repeated rows are turns of their own; extr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
@@ -30,35 +32,45 @@ def unescape(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
 
 
+#: Elements whose running sums are taken at once.
+CHUNK = 256
+
+
+def running_sums(values: Column) -> Column:
+    """Sums up to and with each element of an array of longs: within chunks, then over them."""
+    zero = lambda: F.array(F.lit(0).cast("long"))
+    add = lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x))
+    starts = F.sequence(F.lit(0), F.floor(F.greatest(F.size(values) - 1, F.lit(0)) / CHUNK).cast("int"))
+    chunks = F.transform(starts, lambda k: F.aggregate(F.slice(values, k * CHUNK + 1, F.lit(CHUNK)), zero(), add))
+    joined = F.aggregate(
+        chunks, F.struct(zero().alias("ends"), F.array().cast("array<array<bigint>>").alias("sums")),
+        lambda acc, c: F.struct(add(acc["ends"], F.element_at(c, -1)).alias("ends"), F.concat(acc["sums"], F.array(F.transform(F.slice(c, 2, CHUNK), lambda x: x + F.element_at(acc["ends"], -1)))).alias("sums")),
+    )
+    return F.flatten(joined["sums"])
+
+
 def format_chat(turns: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """(conv_id, turn, role, text) -> (conv_id, formatted, loss_spans): one exchange, by conversation."""
-    t = turns.select(
-        "conv_id", "turn",
-        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    before = F.lag("role").over(order)
-    t = t.withColumns({"seq": F.row_number().over(order), "body": escape(F.col("text")), "before": before})
-    head = (
-        F.when(F.col("before").isNull(), F.concat(F.lit(START), escape(F.col("role")), F.lit(MESSAGE)))
-        .when(F.col("before") == F.col("role"), F.lit(TURN))
-        .otherwise(F.concat(F.lit(END + START), escape(F.col("role")), F.lit(MESSAGE)))
-    )
-    t = t.withColumn("head", head)
-    upto = F.sum(F.length("head") + F.length("body")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    t = t.withColumn("start", (upto - F.length("body")).cast("long"))
-    turn = F.struct("seq", F.concat("head", "body").alias("piece"), "start", F.length("body").cast("long").alias("chars"), F.col("role").isin(*loss_roles).alias("loss"))
-    sorted_turns = F.array_sort(F.col("turns"))
-    return (
-        t.groupBy("conv_id")
-        .agg(F.collect_list(turn).alias("turns"))
-        .select(
-            "conv_id",
-            F.concat(F.array_join(F.transform(sorted_turns, lambda x: x["piece"]), ""), F.lit(END)).alias("formatted"),
-            F.transform(F.filter(sorted_turns, lambda x: x["loss"]), lambda x: F.struct(x["start"].alias("start"), x["chars"].alias("chars"))).alias("loss_spans"),
-        )
-    )
+    said = lambda k: F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k)
+    t = turns.select("conv_id", "turn", said("role"), said("text"))
+    t = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    roles = F.transform("turns", lambda x: x["role"])
+    beside = F.arrays_zip(roles.alias("role"), F.concat(F.array(F.lit(None).cast("string")), F.slice(roles, F.lit(1), F.size("turns") - 1)).alias("before"))
+    starts = F.filter(F.transform(beside, lambda x, i: F.when(x["role"].eqNullSafe(x["before"]), F.lit(None)).otherwise(i)), lambda i: i.isNotNull())
+    t = t.select("conv_id", "turns", starts.alias("starts"))
+    ends = F.concat(F.slice("starts", F.lit(2), F.size("starts")), F.array(F.size("turns")))
+    runs = F.arrays_zip(F.col("starts").alias("first"), ends.alias("end"))
+    texts = lambda run: F.transform(F.slice("turns", run["first"] + 1, run["end"] - run["first"]), lambda x: escape(x["text"]))
+    role = lambda run: F.get("turns", run["first"])["role"]
+    t = t.select("conv_id", F.transform(runs, lambda run: F.struct(role(run).isin(*loss_roles).alias("loss"), F.concat(F.lit(START), escape(role(run)), F.lit(MESSAGE)).alias("head"), texts(run).alias("texts"))).alias("messages"))
+    # of each turn the characters of its text, and of what stands between it and the text before
+    gap = lambda m, k, i: F.when(i > 0, len(TURN)).otherwise(F.length(m["head"]) + F.when(k > 0, len(END)).otherwise(0))
+    parts = F.flatten(F.transform("messages", lambda m, k: F.transform(m["texts"], lambda x, i: F.struct(m["loss"].alias("loss"), F.length(x).cast("long").alias("chars"), gap(m, k, i).cast("long").alias("gap")))))
+    formatted = F.concat(F.array_join(F.transform("messages", lambda m: F.concat(m["head"], F.array_join(m["texts"], TURN))), END), F.lit(END))
+    t = t.select("conv_id", formatted.alias("formatted"), parts.alias("parts"))
+    t = t.select("conv_id", "formatted", "parts", running_sums(F.transform("parts", lambda x: x["gap"] + x["chars"])).alias("ends"))
+    spans = F.transform(F.arrays_zip("parts", "ends"), lambda x: F.struct(x["parts"]["loss"].alias("loss"), (x["ends"] - x["parts"]["chars"]).alias("start"), x["parts"]["chars"].alias("chars")))
+    return t.select("conv_id", "formatted", F.transform(F.filter(spans, lambda x: x["loss"]), lambda x: F.struct(x["start"], x["chars"])).alias("loss_spans"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
