@@ -3,8 +3,8 @@
 Words are runs of characters other than ASCII punctuation, space and control, with A-Z lower-cased.  A window is ten
 consecutive words of an item; an item of fewer words, but not none, is one window.  The hash set of windows is keyed on
 the longest word of each; the scan looks up each word of a document, lays the windows of that word over it and
-verifies all their words.  The set is broadcast when its number of windows is within ``max_broadcast``; beyond
-that the same join is shuffled.
+verifies all their words.  The set is written and measured; what is larger than ``SLICE_BYTES`` is broadcast in slices of
+that size, one scan of the documents each, so that no word of a document is ever shuffled.
 
 Null and empty texts have no words and are never hit; an empty benchmark hits nothing; repeated rows get equal results;
 extra columns are ignored.
@@ -12,11 +12,16 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Written, table
 
+#: Largest part of the set, in bytes of Parquet, that is broadcast at once.
+SLICE_BYTES = 8 << 20
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -41,10 +46,18 @@ def benchmark_windows(benchmark: DataFrame, n: int) -> DataFrame:
     return b.select(F.get("words", F.col("ahead")).alias("anchor"), "ahead", "length", "phrase", "items")
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_broadcast: int = 1_000_000) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(doc_id, th, at, length, items): verified occurrences; at counts words from 0; th is a hash of the text."""
-    keys = Written(benchmark_windows(benchmark, n), "bench").df
-    keys = F.broadcast(keys) if keys.count() <= max_broadcast else keys
+    keys = Written(benchmark_windows(benchmark, n), "bench")
+    slices = max(1, math.ceil(keys.bytes() / slice_bytes))
+    if slices > 1:
+        part = F.pmod(F.xxhash64("anchor"), F.lit(slices))
+        return reduce(DataFrame.unionByName, [_hits(docs, keys.df.where(part == i)) for i in range(slices)])
+    return _hits(docs, keys.df)
+
+
+def _hits(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    keys = F.broadcast(keys)  # SLICE_BYTES at most
     d = docs.select("doc_id", F.xxhash64("text").alias("th"), words_of(F.col("text")).alias("words"))
     # the outer form: for the inner one Catalyst infers a filter on the array and splits the text once more
     d = d.select("doc_id", "th", "words", F.posexplode_outer("words").alias("word_at", "word"))
@@ -54,9 +67,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_broadcast: int
     return hit.select("doc_id", "th", at.alias("at"), "length", "items")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, spans (start and length in words), items: one row per row of docs."""
-    h = hits(docs, benchmark, n).groupBy("doc_id", "th").agg(
+    h = hits(docs, benchmark, n, slice_bytes).groupBy("doc_id", "th").agg(
         F.array_sort(F.collect_set(F.struct("at", "length"))).alias("spans"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
     )
