@@ -3,7 +3,7 @@
 The gear hash of the last 32 bytes is taken at the end of each word (and at every eighth byte or so of a word past 32
 bytes); a chunk ends at the last least hash of any 17 such places in a row.  So boundaries depend on nearby content only,
 come about every 9 words and fall back in step after any insertion; a stretch without one is cut every 1024 bytes.
-Chunks are counted by a 128-bit digest of them and the 32 bytes before over the whole corpus.
+Chunks are counted by a 128-bit BLAKE2 digest of them and the 32 bytes before over the whole corpus.
 
 A repeated passage of over 50 words has 35 places or more whose 32 bytes lie inside it, so two ends of chunks and a whole
 chunk between them are the same in each copy: no such passage is without a repeated chunk.  Where repeated chunks begin or
@@ -12,12 +12,14 @@ chunks elsewhere, are counted by digest in turn, which gives the passages to the
 and adjoining repeated chunks of ``least`` bytes or more, is removed except for the first occurrence in the corpus
 (smallest doc_id, then position).  Shorter repeats, such as single common lines, stay.
 
-Null texts stay null, empty ones empty; rows that repeat a doc_id count as occurrences at the same place, so they do
-not remove each other; an empty table gives an empty result; extra columns are passed through.
+Null texts stay null, empty ones empty; rows without doc_id keep their text; rows that share a doc_id are judged by their
+own text and count as occurrences in one document, so they do not remove each other; an empty table gives an empty result; extra columns are passed through.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -81,17 +83,18 @@ def chunks(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _chunked(batches):
-    a, b = tn.codes(11), tn.codes(12)
     for batch in batches:
         for lo, buf, offs in tn.pieces(batch.column(1)):
             if not len(buf):
                 continue
             start, end, row = chunks(buf, offs)
             back = np.maximum(start - REACH, offs[row])  # with what its begin depends on: short chunks are not equal by chance
-            d1, d2 = tn.Rolling(a[buf], tn.BASE_A).of(back, end), tn.Rolling(b[buf], tn.BASE_B).of(back, end)
-            ids = batch.column(0).take(pa.array(row + lo))
+            raw = memoryview(buf.tobytes())
+            d = np.frombuffer(b"".join([blake2b(raw[x:y], digest_size=16).digest() for x, y in zip(back.tolist(), end.tolist())]), np.uint64).reshape(-1, 2)
+            ids, texts = (batch.column(k).take(pa.array(row + lo)) for k in (0, 2))
             yield pa.RecordBatch.from_arrays(
-                [tn.as_long(d1), tn.as_long(d2), ids, pa.array((start - offs[row]).astype(np.int32)), pa.array((end - start).astype(np.int32))], ["d1", "d2", "doc_id", "start", "size"]
+                [*(tn.as_long(np.ascontiguousarray(d[:, k])) for k in (0, 1)), ids, texts, pa.array((start - offs[row]).astype(np.int32)), pa.array((end - start).astype(np.int32))],
+                ["d1", "d2", "doc_id", "th", "start", "size"],
             )
 
 
@@ -114,7 +117,7 @@ def _windows(batches):
     """Digest, size, doc_id and start of the windows of words that may begin or end a passage at a chunk."""
     code, space = tn.codes(13), tn.spaces()
     for batch in batches:
-        occ = batch.column(2)
+        occ = batch.column(3)
         flat, upto = occ.flatten(), np.concatenate([[0], np.cumsum([len(x) for x in occ])])
         begin, size, left, right = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "left", "right"))
         for lo, buf, offs in tn.pieces(batch.column(1)):
@@ -136,7 +139,8 @@ def _windows(batches):
             start, end, of = first[w], last[w + WORDS - 1], row[w]
             digest = tn.Rolling(code[buf], tn.BASE_A).of(start, end)
             yield pa.RecordBatch.from_arrays(
-                [tn.as_long(digest), pa.array((end - start).astype(np.int32)), batch.column(0).take(pa.array(of + lo)), pa.array((start - offs[of]).astype(np.int32))], ["d1", "size", "doc_id", "start"]
+                [tn.as_long(digest), pa.array((end - start).astype(np.int32)), *(batch.column(k).take(pa.array(of + lo)) for k in (0, 2)), pa.array((start - offs[of]).astype(np.int32))],
+                ["d1", "size", "doc_id", "th", "start"],
             )
 
 
@@ -231,27 +235,30 @@ def substring_dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """All columns of docs with repeated passages cut out of text, and __n_bytes, __n_removed, __n_shared, __spans."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    listed = lambda x, name: x.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("start", "size", "first", "d1")).alias(name))
-    pieces = d.mapInArrow(_chunked, "d1 bigint, d2 bigint, doc_id bigint, start int, size int")
+    text_hash = F.xxhash64("text")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash.alias("th"))
+    by = [F.col("doc_id").alias("__id"), F.col("th").alias("__th")]
+    listed = lambda x, name: x.groupBy(*by).agg(F.collect_set(F.struct("start", "size", "first", "d1")).alias(name))
+    pieces = d.mapInArrow(_chunked, "d1 bigint, d2 bigint, doc_id bigint, th bigint, start int, size int")
     repeated = pieces.groupBy("d1", "d2").agg(F.count("*").alias("c"), F.min("doc_id").alias("first")).where("c > 1").drop("c")
     repeated = Written(repeated, "repeated")
     found = Written(listed(pieces.join(repeated.df, ["d1", "d2"]).where("doc_id is not null"), "__chunks"), "chunks").df
     repeated.drop()
-    edges = found.mapInArrow(_edges, "d1 bigint, left boolean, right boolean").groupBy("d1").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    edges = found.select("__id", "__chunks").mapInArrow(_edges, "d1 bigint, left boolean, right boolean").groupBy("d1").agg(F.max("left").alias("left"), F.max("right").alias("right"))
     edges = Written(edges, "edges")
-    about = found.select("__id", F.explode("__chunks").alias("x")).select("__id", "x.start", "x.size", "x.d1").join(edges.df, "d1")
-    about = Written(about.groupBy("__id").agg(F.collect_list(F.struct("start", "size", "left", "right")).alias("__about")), "about")
+    about = found.select("__id", "__th", F.explode("__chunks").alias("x")).select("__id", "__th", "x.start", "x.size", "x.d1").join(edges.df, "d1")
+    about = Written(about.groupBy("__id", "__th").agg(F.collect_list(F.struct("start", "size", "left", "right")).alias("__about")), "about")
     edges.drop()
-    windows = d.join(about.df, d["doc_id"] == about.df["__id"]).select("doc_id", "text", "__about")
-    windows = Written(windows.mapInArrow(_windows, "d1 bigint, size int, doc_id bigint, start int"), "windows")
+    windows = d.join(about.df, (d["doc_id"] == about.df["__id"]) & (d["th"] == about.df["__th"])).select("doc_id", "text", "th", "__about")
+    windows = Written(windows.mapInArrow(_windows, "d1 bigint, size int, doc_id bigint, th bigint, start int"), "windows")
     about.drop()
     again = Written(windows.df.groupBy("d1", "size").agg(F.count("*").alias("c"), F.min("doc_id").alias("first")).where("c > 1").drop("c"), "again")
     within = Written(listed(windows.df.join(again.df, ["d1", "size"]), "__windows"), "passages").df
     again.drop()
     windows.drop()
-    x = docs.join(found, docs["doc_id"].cast("long") == found["__id"], "left").drop("__id")
-    x = x.join(within, docs["doc_id"].cast("long") == within["__id"], "left").drop("__id")
+    own = lambda x: (docs["doc_id"].cast("long") == x["__id"]) & (F.xxhash64(docs["text"]) == x["__th"])
+    x = docs.join(found, own(found), "left").drop("__id", "__th")
+    x = x.join(within, own(within), "left").drop("__id", "__th")
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in ("__n_bytes", "__n_removed", "__n_shared")), T.StructField("__spans", span)])
     return x.mapInArrow(_cut(docs.columns, to_arrow_schema(schema), least), schema)
