@@ -3,10 +3,13 @@
 A character trigram model is counted over all documents.  A token that is not plainly a word is read as a lattice:
 each character may stand for itself, for a letter it imitates (leetspeak), for nothing (separators, repeats) or,
 for ``*``, for any letter; spaced-out letters are joined first.  Viterbi search under the character model restores
-the likeliest word.  Of the restored words and their beginnings, those that mark toxic documents make a lexicon,
-learned from labelled documents of remainder 0 of crc32(doc_id) modulo 3; a logistic model of four measures of the
-lexicon's hits is fitted on those of remainder 2; remainder 1 is held out.  Each part of the fit takes at most ``SAMPLE``
-labelled documents of either class, those of least hash; scoring reads every whole text.
+the likeliest word: its states are the last two letters, all of them are kept, and the word is read off back-pointers, so
+it is exact and linear in the token.  Tokens past ``STRETCH`` characters are read in overlapping stretches.  Of the restored
+words and their beginnings, those that mark toxic documents make a lexicon.  Labelled documents of remainders 0 and 2 of
+crc32(doc_id) modulo 3 are learned from, remainder 1 is held out: a logistic model of measures of a lexicon's hits (how
+many, how dense, how sure) is fitted on either part with the lexicon of the other part, and scores take the lexicon
+of both.  Each part of the fit takes at most ``SAMPLE`` labelled documents of either
+class, those of least hash, whose words bound the lexicon; scoring reads every whole text.
 
 Null and empty texts have no hits and get the score of a clean text; labels that are null are passed over; with no labels of
 both kinds all scores are 0; a null doc_id counts as held out = false; repeated rows get equal results; an empty table
@@ -27,9 +30,10 @@ from pyspark.sql import functions as F
 from .common import Written, table
 
 SAMPLE = 5000
-#: Words and beginnings in the lexicon at most, those most sure first.
-LEXICON = 20_000
-BEAM = 8
+#: Characters of a token read at once, and those that two stretches share.
+STRETCH, SHARED = 64, 16
+#: Log-odds, less one standard error, and toxic documents that an entry of the lexicon needs.
+SURE, SEEN = 1.5, 4
 THRESHOLD = 0.7
 
 # What characters imitate.
@@ -39,7 +43,7 @@ LOOKS_LIKE = {
 }
 #: Costs of a leet letter, of any letter for ``*``, of dropping a digit, a symbol that imitates, another mark, a repeat.
 IMITATED, WILD, NO_DIGIT, NO_SYMBOL, NO_MARK, REPEAT = 0.5, 2.5, 6.0, 3.0, 1.0, 1.5
-#: Readings of a lattice that are looked up.
+#: Ends of a lattice, the likeliest first, whose words are looked up.
 READINGS = 3
 
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -93,9 +97,11 @@ class Decoder:
 
     def viterbi(self, token: str) -> list[str]:
         """The likeliest words, best first."""
-        cost = self.cost
-        beam: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        before = ""
+        cost, before = self.cost, ""
+        hidden = token.count("*")
+        wild = hidden <= len(token) - hidden  # of more hidden letters than shown ones no word can be told
+        now: dict[tuple[int, int], float] = {(0, 0): 0.0}
+        trace: list[dict[tuple[int, int], tuple[tuple[int, int], str]]] = []
         for c in token:
             options: list[tuple[str, float]] = []
             if c.isalpha():
@@ -103,25 +109,36 @@ class Decoder:
                 if c == before:
                     options.append(("", REPEAT))
             else:
-                if (like := LOOKS_LIKE.get(c)) is not None:
+                if (like := LOOKS_LIKE.get(c)) is not None and (wild or c != "*"):
                     options += [(x, IMITATED if len(like) < 3 else WILD) for x in like]
                 options.append(("", NO_DIGIT if c.isdigit() else NO_SYMBOL if like else NO_MARK))
             before = c
-            new: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (spent, out) in beam.items():
-                for x, extra in options:
-                    if x:
-                        if c == x and out.endswith(x) and len(out) > 1 and out[-2] == x:
-                            continue  # no word has a letter three times
-                        z = letter(x)
-                        key, total = (b, z), spent + extra + cost[(a << 12) + (b << 6) + z]
-                    else:
+            then: dict[tuple[int, int], float] = {}
+            back: dict[tuple[int, int], tuple[tuple[int, int], str]] = {}
+            for x, extra in options:
+                z = letter(x) if x else 0
+                for (a, b), spent in now.items():
+                    if not x:
                         key, total = (a, b), spent + extra
-                    if key not in new or total < new[key][0]:
-                        new[key] = (total, out + x)
-            beam = dict(sorted(new.items(), key=lambda kv: kv[1][0])[:BEAM]) if len(new) > BEAM else new
-        ended = sorted((spent + cost[(a << 12) + (b << 6)], out) for (a, b), (spent, out) in beam.items())
-        return [out for _, out in ended[:READINGS]]
+                    elif a == b == z and c == x:
+                        continue  # no word has a letter three times
+                    else:
+                        key, total = (b, z), spent + extra + cost[(a << 12) + (b << 6) + z]
+                    if key not in then or total < then[key]:
+                        then[key], back[key] = total, ((a, b), x)
+            if not then:  # a letter thrice that nothing drops
+                then, back = dict(now), {k: (k, "") for k in now}
+            now = then
+            trace.append(back)
+        ends = sorted((spent + cost[(a << 12) + (b << 6)], (a, b)) for (a, b), spent in now.items())[:READINGS]
+        out = []
+        for _, state in ends:
+            word = []
+            for back in reversed(trace):
+                state, x = back[state]
+                word.append(x)
+            out.append("".join(reversed(word)))
+        return out
 
     def restore(self, token: str) -> list[str]:
         """The words that a lower-case token may stand for: the likeliest readings of its lattice, best first, then the
@@ -130,13 +147,14 @@ class Decoder:
         if core.isalpha() and not THRICE.search(core):
             edge = token.replace(core, "", 1)
             if not any(x in LOOKS_LIKE for x in edge) or DECORATION.search(edge) or edge.strip("!.,;:?") == "":
-                return [core]
+                return list(dict.fromkeys([core, REPEATED.sub(r"\1", core)]))
         token = DECORATION.sub("", token)
         if not any(c.isalpha() for c in token):
             return [core]
         plain = ["".join(LOOKS_LIKE.get(c, c)[i] for c in token if c.isalpha() or len(LOOKS_LIKE.get(c, "*" * 9)) < 9) for i in (0, -1)]
         plain += [REPEATED.sub(r"\1", x) for x in plain]
-        return list(dict.fromkeys([*self.viterbi(token), *plain]))
+        stretches = [token[i : i + STRETCH] for i in range(0, max(len(token) - SHARED, 1), STRETCH - SHARED)]
+        return list(dict.fromkeys([*(w for x in stretches for w in self.viterbi(x)), *plain]))
 
 
 def spaced(tokens: list[str]) -> list[str]:
@@ -156,8 +174,11 @@ def features(word: str) -> list[str]:
     return [word, *("^" + word[:k] for k in (4, 5, 6, 7) if len(word) > k)] if len(word) > 2 else []
 
 
+MEASURES = 5
+
+
 class Scorer(dict):
-    """token -> weight of its best lexicon entry, 0 where it has none; what was met is kept."""
+    """token -> weight of its best lexicon entry, 0 where it has none; what was met of late is kept."""
 
     def __init__(self, cost: np.ndarray, lexicon: dict[str, float]):
         super().__init__()
@@ -172,44 +193,46 @@ class Scorer(dict):
         w = self[token] = max(map(self.weight, self.decoder.restore(token)), default=0.0)
         return w
 
-    def measures(self, text: str | None) -> tuple[float, float, float, float]:
-        """Hits, sum of weights, greatest weight, and hits among distinct tokens."""
+    def measures(self, text: str | None) -> tuple[float, ...]:
+        """Of the hits: distinct ones, occurrences, sum of weights, greatest weight, share of the words."""
         tokens = (text or "").lower().split()
-        alone = [t for t in tokens if len(t) == 1]
-        distinct = set(tokens)
-        hits = [w for w in map(self.__getitem__, distinct) if w]
-        if len(alone) > 2:
+        count = Counter(tokens)
+        hits = [(w, n) for t, n in count.items() if (w := self[t])]
+        if sum(n for t, n in count.items() if len(t) == 1) > 2:
             for run in spaced(tokens):
-                words = self.decoder.restore(run)
-                w = max((self.lexicon.get(word[i:j], 0.0) for word in words for i in range(len(word)) for j in range(i + 4, min(len(word), i + 14) + 1)), default=0.0)
-                hits += [w] if w else []
+                words = [w for i in range(0, max(len(run) - SHARED, 1), STRETCH - SHARED) for w in self.decoder.restore(run[i : i + STRETCH])]
+                w = max((self.lexicon.get(word[i:j], 0.0) for word in words for i in range(len(word)) for j in range(i + 3, min(len(word), i + 14) + 1)), default=0.0)
+                hits += [(w, 1)] if w else []
         if not hits:
-            return 0.0, 0.0, 0.0, 0.0
-        return math.log1p(len(hits)), math.log1p(sum(hits)), max(hits), math.sqrt(len(hits) / len(distinct))
+            return (0.0,) * MEASURES
+        many = sum(n for _, n in hits)
+        return math.log1p(len(hits)), math.log1p(many), math.log1p(sum(w for w, _ in hits)), max(w for w, _ in hits), math.sqrt(many / len(tokens))
 
 
 def _counted(cost: np.ndarray):
     def run(batches):
-        decoder, count = Decoder(cost), {0: Counter(), 1: Counter()}
+        decoder, count = Decoder(cost), [Counter() for _ in range(4)]
         for b in batches:
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for text, toxic, rest in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 tokens = (text or "").lower().split()
                 words = {w for t in set(tokens) for w in decoder.restore(t)[:1]}
-                count[toxic].update({f for w in words for f in features(w)})
-        rows = list(set(count[0]) | set(count[1]))
+                count[toxic + rest].update({f for w in words for f in features(w)})
+        rows = list(set().union(*count))
         for lo in range(0, len(rows), 50_000):
             part = rows[lo : lo + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *(pa.array([count[k][f] for f in part], pa.int64()) for k in (1, 0))], ["feature", "toxic", "clean"])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *(pa.array([c[f] for f in part], pa.int64()) for c in count)], ["feature", "c0", "t0", "c2", "t2"])
 
     return run
 
 
-def _measured(cost: np.ndarray, lexicon: dict[str, float]):
+def _measured(cost: np.ndarray, lexicons: dict[int, dict[str, float]]):
+    """Measures of documents of either part with the lexicon of the other."""
+
     def run(batches):
-        s = Scorer(cost, lexicon)
+        s = {rest: Scorer(cost, lexicons[2 - rest]) for rest in (0, 2)}
         for b in batches:
-            x = np.array([s.measures(t) for t in b.column(0).to_pylist()]).reshape(b.num_rows, 4)
-            yield pa.RecordBatch.from_arrays([b.column(1), *(pa.array(x[:, i]) for i in range(4))], ["toxic", "a", "b", "c", "d"])
+            x = np.array([s[rest].measures(t) for t, rest in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]).reshape(-1)
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * MEASURES), pa.array(x))], ["toxic", "x"])
 
     return run
 
@@ -218,7 +241,7 @@ def _scored(cost: np.ndarray, lexicon: dict[str, float], w: np.ndarray | None):
     def run(batches):
         s = Scorer(cost, lexicon)
         for b in batches:
-            x = np.array([(*s.measures(t), 1.0) for t in b.column(1).to_pylist()]).reshape(b.num_rows, 5)
+            x = np.array([(*s.measures(t), 1.0) for t in b.column(1).to_pylist()]).reshape(b.num_rows, MEASURES + 1)
             score = np.zeros(len(x)) if w is None else 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score)], ["doc_id", "score"])
 
@@ -246,7 +269,7 @@ def remainder(doc_id) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3
 
 
-def model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: int = LEXICON):
+def model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     """Character costs, lexicon and logistic weights."""
     grams = docs.select("text").mapInArrow(_trigrams, "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     counts = np.zeros(64**3)
@@ -263,18 +286,26 @@ def model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: int
             drawn = part if drawn is None else drawn.unionByName(part)
     drawn = Written(drawn, "drawn").sized()
     texts = Written(docs.select("doc_id", "text").join(drawn, "doc_id").select("text", "toxic", "rest"), "drawn-texts").df
-    sizes = {r["toxic"]: r["n"] for r in texts.where("rest = 0").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    lexicon: dict[str, float] = {}
-    if sizes.get(0) and sizes.get(1):
-        seen = texts.where("rest = 0").select("text", "toxic").mapInArrow(_counted(cost), "feature string, toxic bigint, clean bigint")
-        seen = seen.groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).where("t >= 4")
-        # the log-odds of toxic documents less one standard error
-        t, c, nt, nc = F.col("t"), F.col("c"), sizes[1], sizes[0]
+    sizes = {(r["rest"], r["toxic"]): r["n"] for r in texts.groupBy("rest", "toxic").agg(F.count("*").alias("n")).collect()}
+    seen = texts.select("text", "toxic", "rest").mapInArrow(_counted(cost), "feature string, c0 bigint, t0 bigint, c2 bigint, t2 bigint")
+    seen = seen.groupBy("feature").agg(*(F.sum(k).alias(k) for k in ("c0", "t0", "c2", "t2")))
+
+    def sure(parts: tuple[int, ...]) -> F.Column:
+        """The log-odds of toxic documents less one standard error."""
+        t, c = (sum((F.col(f"{k}{rest}") for rest in parts), F.lit(0)) for k in "tc")
+        nt, nc = (sum(sizes.get((rest, toxic), 0) for rest in parts) for toxic in (1, 0))
         odds = F.log((t + 0.5) / (nt + 1.0)) - F.log((c + 0.5) / (nc + 1.0)) - F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
-        for r in seen.select("feature", odds.alias("w")).where("w >= 1.5").orderBy(F.desc("w"), "feature").limit(entries).collect():
-            lexicon[r["feature"]] = r["w"]
-    rows = texts.where("rest = 2").select("text", "toxic").mapInArrow(_measured(cost, lexicon), "toxic int, a double, b double, c double, d double").collect()
-    weights = logistic(np.array([[r["a"], r["b"], r["c"], r["d"]] for r in rows]).reshape(len(rows), 4), np.array([r["toxic"] for r in rows], float), share)
+        return F.when((t >= SEEN) & (odds >= SURE) & F.lit(nt > 0 and nc > 0), odds)
+
+    parts = {0: (0,), 2: (2,), 1: (0, 2)}
+    lexicons: dict[int, dict[str, float]] = {k: {} for k in parts}
+    for r in seen.select("feature", *(sure(rests).alias(f"w{k}") for k, rests in parts.items())).where("coalesce(w0, w2, w1) is not null").collect():
+        for k in parts:
+            if r[f"w{k}"] is not None:
+                lexicons[k][r["feature"]] = r[f"w{k}"]
+    lexicon = lexicons.pop(1)
+    rows = texts.select("text", "toxic", "rest").mapInArrow(_measured(cost, lexicons), "toxic int, x array<double>").collect()
+    weights = logistic(np.array([r["x"] for r in rows]).reshape(len(rows), MEASURES), np.array([r["toxic"] for r in rows], float), share)
     return cost.astype(np.float32), lexicon, weights
 
 

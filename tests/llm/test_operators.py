@@ -5,6 +5,7 @@ import html as entities
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -314,10 +315,48 @@ def test_toxicity_decoder():
     d = toxicity.Decoder(toxicity.language_model(counts.reshape(-1)))
     for token in ["1d10t", "id!ot", "i*iot", "IDIOT!!!".lower(), "s.t.u.p.i.d", "$tupid", "stuuuupid", "l0$er", "m0r0n$$$", "looooser", "m-o-r-o-n"]:
         assert {"idiot", "stupid", "loser", "moron"} & set(d.restore(token)), token
+    assert "stupid" in d.restore("stuupid") and "idiot" in d.restore("iddiot") and "stupid" in d.restore("st**id")
     assert d.restore("then,") == ["then"] and d.restore("1234") == ["1234"] and d.restore("") == [""]
     assert toxicity.spaced("a i d i o t is".split()) == ["aidiot"]
 
 
+def test_toxicity_viterbi_brute_force():
+    """The decoded word has the least cost of all readings of its lattice; long tokens take time in proportion."""
+    rnd = random.Random(3)
+    counts = np.zeros((64, 64, 64))
+    for w in ["idiot", "stupid", "loser", "moron", "slime", "tools"] * 9:
+        code = [0, 0, *map(toxicity.letter, w), 0]
+        for a, b, c in zip(code, code[1:], code[2:]):
+            counts[a, b, c] += rnd.randrange(1, 4)
+    cost = toxicity.language_model(counts.reshape(-1))
+    d = toxicity.Decoder(cost)
+
+    def price(word):
+        code = [0, 0, *map(toxicity.letter, word), 0]
+        return sum(cost[x] for x in zip(code, code[1:], code[2:]))
+
+    def readings(token, before="", word="", spent=0.0):
+        if not token:
+            yield spent + price(word), word
+            return
+        c = token[0]
+        like = toxicity.LOOKS_LIKE.get(c)
+        options = [(c, 0.0)] + [("", toxicity.REPEAT)] * (c == before) if c.isalpha() else [(x, toxicity.IMITATED if len(like) < 3 else toxicity.WILD) for x in like or ""]
+        if not c.isalpha():
+            options.append(("", toxicity.NO_DIGIT if c.isdigit() else toxicity.NO_SYMBOL if like else toxicity.NO_MARK))
+        for x, extra in options:
+            if not (x and x == c and word[-2:] == x + x):
+                yield from readings(token[1:], c, word + x, spent + extra)
+
+    for token in ["1d10t", "st*p1d", "s.t.u|p", "m0r*n", "l00s3r", "s|1m3", "iddi*t", "t00o1s", "*lim3"]:
+        best = min(readings(token))
+        got = d.viterbi(token)[0]
+        assert min(x for x, w in readings(token) if w == got) == pytest.approx(best[0]), token
+    begin = time.time()
+    assert any("idiot" in w for w in d.restore("1d10t." * 20_000)) and d.restore("x" * 100_000)
+    assert time.time() - begin < 30
+
+
 def test_toxicity_held_out(spark):
     rnd = random.Random(5)
     rows, labels = [], []
@@ -333,6 +372,8 @@ def test_toxicity_held_out(spark):
     held = [i for i in range(900) if got[i]["held_out"]]
     assert 200 < len(held) < 400
     assert sum(got[i]["predicted"] == labels[i][2] for i in held) >= 0.97 * len(held)
+    toxic = [i for i in held if labels[i][2]]
+    assert sum(got[i]["predicted"] for i in toxic) >= 0.9 * len(toxic)
     assert got[2000]["score"] == got[2001]["score"] < 0.5 and got[2002]["predicted"] == 1
     none = no_rows(spark, LABELS)
     assert {r["score"] for r in toxicity.score_documents(df.limit(3), none).collect()} == {0.0}
