@@ -1,16 +1,18 @@
 """Embedding near-deduplication (operator 1): spherical k-means cells, blocked cosine products, exact links.
 
 Only vectors of equal, non-null label and equal dimension are compared.  Exact copies are first folded into one
-representative with a multiplicity.  Spherical k-means (fitted on a sample of ``32 * k`` vectors, k growing with the
-square root of the table) gives each vector its nearest cell; a vector is also a guest of each cell of lower number
-that can hold a vector within the threshold angle.  The test for that is exact: the boundary between cells c and c' is the
-hyperplane normal to c - c', and a vector whose angle to it exceeds the threshold has no partner beyond it.  So every
-pair at or above the threshold meets in exactly one cell.  Cells are cut into blocks of at most about ``BLOCK`` vectors
-and block pairs are multiplied as matrices; a task returns counts and one edge per linked vector, never pairs.
+representative with a multiplicity.  Spherical k-means (fitted for each dimension on a sample of ``SAMPLE_PER_CELL`` vectors a
+cell, cells growing with the square root of the largest label) gives each vector its nearest cell; a vector is also a guest
+of each cell of lower number that can hold a vector within the threshold angle.  The test for that is exact: the boundary
+between cells c and c' is the hyperplane normal to c - c', and a vector whose angle to it exceeds the threshold has no partner
+beyond it; nor has one in a cell whose furthest member is too near to the cell's centroid.  So every pair at or above the
+threshold meets in exactly one cell.  Cells are cut into blocks of at most about ``BLOCK`` vectors and block pairs are
+multiplied as matrices, a strip at a time; a task returns counts and one edge per linked vector, never pairs.  Of vectors
+without structure a cell keeps few others out, so work on them stays near the square of a label's size.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing, as do those without label:
-n_links 0, a component of their own.  Repeated rows count as vectors; ties take the smallest vec_id; an empty table gives
-an empty result; extra columns are ignored.
+n_links 0, a component of their own.  Repeated rows count as vectors, also those that share a vec_id; ties take the smallest
+vec_id; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,9 +24,11 @@ from pyspark.sql import functions as F
 
 from .common import Written, components, table
 
-BLOCK = 1024
-#: The fit reads at most this many vectors for each cell.
-SAMPLE_PER_CELL = 32
+BLOCK = 2048
+#: Rows of a block multiplied at once.
+STRIP = 512
+#: The fit reads at most this many vectors for each cell, of which there are at most so many; fewer vectors need no cells.
+SAMPLE_PER_CELL, MOST_CELLS, FEWEST = 32, 2048, 64
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -51,11 +55,30 @@ def _matrix(col) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
 
 
-def _placed(cells: dict[int, np.ndarray], least: float):
-    """(rep, label, dim, v, weight) -> a row for the own cell and one for each cell the vector is a guest of."""
+def _radii(cells: dict[int, np.ndarray]):
+    """(dim, v) -> dim, cell, least cosine of the cell's members in the batch."""
+
+    def run(batches):
+        for b in batches:
+            dims = b.column(0).to_numpy()
+            for dim in np.unique(dims):
+                if (c := cells.get(int(dim))) is not None:
+                    score = unit(_matrix(b.filter(pa.array(dims == dim)).column(1))) @ c.T
+                    cell, best = score.argmax(1), score.max(1)
+                    least = np.full(len(c), np.inf)
+                    np.minimum.at(least, cell, best)
+                    at = np.flatnonzero(np.isfinite(least))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), dim, np.int32)), pa.array(at.astype(np.int32)), pa.array(least[at])], ["dim", "cell", "least"])
+
+    return run
+
+
+def _placed(cells: dict[int, np.ndarray], radii: dict[int, np.ndarray], least: float):
+    """(node, label, dim, v, weight) -> a row for the own cell and one for each cell the vector is a guest of."""
     reach = float(np.sin(np.arccos(least))) * (1 + 1e-9) + 1e-9
 
     def run(batches):
+        apart = {dim: np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0)) for dim, c in cells.items()}
         for b in batches:
             dims = b.column(2).to_numpy()
             for dim in np.unique(dims):
@@ -65,14 +88,14 @@ def _placed(cells: dict[int, np.ndarray], least: float):
                 if (c := cells.get(int(dim))) is not None:
                     score = unit(_matrix(part.column(3))) @ c.T
                     cell = score.argmax(1)
-                    apart = np.linalg.norm(c[:, None] - c[None], axis=2)
-                    near = score[row, cell][:, None] - score <= reach * apart[cell]
+                    near = score[row, cell][:, None] - score <= reach * apart[int(dim)][cell]
                     near &= np.arange(len(c))[None] < cell[:, None]
+                    near &= np.arccos(np.clip(score, -1, 1)) <= radii[int(dim)][None] + np.arccos(least) + 1e-6
                     gr, gc = np.nonzero(near)
                     row, cell, guest = np.concatenate([row, gr]), np.concatenate([cell, gc]), np.concatenate([guest, np.ones(len(gr), bool)])
                 for lo in range(0, len(row), 8192):
                     at = slice(lo, lo + 8192)
-                    yield pa.RecordBatch.from_arrays([*part.take(pa.array(row[at])).columns, pa.array(cell[at].astype(np.int32)), pa.array(guest[at])], ["rep", "label", "dim", "v", "weight", "cell", "guest"])
+                    yield pa.RecordBatch.from_arrays([*part.take(pa.array(row[at])).columns, pa.array(cell[at].astype(np.int32)), pa.array(guest[at])], ["node", "label", "dim", "v", "weight", "cell", "guest"])
 
     return run
 
@@ -92,22 +115,40 @@ def groups_of(link: np.ndarray) -> np.ndarray:
 
 def _compared(least: float):
     def run(t: pa.Table) -> pa.Table:
-        v, rep = unit(_matrix(t.column("v"))), t.column("rep").to_numpy()
-        side, weight = t.column("side").to_numpy(), t.column("weight").to_numpy()
-        order = np.argsort(rep, kind="stable")
-        v, rep, side, weight = v[order], rep[order], side[order], weight[order]
-        link = v @ v.T >= least
-        if (side != 0).any():  # two blocks: only pairs across them
-            link &= side[:, None] != side[None]
-        np.fill_diagonal(link, False)
-        some = link.any(1)
-        link = link[np.ix_(some, some)]
-        rep, weight = rep[some], weight[some]
-        return pa.table({"a": rep, "b": rep[groups_of(link)] if len(rep) else rep, "n": (link @ weight).astype(np.int64)})
+        v, node = unit(_matrix(t.column("v"))), t.column("node").to_numpy()
+        side, weight = t.column("side").to_numpy(), t.column("weight").to_numpy().astype(np.float64)
+        link, links = np.zeros((len(v), len(v)), bool), np.zeros(len(v))
+        across = bool((side != 0).any())  # two blocks: only pairs across them
+        for lo in range(0, len(v), STRIP):
+            at = slice(lo, lo + STRIP)
+            x = v[at] @ v.T >= least
+            if across:
+                x &= side[at, None] != side[None]
+            x[np.arange(len(x)), np.arange(lo, lo + len(x))] = False
+            link[at], links[at] = x, x @ weight
+        some = np.flatnonzero(links)
+        parts = groups_of(link[np.ix_(some, some)])
+        return pa.table({"a": node[some], "b": node[some][parts] if len(some) else node[some], "n": links[some].astype(np.int64)})
 
     return run
 
 
+def cells_of(reps: DataFrame, least: float) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
+    """Centroids by dimension, and the greatest angle between a centroid and a member of its cell."""
+    cells: dict[int, np.ndarray] = {}
+    sizes = reps.groupBy("dim", "label").agg(F.count("*").alias("n")).groupBy("dim").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+    for r in sizes.where(F.col("n") >= FEWEST).collect():
+        k = min(max(2, round((20 * r["most"] / BLOCK) ** 0.5)), MOST_CELLS)
+        drawn = reps.where(F.col("dim") == r["dim"]).orderBy(F.xxhash64("node"), "node").limit(SAMPLE_PER_CELL * k).select("v").collect()
+        cells[r["dim"]] = spherical_kmeans(unit(np.array([x["v"] for x in drawn])), k)
+    radii = {dim: np.zeros(len(c)) for dim, c in cells.items()}
+    if cells:
+        found = reps.select("dim", "v").mapInArrow(_radii(cells), "dim int, cell int, least double")
+        for r in found.groupBy("dim", "cell").agg(F.min("least").alias("least")).collect():
+            radii[r["dim"]][r["cell"]] = np.arccos(np.clip(r["least"], -1, 1))
+    return cells, radii
+
+
 def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     """(vec_id, embedding, label) -> vec_id, n_links, component_id, kept: one row per row."""
     v = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
@@ -117,25 +158,20 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     v = v.withColumns({"h1": F.when(F.col("fine"), F.xxhash64("v")), "h2": F.when(F.col("fine"), F.xxhash64(F.lit(7), "v"))})
     key = ["label", "h1", "h2"]
     reps = v.where("fine").groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("v").alias("v"))
-    reps = Written(reps.withColumn("dim", F.size("v")), "reps").df
-    cells: dict[int, np.ndarray] = {}
-    for r in reps.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(1).collect():
-        k = round(r["n"] ** 0.5 / 16)
-        if k > 1:
-            drawn = reps.where(F.col("dim") == r["dim"]).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE_PER_CELL * k).select("v").collect()
-            cells[r["dim"]] = spherical_kmeans(unit(np.array([x["v"] for x in drawn])), k)
+    # vec_ids may repeat: what is linked is nodes, numbered where the table is written
+    reps = Written(reps.withColumns({"dim": F.size("v"), "node": F.monotonically_increasing_id()}), "reps").df
     kind = dict(reps.dtypes)
-    placed = reps.select("rep", "label", "dim", "v", "weight").mapInArrow(
-        _placed(cells, least), f"rep {kind['rep']}, label {kind['label']}, dim int, v array<double>, weight bigint, cell int, guest boolean"
+    placed = reps.select("node", "label", "dim", "v", "weight").mapInArrow(
+        _placed(*cells_of(reps, least), least), f"node bigint, label {kind['label']}, dim int, v array<double>, weight bigint, cell int, guest boolean"
     )
-    placed = Written(placed.withColumn("v", F.col("v").cast(vectors.schema["embedding"].dataType)), "placed").df
+    placed = Written(placed.withColumn("v", F.col("v").cast(vectors.schema["embedding"].dataType)), "placed")
     at = ["label", "dim", "cell"]
-    count = placed.groupBy(*at).agg(
+    count = placed.df.groupBy(*at).agg(
         F.greatest(F.ceil(F.sum(F.when(F.col("guest"), 0).otherwise(1)) / BLOCK), F.lit(1)).cast("int").alias("own"),
         F.ceil(F.sum(F.when(F.col("guest"), 1).otherwise(0)) / BLOCK).cast("int").alias("guests"),
     )
-    x = placed.join(Written(count, "cells").sized(), at)
-    x = x.withColumn("block", F.pmod(F.xxhash64("rep"), F.greatest(F.when(F.col("guest"), F.col("guests")).otherwise(F.col("own")), F.lit(1))).cast("int"))
+    x = placed.df.join(Written(count, "cells").sized(), at)
+    x = x.withColumn("block", F.pmod(F.xxhash64("node"), F.greatest(F.when(F.col("guest"), F.col("guests")).otherwise(F.col("own")), F.lit(1))).cast("int"))
     task = lambda first, second, side: F.struct(first.cast("int").alias("i"), second.cast("int").alias("j"), side.cast("int").alias("side"))
     # own blocks i <= j meet under (i, j); guest block g meets own block j under (-1 - g, j)
     own = F.transform(F.sequence(F.lit(0), F.col("own") - 1), lambda j: task(F.least(j, "block"), F.greatest(j, "block"), F.when(j == F.col("block"), 0).when(j < F.col("block"), 2).otherwise(1)))
@@ -143,17 +179,20 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     hosts = F.when(F.col("guests") > 0, hosts).otherwise(F.array().cast("array<struct<i:int,j:int,side:int>>"))
     guests = F.transform(F.sequence(F.lit(0), F.col("own") - 1), lambda j: task(-1 - F.col("block"), j, F.lit(2)))
     x = x.withColumn("task", F.explode(F.when(F.col("guest"), guests).otherwise(F.concat(own, hosts))))
-    x = x.select("rep", "v", "weight", *at, "task.i", "task.j", "task.side")
-    found = x.groupBy(*at, "i", "j").applyInArrow(_compared(least), f"a {kind['rep']}, b {kind['rep']}, n bigint")
+    x = x.select("node", "v", "weight", *at, "task.i", "task.j", "task.side")
+    found = x.groupBy(*at, "i", "j").applyInArrow(_compared(least), "a bigint, b bigint, n bigint")
     found = Written(found, "found").df
-    parts = components(found.select("a", "b"), "vectors")
-    links = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("linked"))
-    of = reps.select(*key, "rep", "weight").join(links, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    out = v.select("vec_id", *key).join(of, key, "left")
+    placed.drop()
+    parts = Written(components(found.select("a", "b"), "vectors"), "parts").df
+    linked = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
+    of = reps.select(*key, "node", "rep", "weight").join(linked, "node", "left").join(parts, "node", "left")
+    low = of.where("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
+    of = of.join(low, "component", "left")
+    out = v.select("vec_id", *key).join(of.drop("node"), key, "left")
     out = out.select(
         "vec_id",
         F.coalesce(F.col("weight") - 1 + F.coalesce("linked", F.lit(0)), F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component", "rep", "vec_id").cast("long").alias("component_id"),
+        F.coalesce("least", "rep", "vec_id").cast("long").alias("component_id"),
     )
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
