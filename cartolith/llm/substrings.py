@@ -13,7 +13,7 @@ and adjoining repeated chunks of ``least`` bytes or more, is removed except for
 (smallest doc_id, then position).  Shorter repeats, such as single common lines, stay.
 
 Null texts stay null, empty ones empty; rows without doc_id keep their text; rows that share a doc_id are judged by their
-own text and count as occurrences in one document, so they do not remove each other; an empty table gives an empty result; extra columns are passed through.
+own text and count as occurrences in one document, so they do not remove each other; an empty table gives an empty result; extra columns are passed through, those named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -235,6 +235,7 @@ def substring_dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """All columns of docs with repeated passages cut out of text, and __n_bytes, __n_removed, __n_shared, __spans."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    docs = docs.drop("__n_bytes", "__n_removed", "__n_shared", "__spans")
     text_hash = F.xxhash64("text")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash.alias("th"))
     by = [F.col("doc_id").alias("__id"), F.col("th").alias("__th")]

@@ -203,6 +203,47 @@ def test_substring_dedup(spark, corpus):
     assert substrings.substring_dedup(df.limit(0)).count() == 0
 
 
+def test_substring_dedup_brute_force(spark, corpus):
+    """What goes holds every word of a 51-word passage that an earlier document has; all of it lies in strings that occur earlier."""
+    rnd = random.Random(31)
+    long = prose(rnd, 40_000, 4000)
+    rows = [(r[0], r[1]) for r in corpus] + [(900, long), (901, prose(rnd, 30) + " " + long[100_000:103_000] + " " + prose(rnd, 30)), (60, corpus[7][1]), (None, corpus[0][1]), (1, corpus[1][1])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("__n_removed", F.lit("x"))
+    out = [(r["doc_id"], r["text"], [(s["start"], s["end"]) for s in r["__spans"]]) for r in substrings.substring_dedup(df).collect()]
+    assert len(out) == len(rows)
+    texts = defaultdict(list)
+    for i, t in rows:
+        texts[i].append((t or "").encode())
+    first: dict[bytes, int] = {}
+    words = lambda b: [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", b)]
+    for i, t in sorted((x for x in rows if x[0] is not None), key=lambda x: x[0]):
+        b = (t or "").encode()
+        w = words(b)
+        for k in range(len(w) - 50):
+            first.setdefault(b[w[k][0] : w[k + 50][1]], i)
+    spans = {}
+    for i, t, gone in out:
+        b = next(x for x in texts[i] if len(x) == len((t or "").encode()) + sum(e - s for s, e in gone))
+        spans.setdefault((i, b), gone)
+    for (i, b), gone in spans.items():
+        cut = bytearray(len(b))
+        for s, e in gone:
+            cut[s:e] = b"\1" * (e - s)
+        if i is None:
+            assert not gone
+            continue
+        w = words(b)
+        for k in range(len(w) - 50):
+            s, e = w[k][0], w[k + 50][1]
+            if first[b[s:e]] < i:
+                assert all(cut[s:e]), (i, s, e)
+        earlier = [x for j, xs in texts.items() if j is not None and j <= i for x in xs if j < i or x == b]
+        for s, e in gone:
+            for p in range(s, e, 29):  # any stretch of 60 bytes of it occurs before
+                q = min(p, e - 60) if e - s >= 60 else s
+                assert any(0 <= x.find(b[q : min(q + 60, e)]) and (x is not b or x.find(b[q : min(q + 60, e)]) < q) for x in earlier), (i, s, e)
+
+
 def test_substring_dedup_short_words(spark):
     """Each of 300 passages of 51 to 60 short words goes whole from its second document, and nothing else goes."""
     rnd = random.Random(12)
@@ -252,6 +293,8 @@ def test_decontamination(spark, corpus):
     assert got == want
     clean = {r["doc_id"] for r in decontamination.clean_documents(df, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
     assert clean == {i for i, _, hit, _ in want if not hit}
+    sliced = decontamination.decontaminate(df, spark.createDataFrame(items, "item_id bigint, text string"), slice_bytes=500)
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(sorted(r["items"]))) for r in sliced.collect()) == want
     none = no_rows(spark, "item_id bigint, text string")
     assert decontamination.decontaminate(df, none).where("n_hit > 0").count() == 0
     assert decontamination.decontaminate(df.limit(0), none).count() == 0
@@ -303,6 +346,15 @@ def test_quality(spark):
     assert len(got) == len(rows)
     assert sum((got[i]["__quality"] >= 0.5) == (i < len(good)) for i in range(len(good + junk))) >= 0.97 * len(good + junk)
     assert all(0 <= r["__quality"] <= 1 for r in got.values())
+    # labels of one half of the documents, judged on the other
+    half = [x for x in labels if x[0] is not None and x[0] % 4 == 0]
+    held = {r["doc_id"]: r["__quality"] for r in quality.classify(df, spark.createDataFrame(half, LABELS)).collect()}
+    others = [i for i in range(len(good + junk)) if i % 4]
+    assert sum((held[i] >= 0.5) == (i < len(good)) for i in others) >= 0.95 * len(others)
+    # rates by plain arithmetic: shrunk path rate, then the posterior
+    for r in got.values():
+        rate = min(max(r["__path_rate"], 1e-6), 1 - 1e-6)
+        assert r["__quality"] == pytest.approx(1 / (1 + math.exp(-(r["__evidence"] + math.log(rate / (1 - rate))))), abs=1e-9)
     # shrinkage: the host of one document stays near the global rate
     assert abs(got[901]["__host_rate"] - got[1]["__host_rate"]) < 0.5
     none = no_rows(spark, LABELS)

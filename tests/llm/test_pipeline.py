@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartolith.llm.common import Written, table
@@ -39,7 +40,7 @@ def test_quality_keeps_clean(spark, stages):
 
 
 def test_near_dedup(stages):
-    from tests_near import near_components, near_sets
+    from test_operators import near_components, near_sets
 
     _, before, _, after = stages[1]
     sets = near_sets([(i, t) for i, t in before.items()])
@@ -78,3 +79,25 @@ def test_empty(spark):
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
         docs = Written(docs, "empty").df
+
+
+def test_edges(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, rows that share an id, and clashing columns."""
+    docs = table(spark, SF, "documents")
+    kinds = ", ".join(f"{c} {t}" for c, t in docs.dtypes)
+    first = docs.where("length(text) > 600").orderBy("doc_id").first()
+    other = docs.where("length(text) > 600").orderBy(F.desc("doc_id")).first()
+    row = lambda **k: tuple({"doc_id": 10**6, "text": None, "lang": None, "source": None, "n_chars": None, **k}[c] for c in docs.columns)
+    odd = [row(doc_id=None, text=first["text"]), row(doc_id=None), row(text=""), row(doc_id=first["doc_id"], text=other["text"][::-1]), tuple(first), tuple(first), row(doc_id=10**6 + 1, text=" ".join(f"w{i * 7919 % 9973}" for i in range(60_000)), source="x")]
+    names = ["__quality", "__gone", "__th", "__id", "__n_removed", "__spans", "__evidence", "__bad_id", "th", "h", "size", "rep", "kept"]
+    x = docs.unionByName(spark.createDataFrame(odd, kinds)).withColumns({n: F.lit("x") for n in names})
+    for name, stage in corpus_pipeline.STAGES:
+        before = x
+        x = Written(stage(spark, x, SF), name).df
+        if name != "mixture":
+            assert x.columns == before.columns and all({r[0] for r in x.select(n).distinct().collect()} <= {"x"} for n in names)
+        ids = Counter(r["doc_id"] for r in x.select("doc_id").collect())
+        if name == "near_dedup":  # the reversed text that shares an id is no copy of anything
+            assert x.where(F.col("doc_id") == first["doc_id"]).where(F.length("text") == len(other["text"])).count() <= 1
+            assert ids[None] == Counter(r["doc_id"] for r in before.select("doc_id").collect())[None]
+    assert x.count() > 0
