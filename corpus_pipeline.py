@@ -21,30 +21,40 @@ from cartolith.llm.quality import classify
 from cartolith.llm.substrings import substring_dedup
 
 
+def _staged(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The stage's rows with the columns of docs; those that an operator's own names could clash with are renamed meanwhile."""
+    own = {c: f"own{c}" for c in docs.columns if c.startswith("__")}
+    return stage(docs.withColumnsRenamed(own)).select(*(F.col(own.get(c, c)).alias(c) for c in docs.columns))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects (posterior below one half) go."""
-    return classify(docs, table(spark, sf_dir, "labels")).where("__quality >= 0.5").select(*docs.columns)
+    return _staged(docs, lambda d: classify(d, table(spark, sf_dir, "labels")).where("__quality >= 0.5"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity 0.8) the document of least doc_id stays."""
     gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.col("th").alias("__th"))
     gone = Written(gone.distinct(), "near-duplicates").sized()
-    return docs.join(gone, (docs["doc_id"] == gone["__gone"]) & (F.xxhash64(docs["text"]) == gone["__th"]), "left_anti")
+    return _staged(docs, lambda d: d.join(gone, (d["doc_id"] == gone["__gone"]) & (F.xxhash64(d["text"]) == gone["__th"]), "left_anti"))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds already are cut out of the text."""
-    x = substring_dedup(docs)
-    if "n_chars" in docs.columns:
-        cut = F.col("__n_removed") > 0
-        x = x.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return x.select(*docs.columns)
+
+    def cut(d: DataFrame) -> DataFrame:
+        x = substring_dedup(d)
+        if "n_chars" in docs.columns:
+            n_chars = F.when(F.col("__n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+            x = x.withColumn("n_chars", n_chars)
+        return x
+
+    return _staged(docs, cut)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    return clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return _staged(docs, lambda d: clean_documents(d, table(spark, sf_dir, "benchmark")))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
