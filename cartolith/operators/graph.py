@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only where none is set."""
+    """The checkpoint folder of the session; a temporary one only for a local master, where none is set."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("cartolith.shared.dir", None)
     if not where:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="cartolith-")
         spark.conf.set("cartolith.shared.dir", where)
     return where.rstrip("/")

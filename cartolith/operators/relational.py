@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import cut
+
 
 def distinct_on(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first in ``order``; null keys are one group.  Spark prunes the window to its first row before
@@ -56,3 +58,12 @@ def theta_levels(df: DataFrame, area: str, levels: list[tuple[int, float]]) -> D
     """One row per level whose least area the row reaches: an inequality join without a join."""
     fit = F.filter(F.array(*(F.struct(F.lit(z).alias("level"), F.lit(float(a)).alias("least")) for z, a in levels)), lambda x: F.col(area) >= x["least"])
     return df.withColumn("__l", F.explode(fit)).withColumn("level", F.col("__l.level")).drop("__l")
+
+
+def numbered(df: DataFrame, order: list[Column], name: str = "rn") -> DataFrame:
+    """Adds the row number over the whole table in ``order``: ranges are numbered side by side, then laid end to end."""
+    ranged = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    s = cut(ranged.withColumn("__at", F.row_number().over(Window.partitionBy("__part").orderBy(*order))), "numbered")
+    parts = s.groupBy("__part").agg(F.count("*").alias("n"))  # as many rows as partitions
+    before = parts.select("__part", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    return s.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__at")).drop("__part", "__before", "__at")

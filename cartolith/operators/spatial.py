@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import boxes_touch, cell
+from .graph import cut
 
 
 def with_cells(df: DataFrame, size: float, grow: float = 0.0) -> DataFrame:
@@ -19,10 +20,13 @@ def grid_join(left: DataFrame, right: DataFrame, size: float, exact: Column | No
     """Pairs (aliases a and b) whose boxes meet, left boxes grown by ``grow``, and for which ``exact`` holds.
 
     A pair that shares several cells is kept in the one that holds the lower corner of the common part, so no
-    distinct is needed.  Both sides are exchanged by cell; a crowded cell is split by adaptive execution.
+    distinct is needed.  Both sides are exchanged by cell; a crowded cell is split by adaptive execution.  The other modes
+    (left, left_semi, left_anti) number the left rows, written once, so equal rows and null ids are rows of their own.
     """
-    if how not in ("inner", "left_semi", "left_anti"):
+    if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
+    if how != "inner":
+        left = cut(left.withColumn("__row", F.monotonically_increasing_id()), "left")
     a, b = with_cells(left, size, grow).alias("a"), with_cells(right, size).alias("b")
     on = (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
     near = (
@@ -32,12 +36,12 @@ def grid_join(left: DataFrame, right: DataFrame, size: float, exact: Column | No
     )
     if exact is not None:
         near = near & exact
-    if how != "inner":
-        keys = [c for c in left.columns]
-        met = a.join(b, on & near, "left_semi").select(*keys).distinct() if how == "left_semi" else None
-        if met is not None:
-            return met
-        met = a.join(b, on & near, "left_semi").select("a.id").distinct().withColumnRenamed("id", "__met")
-        return left.join(met, left["id"] == F.col("__met"), "left_anti")
+    if how in ("left_semi", "left_anti"):
+        met = a.join(b, on & near, "left_semi").select(F.col("a.__row").alias("__met")).distinct()
+        return left.join(met, F.col("__row") == F.col("__met"), how).drop("__row")
     home = (F.col("a.cx") == cell(F.greatest(F.col("a.xmin") - grow, F.col("b.xmin")), size)) & (F.col("a.cy") == cell(F.greatest(F.col("a.ymin") - grow, F.col("b.ymin")), size))
-    return a.join(b, on & home & near)
+    pairs = a.join(b, on & home & near)
+    if how == "left":
+        met = pairs.select(F.col("a.__row").alias("__met"), "b.*").drop("cx", "cy").alias("b")
+        return left.alias("a").join(met, F.col("a.__row") == F.col("b.__met"), "left").drop("__row", "__met")
+    return pairs

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
@@ -62,14 +62,15 @@ def classify_regex(t):
     return t("part").select("p_partkey", tx.first_match(c("p_name"), RULES, F.lit("other")).alias("kind"))
 
 
-CODES = [(f"Brand#{i}", f"B{i:03d}", i % 7) for i in range(1, 26)]
+#: A simple CASE of 106 arms, made by rule.
+CODES = [(str(i * 7 % 131), f"B{i:03d}", i % 7) for i in range(106)]
 
 
-@query("with m(b, code, grp) as (values " + ", ".join(f"('{b}', '{k}', {g})" for b, k, g in CODES) + ") select p_partkey, coalesce(code, 'none') as code, coalesce(grp, -1)::bigint as grp from part left join m on p_brand = b")
+@query("select p_partkey, case (p_partkey % 131)::varchar " + " ".join(f"when '{b}' then '{k}'" for b, k, _ in CODES) + " else 'none' end as code, case (p_partkey % 131)::varchar " + " ".join(f"when '{b}' then {g}" for b, _, g in CODES) + " else -1 end::bigint as grp from part")
 def lookup_map_106(t):
-    spark = t("part").sparkSession
-    m = F.broadcast(spark.createDataFrame(CODES, "b string, code string, grp bigint"))
-    return t("part").join(m, c("p_brand") == c("b"), "left").select("p_partkey", F.coalesce("code", F.lit("none")).alias("code"), F.coalesce("grp", F.lit(-1)).cast("long").alias("grp"))
+    key = (c("p_partkey") % 131).cast("string")
+    of = lambda i: F.create_map(*(F.lit(x) for row in CODES for x in (row[0], row[i])))[key]
+    return t("part").select("p_partkey", F.coalesce(of(1), F.lit("none")).alias("code"), F.coalesce(of(2), F.lit(-1)).cast("long").alias("grp"))
 
 
 @query("select o_orderkey from orders where o_orderpriority like '1-%' or o_orderpriority like '%SPEC%'")
@@ -96,9 +97,9 @@ def trigram_match(t):
     return t("part").where(s >= 0.3).select("p_partkey", F.round(s, 6).alias("sim"))
 
 
-@query("select doc_id, nullif(regexp_replace(substr(text, 1, 400), '[^0-9]', '', 'g'), '') as digits, try_cast(nullif(regexp_extract(text, '([0-9]{1,6})', 1), '') as bigint) as first_number from documents")
+@query("select doc_id, nullif(regexp_replace(text, '[^0-9]', '', 'g'), '') as digits, try_cast(nullif(regexp_extract(text, '([0-9]{1,6})', 1), '') as bigint) as first_number from documents")
 def number_extract(t):
-    return t("documents").select("doc_id", tx.blank_to_null(F.regexp_replace(F.substring("text", 1, 400), "[^0-9]", "")).alias("digits"), tx.blank_to_null(F.regexp_extract("text", "([0-9]{1,6})", 1)).try_cast("bigint").alias("first_number"))
+    return t("documents").select("doc_id", tx.blank_to_null(F.regexp_replace("text", "[^0-9]", "")).alias("digits"), tx.blank_to_null(F.regexp_extract("text", "([0-9]{1,6})", 1)).try_cast("bigint").alias("first_number"))
 
 
 @query("""
@@ -117,7 +118,7 @@ def split_part_last(t):
     return t("pages").select("page_id", F.split_part("url", F.lit("/"), F.lit(-1)).alias("last_part"), F.split_part("url", F.lit("/"), F.lit(3)).alias("host"))
 
 
-SWAPS = [("red", "R."), ("blue", "B."), ("small", "sm."), ("R. R.", "RR")]
+SWAPS = [("red", "R."), ("blue", "B."), ("green", "G."), ("small", "sm."), ("large", "lg."), ("ring", "O"), ("bolt", "b"), ("screw", "s"), ("nut", "n"), ("R. ", "R"), ("B. ", "B"), ("G. ", "G"), ("sm. ", "s"), ("R R", "RR")]
 
 
 @query("select p_partkey, " + "replace(" * len(SWAPS) + "p_name" + "".join(f", '{a}', '{b}')" for a, b in SWAPS) + " as short from part")
@@ -190,10 +191,15 @@ def row_number_keep1(t):
     return rel.distinct_on(t("lineitem"), ["l_orderkey"], order).select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
-@query("select o_orderkey, (row_number() over (order by o_totalprice desc, o_orderkey) - 1) % 8 as shard from orders order by o_totalprice desc, o_orderkey limit 50")
+@query("select o_orderkey, (row_number() over (order by o_totalprice desc, o_orderkey) - 1) % 8 as shard from orders")
 def round_robin_shard(t):
-    top = t("orders").orderBy(c("o_totalprice").desc(), "o_orderkey").limit(50)
-    return top.select("o_orderkey", ((F.row_number().over(Window.orderBy(c("o_totalprice").desc(), "o_orderkey")) - 1) % 8).cast("long").alias("shard"))
+    x = rel.numbered(t("orders").select("o_orderkey", "o_totalprice"), [c("o_totalprice").desc(), c("o_orderkey")])
+    return x.select("o_orderkey", ((c("rn") - 1) % 8).cast("long").alias("shard"))
+
+
+@query("select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 50")
+def largest_50(t):
+    return t("orders").orderBy(c("o_totalprice").desc(), "o_orderkey").limit(50).select("o_orderkey", "o_totalprice")
 
 
 # ---- aggregation
@@ -314,34 +320,43 @@ def union_distinct(t):
     return t("customer").select(c("c_nationkey").alias("nation")).union(t("supplier").select("s_nationkey")).distinct()
 
 
-@query("with recursive r as (select n_nationkey as k, n_name as path, 1::bigint as depth from nation where n_nationkey = 0 union all select n_nationkey, path || '>' || n_name, depth + 1 from r join nation on n_nationkey = k + 1 where depth < 25) select * from r")
+@query("""
+with recursive r as (select p_partkey as k, p_size::bigint as total, 1::bigint as depth from part where p_partkey = 1
+  union all select p_partkey, total + p_size, depth + 1 from r join part on p_partkey // 2 = k where p_partkey > 1),
+d as (select depth, max(total)::bigint as most from r group by depth)
+select k, total, depth, most from r join d using (depth)""")
 def recursive_cumulative(t):
-    t("nation").createOrReplaceTempView("__nation")
-    return t("nation").sparkSession.sql(
-        """with recursive r(k, path, depth) as (select n_nationkey, n_name, 1L from __nation where n_nationkey = 0
-        union all select n_nationkey, path || '>' || n_name, depth + 1 from r join __nation on n_nationkey = k + 1 where depth < 25) select * from r"""
+    """Sizes summed down the tree in which part k stands under part k div 2, and the greatest sum of each depth."""
+    t("part").createOrReplaceTempView("__part")
+    r = t("part").sparkSession.sql(
+        """with recursive r(k, total, depth) as (select p_partkey, cast(p_size as bigint), 1L from __part where p_partkey = 1
+        union all select p_partkey, total + p_size, depth + 1 from r join __part on p_partkey div 2 = k where p_partkey > 1) select * from r"""
     )
+    return r.join(r.groupBy("depth").agg(F.max("total").alias("most")), "depth").select("k", "total", "depth", "most")
 
 
-@query("select p_brand, s::bigint as z, (p_partkey * s)::bigint as v from part, generate_series(4, 7) g(s) where p_partkey < 50")
+@query("select p_brand, s::bigint as z, (p_partkey * s)::bigint as v from part, generate_series(4, 7) g(s)")
 def series_explode(t):
-    return t("part").where("p_partkey < 50").withColumn("z", F.explode(F.sequence(F.lit(4), F.lit(7)))).select("p_brand", c("z").cast("long").alias("z"), (c("p_partkey") * c("z")).cast("long").alias("v"))
+    return t("part").withColumn("z", F.explode(F.sequence(F.lit(4), F.lit(7)))).select("p_brand", c("z").cast("long").alias("z"), (c("p_partkey") * c("z")).cast("long").alias("v"))
 
 
 @query("""
-with recursive e as (select distinct l_orderkey as a, -1 - l_partkey as b from lineitem where l_quantity > 49.5),
+with recursive e as (select distinct l_orderkey as a, -1 - l_partkey as b from lineitem),
 u as (select a, b from e union select b, a from e),
-r as (select distinct a as id, a as lab from u union select u.b, r.lab from r join u on r.id = u.a)
-select id, min(lab) as component from r group by id""")
+r(step, id, lab) as (select 0, a, a from (select distinct a from u) union all
+  select step + 1, id, least(lab, low) from (select r.step, r.id, any_value(r.lab) as lab, min(n.lab) as low from r join u on u.a = r.id join r n on n.id = u.b where r.step < 30 group by r.step, r.id))
+select id, lab as component from r where step = 30""")
 def connected_components_bipartite(t):
-    e = t("lineitem").where("l_quantity > 49.5").select(c("l_orderkey").alias("a"), (-1 - c("l_partkey")).alias("b")).distinct()
+    e = t("lineitem").select(c("l_orderkey").alias("a"), (-1 - c("l_partkey")).alias("b")).distinct()
     return connected_components(e.select(c("a").alias("id")).union(e.select("b")), e).select("id", "component")
 
 
-@query("select k, v from (values ('a', 1), ('b', 2), ('c', 4)) x(k, v)")
+@query("""
+with x as (select c_custkey as k, 'customer ' || c_name as v, 0 as turn from customer union all select s_suppkey, 'supplier ' || s_name, 1 from supplier union all select p_partkey, 'part ' || p_name, 2 from part)
+select k, arg_min(v, turn) as v from x group by k""")
 def insert_on_conflict(t):
-    make = lambda rows: t("region").sparkSession.createDataFrame(rows, "k string, v int")
-    return rel.insert_first([make([("a", 1), ("b", 2)]), make([("b", 3), ("c", 4)]), make([("a", 5)])], ["k"])
+    of = lambda name, key, text: t(name).select(c(key).alias("k"), F.concat(F.lit(f"{name} "), text).alias("v"))
+    return rel.insert_first([of("customer", "c_custkey", "c_name"), of("supplier", "s_suppkey", "s_name"), of("part", "p_partkey", "p_name")], ["k"])
 
 
 # ---- zoom, tiles, points
@@ -405,65 +420,71 @@ def cell_binning(t):
     return e.groupBy("cx", "cy").agg(n_().alias("n")).withColumn("shard", geo.cell_shard(c("cx"), c("cy"), 8))
 
 
-def boxes(t, k: int = 0, m: int = 1) -> DataFrame:
-    e = points(t).where(f"event_id % {m} = {k}")
+def boxes(t) -> DataFrame:
     w, h = (c("event_id") % 13).cast("double") / 10.0 + 0.3, (c("event_id") % 7).cast("double") / 5.0 + 0.2
-    return e.select(c("event_id").alias("id"), c("lon").alias("xmin"), c("lat").alias("ymin"), (c("lon") + w).alias("xmax"), (c("lat") + h).alias("ymax"))
+    return points(t).select(c("event_id").alias("id"), c("lon").alias("xmin"), c("lat").alias("ymin"), (c("lon") + w).alias("xmax"), (c("lat") + h).alias("ymax"))
 
 
-BOX = f"select event_id as id, {LON} as xmin, {LAT} as ymin, {LON} + ((event_id % 13)::double / 10.0 + 0.3) as xmax, {LAT} + ((event_id % 7)::double / 5.0 + 0.2) as ymax from events where event_id % {{m}} = {{k}}"
+BOX = f"with a as (select event_id as id, {LON} as xmin, {LAT} as ymin, {LON} + ((event_id % 13)::double / 10.0 + 0.3) as xmax, {LAT} + ((event_id % 7)::double / 5.0 + 0.2) as ymax from events)"
 TOUCH = "a.xmin <= b.xmax and a.xmax >= b.xmin and a.ymin <= b.ymax and a.ymax >= b.ymin"
+OTHER = lambda: c("a.id") != c("b.id")
 
 
-@query(f"with a as ({BOX.format(k=0, m=3)}), b as ({BOX.format(k=1, m=3)}) select a.id as a, b.id as b from a join b on {TOUCH}")
+@query(f"{BOX} select a.id as a, b.id as b from a join a b on {TOUCH} where a.id <> b.id")
 def bbox_join(t):
-    return spatial.grid_join(boxes(t, 0, 3), boxes(t, 1, 3), 2.0).select(c("a.id").alias("a"), c("b.id").alias("b"))
+    return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=OTHER()).select(c("a.id").alias("a"), c("b.id").alias("b"))
 
 
-@query(f"with a as ({BOX.format(k=0, m=3)}), b as ({BOX.format(k=1, m=3)}) select id from a where exists (select 1 from b where {TOUCH})")
+@query(f"{BOX} select id from a semi join (select a.id from a join a b on {TOUCH} where a.id <> b.id) m using (id)")
 def bbox_semi(t):
-    return spatial.grid_join(boxes(t, 0, 3), boxes(t, 1, 3), 2.0, how="left_semi").select("id")
+    return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=OTHER(), how="left_semi").select("id")
 
 
-@query(f"with a as ({BOX.format(k=0, m=3)}), b as ({BOX.format(k=1, m=3)}) select id from a where not exists (select 1 from b where {TOUCH})")
+@query(f"{BOX} select id from a anti join (select a.id from a join a b on {TOUCH} where a.id <> b.id) m using (id)")
 def bbox_anti(t):
-    return spatial.grid_join(boxes(t, 0, 3), boxes(t, 1, 3), 2.0, how="left_anti").select("id")
+    return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=OTHER(), how="left_anti").select("id")
+
+
+@query(f"{BOX}, m as (select a.id, b.id as other from a join a b on {TOUCH} where a.id <> b.id) select a.id, m.other from a left join m on a.id = m.id")
+def bbox_left(t):
+    return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=OTHER(), how="left").select("a.id", c("b.id").alias("other"))
 
 
 HAV = "2 * 6371008.8 * asin(least(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)), 1.0))"
 PTS = f"select event_id as id, {LON} as lon, {LAT} as lat, event_type, user_id from events"
+#: Metres, and degrees of latitude that hold them; degrees of longitude do so up to 60 degrees north and south.
+REACH, DEGREES = 150_000, 1.36
 
 
-@query(f"with p as ({PTS}), a as (select * from p where id % 5 = 0 and abs(lat) < 60), b as (select * from p where id % 5 = 1 and abs(lat) < 61) select a.id as a, b.id as b, round({HAV}, 1) as metres from a join b on abs(a.lat - b.lat) < 2 and abs(a.lon - b.lon) < 4 where {HAV} <= 150000")
+@query(f"with p as ({PTS}), a as (select *, {DEGREES} / greatest(cos(radians(least(abs(lat) + {DEGREES}, 89.0))), 0.01) as wide from p) select a.id as a, b.id as b, round({HAV}, 1) as metres from a join p b on b.lat between a.lat - {DEGREES} and a.lat + {DEGREES} and b.lon between a.lon - a.wide and a.lon + a.wide where a.id <> b.id and {HAV} <= {REACH}")
 def haversine_within(t):
-    p = points(t).select(c("event_id").alias("id"), "lon", "lat", c("lon").alias("xmin"), c("lon").alias("xmax"), c("lat").alias("ymin"), c("lat").alias("ymax"))
+    """All pairs within the distance, but across the date line; boxes widen toward the poles."""
+    wide = DEGREES / F.greatest(F.cos(F.radians(F.least(F.abs("lat") + DEGREES, F.lit(89.0)))), F.lit(0.01))
+    p = points(t).select(c("event_id").alias("id"), "lon", "lat")
+    b = p.select("*", c("lon").alias("xmin"), c("lon").alias("xmax"), c("lat").alias("ymin"), c("lat").alias("ymax"))
+    a = p.select("*", (c("lon") - wide).alias("xmin"), (c("lon") + wide).alias("xmax"), (c("lat") - DEGREES).alias("ymin"), (c("lat") + DEGREES).alias("ymax"))
     d = geo.haversine(c("a.lon"), c("a.lat"), c("b.lon"), c("b.lat"))
-    x = spatial.grid_join(p.where("id % 5 = 0 and abs(lat) < 60"), p.where("id % 5 = 1 and abs(lat) < 61"), 4.0, grow=4.0, exact=d <= 150000)
-    return x.where((F.abs(c("a.lat") - c("b.lat")) < 2) & (F.abs(c("a.lon") - c("b.lon")) < 4)).select(c("a.id").alias("a"), c("b.id").alias("b"), F.round(d, 1).alias("metres"))
+    return spatial.grid_join(a, b, 2.0, exact=(d <= REACH) & OTHER()).select(c("a.id").alias("a"), c("b.id").alias("b"), F.round(d, 1).alias("metres"))
 
 
-@query(f"with p as ({PTS}) select a.id, b.id as nearest, round(hypot, 6) as deg from (select * from p where id % 4 = 0) a left join lateral (select id, sqrt((p.lon - a.lon) * (p.lon - a.lon) + (p.lat - a.lat) * (p.lat - a.lat)) as hypot from p where id % 4 = 1 and p.event_type = a.event_type and sqrt((p.lon - a.lon) * (p.lon - a.lon) + (p.lat - a.lat) * (p.lat - a.lat)) <= 5.0 order by round(hypot, 9), id limit 1) b on true")
-def nearest_with_name(t):
-    p = named_points(t)
-    return nearest_named(p.where("id % 4 = 0"), p.where("id % 4 = 1"))
-
+DEG = "sqrt((b.lon - a.lon) * (b.lon - a.lon) + (b.lat - a.lat) * (b.lat - a.lat))"
 
-def named_points(t) -> DataFrame:
-    return points(t).select(c("event_id").alias("id"), "lon", "lat", "event_type", c("lon").alias("xmin"), c("lon").alias("xmax"), c("lat").alias("ymin"), c("lat").alias("ymax"))
 
-
-def nearest_named(a: DataFrame, b: DataFrame) -> DataFrame:
+@query(f"with p as ({PTS}), n as (select a.id, b.id as nearest, {DEG} as d from p a join p b on a.event_type = b.event_type and b.lat between a.lat - 5.0 and a.lat + 5.0 and a.id <> b.id where {DEG} <= 5.0 qualify row_number() over (partition by a.id order by round(d, 9), b.id) = 1) select p.id, nearest, round(d, 6) as deg from p left join n on p.id = n.id")
+def nearest_with_name(t):
+    p = points(t).select(c("event_id").alias("id"), "lon", "lat", "event_type", c("lon").alias("xmin"), c("lon").alias("xmax"), c("lat").alias("ymin"), c("lat").alias("ymax"))
     dx, dy = c("b.lon") - c("a.lon"), c("b.lat") - c("a.lat")
     d = F.sqrt(dx * dx + dy * dy)
-    near = spatial.grid_join(a, b, 5.0, grow=5.0, exact=(c("a.event_type") == c("b.event_type")) & (d <= 5.0) & (c("a.id") != c("b.id"))).select(c("a.id").alias("aid"), c("b.id").alias("nearest"), d.alias("d"))
+    near = spatial.grid_join(p, p, 5.0, grow=5.0, exact=(c("a.event_type") == c("b.event_type")) & (d <= 5.0) & OTHER()).select(c("a.id").alias("aid"), c("b.id").alias("nearest"), d.alias("d"))
     near = rel.distinct_on(near, ["aid"], [F.round("d", 9), c("nearest")])
-    return a.join(near, c("id") == c("aid"), "left").select("id", "nearest", F.round("d", 6).alias("deg"))
+    return p.join(near, c("id") == c("aid"), "left").select("id", "nearest", F.round("d", 6).alias("deg"))
 
 
 @query(f"with p as ({PTS.replace(' from events', ', ts from events')}), s as (select user_id, sqrt(pow(lon - lag(lon) over w, 2) + pow(lat - lag(lat) over w, 2)) as d from p window w as (partition by user_id order by ts, id)) select user_id, round(coalesce(sum(d), 0), 6) as length from s group by user_id")
 def polyline_length(t):
-    pts = F.array_sort(F.collect_list(F.struct("ts", "event_id", c("lon").alias("x"), c("lat").alias("y"))))
-    return points(t).groupBy("user_id").agg(pts.alias("p")).select("user_id", F.round(geo.line_length(c("p")), 6).alias("length"))
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    step = F.hypot(c("lon") - F.lag("lon").over(w), c("lat") - F.lag("lat").over(w))
+    return points(t).select("user_id", step.alias("d")).groupBy("user_id").agg(F.round(F.coalesce(F.sum("d"), F.lit(0.0)), 6).alias("length"))
 
 
 @query(f"with p as ({PTS}), s as (select user_id, lon, lat, lead(lon) over w as x2, lead(lat) over w as y2, first_value(lon) over w as x0, first_value(lat) over w as y0 from p window w as (partition by user_id order by id rows between unbounded preceding and unbounded following)) select user_id, round(abs(sum(lon * coalesce(y2, y0) - coalesce(x2, x0) * lat)) / 2, 6) as area from s group by user_id")
@@ -478,16 +499,13 @@ def point_in_box_exclude(t):
 
 
 @query(f"""
-with a as ({BOX.format(k=0, m=2)}),
-p as (select a.id, (b.xmax - b.xmin) * (b.ymax - b.ymin) as barea, (a.xmax - a.xmin) * (a.ymax - a.ymin) as aarea, (least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * (least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)) as common, b.id as bid from a join a b on a.id <> b.id and {TOUCH})
+{BOX},
+p as (select a.id, (b.xmax - b.xmin) * (b.ymax - b.ymin) as barea, (a.xmax - a.xmin) * (a.ymax - a.ymin) as aarea, (least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * (least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)) as common, b.id as bid from a join a b on {TOUCH} where a.id <> b.id)
 select a.id, coalesce(max(case when common > 0 then 1 else 0 end), 0)::bigint as overlaps, coalesce(max(case when common >= 0.5 * aarea and (barea > aarea or (barea = aarea and bid < p.id)) then 1 else 0 end), 0)::bigint as contained
 from a left join p on a.id = p.id group by a.id""")
 def overlap_contained_flags(t):
-    return overlap_flags(boxes(t, 0, 2))
-
-
-def overlap_flags(b: DataFrame) -> DataFrame:
-    x = spatial.grid_join(b, b, 2.0).where(c("a.id") != c("b.id"))
+    b = boxes(t)
+    x = spatial.grid_join(b, b, 2.0).where(OTHER())
     area = lambda s: (c(f"{s}.xmax") - c(f"{s}.xmin")) * (c(f"{s}.ymax") - c(f"{s}.ymin"))
     common = (F.least("a.xmax", "b.xmax") - F.greatest("a.xmin", "b.xmin")) * (F.least("a.ymax", "b.ymax") - F.greatest("a.ymin", "b.ymin"))
     larger = (area("b") > area("a")) | ((area("b") == area("a")) & (c("b.id") < c("a.id")))
@@ -496,60 +514,19 @@ def overlap_flags(b: DataFrame) -> DataFrame:
 
 
 @query("""
-with a as (select event_id as id, user_id, event_id % 1000 as lo, event_id % 1000 + 20 as hi from events where event_id % 3 = 0), b as (select event_id as id, user_id, event_id * 7 % 1000 as lo, event_id * 7 % 1000 + 10 as hi from events where event_id % 3 = 1),
-s as (select a.id, coalesce(sum(greatest(least(a.hi, b.hi) - greatest(a.lo, b.lo), 0)), 0) as covered from a left join b on a.user_id = b.user_id and b.lo < a.hi and b.hi > a.lo group by a.id)
+with a as (select event_id as id, user_id, event_id % 1000 as lo, event_id % 1000 + 20 as hi from events), b as (select event_id as id, user_id, event_id * 7 % 1000 as lo, event_id * 7 % 1000 + 10 as hi from events),
+s as (select a.id, coalesce(sum(case when b.id is not null then greatest(least(a.hi, b.hi) - greatest(a.lo, b.lo), 0) end), 0) as covered from a left join b on a.user_id = b.user_id and b.lo < a.hi and b.hi > a.lo and a.id <> b.id group by a.id)
 select id, covered::bigint as covered from s where covered <= 0.6 * 20""")
 def coverage_fraction_filter(t):
     e = t("events")
-    return coverage(e.where("event_id % 3 = 0"), e.where("event_id % 3 = 1"), 20)  # as in its SQL, whose least and greatest pass over nulls
-
-
-def coverage(a: DataFrame, b: DataFrame, alone: int = 0) -> DataFrame:
-    a = a.select(c("event_id").alias("id"), "user_id", (c("event_id") % 1000).alias("lo"), (c("event_id") % 1000 + 20).alias("hi")).alias("a")
-    b = b.select(c("event_id").alias("id"), "user_id", (c("event_id") * 7 % 1000).alias("lo"), (c("event_id") * 7 % 1000 + 10).alias("hi")).alias("b")
-    x = a.join(b, (c("a.user_id") == c("b.user_id")) & (c("b.lo") < c("a.hi")) & (c("b.hi") > c("a.lo")) & (c("a.id") != c("b.id")), "left")
-    g = x.groupBy("a.id").agg(F.coalesce(F.sum(F.when(c("b.id").isNull(), alone).otherwise(F.greatest(F.least("a.hi", "b.hi") - F.greatest("a.lo", "b.lo"), F.lit(0)))), F.lit(0)).cast("long").alias("covered"))
+    a = e.select(c("event_id").alias("id"), "user_id", (c("event_id") % 1000).alias("lo"), (c("event_id") % 1000 + 20).alias("hi")).alias("a")
+    b = e.select(c("event_id").alias("id"), "user_id", (c("event_id") * 7 % 1000).alias("lo"), (c("event_id") * 7 % 1000 + 10).alias("hi")).alias("b")
+    x = a.join(b, (c("a.user_id") == c("b.user_id")) & (c("b.lo") < c("a.hi")) & (c("b.hi") > c("a.lo")) & OTHER(), "left")
+    common = F.when(c("b.id").isNotNull(), F.greatest(F.least("a.hi", "b.hi") - F.greatest("a.lo", "b.lo"), F.lit(0)))
+    g = x.groupBy("a.id").agg(F.coalesce(F.sum(common), F.lit(0)).cast("long").alias("covered"))
     return g.where(c("covered") <= 0.6 * 20)
 
 
-# ---- the subset queries above, whose SQL is kept, over whole tables: all events with all others
-
-@query()
-def bbox_join_all(t):
-    return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=c("a.id") != c("b.id")).select(c("a.id").alias("a"), c("b.id").alias("b"))
-
-
-@query()
-def bbox_semi_all(t):
-    return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=c("a.id") != c("b.id"), how="left_semi").select("id")
-
-
-@query()
-def bbox_anti_all(t):
-    return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=c("a.id") != c("b.id"), how="left_anti").select("id")
-
-
-@query()
-def overlap_contained_flags_all(t):
-    return overlap_flags(boxes(t))
-
-
-@query()
-def nearest_with_name_all(t):
-    p = named_points(t)
-    return nearest_named(p, p)
-
-
-@query()
-def coverage_fraction_filter_all(t):
-    return coverage(t("events"), t("events"))
-
-
-@query("select doc_id, nullif(regexp_replace(text, '[^0-9]', '', 'g'), '') as digits from documents")
-def number_extract_all(t):
-    return t("documents").select("doc_id", tx.blank_to_null(F.regexp_replace("text", "[^0-9]", "")).alias("digits"))
-
-
 def flagship(t) -> DataFrame:
     """Points to classified, deduplicated tile counts."""
     e = points(t).where(~(c("lon").between(-1, 1) & c("lat").between(-1, 1)))
@@ -571,5 +548,3 @@ query(FLAGSHIP_SQL, "flagship")(flagship)
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["flagship"](spark, sf_dir)
 
-
-_ = Column

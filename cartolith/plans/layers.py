@@ -97,7 +97,9 @@ def tagged_true(key: str, n: str) -> Column:
 
 
 def keyed(df: DataFrame) -> DataFrame:
-    return df.withColumn("__k", F.xxhash64(*[x for x in df.columns if dict(df.dtypes)[x].split("<")[0] != "map"]))
+    """Adds a hash of the row; maps count by their sorted entries."""
+    kind = dict(df.dtypes)
+    return df.withColumn("__k", F.xxhash64(*(F.array_sort(F.map_entries(x)) if kind[x].startswith("map") else c(x) for x in df.columns)))
 
 
 def met(left: DataFrame, right: DataFrame, flag: str, exact: Column | None = None, grow: float = 0.0, size: float = 1.0) -> DataFrame:
@@ -665,12 +667,34 @@ def us_military_installations_label(cat):
 
 # ---- aeroways
 
-#: Runway surface codes by rule: what the lower-case text holds or starts with, first match wins.
+# Runway surface codes, by what the lower-case text is or begins with, first match wins.  Spellings that no
+# rule knows stay as they are.
 RUNWAY_RULES = [
-    ("^alum", "ALUM-DECK"), ("asphalt", "ASP"), ("concrete", "CON"), ("^(asp|asf|ashp|apsh|grooved asp|blacktop)", "ASP"), ("^con", "CON"), ("^(grs|gras|gre$)", "GRS"), ("^(grv|gvl|grav)", "GVL"),
-    ("^(tur|tue|tor)", "TURF"), ("^cla", "CLA"), ("^mac", "MAC"), ("^san", "SAN"), ("^bit", "BIT"), ("^(psp|pem|ste|met)", "PSP"), ("^(per|pav)", "PER"), ("^cor", "COR"), ("^wat", "WAT"), ("^(unp|unsealed|not paved)", "UNPAVED"),
-    ("^sno", "SNO"), ("^ice", "ICE"), ("^bri", "BRI"), ("^wood", "WOOD"), ("^com", "COM"), ("^(ug|unk.*)?$", "U"),
-]
+    ("^alum", "ALUM-DECK"),
+    ("asphalt", "ASP"),
+    ("concrete", "CON"),
+    ("bitum|^tar|^sealed", "BIT"),
+    ("^(asp|asf|ashp|apsh|grooved asp|blacktop)", "ASP"),
+    ("^(ug|unk.*)?$", "U"),
+    ("^(unpaved|unpeved|not paved|unsealed)", "UNPAVED"),
+    ("^wat", "WAT"),
+    ("^wood", "WOOD"),
+    ("^(tuef|turf|torf)$", "TURF"),
+    ("^san", "SAN"),
+    ("^bri$|brick$", "BRI"),
+    ("^turf|^compacted (earth|sand)$|compactada|compacted schist|^graded|hardcore|rolled earth$|^grass over (hard )?gravel|^packed", "GRE"),
+    ("^cla|^(brown|grey|red|black) |^rock/gravel/clay|^shal[ey]|^hard (clay|loam)", "CLA"),
+    ("^cor|^(compacted|crushed) coral", "COR"),
+    ("^crushed rock|^gra?v|^gvl|^pi[cç]|^(yellow|white|rocky) gravel|^paved/gravel", "GVL"),
+    ("^dirt|^volcanic|^lakebed|^earth|^h?erba|^good grass|^gra?s|^graa|^gra?$|^ground|^sod|^soft|^soil|^natural soil|^loose gravel|^limestone|^hard (mud|sand)", "GRS"),
+    ("^con|^c0n|^caliche|^cement", "CON"),
+    ("^sno", "SNO"),
+    ("^ice", "ICE"),
+    ("^(com|cop)$", "COM"),
+    ("^surface paved|^hard( surfaced)?$|^pav(ed|ement|ing)$|^per$", "PER"),
+    ("^ter$|^treated|^trtd|^oil|^oli|^old asp|^mac", "MAC"),
+    ("^mat|^met|^mtal|^steel|^pierced", "PSP"),
+]
 M2, FEET = 2500000, 3.28084
 
 

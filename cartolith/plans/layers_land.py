@@ -170,7 +170,114 @@ def landcover_small_polygon(cat):
 # ---- names of waters
 
 # Designation codes and their classes.
-DESIGNATIONS = """BAY bay(s);BGHT bight(s);BNK bank(s);BNKR stream bank;BNKX section of bank;BOG bog(s);BSND basin;BSNP basin;BSNU basin;CAPG icecap;CHN channel;CHNL lake channel(s);CHNM marine channel;CNFL confluence;CNL canal;CNLA aqueduct;COVE cove(s);CRKT tidal creek(s);DOMG icecap dome;DPRG icecap depression;ESTY estuary;FISH fishing area;FJD fjord(s);FLLS waterfall(s);FLLSX section of waterfall(s);FLTM mud flat(s);FLTT tidal flat(s);GLCR glacier(s);GULF gulf;GYSR geyser;HBR harbor(s);HBRX section of harbor;INLT inlet;LBED lake bed(s);LGN lagoon(s);LGNX section of lagoon;LK lake;LKC crater lake(s);LKI intermittent lake(s);LKN salt lake(s);LKNI intermittent salt lake(s);LKO oxbow lake;LKOI intermittent oxbow lake;LKS lakes;LKSB underground lake;LKX section of lake;MFGN salt evaporation ponds;MGV mangrove swamp;MOOR moor(s);MRSH marsh(es);MRSHN salt marsh;NRWS narrows;OCN ocean;OVF overfalls;PND pond(s);PNDI intermittent pond(s);PNDN salt pond(s);PNDNI intermittent salt pond(s);PNDSF fishponds;POOL pool(s);POOLI intermittent pool;RCH reach;RDGG icecap ridge;RDST roadstead;RF reef(s);RFC coral reef(s);RFX section of reef;RPDS rapids;RSV reservoir(s);RSVI intermittent reservoir;RSVT water tank;RVN ravine(s);SBKH sabkha(s);SD sound;SEA sea;SHOL shoal(s);SPNG spring(s);SPNS sulphur spring(s);SPNT hot spring(s);STM stream(s);STMA anabranch;STMB stream bend;STMC canalized stream;STMD distributary(-ies);STMH headwaters;STMI intermittent stream;STMIX section of intermittent stream;STMM stream mouth(s);STMQ abandoned watercourse;STMSB lost river;STMX section of stream;STRT strait;SWMP swamp;SYSI irrigation system;TNLC canal tunnel;WAD wadi(s);WADB wadi bend;WADJ wadi junction;WADM wadi mouth;WADX section of wadi;WHRL whirlpool;WLL water well(s);WLLQ abandoned well;WTLD wetland;WTLDI intermittent wetland;WTRH waterhole(s)"""
+DESIGNATIONS = {
+    "BAY": "bay(s)",
+    "BGHT": "bight(s)",
+    "BNK": "bank(s)",
+    "BNKR": "stream bank",
+    "BNKX": "section of bank",
+    "BOG": "bog(s)",
+    "BSND": "basin",
+    "BSNP": "basin",
+    "BSNU": "basin",
+    "CAPG": "icecap",
+    "CHN": "channel",
+    "CHNL": "lake channel(s)",
+    "CHNM": "marine channel",
+    "CNFL": "confluence",
+    "CNL": "canal",
+    "CNLA": "aqueduct",
+    "COVE": "cove(s)",
+    "CRKT": "tidal creek(s)",
+    "DOMG": "icecap dome",
+    "DPRG": "icecap depression",
+    "ESTY": "estuary",
+    "FISH": "fishing area",
+    "FJD": "fjord(s)",
+    "FLLS": "waterfall(s)",
+    "FLLSX": "section of waterfall(s)",
+    "FLTM": "mud flat(s)",
+    "FLTT": "tidal flat(s)",
+    "GLCR": "glacier(s)",
+    "GULF": "gulf",
+    "GYSR": "geyser",
+    "HBR": "harbor(s)",
+    "HBRX": "section of harbor",
+    "INLT": "inlet",
+    "LBED": "lake bed(s)",
+    "LGN": "lagoon(s)",
+    "LGNX": "section of lagoon",
+    "LK": "lake",
+    "LKC": "crater lake(s)",
+    "LKI": "intermittent lake(s)",
+    "LKN": "salt lake(s)",
+    "LKNI": "intermittent salt lake(s)",
+    "LKO": "oxbow lake",
+    "LKOI": "intermittent oxbow lake",
+    "LKS": "lakes",
+    "LKSB": "underground lake",
+    "LKX": "section of lake",
+    "MFGN": "salt evaporation ponds",
+    "MGV": "mangrove swamp",
+    "MOOR": "moor(s)",
+    "MRSH": "marsh(es)",
+    "MRSHN": "salt marsh",
+    "NRWS": "narrows",
+    "OCN": "ocean",
+    "OVF": "overfalls",
+    "PND": "pond(s)",
+    "PNDI": "intermittent pond(s)",
+    "PNDN": "salt pond(s)",
+    "PNDNI": "intermittent salt pond(s)",
+    "PNDSF": "fishponds",
+    "POOL": "pool(s)",
+    "POOLI": "intermittent pool",
+    "RCH": "reach",
+    "RDGG": "icecap ridge",
+    "RDST": "roadstead",
+    "RF": "reef(s)",
+    "RFC": "coral reef(s)",
+    "RFX": "section of reef",
+    "RPDS": "rapids",
+    "RSV": "reservoir(s)",
+    "RSVI": "intermittent reservoir",
+    "RSVT": "water tank",
+    "RVN": "ravine(s)",
+    "SBKH": "sabkha(s)",
+    "SD": "sound",
+    "SEA": "sea",
+    "SHOL": "shoal(s)",
+    "SPNG": "spring(s)",
+    "SPNS": "sulphur spring(s)",
+    "SPNT": "hot spring(s)",
+    "STM": "stream(s)",
+    "STMA": "anabranch",
+    "STMB": "stream bend",
+    "STMC": "canalized stream",
+    "STMD": "distributary(-ies)",
+    "STMH": "headwaters",
+    "STMI": "intermittent stream",
+    "STMIX": "section of intermittent stream",
+    "STMM": "stream mouth(s)",
+    "STMQ": "abandoned watercourse",
+    "STMSB": "lost river",
+    "STMX": "section of stream",
+    "STRT": "strait",
+    "SWMP": "swamp",
+    "SYSI": "irrigation system",
+    "TNLC": "canal tunnel",
+    "WAD": "wadi(s)",
+    "WADB": "wadi bend",
+    "WADJ": "wadi junction",
+    "WADM": "wadi mouth",
+    "WADX": "section of wadi",
+    "WHRL": "whirlpool",
+    "WLL": "water well(s)",
+    "WLLQ": "abandoned well",
+    "WTLD": "wetland",
+    "WTLDI": "intermittent wetland",
+    "WTRH": "waterhole(s)",
+}
 USGS = {"Stream": "STM", "Reservoir": "RSV", "Lake": "LK", "Spring": "SPNG", "Canal": "CNL", "Bay": "BAY", "Swamp": "SWMP", "Basin": "BSND", "Channel": "CHN", "Gut": "NRWS", "Bend": "STMB", "Falls": "FLLS", "Rapids": "RPDS", "Glacier": "GLCR", "Arroyo": "WAD", "Sea": "SEA"}
 MARINE = {"ocean": "OCN", "sea": "SEA", "bay": "BAY", "gulf": "GULF", "lake": "LK"}
 LAKES = {"lake": "LK", "intermittent lake": "LKI", "reservoir": "RSV", "alkaline lake": "LK"}
@@ -205,8 +312,7 @@ def hydrographic_label(cat):
     known = n.select("name").union(k.select("name")).select(F.lower("name").alias("known")).distinct()
     rest = rel.anti(g.unionByName(u), known, F.lower("name") == c("known"))
     out = union(n, k, rest)
-    pairs = dict(x.split(" ", 1) for x in DESIGNATIONS.split(";"))
-    return out.select(F.when(c("name").ilike("Lake Ontario"), "Lake America").otherwise(c("name")).alias("name"), "desig_cd", _lookup(c("desig_cd"), pairs).alias("class"), "name_rank", "display", "scalerank", "min_label", "geometry")
+    return out.select(F.when(c("name").ilike("Lake Ontario"), "Lake America").otherwise(c("name")).alias("name"), "desig_cd", _lookup(c("desig_cd"), DESIGNATIONS).alias("class"), "name_rank", "display", "scalerank", "min_label", "geometry")
 
 
 # ---- places

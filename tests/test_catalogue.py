@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from cartolith.plans import catalogue
+from cartolith.plans import catalogue, shapes  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,35 +34,21 @@ def test_against_sql(spark, db, name):
     assert canon(d.collect(), d.columns) == canon(r.fetchall(), names)
 
 
-def test_whole_tables(spark, db):
-    """Queries over all events against brute force: no pair is left out by its ids."""
-    run = lambda name: catalogue.QUERIES[name](spark, SF).collect()
-    e = db.execute(f"select event_id, {catalogue.LON}, {catalogue.LAT}, event_type, user_id from events").fetchall()
-    box = {i: (x, y, x + (i % 13 / 10.0 + 0.3), y + (i % 7 / 5.0 + 0.2)) for i, x, y, *_ in e}
-    pairs = {(i, j) for i, a in box.items() for j, b in box.items() if i != j and a[0] <= b[2] and a[2] >= b[0] and a[1] <= b[3] and a[3] >= b[1]}
-    met = {i for i, _ in pairs}
-    got = [tuple(r) for r in run("bbox_join_all")]
-    assert len(got) == len(set(got)) and set(got) == pairs and any(i % 3 == 2 for i in met)
-    assert sorted(r[0] for r in run("bbox_semi_all")) == sorted(met)
-    assert sorted(r[0] for r in run("bbox_anti_all")) == sorted(set(box) - met)
-    area = {i: (b[2] - b[0]) * (b[3] - b[1]) for i, b in box.items()}
-    flags = {i: [0, 0] for i in box}
-    for i, j in pairs:
-        a, b = box[i], box[j]
-        common = (min(a[2], b[2]) - max(a[0], b[0])) * (min(a[3], b[3]) - max(a[1], b[1]))
-        flags[i][0] |= common > 0
-        flags[i][1] |= common >= 0.5 * area[i] and (area[j] > area[i] or (area[j] == area[i] and j < i))
-    assert {r["id"]: [r["overlaps"], r["contained"]] for r in run("overlap_contained_flags_all")} == flags
-    near = {}
-    for i, x, y, kind, _ in e:
-        d = [(round(((u - x) ** 2 + (v - y) ** 2) ** 0.5, 9), j) for j, u, v, k, _ in e if j != i and k == kind and k is not None]
-        near[i] = min((z for z in d if z[0] <= 5.0), default=(None, None))[1]
-    assert {r["id"]: r["nearest"] for r in run("nearest_with_name_all")} == near
-    share = {}
-    for i, *_, u in e:
-        lo = i % 1000
-        share[i] = sum(max(min(lo + 20, j * 7 % 1000 + 10) - max(lo, j * 7 % 1000), 0) for j, *_, v in e if j != i and v == u)
-    assert {r["id"]: r["covered"] for r in run("coverage_fraction_filter_all")} == {i: n for i, n in share.items() if n <= 12}
+def test_grid_join_rows(spark):
+    """Equal rows and rows without id are rows of their own in every mode; columns may be maps."""
+    from pyspark.sql import functions as F
+
+    from cartolith.operators import spatial
+
+    at = lambda rows: spark.createDataFrame(rows, "id int, xmin double, ymin double").selectExpr("*", "xmin + 1 as xmax", "ymin + 1 as ymax", "map('k', id) as m")
+    left = at([(1, 0.0, 0.0), (1, 0.0, 0.0), (None, 0.2, 0.2), (2, 50.0, 50.0), (None, 60.0, 60.0)])
+    right = at([(7, 0.5, 0.5), (8, 0.9, 0.1)])
+    run = lambda how: spatial.grid_join(left, right, 0.3, how=how)
+    assert [r["id"] for r in run("left_semi").collect()].count(1) == 2 and run("left_semi").count() == 3
+    assert {r["id"] for r in run("left_anti").collect()} == {2, None} and run("left_anti").count() == 2
+    assert run("inner").count() == 6
+    rows = run("left").select("a.id", F.col("b.id").alias("other")).collect()
+    assert sorted((str(r[0]), str(r[1])) for r in rows) == sorted([("1", "7"), ("1", "8")] * 2 + [("None", "7"), ("None", "8"), ("2", "None"), ("None", "None")])
 
 
 def test_entry(spark):
