@@ -319,8 +319,8 @@ def water_polygon(cat):
 
 
 def dissolve(df: DataFrame, keys: list[str], grid: float, cell: float = 1.0) -> DataFrame:
-    """Union of geometries by key in two phases: first by key and cell, so that no task takes a whole large group's
-    parts, then of the cells' results."""
+    """Union of geometries by key in two phases: first by key and cell, then of the cells' results, in which the borders inside
+    a cell are gone.  The last phase still takes the outline of a whole group in one task."""
     x = df.withColumn("__box", jts.bbox("geometry"))
     x = x.withColumns({"__cx": F.floor((F.get("__box", F.lit(0)) + F.get("__box", F.lit(2))) / 2 / cell), "__cy": F.floor((F.get("__box", F.lit(1)) + F.get("__box", F.lit(3))) / 2 / cell)})
     x = x.groupBy(*keys, "__cx", "__cy").agg(jts.union_grid(F.collect_list("geometry"), grid).alias("geometry"))
@@ -397,7 +397,7 @@ def _ports(cat) -> DataFrame:
     b = cat("osm_builtup_area").where(c("subclass").isin("port", "harbour") | ((c("subclass") == "industrial") & (c("industrial") == "port")))
     b = dumped(b.select("osm_id", name(), "class", "subclass", *blank("industrial", "port", "cargo", "access", "port_type"), area(), jts.polygons(jts.make_valid("geometry")).alias("geometry")))
     b = b.withColumn("area_part", jts.area_mercator("geometry").cast("float"))
-    b = b.withColumn("fid", F.row_number().over(Window.orderBy("osm_id", c("area").desc_nulls_first(), F.xxhash64("geometry"))))
+    b = rel.numbered(b, [c("osm_id"), c("area").desc_nulls_first(), F.xxhash64("geometry")], "fid")
     b = b.withColumn("rank", (F.rank().over(Window.partitionBy("osm_id").orderBy(c("area_part").desc_nulls_first())) == 1).cast("int"))
     x = jts.with_box(b.select("fid", "area_part", "geometry"))
     x = spatial.grid_join(x, x, 0.5).where(c("a.fid") != c("b.fid"))
