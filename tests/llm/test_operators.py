@@ -538,3 +538,56 @@ def test_chat_round_trip(spark):
 
 def test_entities_module_is_used():
     assert entities.unescape("&amp") == "&"
+
+
+def test_edges_of_each_operator(spark):
+    """Nulls in any column, empty and very long texts, repeated rows, rows that share an id, clashing columns, empty tables."""
+    rnd = random.Random(77)
+    long = prose(rnd, 150_000, 4000)
+    rows = [(i, prose(rnd, rnd.randrange(3, 120)), "en", f"s{i % 3}", 1) for i in range(40)]
+    rows += [(None, None, None, None, None), (None, prose(rnd, 40), None, None, None), (50, "", "en", "s0", None), (51, long, "en", "s0", None), rows[0], rows[0], (0, prose(rnd, 60), "de", None, 2), (52, "\u00e9\U0001f600 " * 50, None, "s1", None)]
+    clash = "size target rate copies taken rep kept component_id n_shingles th k1 h lo words items spans score held_out predicted __quality __evidence __spans rest toxic y half".split()
+    df = spark.createDataFrame(rows, DOCS).withColumns({n: F.lit("x") for n in clash})
+    labels = spark.createDataFrame([(i, i % 2, int(i % 5 == 0)) for i in range(40)] + [(None, 1, 1), (7, None, None), (3, 1, 0)], LABELS).withColumn("text", F.lit("x"))
+    bench = spark.createDataFrame([(1, " ".join(long.split()[1000:1015])), (None, "x y z"), (3, None)], "item_id bigint, text string").withColumn("phrase", F.lit(1))
+    runs = {
+        "near": lambda d: minhash.near_duplicates(d), "repeats": lambda d: suffixes.remove_repeats(d), "substrings": lambda d: substrings.substring_dedup(d).select("doc_id", "text", "__n_removed"),
+        "toxic": lambda d: toxicity.score_documents(d, labels), "quality": lambda d: quality.classify(d, labels).select("doc_id", "__quality"), "mix": lambda d: mixing.mix_sources(d).select("doc_id", "source", "size", "target", "rate"),
+        "bench": lambda d: decontamination.decontaminate(d, bench), "clean": lambda d: decontamination.clean_documents(d, bench).select("doc_id"),
+    }
+    for name, run in runs.items():
+        got = run(df).collect()
+        assert len(got) == len(rows) - (name == "clean"), name
+        same = Counter(str(r) for r in got if r["doc_id"] == 0)
+        assert max(same.values()) >= 3, name  # three equal rows, one of another text
+        assert run(df.limit(0)).count() == 0, name
+    tagged = {r["doc_id"]: r for r in decontamination.decontaminate(df, bench).collect()}
+    assert tagged[51]["n_hit"] == 15 and tagged[51]["items"] == [1]
+    # one long conversation, and turns without id
+    talk = [(1, i, "user" if i % 3 else "assistant", f"t{i}") for i in range(3000)] + [(None, None, None, None), (2, 0, "assistant", long)]
+    turns = spark.createDataFrame(talk, "conv_id bigint, turn bigint, role string, text string").withColumns({n: F.lit("x") for n in ("turns", "parts", "starts", "formatted")})
+    out = {r["conv_id"]: r for r in chat.read_back(chat.format_chat(turns)).collect()}
+    assert out[1]["loss_text"] == "".join(f"t{i}" for i in range(0, 3000, 3)) and len(out[1]["turns"]) == 3000
+    assert out[2]["loss_text"] == long and out[None]["loss_text"] == ""
+
+
+def test_mixing_optimum(spark):
+    """The rates are those of the dual optimum found by bisection, at the cap too."""
+    rnd = random.Random(13)
+    rows = [(i, " ".join(["w"] * rnd.randrange(1, 400)), "en", f"s{i * i % 6}", None) for i in range(400)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, DOCS)).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r["source"]].append(r)
+    for rs in by.values():
+        total, target, mean = sum(r["size"] for r in rs), rs[0]["target"], sum(r["size"] for r in rs) / len(rs)
+        if target >= 3 * total:
+            assert all(r["rate"] == 3 for r in rs)
+            continue
+        lo, hi = -100.0, 100.0
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            g = sum(r["size"] * min(3.0, math.exp(min(mid * r["size"] / mean, 50))) for r in rs)
+            lo, hi = (mid, hi) if g < target else (lo, mid)
+        assert all(r["rate"] == pytest.approx(min(3.0, math.exp(lo * r["size"] / mean)), abs=1e-4) for r in rs)
+        assert len({r["rate"] for r in rs if r["size"] > 20}) > 5
