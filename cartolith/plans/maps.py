@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jts
-from . import layers_land  # noqa: F401
+from ..functions import text as tx
 from ..functions.zoom import zres
 from ..operators.graph import cut
+from . import layers_land
 from .catalogue import LAT, LON, query
 from .layers import NUMBERED, PARKS, PAVED_RULE, POI, POWER_LINES, ROADS, RUNWAY_RULES, STATES, UNPAVED_RULE, WATER_RULES, Catalog
 from .shapes import BELT, MEAN, ring
@@ -244,3 +245,11 @@ b as (select j.*, case when long = n or (n > 1 and ((long = 1 and medium >= 1) o
 select id as airport_id, type, name, elevation_ft, ft as runway_length_ft, {SURFACE} as runway_surface, category, rank from b
 where type <> 'heliport' and name not ilike '%helicopter%' and name not ilike '%helipad%' and name not ilike '%heliport%'"""
 put("airport_label", ["airport_id", "type", "name", "elevation_ft", "runway_length_ft", "runway_surface", "category", "rank"], AIRPORT, none=("osm_aeroway_polygon", "osm_aeroway_linestring"))
+
+
+MARKS = f"concat(n_name, case n_nationkey % {len(layers_land.REMARKS) + 1} " + " ".join(f"when {i} then ' {a}'" for i, (a, _) in enumerate(layers_land.REMARKS)) + " else ' (Malvinas)' end)"
+
+
+@query("select n_nationkey, " + "replace(" * len(layers_land.REMARKS) + MARKS + "".join(f", '{a}', '{b}')" for a, b in layers_land.REMARKS) + " as name from nation")
+def country_remarks(t):
+    return t("nation").selectExpr("n_nationkey", f"{MARKS} as name").select("n_nationkey", tx.replace_all(c("name"), layers_land.REMARKS).alias("name"))
