@@ -117,9 +117,18 @@ def _windows(batches):
     """Digest, size, doc_id and start of the windows of words that may begin or end a passage at a chunk."""
     code, space = tn.codes(13), tn.spaces()
     for batch in batches:
-        occ = batch.column(3)
-        flat, upto = occ.flatten(), np.concatenate([[0], np.cumsum([len(x) for x in occ])])
-        begin, size, left, right = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "left", "right"))
+        occ, edges = batch.column(3), batch.column(4)
+        ends = [np.concatenate([[0], np.cumsum([len(x) for x in y])]) for y in (occ, edges)]
+        begin, size, digest = (occ.flatten().field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "d1"))
+        known, *sides = (edges.flatten().field(k).to_numpy(zero_copy_only=False) for k in ("d1", "left", "right"))
+        at = np.full(len(digest), -1)
+        for i in range(len(occ)):  # the digests of a document's edges are sorted
+            mine, own = slice(ends[0][i], ends[0][i + 1]), known[ends[1][i] : ends[1][i + 1]]
+            k = np.minimum(np.searchsorted(own, digest[mine]), len(own) - 1)
+            at[mine] = np.where(own[k] == digest[mine], k + ends[1][i], -1)
+        chosen = np.flatnonzero(at >= 0)
+        upto, begin, size = np.searchsorted(chosen, ends[0]), begin[chosen], size[chosen]
+        left, right = (side[at[chosen]] for side in sides)
         for lo, buf, offs in tn.pieces(batch.column(1)):
             first, last, row = tn.runs(~space[buf], offs)
             if len(first) < WORDS:
@@ -247,10 +256,13 @@ def substring_dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     repeated.drop()
     edges = found.select("__id", "__chunks").mapInArrow(_edges, "d1 bigint, left boolean, right boolean").groupBy("d1").agg(F.max("left").alias("left"), F.max("right").alias("right"))
     edges = Written(edges, "edges")
-    about = found.select("__id", "__th", F.explode("__chunks").alias("x")).select("__id", "__th", "x.start", "x.size", "x.d1").join(edges.df, "d1")
-    about = Written(about.groupBy("__id", "__th").agg(F.collect_list(F.struct("start", "size", "left", "right")).alias("__about")), "about")
+    # a document asks once for each digest, however often it holds the chunk
+    asked = found.select("__id", "__th", F.explode(F.array_distinct(F.transform("__chunks", lambda x: x["d1"]))).alias("d1")).join(edges.df, "d1")
+    asked = Written(asked.groupBy("__id", "__th").agg(F.sort_array(F.collect_list(F.struct("d1", "left", "right"))).alias("__edges")), "asked")
     edges.drop()
-    windows = d.join(about.df, (d["doc_id"] == about.df["__id"]) & (d["th"] == about.df["__th"])).select("doc_id", "text", "th", "__about")
+    about = Written(found.join(asked.df, ["__id", "__th"]).select("__id", "__th", F.transform("__chunks", lambda x: F.struct(x["start"], x["size"], x["d1"])).alias("__about"), "__edges"), "about")
+    asked.drop()
+    windows = d.join(about.df, (d["doc_id"] == about.df["__id"]) & (d["th"] == about.df["__th"])).select("doc_id", "text", "th", "__about", "__edges")
     windows = Written(windows.mapInArrow(_windows, "d1 bigint, size int, doc_id bigint, th bigint, start int"), "windows")
     about.drop()
     again = Written(windows.df.groupBy("d1", "size").agg(F.count("*").alias("c"), F.min("doc_id").alias("first")).where("c > 1").drop("c"), "again")
