@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Largest table, in bytes of Parquet, that is broadcast after its size was measured.
@@ -63,6 +63,17 @@ class Written:
         fs.delete(at, True)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str, label: str) -> DataFrame:
+    """Adds the position, from 0, over the whole table in ``order``: ranges are sorted side by side, then laid end to end.
+    ``order`` must be columns of df; rows equal in all of them are numbered in any order.  Also adds __part, the range."""
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
+    s = Written(ranged, label).df.withColumns({"__part": F.shiftright("__m", 33), "__m": F.col("__m").bitwiseAND((1 << 33) - 1)})
+    sizes = s.groupBy("__part").agg(F.count("*").alias("n"))  # as many rows as ranges
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    x = s.join(F.broadcast(sizes.select("__part", before.alias("__before"))), "__part")
+    return x.withColumn(name, F.col("__before") + F.col("__m")).drop("__m", "__before")
+
+
 def components(edges: DataFrame, label: str = "cc") -> DataFrame:
     """Connected components of edges (a, b): one row (node, component) per node, component its smallest node.
 
