@@ -11,9 +11,10 @@ confirmed on full sets.  Buckets that then still hold several components are com
 edge per linked member.  So no link between different components is lost, and members of one component are not compared.
 With 30 bands of 6 rows a pair at similarity 0.85 misses all buckets with probability 7e-7, one at 0.8 with 1e-4.
 
-Null and empty texts form components of their own, ties take the smallest doc_id; rows are judged by their own text, and
-where distinct sets without other copies share one doc_id, that of the least fingerprint is compared for all of them; a null
-doc_id has a null component; an empty table gives an empty result; extra columns are ignored.
+Classes are named by one of their rows, and the least doc_id is carried beside the name, so rows that share a doc_id are
+judged by their own text each.  Null and empty texts form components of their own, ties take the smallest doc_id; rows
+without doc_id link nothing and have the component of their equals, else null; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -175,19 +176,21 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id, kept, th (hash of the text): one row per row of docs."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
-    signed = Written(d.mapInArrow(_signed(k, bands, rows), "doc_id bigint, th bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>"), "signed").df
+    signed = d.mapInArrow(_signed(k, bands, rows), "doc_id bigint, th bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>")
+    signed = Written(signed.withColumn("row", F.monotonically_increasing_id()), "signed").df
     key = ["s1", "s2", "n"]
-    classes = Written(signed.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes").df
-    reps = signed.join(classes, key).where("doc_id = rep").groupBy("rep").agg(F.min(F.struct("s1", "bands")).alias("x"))
-    reps = Written(reps.select("rep", "x.s1", "x.bands"), "reps").df
+    classes = signed.where("n > 0 and doc_id is not null").groupBy(*key).agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"))
+    classes = Written(classes, "classes").df
+    reps = Written(signed.join(classes.select(F.col("rep").alias("row")), "row").withColumnRenamed("row", "rep"), "reps").df
     banded = reps.select("rep", F.posexplode("bands").alias("band", "bh"))
     met = banded.groupBy("band", "bh").agg(F.min("rep").alias("pivot"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y"))
     once = met.where("members > 1").groupBy("members", "x", "y").agg(F.min(F.struct("band", "bh", "pivot")).alias("of")).select("of.*", "members")
     once = Written(once, "pivots").df
     shared = Written(banded.join(once, ["band", "bh"]), "buckets").df
-    ids = Written(reps.join(shared, "rep", "left_semi").select("rep", "s1"), "members").sized()
-    sets = d.join(ids.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets(k), "rep bigint, s1 bigint, shingles array<bigint>")
-    sets = Written(sets.join(ids, ["rep", "s1"], "left_semi").drop("s1").dropDuplicates(["rep"]), "sets").df
+    ids = Written(reps.join(shared, "rep", "left_semi").select("rep", "s1", F.col("doc_id").alias("of"), F.col("th").alias("as")), "members").sized()
+    sets = d.join(ids.drop("s1"), (F.col("doc_id") == F.col("of")) & (F.col("th") == F.col("as"))).select("rep", "text")
+    sets = sets.mapInArrow(_sets(k), "rep bigint, s1 bigint, shingles array<bigint>")
+    sets = Written(sets.join(ids.select("rep", "s1"), ["rep", "s1"], "left_semi").drop("s1").dropDuplicates(["rep"]), "sets").df
 
     star = shared.where(F.col("rep") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = Written(verified(star, sets, percent), "links").df
@@ -212,8 +215,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     more = Written(y.groupBy("band", "bh", "i", "j").applyInArrow(_linked(percent), "a bigint, b bigint"), "more").df
     if more.limit(1).count():
         parts = Written(components(links.unionByName(more)), "parts").df
-    out = signed.select("doc_id", "th", *key).join(classes, key, "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), "th")
+    named = parts.join(classes.select(F.col("rep").alias("node"), "least"), "node")
+    lows = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(lows, "component").select(F.col("node").alias("rep"), "component_id")
+    out = signed.select("doc_id", "th", *key).join(classes, key, "left").join(named, "rep", "left")
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "least", "doc_id").alias("component_id"), "th")
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "th")
 
 

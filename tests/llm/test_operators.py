@@ -142,6 +142,25 @@ def test_minhash_brute_force(spark, corpus):
     assert twice.count() == 8
 
 
+def test_minhash_rows_that_share_an_id(spark):
+    """Each row is compared by its own text; a component is named by the least doc_id of its rows."""
+    rnd = random.Random(31)
+    base = [prose(rnd, 97) for _ in range(12)]
+    changed = lambda t, k: " ".join([*t.split()[:-k], *["neu"] * k])
+    rows = [(1, base[0]), (1, base[1]), (2, changed(base[1], 1))]
+    rows += [(10 + k % 4, changed(base[k], 1 + k % 2)) for k in range(2, 12)] + [(30 + k % 3, base[k]) for k in range(2, 12)] + [(40, base[0]), (13, base[4]), (13, base[4])]
+    sets = near_sets(enumerate(t for _, t in rows))
+    part = near_components(sets, 85)
+    low = {}
+    for n, c in part.items():
+        low[c] = min(low.get(c, 1 << 60), rows[n][0])
+    want = Counter((rows[n][0], len(sets[n]), low[c], rows[n][0] == low[c]) for n, c in part.items())
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = minhash.near_duplicates(df, percent=85)
+    assert Counter(tuple(r)[:4] for r in got.collect()) == want
+    assert {r["component_id"] for r in got.where("doc_id = 2").collect()} == {1}
+
+
 def test_superminhash_estimates():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 62, 400).astype(np.uint64)
