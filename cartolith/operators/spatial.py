@@ -1,47 +1,232 @@
-"""Spatial joins on a grid: bounding boxes are dealt out over cells and pairs are met in one cell only."""
+"""Spatial joins on a quadtree of cells, joins across the antimeridian, nearest neighbours by expanding rings.
+
+A cell of level k is a square of side 2 ** k, so each cell lies in one cell of each level above and the tree needs no
+root.  A box stands in the cells of the level that fits it (four at most), whatever its size, and in the cells above at those
+levels only at which the other side has boxes, which one count of the levels tells.
+"""
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import boxes_touch, cell
+from ..functions.geometry import EARTH, boxes_touch, haversine
 from .graph import cut
 
+#: Level of the smallest cells, unless the caller names a side.
+FINEST = -24
+#: Rows of a cell beyond which the other side's rows of that cell are dealt out over several tasks.
+CROWD = 100_000
+
+c = F.col
+
+
+def level_of(side: Column, least: int = FINEST) -> Column:
+    """The level whose cells are at least as wide as the side."""
+    return F.greatest(F.ceil(F.log2(side)).cast("int"), F.lit(least))
+
+
+def index(v: Column, level: Column) -> Column:
+    """Which cell of a level holds a coordinate."""
+    return F.floor(v / F.pow(F.lit(2.0), level)).cast("long")
+
+
+def _fitted(df: DataFrame, least: int, grow: float) -> DataFrame:
+    side = F.greatest(c("xmax") - c("xmin"), c("ymax") - c("ymin")) + 2 * grow
+    return df.withColumn("__fit", level_of(side, least))
+
+
+def _levels(df: DataFrame) -> dict[int, int]:
+    """Rows at each level: as many numbers as there are levels."""
+    return {r[0]: r[1] for r in df.groupBy("__fit").agg(F.count("*")).collect() if r[0] is not None}
+
+
+def _placed(df: DataFrame, own: list[int], others: list[int], above: int, grow: float) -> DataFrame:
+    """One row for each cell in which a box stands: those of its own level for each tag of ``own``, and tagged ``above`` those of
+    the levels of the other side over it.  Of two boxes, that of the lower level climbs, so a pair has one tag."""
+    at = lambda tag, k: F.struct(F.lit(tag).alias("tag"), k.cast("int").alias("k"))
+    mine = F.array(*(at(tag, c("__fit")) for tag in own))
+    climbs = F.transform(F.filter(F.array(*map(F.lit, others)).cast("array<int>"), lambda k: k > c("__fit")), lambda k: at(above, k))
+    x = df.withColumn("__at", F.explode(F.concat(mine, climbs))).withColumns({"__tag": c("__at.tag"), "__k": c("__at.k")})
+    cells = lambda lo, hi: F.sequence(index(c(lo) - grow, c("__k")), index(c(hi) + grow, c("__k")))
+    return x.withColumn("__cx", F.explode(cells("xmin", "xmax"))).withColumn("__cy", F.explode(cells("ymin", "ymax"))).drop("__at", "__fit")
+
+
+KEY = ["__tag", "__k", "__cx", "__cy"]
+
+
+def _dealt(a: DataFrame, b: DataFrame, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a share: where the climbing side of a cell has more than ``crowd`` rows, these are dealt out over shares
+    and the other side's rows of the cell go to each."""
+    many = a.where("__tag = 1").select(*KEY).unionByName(b.where("__tag = 0").select(*KEY))
+    shares = F.ceil(F.count("*") / crowd).cast("int")
+    full = cut(many.groupBy(*KEY).agg(shares.alias("__shares")).where("__shares > 1"), "crowded")
+    if not full.limit(1).count():
+        return a.withColumn("__share", F.lit(0)), b.withColumn("__share", F.lit(0))
+
+    def side(df: DataFrame, climbing: int) -> DataFrame:
+        n = F.coalesce("__shares", F.lit(1))
+        one = F.array(F.floor(F.rand(7) * n).cast("int"))
+        every = F.sequence(F.lit(0), n - 1)
+        return df.join(full, KEY, "left").withColumn("__share", F.explode(F.when(c("__tag") == climbing, one).otherwise(every))).drop("__shares")
+
+    return side(a, 1), side(b, 0)
+
+
+def cells_of_pairs(left: DataFrame, right: DataFrame, size: float = 0.0, grow: float = 0.0, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
+    """Both sides placed in cells: any two boxes that meet share exactly one key at the lower corner of their common part."""
+    least = math.floor(math.log2(size)) if size > 0 else FINEST
+    a, b = _fitted(left, least, grow), _fitted(right, least, 0.0)
+    na, nb = _levels(a), _levels(b)
+    a = _placed(a, [0], [k for k in nb if any(j < k for j in na)], 1, grow)
+    b = _placed(b, [0, 1] if na and min(na) < max(nb, default=FINEST) else [0], [k for k in na if any(j < k for j in nb)], 0, 0.0)
+    if max(sum(na.values()), sum(nb.values())) > crowd:
+        return _dealt(a, b, crowd)
+    return a.withColumn("__share", F.lit(0)), b.withColumn("__share", F.lit(0))
 
-def with_cells(df: DataFrame, size: float, grow: float = 0.0) -> DataFrame:
-    """One row for each cell that the box, grown on all sides, covers."""
-    grown = lambda k, d: cell(F.col(k) + d, size)
-    xs, ys = F.sequence(grown("xmin", -grow), grown("xmax", grow)), F.sequence(grown("ymin", -grow), grown("ymax", grow))
-    return df.withColumn("cx", F.explode(xs)).withColumn("cy", F.explode(ys))
 
+INNER = [*KEY, "__share"]
 
-def grid_join(left: DataFrame, right: DataFrame, size: float, exact: Column | None = None, grow: float = 0.0, how: str = "inner") -> DataFrame:
+
+def grid_join(left: DataFrame, right: DataFrame, size: float = 0.0, exact: Column | None = None, grow: float = 0.0, how: str = "inner", crowd: int = CROWD) -> DataFrame:
     """Pairs (aliases a and b) whose boxes meet, left boxes grown by ``grow``, and for which ``exact`` holds.
 
-    A pair that shares several cells is kept in the one that holds the lower corner of the common part, so no
-    distinct is needed.  Both sides are exchanged by cell; a crowded cell is split by adaptive execution.  The other modes
-    (left, left_semi, left_anti) number the left rows, written once, so equal rows and null ids are rows of their own.
+    No cell is smaller than ``size``.  A box makes at most nine rows for each level of the other side (four, unless its
+    side is within rounding of a cell's), so a world box among small ones costs no more than they do.  A pair that shares
+    several cells is kept in the one that holds the lower corner of the common part, so no distinct is needed.  Crowded
+    cells are dealt out.  The other modes (left, left_semi, left_anti) number the left rows, written once, so
+    equal rows and null ids are rows of their own.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
     if how != "inner":
         left = cut(left.withColumn("__row", F.monotonically_increasing_id()), "left")
-    a, b = with_cells(left, size, grow).alias("a"), with_cells(right, size).alias("b")
-    on = (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
+    a, b = cells_of_pairs(left, right, size, grow, crowd)
+    a, b = a.alias("a"), b.alias("b")
+    on = reduce(lambda p, q: p & q, (c(f"a.{k}") == c(f"b.{k}") for k in INNER))
     near = (
-        (F.col("a.xmin") - grow <= F.col("b.xmax")) & (F.col("a.xmax") + grow >= F.col("b.xmin")) & (F.col("a.ymin") - grow <= F.col("b.ymax")) & (F.col("a.ymax") + grow >= F.col("b.ymin"))
+        (c("a.xmin") - grow <= c("b.xmax")) & (c("a.xmax") + grow >= c("b.xmin")) & (c("a.ymin") - grow <= c("b.ymax")) & (c("a.ymax") + grow >= c("b.ymin"))
         if grow
         else boxes_touch("a", "b")
     )
     if exact is not None:
         near = near & exact
     if how in ("left_semi", "left_anti"):
-        met = a.join(b, on & near, "left_semi").select(F.col("a.__row").alias("__met")).distinct()
-        return left.join(met, F.col("__row") == F.col("__met"), how).drop("__row")
-    home = (F.col("a.cx") == cell(F.greatest(F.col("a.xmin") - grow, F.col("b.xmin")), size)) & (F.col("a.cy") == cell(F.greatest(F.col("a.ymin") - grow, F.col("b.ymin")), size))
-    pairs = a.join(b, on & home & near)
+        met = a.join(b, on & near, "left_semi").select(c("a.__row").alias("__met")).distinct()
+        return left.join(met, c("__row") == c("__met"), how).drop("__row")
+    corner = lambda k: index(F.greatest(c(f"a.{k}min") - grow, c(f"b.{k}min")), c("a.__k"))
+    pairs = a.join(b, on & (c("a.__cx") == corner("x")) & (c("a.__cy") == corner("y")) & near)
     if how == "left":
-        met = pairs.select(F.col("a.__row").alias("__met"), "b.*").drop("cx", "cy").alias("b")
-        return left.alias("a").join(met, F.col("a.__row") == F.col("b.__met"), "left").drop("__row", "__met")
+        met = pairs.select(c("a.__row").alias("__met"), "b.*").drop(*INNER).alias("b")
+        return left.alias("a").join(met, c("a.__row") == c("b.__met"), "left").drop("__row", "__met")
     return pairs
+
+
+# ---- across the antimeridian
+
+
+def wrapped(df: DataFrame, period: float = 360.0) -> DataFrame:
+    """Boxes of longitudes as one or two boxes within (-180, 180): what sticks out on one side comes in on the other.
+    Adds __piece (0: the box where it starts, 1: the rest) and the start and width it was cut from."""
+    half = period / 2
+    width = F.least(c("xmax") - c("xmin"), F.lit(period))
+    start = c("xmin") - period * F.floor((c("xmin") + half) / period)
+    x = df.withColumns({"__start": F.when(width >= period, F.lit(-half)).otherwise(start), "__width": width})
+    end = c("__start") + c("__width")
+    piece = lambda k, lo, hi: F.struct(F.lit(k).alias("piece"), lo.alias("lo"), hi.alias("hi"))
+    first = piece(0, c("__start"), F.least(end, F.lit(half)))
+    both = F.when(end >= half, F.array(first, piece(1, F.lit(-half), F.greatest(end - period, F.lit(-half))))).otherwise(F.array(first))
+    x = x.withColumn("__of", F.explode(both))
+    return x.withColumns({"__piece": c("__of.piece"), "xmin": c("__of.lo"), "xmax": c("__of.hi")}).drop("__of")
+
+
+def wrapping_join(left: DataFrame, right: DataFrame, size: float = 0.0, exact: Column | None = None, period: float = 360.0, crowd: int = CROWD) -> DataFrame:
+    """Pairs of boxes on a circle of longitudes, each once.  ``exact`` sees the boxes as they were cut.
+
+    Two boxes can meet in several of their pieces: the starting pieces come first, and the others count only where those do
+    not meet.  Both second pieces start at the antimeridian, where the first pieces meet already.
+    """
+    half = period / 2
+    end = lambda t: F.least(c(f"{t}.__start") + c(f"{t}.__width"), F.lit(half))
+    starts_meet = (c("a.__start") <= end("b")) & (end("a") >= c("b.__start"))
+    # piece 1 of one with piece 0 of the other: both ways at once only if both reach round, and then the starts meet
+    once = ((c("a.__piece") == 0) & (c("b.__piece") == 0)) | ((c("a.__piece") != c("b.__piece")) & ~starts_meet)
+    return grid_join(wrapped(left, period), wrapped(right, period), size, once if exact is None else once & exact, crowd=crowd)
+
+
+def within_metres(left: DataFrame, right: DataFrame, reach: float, exact: Column | None = None) -> DataFrame:
+    """Pairs (aliases a and b, with a column metres) of points lon, lat that are at most ``reach`` metres apart on the sphere.
+
+    The box around a left point is as wide as the circle is at its widest, and all round where the circle holds a pole;
+    what leaves it over the antimeridian comes in on the other side.
+    """
+    angle = min(reach / EARTH, math.pi) + 1e-9
+    tall = math.degrees(angle)
+    wide = F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(min(angle, math.pi / 2))) / F.cos(F.radians("lat")))))
+    wide = F.when(F.abs("lat") + tall >= 90, F.lit(180.0)).otherwise(wide)
+    a = left.withColumns({"xmin": c("lon") - wide, "xmax": c("lon") + wide, "ymin": c("lat") - tall, "ymax": c("lat") + tall})
+    b = right.withColumns({"xmin": c("lon"), "xmax": c("lon"), "ymin": c("lat"), "ymax": c("lat")})
+    d = haversine(c("a.lon"), c("a.lat"), c("b.lon"), c("b.lat"))
+    near = d <= reach
+    return wrapping_join(a, b, exact=near if exact is None else near & exact).withColumn("metres", d)
+
+
+# ---- nearest neighbours
+
+#: Rows that a cell should hold where the search starts.
+FEW = 2
+#: What rounding may take from a distance.
+SLACK = 1e-8
+
+
+def nearest(left: DataFrame, right: DataFrame, key: str, by: list[str] | None = None, exact: Column | None = None, digits: int = 9, few: int = FEW) -> DataFrame:
+    """(key, nearest, distance) for each left row: the right row of equal ``by`` columns that is nearest in the plane, of those
+    equal in ``digits`` decimals the one of least id; null where there is none, at whatever distance.
+
+    ``left`` has ``key`` (unique), x, y; ``right`` has id, x, y.  Expanding rings: a row looks at the nine cells around
+    it.  If its best lies nearer than all that is outside them, the row leaves; else it comes again in the next round, with
+    cells that hold its best's circle, or twice as wide ones where it has met nothing.  Rows start where a cell holds about
+    ``few`` right rows: by the extent of the group, and by the count of the cell where that is more crowded.  So
+    the pairs that are looked at grow with the rows, each round is written, and a round has an aggregate, not a window.
+    ``exact`` restricts pairs of the aliases a and b.
+    """
+    by = by or []
+    a, b = left.select(key, *by, "x", "y"), cut(right.select("id", *by, "x", "y").where("x is not null and y is not null"), "right")
+    both = a.select(*by, "x", "y", F.lit(0).alias("n")).unionByName(b.select(*by, "x", "y", F.lit(1).alias("n")))
+    extent = F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))
+    groups = both.groupBy(*by).agg(F.sum("n").alias("n"), extent.alias("extent")).where("n > 0")
+    start = F.ceil(F.log2(c("extent") * F.sqrt(few / c("n")))).cast("int")
+    groups = cut(groups.select(*by, F.greatest(F.coalesce(start, F.lit(FINEST)), F.lit(FINEST)).alias("k"), F.coalesce(level_of(c("extent")), F.lit(FINEST)).alias("top")), "groups")
+    same = lambda p, q: reduce(lambda s, t: s & t, (c(f"{p}.{k}") == c(f"{q}.{k}") for k in by), F.lit(True))
+    placed = lambda d: d.alias("d").join(groups.alias("g"), same("d", "g")).select("d.*", "g.k", "g.top").withColumns({"cx": index(c("x"), c("k")), "cy": index(c("y"), c("k"))})
+    full = placed(b).groupBy(*by, "cx", "cy").agg(F.count("*").alias("n")).where(c("n") > 4 * few)
+    full = cut(full.withColumn("down", F.floor(F.log2(c("n") / few) / 2).cast("int")), "crowded")
+    todo = placed(a.where("x is not null and y is not null")).alias("d")
+    todo = todo.join(full.alias("f"), same("d", "f") & (c("d.cx") == c("f.cx")) & (c("d.cy") == c("f.cy")), "left")
+    todo = cut(todo.select(*(f"d.{k}" for k in [key, *by, "x", "y", "top"]), F.greatest(c("d.k") - F.coalesce("f.down", F.lit(0)), F.lit(FINEST)).alias("k")), "todo")
+    done = []
+    while levels := [r[0] for r in todo.select("k").distinct().collect()]:
+        around = lambda v: F.sequence(index(c(v), c("k")) - 1, index(c(v), c("k")) + 1)
+        look = todo.withColumn("cx", F.explode(around("x"))).withColumn("cy", F.explode(around("y"))).alias("a")
+        at = b.withColumn("k", F.explode(F.array(*map(F.lit, levels)))).withColumns({"cx": index(c("x"), c("k")), "cy": index(c("y"), c("k"))}).alias("b")
+        dx, dy = c("b.x") - c("a.x"), c("b.y") - c("a.y")
+        d = F.sqrt(dx * dx + dy * dy)
+        on = same("a", "b") & reduce(lambda s, t: s & t, (c(f"a.{k}") == c(f"b.{k}") for k in ("k", "cx", "cy")))
+        met = look.join(at, on if exact is None else on & exact).groupBy(c(f"a.{key}").alias("__key"))
+        met = met.agg(F.min(F.struct(F.round(d, digits).alias("r"), c("b.id").alias("id"), d.alias("d"))).alias("best"))
+        x = todo.join(met, c(key) == c("__key"), "left").drop("__key")
+        side = F.pow(F.lit(2.0), c("k"))
+        into = lambda v: c(v) / side - F.floor(c(v) / side)
+        sure = side * (1 + F.least(into("x"), 1 - into("x"), into("y"), 1 - into("y")))
+        x = cut(x.withColumn("settled", (F.coalesce(c("best.d") + SLACK <= sure, F.lit(False))) | (c("k") >= c("top"))), "round")
+        done.append(x.where("settled").select(key, c("best.id").alias("nearest"), c("best.d").alias("distance")))
+        further = F.greatest(c("k") + 1, F.coalesce(level_of(c("best.d") + 2 * SLACK), c("k")))
+        todo = x.where("not settled").select(key, *by, "x", "y", "top", F.least(further, F.greatest("top", c("k") + 1)).alias("k"))
+    found = reduce(DataFrame.unionByName, done) if done else None
+    every = left.select(key)
+    if found is None:
+        return every.select(key, F.lit(None).cast(right.schema["id"].dataType).alias("nearest"), F.lit(None).cast("double").alias("distance"))
+    return every.alias("e").join(found.alias("f"), c(f"e.{key}") == c(f"f.{key}"), "left").select(f"e.{key}", "nearest", "distance")

@@ -274,11 +274,13 @@ def exists_and_not_exists(t):
 
 @query("select c_custkey, exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'F') as has_f from customer where exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority like '1%') or exists (select 1 from supplier where s_nationkey = c_nationkey and s_acctbal > 9900)")
 def or_of_exists(t):
-    t("customer").createOrReplaceTempView("__customer"), t("orders").createOrReplaceTempView("__orders"), t("supplier").createOrReplaceTempView("__supplier")
-    return t("customer").sparkSession.sql(
-        """select c_custkey, exists (select 1 from __orders where o_custkey = c_custkey and o_orderstatus = 'F') as has_f from __customer
-        where exists (select 1 from __orders where o_custkey = c_custkey and o_orderpriority like '1%') or exists (select 1 from __supplier where s_nationkey = c_nationkey and s_acctbal > 9900)"""
-    )
+    """Each EXISTS is the join with its distinct keys; a mark tells whether there is one."""
+    marked = lambda df, key, name: df.select(c(key).alias(f"__{name}")).distinct().withColumn(name, F.lit(True))
+    o, s = t("orders"), t("supplier").where("s_acctbal > 9900")
+    x = t("customer").select("c_custkey", "c_nationkey")
+    for key, df in (("c_custkey", marked(o.where("o_orderstatus = 'F'"), "o_custkey", "f")), ("c_custkey", marked(o.where("o_orderpriority like '1%'"), "o_custkey", "urgent")), ("c_nationkey", marked(s, "s_nationkey", "rich"))):
+        x = x.join(df, c(key) == c(df.columns[0]), "left")
+    return x.where("urgent or rich").select("c_custkey", F.coalesce("f", F.lit(False)).alias("has_f"))
 
 
 @query("select s_suppkey from supplier where exists (select 1 from customer where least(c_nationkey, c_custkey % 25) = least(s_nationkey, s_suppkey % 25) and greatest(c_nationkey, c_custkey % 25) = greatest(s_nationkey, s_suppkey % 25))")
@@ -452,32 +454,51 @@ def bbox_left(t):
 
 HAV = "2 * 6371008.8 * asin(least(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)), 1.0))"
 PTS = f"select event_id as id, {LON} as lon, {LAT} as lat, event_type, user_id from events"
-#: Metres, and degrees of latitude that hold them; degrees of longitude do so up to 60 degrees north and south.
-REACH, DEGREES = 150_000, 1.36
+REACH = 150_000
 
 
-@query(f"with p as ({PTS}), a as (select *, {DEGREES} / greatest(cos(radians(least(abs(lat) + {DEGREES}, 89.0))), 0.01) as wide from p) select a.id as a, b.id as b, round({HAV}, 1) as metres from a join p b on b.lat between a.lat - {DEGREES} and a.lat + {DEGREES} and b.lon between a.lon - a.wide and a.lon + a.wide where a.id <> b.id and {HAV} <= {REACH}")
+@query(f"with p as ({PTS}) select a.id as a, b.id as b, round({HAV}, 1) as metres from p a join p b on b.lat between a.lat - 1.36 and a.lat + 1.36 where a.id <> b.id and {HAV} <= {REACH}")
 def haversine_within(t):
-    """All pairs within the distance, but across the date line; boxes widen toward the poles."""
-    wide = DEGREES / F.greatest(F.cos(F.radians(F.least(F.abs("lat") + DEGREES, F.lit(89.0)))), F.lit(0.01))
+    """All pairs within the distance, also across the antimeridian."""
     p = points(t).select(c("event_id").alias("id"), "lon", "lat")
-    b = p.select("*", c("lon").alias("xmin"), c("lon").alias("xmax"), c("lat").alias("ymin"), c("lat").alias("ymax"))
-    a = p.select("*", (c("lon") - wide).alias("xmin"), (c("lon") + wide).alias("xmax"), (c("lat") - DEGREES).alias("ymin"), (c("lat") + DEGREES).alias("ymax"))
-    d = geo.haversine(c("a.lon"), c("a.lat"), c("b.lon"), c("b.lat"))
-    return spatial.grid_join(a, b, 2.0, exact=(d <= REACH) & OTHER()).select(c("a.id").alias("a"), c("b.id").alias("b"), F.round(d, 1).alias("metres"))
+    return spatial.within_metres(p, p, REACH, OTHER()).select(c("a.id").alias("a"), c("b.id").alias("b"), F.round("metres", 1).alias("metres"))
+
+
+@query(f"{BOX} select a.id as a, b.id as b from a join a b on a.ymin <= b.ymax and a.ymax >= b.ymin and ((a.xmin <= b.xmax and a.xmax >= b.xmin) or a.xmax - 360.0 >= b.xmin or b.xmax - 360.0 >= a.xmin) where a.id <> b.id")
+def bbox_across_antimeridian(t):
+    """Boxes that meet on the circle of longitudes: those over 180 degrees come in from -180."""
+    return spatial.wrapping_join(boxes(t), boxes(t), exact=OTHER()).select(c("a.id").alias("a"), c("b.id").alias("b"))
+
+
+@query(f"""
+with s as (select event_id as id, {LON} as xmin, {LAT} as ymin, pow(2.0, 6 - floor(log2(event_id + 1))) as side from events), a as (select *, xmin + side as xmax, ymin + side / 2.0 as ymax from s)
+select a.id as a, b.id as b from a join a b on {TOUCH} where a.id < b.id""")
+def bbox_mixed_sizes(t):
+    """Boxes from 64 degrees wide down to less than a hundredth, each size twice as many as the one above."""
+    side = F.pow(F.lit(2.0), 6 - F.floor(F.log2(c("event_id") + 1)))
+    b = points(t).select(c("event_id").alias("id"), c("lon").alias("xmin"), c("lat").alias("ymin"), (c("lon") + side).alias("xmax"), (c("lat") + side / 2.0).alias("ymax"))
+    return spatial.grid_join(b, b, exact=c("a.id") < c("b.id")).select(c("a.id").alias("a"), c("b.id").alias("b"))
 
 
 DEG = "sqrt((b.lon - a.lon) * (b.lon - a.lon) + (b.lat - a.lat) * (b.lat - a.lat))"
 
 
-@query(f"with p as ({PTS}), n as (select a.id, b.id as nearest, {DEG} as d from p a join p b on a.event_type = b.event_type and b.lat between a.lat - 5.0 and a.lat + 5.0 and a.id <> b.id where {DEG} <= 5.0 qualify row_number() over (partition by a.id order by round(d, 9), b.id) = 1) select p.id, nearest, round(d, 6) as deg from p left join n on p.id = n.id")
+@query(f"with p as ({PTS}), n as (select a.id, min({{'r': round({DEG}, 9), 'id': b.id, 'd': {DEG}}}) as best from p a join p b on a.event_type = b.event_type and a.id <> b.id group by a.id) select p.id, best.id as nearest, round(best.d, 6) as deg from p left join n on p.id = n.id")
 def nearest_with_name(t):
-    p = points(t).select(c("event_id").alias("id"), "lon", "lat", "event_type", c("lon").alias("xmin"), c("lon").alias("xmax"), c("lat").alias("ymin"), c("lat").alias("ymax"))
-    dx, dy = c("b.lon") - c("a.lon"), c("b.lat") - c("a.lat")
-    d = F.sqrt(dx * dx + dy * dy)
-    near = spatial.grid_join(p, p, 5.0, grow=5.0, exact=(c("a.event_type") == c("b.event_type")) & (d <= 5.0) & OTHER()).select(c("a.id").alias("aid"), c("b.id").alias("nearest"), d.alias("d"))
-    near = rel.distinct_on(near, ["aid"], [F.round("d", 9), c("nearest")])
-    return p.join(near, c("id") == c("aid"), "left").select("id", "nearest", F.round("d", 6).alias("deg"))
+    """The nearest event of the same type, however far it is."""
+    p = points(t).select(c("event_id").alias("id"), "event_type", c("lon").alias("x"), c("lat").alias("y"))
+    return spatial.nearest(p, p, "id", ["event_type"], OTHER()).select("id", "nearest", F.round("distance", 6).alias("deg"))
+
+
+@query(f"""
+with s as (select s_suppkey as id, (s_suppkey * 7919 % 36000)::double / 100.0 - 180.0 as lon, (s_suppkey * 104729 % 17000)::double / 100.0 - 85.0 as lat from supplier), p as ({PTS}),
+n as (select a.id, min({{'r': round({DEG}, 9), 'id': b.id, 'd': {DEG}}}) as best from p a, s b group by a.id)
+select id, best.id as nearest, round(best.d, 6) as deg from n""")
+def nearest_of_sparse(t):
+    """The nearest of few places for each of many points: most rings meet nothing and widen."""
+    s = t("supplier").select(c("s_suppkey").alias("id"), ((c("s_suppkey") * 7919 % 36000).cast("double") / 100.0 - 180.0).alias("x"), ((c("s_suppkey") * 104729 % 17000).cast("double") / 100.0 - 85.0).alias("y"))
+    p = points(t).select(c("event_id").alias("id"), c("lon").alias("x"), c("lat").alias("y"))
+    return spatial.nearest(p, s, "id").select("id", "nearest", F.round("distance", 6).alias("deg"))
 
 
 @query(f"with p as ({PTS.replace(' from events', ', ts from events')}), s as (select user_id, sqrt(pow(lon - lag(lon) over w, 2) + pow(lat - lag(lat) over w, 2)) as d from p window w as (partition by user_id order by ts, id)) select user_id, round(coalesce(sum(d), 0), 6) as length from s group by user_id")
