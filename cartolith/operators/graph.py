@@ -45,3 +45,24 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         if not step.where("component <> old").limit(1).count():
             return step.select("id", "component")
         labels = step.select("id", "component")
+
+
+def sums_to_root(nodes: DataFrame) -> DataFrame:
+    """(id, parent, value) -> (id, root, total, depth): values summed from each node up to its root, which has no parent.
+
+    Pointer doubling: in each round a node that has not reached its root adds what the ancestor it points to has summed, and
+    points where that one points; so rounds grow with the logarithm of the depth, and each is written.  Only the ancestors
+    pointed to are joined, which are fewer each round.  Nodes whose ancestors are not in the table have no row; cycles are an
+    error.
+    """
+    x = nodes.select("id", F.coalesce("parent", "id").alias("root"), F.col("parent").alias("up"), F.col("value").cast("long").alias("total"), F.lit(1).cast("long").alias("depth"))
+    x = cut(x, "sums")
+    most = x.count().bit_length() + 1
+    for _ in range(most + 1):
+        todo = x.where("up is not null")
+        if not todo.limit(1).count():
+            return x.drop("up")
+        heads = x.join(todo.select(F.col("up").alias("id")).distinct(), "id").select(F.col("id").alias("h"), *(F.col(k).alias(f"h_{k}") for k in ("root", "up", "total", "depth")))
+        further = todo.join(heads, F.col("up") == F.col("h")).select("id", F.col("h_root").alias("root"), F.col("h_up").alias("up"), (F.col("total") + F.col("h_total")).alias("total"), (F.col("depth") + F.col("h_depth")).alias("depth"))
+        x = cut(x.where("up is null").unionByName(further), "sums")
+    raise ValueError("nodes form a cycle")

@@ -18,7 +18,7 @@ from ..functions import tiles as tl
 from ..functions import zoom as zm
 from ..operators import relational as rel
 from ..operators import spatial
-from ..operators.graph import connected_components
+from ..operators.graph import connected_components, sums_to_root
 from ..tiles.filters import compile_filter
 
 QUERIES: dict = {}
@@ -329,11 +329,9 @@ d as (select depth, max(total)::bigint as most from r group by depth)
 select k, total, depth, most from r join d using (depth)""")
 def recursive_cumulative(t):
     """Sizes summed down the tree in which part k stands under part k div 2, and the greatest sum of each depth."""
-    t("part").createOrReplaceTempView("__part")
-    r = t("part").sparkSession.sql(
-        """with recursive r(k, total, depth) as (select p_partkey, cast(p_size as bigint), 1L from __part where p_partkey = 1
-        union all select p_partkey, total + p_size, depth + 1 from r join __part on p_partkey div 2 = k where p_partkey > 1) select * from r"""
-    )
+    k = c("p_partkey")
+    r = sums_to_root(t("part").select(k.alias("id"), F.when(k > 1, F.floor(k / 2).cast(t("part").schema["p_partkey"].dataType)).alias("parent"), c("p_size").alias("value")))
+    r = r.where("root = 1").select(c("id").alias("k"), "total", "depth")
     return r.join(r.groupBy("depth").agg(F.max("total").alias("most")), "depth").select("k", "total", "depth", "most")
 
 

@@ -18,6 +18,7 @@ from ..functions import text as tx
 from ..functions.zoom import bucket
 from ..operators import relational as rel
 from ..operators import spatial
+from ..operators.dissolve import in_cells, union_tree
 from ..operators.graph import connected_components
 
 LAYERS: dict[str, Callable] = {}
@@ -307,7 +308,7 @@ def water_polygon(cat):
     boxed = jts.with_box(src)
     pairs = spatial.grid_join(boxed, boxed, 1.0, (c("a.osm_id") < c("b.osm_id")) & jts.intersects("a.geometry", "b.geometry")).select(c("a.osm_id").alias("a"), c("b.osm_id").alias("b")).distinct()
     parts = connected_components(pairs.select(c("a").alias("id")).union(pairs.select("b")), pairs)
-    merged = dissolve(src.join(parts, c("osm_id") == c("id")), ["component"], 0.000001)
+    merged = union_tree(src.join(parts, c("osm_id") == c("id")), ["component"], 0.000001)
     merged = dumped(merged, jts.make_valid("geometry")).where((jts.dimension("geometry") == 2) & ~jts.is_empty("geometry"))
     merged = merged.select(F.lit("water").alias("subclass"), "geometry", F.lit(12).alias("z_level"), F.lit(False).alias("capped"))
     z = bucket(jts.area_sphere("geometry"), [(k, k) for k in range(5, 12)], 12)
@@ -318,15 +319,6 @@ def water_polygon(cat):
     return union(own, merged, lakes)
 
 
-def dissolve(df: DataFrame, keys: list[str], grid: float, cell: float = 1.0) -> DataFrame:
-    """Union of geometries by key in two phases: first by key and cell, then of the cells' results, in which the borders inside
-    a cell are gone.  The last phase still takes the outline of a whole group in one task."""
-    x = df.withColumn("__box", jts.bbox("geometry"))
-    x = x.withColumns({"__cx": F.floor((F.get("__box", F.lit(0)) + F.get("__box", F.lit(2))) / 2 / cell), "__cy": F.floor((F.get("__box", F.lit(1)) + F.get("__box", F.lit(3))) / 2 / cell)})
-    x = x.groupBy(*keys, "__cx", "__cy").agg(jts.union_grid(F.collect_list("geometry"), grid).alias("geometry"))
-    return x.groupBy(*keys).agg(jts.union_grid(F.collect_list("geometry"), grid).alias("geometry"))
-
-
 @layer
 def water_line(cat):
     line = cat("osm_waterway_linestring")
@@ -347,16 +339,24 @@ def water_line(cat):
     return long.unionByName(short)
 
 
+#: Side of the cells of the sea, in degrees.
+BATHYMETRY_CELL = 5.0
+
+
 @layer
 def bathymetry_polygon(cat):
-    """Depth bands without overlap: each depth with all deeper ones, less the next deeper."""
+    """Depth bands without overlap: each depth with all deeper ones, less the next deeper; cell by cell, as they are cut up
+    in the end anyway."""
     tables = [f"ne_10m_bathymetry_{k}_{d}" for k, d in zip("abcdefghijk", (10000, 9000, 8000, 7000, 6000, 5000, 4000, 3000, 2000, 1000, 200), strict=True)]
     d = reduce(DataFrame.unionByName, [cat(t).select(c("depth").cast("double").alias("depth"), "geometry") for t in tables]).where(c("geometry").isNotNull())
-    d = d.groupBy("depth").agg(jts.union_all(F.collect_list(jts.make_valid("geometry"))).alias("geometry"))
-    deeper = Window.orderBy(c("depth").desc()).rowsBetween(Window.unboundedPreceding, 0)  # eleven rows
+    d = in_cells(d.withColumn("geometry", jts.make_valid("geometry")), BATHYMETRY_CELL)
+    d = d.groupBy("depth", "cx", "cy").agg(jts.union_all(F.collect_list("geometry")).alias("geometry"))
+    # within a cell there is one row a depth at most; that of a depth is its own area and all deeper ones
+    deeper = Window.partitionBy("cx", "cy").orderBy(c("depth").desc()).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("geometry", jts.union_all(F.collect_list("geometry").over(deeper)))
-    nxt = Window.orderBy("depth")
-    d = d.withColumns({"depth_max": F.lead("depth").over(nxt), "below": F.lead("geometry").over(nxt)})
+    below = F.lead("geometry").over(Window.partitionBy("cx", "cy").orderBy("depth"))
+    levels = F.broadcast(d.groupBy("depth").agg(F.lit(1)).select("depth", F.lead("depth").over(Window.orderBy("depth")).alias("depth_max")))  # eleven rows
+    d = d.withColumn("below", below).join(levels, "depth")
     band = F.when(c("below").isNull(), c("geometry")).otherwise(jts.difference("geometry", "below"))
     d = d.select(c("depth").cast("int").alias("depth"), c("depth_max").cast("int").alias("depth_max"), F.explode(jts.subdivide(jts.polygons(jts.make_valid(band)), 1024)).alias("geometry"))
     return dumped(d).where(~jts.is_empty("geometry"))

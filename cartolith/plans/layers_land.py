@@ -16,8 +16,9 @@ from ..functions import text as tx
 from ..functions.zoom import bucket, zres
 from ..operators import relational as rel
 from ..operators import spatial
+from ..operators.dissolve import union_tree
 from ..operators.graph import connected_components, cut
-from .layers import _box, blank, c, dissolve, dumped, fixed, inside, layer, name, union
+from .layers import _box, blank, c, dumped, fixed, inside, layer, name, union
 
 WORLD = (-180, -85.0511, 180, 85.0511)
 
@@ -47,7 +48,7 @@ def builtup_opened(cat) -> DataFrame:
     x = jts.with_box(o)
     pairs = spatial.grid_join(x, x, 50000.0, (c("a.id") < c("b.id")) & jts.intersects("a.geometry", "b.geometry")).select(c("a.id").alias("a"), c("b.id").alias("b")).distinct()
     parts = connected_components(o.select("id"), pairs)
-    d = dissolve(o.join(parts, "id"), ["component"], 0.001, 100000.0).withColumn("k", _k("geometry"))
+    d = union_tree(o.join(parts, "id"), ["component"], 0.001).withColumn("k", _k("geometry"))
     d = dumped(d.select("k", jts.buffer("geometry", -200 * c("k"), 4).alias("geometry"))).where(jts.area("geometry") / (c("k") * c("k")) >= TOWN)
     holes = F.filter(F.slice(jts.dump_rings("geometry"), 2, 1000000), lambda r: F.call_function("ct_area", r) / (c("k") * c("k")) >= TOWN)
     d = d.withColumn("geometry", jts.polygon("geometry", holes))
@@ -92,22 +93,19 @@ def landcover_source(cat) -> DataFrame:
 
 
 def dissolve_touching(src: DataFrame, keys: list[str]) -> DataFrame:
-    """Union within cells, then of the pieces that touch a piece of another cell, cluster by cluster."""
+    """Union within cells, then of the pieces that touch a piece of another cell, cluster by cluster, by a tree."""
     b = jts.bbox("geometry")
     mid = lambda i, j: F.floor((F.get(b, F.lit(i)) + F.get(b, F.lit(j))) / 2 / CELL).cast("int")
-    one = src.withColumns({"cx": mid(0, 2), "cy": mid(1, 3)}).groupBy(*keys, "cx", "cy").agg(jts.union_grid(F.collect_list("geometry"), 0.001).alias("geometry"))
+    one = union_tree(src.withColumns({"own_x": mid(0, 2), "own_y": mid(1, 3)}), [*keys, "own_x", "own_y"], 0.001)
     one = dumped(one).where(jts.dimension("geometry") == 2)
     one = cut(one.withColumn("id", F.xxhash64("geometry", *keys)), "pieces")
     x = jts.with_box(one)
     equal = reduce(lambda p, q: p & q, [c(f"a.{k}").eqNullSafe(c(f"b.{k}")) for k in keys])
-    apart = (c("a.cx") != c("b.cx")) | (c("a.cy") != c("b.cy"))
-    # grid_join uses cx and cy for its own cells
-    y = x.withColumnsRenamed({"cx": "own_x", "cy": "own_y"})
     apart = (c("a.own_x") != c("b.own_x")) | (c("a.own_y") != c("b.own_y"))
-    pairs = spatial.grid_join(y, y, CELL, (c("a.id") < c("b.id")) & apart & equal & jts.intersects("a.geometry", "b.geometry")).select(c("a.id").alias("a"), c("b.id").alias("b")).distinct()
+    pairs = spatial.grid_join(x, x, 0.0, (c("a.id") < c("b.id")) & apart & equal & jts.intersects("a.geometry", "b.geometry")).select(c("a.id").alias("a"), c("b.id").alias("b")).distinct()
     pairs = cut(pairs, "touching")
     parts = connected_components(pairs.select(c("a").alias("id")).union(pairs.select("b")), pairs)
-    joined = one.join(parts, "id").groupBy(*keys, "component").agg(jts.union_grid(F.collect_list("geometry"), 0.001).alias("geometry"))
+    joined = union_tree(one.join(parts, "id"), [*keys, "component"], 0.001)
     joined = dumped(joined).where(jts.dimension("geometry") == 2).select(*keys, "geometry")
     return one.join(parts, "id", "left_anti").select(*keys, "geometry").unionByName(joined)
 
