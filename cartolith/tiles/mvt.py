@@ -1,27 +1,30 @@
 """Vector tiles: features to (z, x, y, layer) payloads in the Mapbox vector tile encoding.
 
 Features are dealt out over the tiles that their boxes touch, clipped in the JVM to the tile with a margin, and
-encoded one tile at a time by grouped Arrow batches.  A tile's features are those of one layer; tiles of several
-layers are joined by concatenation, which the format allows.
+encoded in parts by Arrow batches.  A tile's features are those of one layer; tiles of several layers are joined by
+concatenation, which the format allows.
 """
 
 from __future__ import annotations
 
-import math
 import struct
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jts
+from ..functions.curves import cell_of, hilbert
 from ..functions.zoom import AROUND
+from ..operators.graph import cut
 from .filters import compile_filter
 
 HALF = AROUND / 2
 EXTENT = 4096
 #: Margin around a tile, of its extent.
 MARGIN = 80
+#: Order of the Hilbert curve over a tile.
+ORDER = 12
 SCHEMA = "z int, x bigint, y bigint, layer string, n bigint, payload binary"
 
 
@@ -105,20 +108,25 @@ def _signed(ring: list[tuple[int, int]]) -> int:
     return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1], strict=True))
 
 
-def commands(wkb: bytes, z: int, x: int, y: int, extent: int = EXTENT) -> tuple[int, list[int]]:
-    """Geometry of plane coordinates as tile commands."""
+def _zig(v: int) -> int:
+    return v << 1 if v >= 0 else (-v << 1) - 1
+
+
+def _zag(v: int) -> int:
+    return v >> 1 if not v & 1 else -(v + 1 >> 1)
+
+
+def drawn(wkb: bytes, z: int, x: int, y: int, extent: int = EXTENT) -> tuple[int, list[int], tuple[int, int]]:
+    """Geometry of plane coordinates as kind, tile commands and the point where the pen ends."""
     kind, every = parts(wkb)
     side = AROUND / 2**z
     left, top = x * side - HALF, HALF - y * side
     out: list[int] = []
     cx = cy = 0
 
-    def zig(v: int) -> int:
-        return v << 1 if v >= 0 else (-v << 1) - 1
-
     def put(p: tuple[int, int]) -> None:
         nonlocal cx, cy
-        out.extend((zig(p[0] - cx), zig(p[1] - cy)))
+        out.extend((_zig(p[0] - cx), _zig(p[1] - cy)))
         cx, cy = p
 
     moved = [[[(round((px - left) / side * extent), round((top - py) / side * extent)) for px, py in line] for line in part] for part in every]
@@ -128,7 +136,7 @@ def commands(wkb: bytes, z: int, x: int, y: int, extent: int = EXTENT) -> tuple[
             out.append(len(pts) << 3 | 1)
             for p in pts:
                 put(p)
-        return 1, out
+        return 1, out, (cx, cy)
     for part in moved:
         for i, line in enumerate(part):
             line = [p for k, p in enumerate(line) if k == 0 or p != line[k - 1]]
@@ -150,41 +158,119 @@ def commands(wkb: bytes, z: int, x: int, y: int, extent: int = EXTENT) -> tuple[
                 put(p)
             if kind == 3:
                 out.append(1 << 3 | 7)
-    return kind, out
+    return kind, out, (cx, cy)
+
+
+def commands(wkb: bytes, z: int, x: int, y: int, extent: int = EXTENT) -> tuple[int, list[int]]:
+    return drawn(wkb, z, x, y, extent)[:2]
+
+
+class Layer:
+    """Features of one tile in order, with dictionaries of their own: a whole layer, or a part that others are added to."""
+
+    def __init__(self, coalesce: bool = False):
+        self.coalesce = coalesce
+        self.keys: dict[str, int] = {}
+        self.values: dict[bytes, int] = {}
+        self.features: list[tuple[int, list[int], list[int], tuple[int, int]]] = []
+
+    def add(self, kind: int, tags: list[int], geometry: list[int], end: tuple[int, int]) -> None:
+        """Appends a feature; one with the tags and kind of the last joins it, if the layer coalesces."""
+        if self.coalesce and self.features and self.features[-1][:2] == (kind, tags):
+            _, _, before, (ex, ey) = self.features[-1]
+            head = [_zig(_zag(geometry[1]) - ex), _zig(_zag(geometry[2]) - ey)]  # from where the pen is, not from the corner
+            if kind == 1:  # points are one command
+                joined = [((before[0] >> 3) + (geometry[0] >> 3)) << 3 | 1, *before[1:], *head, *geometry[3:]]
+            else:
+                joined = [*before, geometry[0], *head, *geometry[3:]]
+            self.features[-1] = kind, tags, joined, end
+        else:
+            self.features.append((kind, tags, geometry, end))
+
+    def draw(self, wkb: bytes, attributes: dict, z: int, x: int, y: int, extent: int = EXTENT) -> None:
+        kind, geometry, end = drawn(wkb, z, x, y, extent)
+        if geometry:
+            pairs = ((self.keys.setdefault(k, len(self.keys)), self.values.setdefault(value(v), len(self.values))) for k, v in attributes.items() if v is not None)
+            self.add(kind, [i for pair in pairs for i in pair], geometry, end)
+
+    def extend(self, keys: list[str], values: list[bytes], features) -> None:
+        """Adds a later part, its tags renumbered by this layer's dictionaries."""
+        number = [[self.keys.setdefault(k, len(self.keys)) for k in keys], [self.values.setdefault(v, len(self.values)) for v in values]]
+        for kind, tags, geometry, end in features:
+            self.add(kind, [number[i & 1][t] for i, t in enumerate(tags)], geometry, tuple(end))
+
+    def encode(self, layer: str, extent: int = EXTENT) -> bytes:
+        if not self.features:
+            return b""
+        body = [_field(2, (_field(2, b"".join(map(_varint, tags))) if tags else b"") + _number(3, kind) + _field(4, b"".join(map(_varint, geometry)))) for kind, tags, geometry, _ in self.features]
+        tail = [_field(3, k.encode()) for k in self.keys] + [_field(4, v) for v in self.values]
+        return _field(3, _number(15, 2) + _field(1, layer.encode()) + b"".join(body) + b"".join(tail) + _number(5, extent))
 
 
 def encode_layer(layer: str, features: list[tuple[bytes, dict]], z: int, x: int, y: int, extent: int = EXTENT) -> tuple[int, bytes]:
     """Number of features and the tile that holds them."""
-    keys: dict[str, int] = {}
-    values: dict[bytes, int] = {}
-    body = b""
-    n = 0
+    whole = Layer()
     for wkb, attributes in features:
-        kind, geometry = commands(wkb, z, x, y, extent)
-        if not geometry:
-            continue
-        tags = b"".join(_varint(keys.setdefault(k, len(keys))) + _varint(values.setdefault(value(v), len(values))) for k, v in attributes.items() if v is not None)
-        body += _field(2, (_field(2, tags) if tags else b"") + _number(3, kind) + _field(4, b"".join(map(_varint, geometry))))
-        n += 1
-    if not n:
-        return 0, b""
-    head = _number(15, 2) + _field(1, layer.encode())
-    return n, _field(3, head + body + b"".join(_field(3, k.encode()) for k in keys) + b"".join(_field(4, v) for v in values) + _number(5, extent))
-
-
-def _encoded(layer: str, names: list[str]):
+        whole.draw(wkb, attributes, z, x, y, extent)
+    return len(whole.features), whole.encode(layer, extent)
+
+
+#: Features that a part of a layer holds at most.
+PART = 4096
+PARTIAL = pa.schema([("z", pa.int32()), ("x", pa.int64()), ("y", pa.int64()), ("range", pa.int32()), ("part", pa.int64()), ("keys", pa.list_(pa.string())), ("values", pa.list_(pa.binary())), ("kinds", pa.list_(pa.int32())), ("tags", pa.list_(pa.list_(pa.int32()))), ("drawings", pa.list_(pa.list_(pa.int64()))), ("ends", pa.list_(pa.list_(pa.int64())))])
+PARTIAL_SCHEMA = "z int, x bigint, y bigint, range int, part bigint, keys array<string>, values array<binary>, kinds array<int>, tags array<array<int>>, drawings array<array<bigint>>, ends array<array<bigint>>"
+
+
+def _encoded_parts(names: list[str], coalesce: bool, most: int):
+    """Sorted features of tiles to parts of layers, a part at a time."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        at, layer, seen, part, made = None, Layer(coalesce), 0, 0, TaskContext.get().partitionId()
+
+        def row():
+            f = layer.features
+            one = [*at, made, part, list(layer.keys), list(layer.values), *([x[i] for x in f] for i in range(3)), [list(x[3]) for x in f]]
+            return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(one, PARTIAL, strict=True)], schema=PARTIAL)
+
+        for b in batches:
+            for r in b.to_pylist():
+                tile = (r["z"], r["x"], r["y"])
+                if tile != at or seen == most:
+                    if layer.features:
+                        yield row()
+                        part += 1
+                    at, layer, seen = tile, Layer(coalesce), 0
+                layer.draw(r["clipped"], {k: r[k] for k in names}, *tile)
+                seen += 1
+        if layer.features:
+            yield row()
+
+    return run
+
+
+def _joined_parts(layer: str, coalesce: bool):
     def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("range", "ascending"), ("part", "ascending")])
+        whole = Layer(coalesce)
+        for b in t.to_batches(max_chunksize=1):
+            r = b.to_pylist()[0]
+            whole.extend(r["keys"], r["values"], zip(r["kinds"], r["tags"], r["drawings"], r["ends"], strict=True))
         z, x, y = (t.column(k)[0].as_py() for k in ("z", "x", "y"))
-        t = t.sort_by([("rank", "ascending")])
-        rows = t.select(["clipped", *names]).to_pylist()
-        n, payload = encode_layer(layer, [(r["clipped"], {k: r[k] for k in names}) for r in rows], z, x, y)
-        return pa.table({"z": pa.array([z] * bool(n), pa.int32()), "x": pa.array([x] * bool(n), pa.int64()), "y": pa.array([y] * bool(n), pa.int64()), "layer": [layer] * bool(n), "n": pa.array([n] * bool(n), pa.int64()), "payload": pa.array([payload] * bool(n), pa.binary())})
+        return pa.table({"z": pa.array([z], pa.int32()), "x": [x], "y": [y], "layer": [layer], "n": [len(whole.features)], "payload": pa.array([whole.encode(layer)], pa.binary())})
 
     return run
 
 
-def tile_layer(df: DataFrame, layer: str, min_zoom: int, max_zoom: int, attributes: list[str], filters: dict | None = None, simplify: bool = True) -> DataFrame:
-    """Tiles of one layer: geometry in degrees, attributes as named (none: geometry alone), a JSON filter by zoom."""
+def tile_layer(df: DataFrame, layer: str, min_zoom: int, max_zoom: int, attributes: list[str], filters: dict | None = None, simplify: bool = True, hilbert_order: bool = False, coalesce: bool = False, part: int = PART) -> DataFrame:
+    """Tiles of one layer: geometry in degrees, attributes as named (none: geometry alone), a JSON filter by zoom.
+
+    Features of a tile stand in an order of their hash, or along a Hilbert curve over the tile; with ``coalesce``, neighbours in
+    that order with equal attributes become one.  They are clipped, written, sorted by ranges of (tile, order)
+    and encoded where they lie, in parts of at most ``part`` features with dictionaries of their own; then the parts of a tile
+    are joined by renumbering tags.  So a tile that holds everything is many parts, and what meets in one task is its payload.
+    """
     df = df.where(F.col("geometry").isNotNull() & ~jts.is_empty("geometry"))
     df = df.withColumn("z", F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom)))).where(compile_filter(filters, layer, F.col("z"), df.columns))
     df = df.select("z", *attributes, jts.to_3857("geometry").alias("plane"))
@@ -205,8 +291,15 @@ def tile_layer(df: DataFrame, layer: str, min_zoom: int, max_zoom: int, attribut
     corner = lambda dx, dy: F.format_string("%.3f %.3f", left + dx, top + dy)
     ring = F.concat(F.lit("POLYGON(("), F.concat_ws(",", corner(-m, m), corner(side + m, m), corner(side + m, -side - m), corner(-m, -side - m), corner(-m, m)), F.lit("))"))
     df = df.withColumn("clipped", jts.intersection("plane", jts.from_wkt(ring))).where(~jts.is_empty("clipped"))
-    df = df.withColumn("rank", F.xxhash64("clipped", *attributes)).select("z", "x", "y", "clipped", "rank", *attributes)
-    return df.groupBy("z", "x", "y").applyInArrow(_encoded(layer, attributes), SCHEMA)
+    order = F.lit(0).cast("long")
+    if hilbert_order:
+        middle = lambda i, j, low: cell_of((F.get("box", F.lit(i)) + F.get("box", F.lit(j))) / 2, low, side, ORDER)
+        df = df.withColumn("box", jts.bbox("clipped"))
+        order = hilbert(middle(0, 2, left), middle(1, 3, top - side), ORDER)
+    df = cut(df.select("z", "x", "y", "clipped", order.alias("order"), F.xxhash64("clipped", *attributes).alias("rank"), *attributes), "clipped")
+    by = ["z", "x", "y", "order", "rank"]
+    df = df.repartitionByRange(*by).sortWithinPartitions(*by).select("z", "x", "y", "clipped", *attributes)
+    return df.mapInArrow(_encoded_parts(attributes, coalesce, part), PARTIAL_SCHEMA).groupBy("z", "x", "y").applyInArrow(_joined_parts(layer, coalesce), SCHEMA)
 
 
 def join_tiles(*layers: DataFrame) -> DataFrame:
@@ -220,10 +313,3 @@ def join_tiles(*layers: DataFrame) -> DataFrame:
 
 def trim_zoom(tiles: DataFrame, most: int) -> DataFrame:
     return tiles.where(F.col("z") <= most)
-
-
-def tile_rows(df: DataFrame) -> Column:
-    return F.count(F.lit(1))
-
-
-_ = math

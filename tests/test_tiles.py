@@ -51,6 +51,73 @@ def test_layer_encoding():
     assert kind == 3 and cmd[0] == 9 and cmd[-1] == 15 and cmd[3] == (3 << 3 | 2)
 
 
+def decoded(tile):
+    """(kind, attributes, [points]) of each feature of a tile of one layer; points in tile units, a list for each pen-down."""
+    layer = fields(fields(tile)[0][1])
+    keys, values = [v.decode() for k, v in layer if k == 3], [fields(v)[0][1] for k, v in layer if k == 4]
+    ints = lambda b: [v for _, v in fields(b"".join(b"\x08" + x for x in varints(b)))]
+    zag = lambda v: v >> 1 if not v & 1 else -(v + 1 >> 1)
+    out = []
+    for f in (fields(v) for k, v in layer if k == 2):
+        f = dict(f)
+        tags, g = ints(f.get(2, b"")), ints(f[4])
+        lines, x, y, i = [], 0, 0, 0
+        while i < len(g):
+            op, n = g[i] & 7, g[i] >> 3
+            i += 1
+            if op == 7:
+                continue
+            for _ in range(n):
+                x, y, i = x + zag(g[i]), y + zag(g[i + 1]), i + 2
+                if op == 1:
+                    lines.append([])
+                lines[-1].append((x, y))
+        out.append((f[3], {keys[a]: values[b] for a, b in zip(tags[::2], tags[1::2])}, lines))
+    return out
+
+
+def varints(b):
+    out, at = [], 0
+    while at < len(b):
+        end = at
+        while b[end] & 0x80:
+            end += 1
+        out.append(b[at : end + 1])
+        at = end + 1
+    return out
+
+
+def shoelace(line):
+    return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(line, line[1:] + line[:1])) / 2
+
+
+def test_parts_decode_to_the_same_features(spark):
+    """A tile made of many parts holds what one part holds, in the same order; coalescing keeps the area of each attribute."""
+    jts.register(spark)
+    i = F.col("id")
+    corner = lambda dx, dy: F.concat_ws(" ", (i % 30 * 3.0 - 60 + dx).cast("string"), (F.floor(i / 30) * 3.0 - 40 + dy).cast("string"))
+    ring = F.concat(F.lit("POLYGON(("), F.concat_ws(",", corner(0, 0), corner(2, 0), corner(2, 2), corner(0, 2), corner(0, 0)), F.lit("))"))
+    d = spark.range(600).select(F.when(F.floor(i % 30 / 15) == 0, "west").otherwise("east").alias("kind"), F.when(i % 7 == 0, F.lit(None)).otherwise(F.floor(i / 300)).alias("n"), jts.from_wkt(ring).alias("geometry"))
+    d = d.unionByName(spark.range(40).select(F.lit("dot").alias("kind"), F.lit(1).cast("long").alias("n"), jts.point(i * 1.0, F.lit(5.0)).alias("geometry")))
+    run = lambda **o: {(r["z"], r["x"], r["y"]): (r["n"], decoded(r["payload"])) for r in mvt.tile_layer(d, "l", 0, 1, ["kind", "n"], simplify=False, **o).collect()}
+    for options in ({}, {"hilbert_order": True}, {"hilbert_order": True, "coalesce": True}):
+        whole, many = run(**options), run(**options, part=17)
+        assert whole == many and whole[0, 0, 0][0] == len(whole[0, 0, 0][1])
+    plain, joined = run(), run(hilbert_order=True, coalesce=True)
+
+    def areas(features):
+        out = {}
+        for kind, a, lines in features:
+            key = kind, tuple(sorted(a.items()))
+            out[key] = out.get(key, 0) + (sum(map(shoelace, lines)) if kind == 3 else len(lines))
+        return out
+
+    for tile, (n, features) in plain.items():
+        assert areas(features) == areas(joined[tile][1]) and joined[tile][0] <= n
+    assert joined[0, 0, 0][0] < plain[0, 0, 0][0] / 3
+    assert all(a != b for a, b in zip(*(lambda f: (f, f[1:]))([x[:2] for x in joined[0, 0, 0][1]])))
+
+
 def test_bundle_round_trip():
     tiles = [(130, 5, b"abc"), (129, 127, b"xy"), (128, 0, b"z" * 1000)]
     b = packages.bundle_bytes(tiles)
