@@ -27,6 +27,14 @@ def ring(x: Column, y: Column, w: Column, h: Column) -> Column:
     return F.concat(F.lit("POLYGON(("), F.concat_ws(",", at(0, 0), at(1, 0), at(1, 1), at(0, 1), at(0, 0)), F.lit("))"))
 
 
+def plain(polygon: Column) -> Column:
+    return F.replace(polygon, F.lit("POLYGON"), F.lit(""))
+
+
+def i3() -> Column:
+    return c("id") % 3
+
+
 def shapes(t) -> DataFrame:
     e = t("events")
     jts.register(e.sparkSession)
@@ -41,7 +49,9 @@ def shapes(t) -> DataFrame:
         jts.from_wkt(ring(c("x") + c("w") / 4, c("y") + c("h") / 4, c("w") / 2, c("h") / 2)).alias("inner"), jts.point(c("x") + c("f") * c("w"), c("y") + c("h") / 2).alias("p"),
         jts.from_wkt(F.concat(F.lit("LINESTRING("), at(0, 0), F.lit(","), at(0.5, 0.5), F.lit(","), at(1, 1), F.lit(")"))).alias("l"),
         jts.from_wkt(F.concat(F.lit("POLYGON(("), F.concat_ws(",", at(0, 0), at(1, 1), at(1, 0), at(0, 1), at(0, 0)), F.lit("))"))).alias("t"),
-    )
+        jts.from_wkt(F.concat(F.lit("LINESTRING("), F.concat_ws(" ", "x", "y"), F.lit(","), F.concat_ws(" ", (c("x") + c("w") / 2).cast("string"), (c("y") + (c("id") % 5).cast("double") / 100.0).cast("string")), F.lit(","), at(1, 0), F.when(c("id") % 2 == 0, F.concat(F.lit(","), at(0, 0))).otherwise(""), F.lit(")"))).alias("bent"),
+        jts.from_wkt(F.concat(F.lit("MULTIPOLYGON("), plain(ring(c("x"), c("y"), c("w"), c("h"))), F.lit(","), plain(F.when(c("id") % 2 == 0, ring(c("x"), c("y"), c("w"), c("h"))).otherwise(ring(c("x") + c("w") / 4, c("y") + c("h") / 4, c("w") / 2, c("h") / 2))), F.lit(")"))).alias("twice"),
+    ).withColumns({"any": F.when(i3() == 0, c("a")).when(i3() == 1, c("l")).otherwise(c("p")), "fair": F.when(c("id") % 2 == 0, c("a")).otherwise(c("t"))})
 
 
 def area(g) -> Column:
@@ -77,10 +87,10 @@ FORMS: dict[str, tuple] = {
     "difference": (lambda: area(jts.difference("a", "b")), "w * h - common", 6),
     "union": (lambda: area(jts.union("a", "b")), "2 * w * h - common", 6),
     "union_aggregate": (lambda: area(jts.union_all(both())), "2 * w * h - common", 6),
-    "union_grid": (lambda: area(jts.union_grid(both(), 0.01)), "2 * w * h - common", 6),
+    "union_grid": (lambda: area(jts.union_grid(F.array(c("a"), jts.from_wkt(ring(c("x") + c("sx") + 0.003, c("y") + c("sy") - 0.004, c("w"), c("h")))), 0.01)), "2 * w * h - common", 6),
     "intersects": (lambda: jts.intersects("a", "b").cast("double"), "(sx < w + 1e-9 and sy < h + 1e-9)::int::double", 0),
     "contains": (lambda: jts.contains("a", "p").cast("double"), "(f = 0.5)::int::double", 0),
-    "contains_properly": (lambda: jts.contains_properly("a", "inner").cast("double") - jts.contains_properly("a", "a").cast("double"), "1.0", 0),
+    "contains_properly": (lambda: jts.contains_properly("a", "p").cast("double") * 10 + jts.contains("a", jts.intersection("a", "b")).cast("double"), "(f = 0.5)::int::double * 10 + (sx < w - 1e-9 and sy < h - 1e-9)::int::double", 0),
     "overlaps": (lambda: jts.overlaps("a", "b").cast("double"), "(sx < w - 1e-9 and sy < h - 1e-9 and sx + sy > 0)::int::double", 0),
     "distance": (lambda: jts.distance("a", "b"), "sqrt(gx * gx + gy * gy)", 6),
     "dwithin": (lambda: jts.dwithin("a", "b", 0.31).cast("double"), "(sqrt(gx * gx + gy * gy) <= 0.31)::int::double", 0),
@@ -91,23 +101,24 @@ FORMS: dict[str, tuple] = {
     "expand": (lambda: area(jts.expand("a", 0.1)), "(w + 0.2) * (h + 0.2)", 6),
     "envelope": (lambda: box_of("a", 2) - box_of("a", 0) + box_of("a", 3) - box_of("a", 1), "w + h", 6),
     "centroid": (lambda: box_of(jts.centroid("a"), 0), "x + w / 2", 6),
-    "point_on_surface": (lambda: jts.contains_properly("a", jts.point_on_surface("a")).cast("double"), "1.0", 0),
+    "point_on_surface": (lambda: box_of(jts.point_on_surface("a"), 0) - c("x") + (box_of(jts.point_on_surface("a"), 1) - c("y")) * 10, "w / 2 + h * 5", 6),
     "inscribed_circle": (lambda: jts.distance(jts.inscribed_circle("a"), jts.from_wkt(F.replace(F.replace(jts.wkt("a"), F.lit("POLYGON (("), F.lit("LINESTRING (")), F.lit("))"), F.lit(")")))), "least(w, h) / 2", 2),
-    "make_valid": (lambda: area(jts.make_valid("t")), "w * h / 2", 6),
-    "is_valid": (lambda: jts.is_valid("a").cast("double") - jts.is_valid("t").cast("double"), "1.0", 0),
-    "is_empty": (lambda: jts.is_empty(jts.difference("a", "a")).cast("double"), "1.0", 0),
-    "is_closed": (lambda: jts.is_closed("l").cast("double"), "0.0", 0),
-    "dimension": (lambda: (jts.dimension("a") * 100 + jts.dimension("l") * 10 + jts.dimension("p")).cast("double"), "210.0", 0),
-    "npoints": (lambda: (jts.npoints("a") * 10 + jts.npoints("l")).cast("double"), "53.0", 0),
-    "geometry_type": (lambda: F.length(jts.type_of("a")).cast("double"), "7.0", 0),
+    "make_valid": (lambda: area(jts.make_valid("fair")), "case when id % 2 = 0 then w * h else w * h / 2 end", 6),
+    "make_valid_linework": (lambda: area(jts.make_valid_linework("fair")) + 10 * area(jts.make_valid_linework("twice")), "case when id % 2 = 0 then w * h else w * h / 2 + 10 * w * h * 0.75 end", 6),
+    "is_valid": (lambda: jts.is_valid("fair").cast("double"), "(id % 2 = 0)::int::double", 0),
+    "is_empty": (lambda: jts.is_empty(jts.intersection("a", "b")).cast("double"), "(sx > w + 1e-9 or sy > h + 1e-9)::int::double", 0),
+    "is_closed": (lambda: jts.is_closed("bent").cast("double"), "(id % 2 = 0)::int::double", 0),
+    "dimension": (lambda: jts.dimension("any").cast("double"), "(2 - id % 3)::double", 0),
+    "npoints": (lambda: jts.npoints("any").cast("double"), "(5 - id % 3 * 2)::double", 0),
+    "geometry_type": (lambda: F.length(jts.type_of("any")).cast("double"), "case id % 3 when 0 then 7.0 when 1 then 10.0 else 5.0 end", 0),
     "dump": (lambda: F.size(jts.dump(jts.union("a", "b"))).cast("double"), "case when (sx < w + 1e-9 and sy < h - 1e-9) or (sx < w - 1e-9 and sy < h + 1e-9) then 1.0 else 2.0 end", 0),
-    "dump_points": (lambda: F.size(jts.dump_points("a")).cast("double"), "5.0", 0),
+    "dump_points": (lambda: F.size(jts.dump_points("any")).cast("double"), "(5 - id % 3 * 2)::double", 0),
     "dump_rings": (lambda: total(jts.dump_rings(jts.difference("a", "inner"))), "w * h * 1.25", 6),
     "exterior_ring": (lambda: area(jts.exterior(jts.difference("a", "inner"))), "w * h", 6),
     "make_polygon": (lambda: area(jts.polygon("a", F.array("inner"))), "w * h * 0.75", 6),
     "collection_extract": (lambda: area(jts.polygons(jts.union("a", "l"))), "w * h", 6),
-    "simplify": (lambda: jts.npoints(jts.simplify("l", 0.001)).cast("double"), "2.0", 0),
-    "simplify_vw": (lambda: jts.npoints(jts.simplify_vw("l", 0.0001)).cast("double"), "2.0", 0),
+    "simplify": (lambda: jts.npoints(jts.simplify(F.when(c("id") % 2 == 1, c("bent")), 0.025)).cast("double"), "case when id % 2 = 1 then case when id % 5 >= 3 then 3.0 else 2.0 end end", 0),
+    "simplify_vw": (lambda: jts.npoints(jts.simplify_vw(F.when(c("id") % 2 == 1, c("bent")), 0.0101)).cast("double"), "case when id % 2 = 1 then case when w * (id % 5)::double / 200.0 > 0.0101 then 3.0 else 2.0 end end", 0),
     "reduce_precision": (lambda: box_of(jts.reduce_precision("p", 0.5), 1), "floor((y + h / 2) * 2 + 0.5) / 2", 6),
     "line_interpolate_point": (lambda: box_of(jts.interpolate("l", 0.25), 0), "x + w / 4", 6),
     "segmentize": (lambda: F.when(jts.npoints(jts.segmentize_metres("l", 500.0)) >= jts.length("l") * 111195.0 / 500.0, jts.length(jts.segmentize_metres("l", 500.0))), "sqrt(w * w + h * h)", 6),

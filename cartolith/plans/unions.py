@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jts
 from ..functions.curves import cell_of, hilbert
+from ..operators.borders import simplify_shared
 from ..operators.dissolve import in_cells, union_tree
 from .catalogue import LAT, LON, points, query
 from .shapes import ring
@@ -75,3 +76,25 @@ def cut_by_cells(t):
     box = ring(c("lon"), c("lat"), (i % 13).cast("double") / 2.0 + 0.5, (i % 7).cast("double") / 2.0 + 0.5)
     x = in_cells(p.select(i.alias("id"), jts.from_wkt(box).alias("geometry")), 2.5)
     return x.select("id", "cx", "cy", F.round(jts.area("geometry"), 6).alias("area")).where("area > 1e-9")
+
+
+#: How far the middle of the border under and left of a cell of the mosaic is bent, in hundredths; beyond TOLERANCE it stays.
+UNDER, BESIDE, TOLERANCE = "(({x}) * 7 + ({y}) * 13 + 40) % 9 - 4", "(({x}) * 5 + ({y}) * 11 + 30) % 7 - 3", 0.025
+
+
+@query(f"""
+with m as (select event_id as id, event_id % 100 as x, event_id // 100 as y from events),
+b as (select id, {UNDER.format(x="x", y="y")} as u, {UNDER.format(x="x", y="y + 1")} as o, {BESIDE.format(x="x", y="y")} as l, {BESIDE.format(x="x + 1", y="y")} as r from m),
+k as (select id, case when abs(u) >= 3 then u else 0 end as u, case when abs(o) >= 3 then o else 0 end as o, case when abs(l) >= 3 then l else 0 end as l, case when abs(r) >= 3 then r else 0 end as r from b)
+select id, round(1 + (o - u + r - l)::double / 200.0, 6) as area, (5 + (u <> 0)::int + (o <> 0)::int + (l <> 0)::int + (r <> 0)::int)::bigint as vertices from k""")
+def mosaic_simplified(t):
+    """A mosaic of cells with bent borders: each border is straightened or kept on both its sides alike."""
+    e = t("events")
+    jts.register(e.sparkSession)
+    m = e.select(c("event_id").alias("id"), (c("event_id") % 100).alias("x"), F.floor(c("event_id") / 100).alias("y"))
+    bend = lambda rule, x, y: F.expr(f"cast({rule.format(x=x, y=y)} as double) / 100.0")
+    at = lambda x, y: F.concat_ws(" ", (c("x") + x).cast("string"), (c("y") + y).cast("string"))
+    corners = [at(F.lit(0.0), F.lit(0.0)), at(F.lit(0.5), bend(UNDER, "x", "y")), at(F.lit(1.0), F.lit(0.0)), at(1.0 + bend(BESIDE, "x + 1", "y"), F.lit(0.5)), at(F.lit(1.0), F.lit(1.0)), at(F.lit(0.5), 1.0 + bend(UNDER, "x", "y + 1")), at(F.lit(0.0), F.lit(1.0)), at(bend(BESIDE, "x", "y"), F.lit(0.5)), at(F.lit(0.0), F.lit(0.0))]
+    x = m.select("id", jts.from_wkt(F.concat(F.lit("POLYGON(("), F.concat_ws(",", *corners), F.lit("))"))).alias("geometry"))
+    x = simplify_shared(x, TOLERANCE)
+    return x.select("id", F.round(jts.area("geometry"), 6).alias("area"), jts.npoints("geometry").cast("long").alias("vertices"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import jts
 from ..functions.curves import cell_of, hilbert
 from ..functions.zoom import AROUND
+from ..operators.borders import with_junctions
 from ..operators.graph import cut
 from .filters import compile_filter
 
@@ -263,20 +264,23 @@ def _joined_parts(layer: str, coalesce: bool):
     return run
 
 
-def tile_layer(df: DataFrame, layer: str, min_zoom: int, max_zoom: int, attributes: list[str], filters: dict | None = None, simplify: bool = True, hilbert_order: bool = False, coalesce: bool = False, part: int = PART) -> DataFrame:
+def tile_layer(df: DataFrame, layer: str, min_zoom: int, max_zoom: int, attributes: list[str], filters: dict | None = None, simplify: bool = True, shared_borders: bool = False, hilbert_order: bool = False, coalesce: bool = False, part: int = PART) -> DataFrame:
     """Tiles of one layer: geometry in degrees, attributes as named (none: geometry alone), a JSON filter by zoom.
 
     Features of a tile stand in an order of their hash, or along a Hilbert curve over the tile; with ``coalesce``, neighbours in
-    that order with equal attributes become one.  They are clipped, written, sorted by ranges of (tile, order)
+    that order with equal attributes become one.  With ``shared_borders``, polygons are simplified along common borders alike,
+    whose parting points are found once for all zooms.  Features are clipped, written, sorted by ranges of (tile, order)
     and encoded where they lie, in parts of at most ``part`` features with dictionaries of their own; then the parts of a tile
     are joined by renumbering tags.  So a tile that holds everything is many parts, and what meets in one task is its payload.
     """
-    df = df.where(F.col("geometry").isNotNull() & ~jts.is_empty("geometry"))
+    df = df.where(F.col("geometry").isNotNull() & ~jts.is_empty("geometry")).withColumn("plane", jts.to_3857("geometry"))
+    df = with_junctions(df, "plane") if simplify and shared_borders else df.withColumn("__junctions", F.lit(None).cast("array<double>"))
     df = df.withColumn("z", F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom)))).where(compile_filter(filters, layer, F.col("z"), df.columns))
-    df = df.select("z", *attributes, jts.to_3857("geometry").alias("plane"))
+    df = df.select("z", *attributes, "plane", "__junctions")
     pixel = F.lit(AROUND) / F.pow(F.lit(2.0), F.col("z")) / EXTENT
     if simplify:
-        df = df.withColumn("plane", F.when(F.col("z") < max_zoom, jts.simplify("plane", pixel * 8)).otherwise(F.col("plane")))
+        coarse = jts.make_valid(jts.simplify_arcs("plane", "__junctions", pixel * 8)) if shared_borders else jts.simplify("plane", pixel * 8)
+        df = df.withColumn("plane", F.when(F.col("z") < max_zoom, coarse).otherwise(F.col("plane")))
     side = F.lit(AROUND) / F.pow(F.lit(2.0), F.col("z"))
     most = F.pow(F.lit(2.0), F.col("z")).cast("long") - 1
     m = side * MARGIN / EXTENT
