@@ -9,9 +9,12 @@ is share times the larger entropy: how much of a page it holds, and how much of
 * The main branch is the ``article`` or ``main`` where these hold half of the text, on the page or on average of the host.
   Outside of it all goes but branches of importance ``LEAST`` or more.  Where articles are teasers or there are none, the branch
   with most text is followed down from the body, and branches beside it go that are of less importance and look alike.
-* Elements whose role HTML itself defines (nav, footer, aside, form, header outside of an article ..) go.  Class and id are
-  hints: a branch named by such words alone (``ad``, ``cookie-notice``, ``site-header``), and readers' comments, also nested articles
-  of that name, go; ``post-header`` or ``menu-prices`` are no such names, and headings and cells are never judged by name.
+* Elements whose role HTML itself defines (nav, footer, aside, form, header outside of an article ..) go.
+* Class and id are hints where the tree has no judgement, as on hosts of few pages: there a branch named by such words alone
+  (``cookie-notice``, ``site-header``) goes; ``post-header`` or ``menu-prices`` are no such names, and paragraphs, headings, cells and
+  sections of an article with a heading of their own are never judged by name.  Readers' comments and adverts differ from page to page
+  as the text does, so the tree cannot know them: they go by name everywhere, also nested articles of that name, and comments
+  by a heading that says so.
 * What holds the main branch never goes, nor does, where no such branch has text, a form, header or unnamed branch of more than half of a page.
 
 Equal pages of a host count once; a path on fewer than ``LEAST_PAGES`` pages is judged by its own page alone.  Counts are gathered
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -54,9 +58,13 @@ COMMENT_WORD = frozenset("comment comments commentlist disqus replies reply resp
 NOISE_WORD = COMMENT_WORD | frozenset(
     "ad ads adv advert advertisement advertising adverts banner banners breadcrumb breadcrumbs consent cookie cookies footer gdpr header masthead menu menus modal nav navbar navigation newsletter notice notices notification overlay pagination popup promo promoted promotion related share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+#: What the tree cannot tell from text.
+VARIED_WORD = COMMENT_WORD | frozenset("ad ads adv advert advertisement advertising adverts sponsor sponsored promoted".split())
+COMMENT_HEADING = re.compile(r"[\W\d]*(?:comments?|replies|responses|kommentare?|antworten|commentaires?|réponses|comentarios?|respuestas)[\W\d]*", re.I)
 NEUTRAL_WORD = frozenset("area bar block bottom box container form global inner item items left link links list main outer page primary reader right secondary section site thread top user wrap wrapper".split())
-UNNAMED = frozenset("body html main h1 h2 h3 h4 h5 h6 hgroup td th tr tbody thead tfoot pre blockquote li dd dt".split())
+UNNAMED = frozenset("body html main p h1 h2 h3 h4 h5 h6 hgroup td th tr tbody thead tfoot pre blockquote li dd dt".split())
 ENDS_P = BLOCK - frozenset("body html head option".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "tbody": "tbody thead tfoot tr td th", "thead": "tbody thead tfoot", "tfoot": "tbody thead tfoot tr td th"}
 
 MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -68,12 +76,13 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Node:
     """A block: items are texts and blocks in page order; parents come before children in a page's list of nodes."""
 
-    __slots__ = ("tag", "path", "parent", "items", "gone", "role", "named", "main", "chars", "own", "digest", "holds")
+    __slots__ = ("tag", "path", "parent", "items", "gone", "role", "named", "varied", "main", "under", "chars", "own", "digest", "holds")
 
     def __init__(self, tag: str, path: bytes, parent: "Node | None"):
         self.tag, self.path, self.parent = tag, path, parent
         self.items: list = []
-        self.gone = self.role = self.named = self.main = self.holds = False
+        self.gone = self.role = self.named = self.varied = self.main = self.holds = False
+        self.under = parent is not None and (parent.main or parent.under)  # inside a main branch
         self.chars = self.own = 0
         self.digest = b""
 
@@ -92,15 +101,16 @@ def named(words: str) -> set[str]:
     return out
 
 
-def _judge(node: Node, a: dict[str, str], inside_main: bool) -> None:
+def _judge(node: Node, a: dict[str, str]) -> None:
     tag, role = node.tag, a.get("role", "").lower() if a else ""
     node.main = tag in ("article", "main") or role in ("main", "article")
-    node.role = tag in ROLE_TAG or (tag == "header" and not inside_main) or role in ROLE
+    node.role = tag in ROLE_TAG or (tag == "header" and not node.under) or role in ROLE
     if a:
         node.gone = "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(HIDDEN.search(a.get("style", "")))
         if tag not in UNNAMED:
             words = named(f"{a.get('class', '')} {a.get('id', '')}")
             node.named = bool(words if tag != "article" else words & COMMENT_WORD)
+            node.varied = bool(words & VARIED_WORD)
             node.main &= not node.named
 
 
@@ -109,9 +119,14 @@ def parse(page: str) -> list[Node]:
     root = Node("#", b"", None)
     nodes = [root]
     stack: list[tuple[str, Node, bool]] = [("#", root, False)]  # open elements, their block, and whether they are muted
+    opened: Counter[str] = Counter()
     buffer: list[str] = []
     at, end = 0, len(page)
 
+    def push(tag: str, node: Node, muted: bool) -> None:
+        stack.append((tag, node, muted))
+        opened[tag] += 1
+
     def flush() -> None:
         if buffer:
             text = " ".join(entities.unescape("".join(buffer)).split())
@@ -123,7 +138,7 @@ def parse(page: str) -> list[Node]:
         while len(stack) > depth:
             if stack[-1][0] in BLOCK:
                 flush()
-            stack.pop()
+            opened[stack.pop()[0]] -= 1
 
     for m in MARKUP.finditer(page):
         if m.start() < at:
@@ -139,7 +154,7 @@ def parse(page: str) -> list[Node]:
             if tag == "br":
                 buffer.append(" ")
                 continue
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i][0] == tag:
                     close(i)
                     break
@@ -163,9 +178,9 @@ def parse(page: str) -> list[Node]:
         a = _attributes(m[3] if m[2] else m[6])
         if tag not in BLOCK:
             hidden = bool(a) and ("hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(HIDDEN.search(a.get("style", ""))))
-            stack.append((tag, stack[-1][1], stack[-1][2] or hidden or tag in MUTED))
+            push(tag, stack[-1][1], stack[-1][2] or hidden or tag in MUTED)
             continue
-        if tag in ENDS_P:
+        if tag in ENDS_P and opened["p"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == "p":
                     close(i)
@@ -174,7 +189,7 @@ def parse(page: str) -> list[Node]:
                     break
         if tag in SIBLINGS:
             also = SIBLINGS[tag].split()
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(opened[k] for k in also) else ():
                 if stack[i][0] in also:
                     close(i)
                     if tag not in ("tr", "tbody", "tfoot"):
@@ -185,13 +200,12 @@ def parse(page: str) -> list[Node]:
         above = stack[-1][1]
         label = tag + ("." + ".".join(sorted(re.sub(r"\d{2,}", "", a["class"].lower()).split())) if a.get("class") else "")
         node = Node(tag, blake2b(above.path + label.encode("utf-8", "replace"), digest_size=8).digest(), above)
-        inside, x = False, above
-        while x is not None and not inside:
-            inside, x = x.main, x.parent
-        _judge(node, a, inside)
+        _judge(node, a)
+        if tag in HEADING and above.tag == "section" and above.under and not above.varied:
+            above.named = False
         above.items.append(node)
         nodes.append(node)
-        stack.append((tag, node, stack[-1][2]))
+        push(tag, node, stack[-1][2])
     if at < end and not stack[-1][2]:
         buffer.append(page[at:])
     flush()
@@ -200,6 +214,10 @@ def parse(page: str) -> list[Node]:
 
 def measured(nodes: list[Node]) -> list[Node]:
     """Sets of each block its characters (of all text, and of what no role or name takes out), digest, and whether it holds the main branch."""
+    for x in nodes:
+        above = x.parent
+        if x.tag in HEADING and above.tag in ("section", "div") and above.items[0] is x and COMMENT_HEADING.fullmatch(" ".join(y for y in x.items if isinstance(y, str))):
+            above.named = above.varied = True
     barred: set[int] = set()
     for x in nodes:
         if x.parent is not None and (id(x.parent) in barred or x.gone or x.named or (x.role and x.tag not in ("form", "header"))):
@@ -239,7 +257,7 @@ def extract(page: str, tree: dict[int, tuple[float, float, float]] | None = None
     """The main text of a page; tree: style entropy, content entropy and mean share of the host's paths; hints: whether names of classes count."""
     nodes = parse(page)
     root, whole = nodes[0], max(nodes[0].own, 1)
-    mains = [x for x in nodes if x.main and x.holds and not any_main(x.parent)]
+    mains = [x for x in nodes if x.main and x.holds and not x.under]
     said = any(x.own for x in mains)
     of = lambda x: (tree or {}).get(int.from_bytes(x.path, "little", signed=True))
 
@@ -253,7 +271,7 @@ def extract(page: str, tree: dict[int, tuple[float, float, float]] | None = None
             return True
         if x.holds:
             return False
-        if x.named and hints and x.chars < root.chars:
+        if x.named and hints and x.chars < root.chars and (x.varied or of(x) is None):
             return True
         if not said and (2 * x.chars > root.chars and x.tag in ("form", "header", "div", "section") or 2 * x.own > whole and not x.role):
             return False
@@ -263,7 +281,7 @@ def extract(page: str, tree: dict[int, tuple[float, float, float]] | None = None
     if mains and (2 * sum(x.own for x in mains) >= whole or 2 * sum({x.path: weighed(x)[0] for x in mains}.values()) >= 1):
         titled = any(h.tag in ("h1", "h2") for x in mains for h in below(x))
         for x in nodes:
-            if x.parent is not None and x.parent.holds and not x.holds and not any_main(x.parent):
+            if x.parent is not None and x.parent.holds and not x.holds and not x.under:
                 if weighed(x)[1] < LEAST and (titled or x.tag != "h1") or x.tag not in CONTAINER | {"h1"}:
                     beside.add(id(x))
         only = True
@@ -294,14 +312,6 @@ def extract(page: str, tree: dict[int, tuple[float, float, float]] | None = None
     return "\n\n".join(told(beside, only) or told(set(), False))
 
 
-def any_main(x: Node | None) -> bool:
-    while x is not None:
-        if x.main:
-            return True
-        x = x.parent
-    return False
-
-
 def below(x: Node):
     todo = [x]
     while todo:

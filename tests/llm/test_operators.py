@@ -504,10 +504,29 @@ def test_html_names_are_hints():
     assert html.extract("<body><form><article><p>text</p></article><input></form></body>") == "text"
     assert html.extract("<body><form><div><p>all the text of a page</p></div></form></body>") == "all the text of a page"
     assert html.extract(f"<body><article><p>teaser</p></article><div><p>{'long text ' * 30}</p></div></body>").startswith("teaser\n\nlong text")
+    for x, said in [("<p class='notice'>mind the gap</p>", "mind the gap"), ("<section id='navigation'><h2>Ways</h2><p>by sea</p></section>", "Ways\n\nby sea"), ("<section><h3>3 comments</h3><p>first!</p></section>", ""), ("<div><h4>Kommentare (2)</h4><p>erster</p></div>", ""), ("<section><h3>On comments</h3><p>they matter</p></section>", "On comments\n\nthey matter")]:
+        assert html.extract(page(x)) == "T\n\none two" + (f"\n\n{said}" if said else ""), x
+    began = time.process_time()
+    deep = "<div>" * 20_000 + "deep" + "</div>" * 20_000 + "</section>" * 20_000
+    assert html.extract(deep) == "deep" and html.extract("<b>" * 20_000 + "<li>x</em>" * 2_000).count("x") == 2_000
+    assert time.process_time() - began < 4
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     assert html.extract(deep) == "deep" and html.extract("<p>" + "word " * 200_000).count("word") == 200_000
 
 
+def test_html_the_tree_overrules_names(spark):
+    """Where a host has pages enough, what differs from page to page stays, whatever its class; comments and adverts go."""
+    rnd = random.Random(12)
+    page = lambda said, more: f"<body><article><h1>{prose(rnd, 3)}</h1><p>{prose(rnd, 60)}</p><section class='share'><p>{said}</p></section><div class='widget'>the same</div>{more}</article></body>"
+    said = [prose(rnd, 12) for _ in range(30)]
+    rows = [(i, "https://s.example/", page(x, f"<div class='advert'>{prose(rnd, 5)}</div><section class='comments'><p>{prose(rnd, 30)}</p></section>")) for i, x in enumerate(said)]
+    rows += [(100, "https://few.example/", page("share this", ""))]
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i, x in enumerate(said):
+        assert got[i].split("\n\n")[2:] == [x]
+    assert got[100].count("\n\n") == 1
+
+
 def test_html_tree_brute_force(spark):
     """Unnamed furniture and slots go by the tree alone, in articles and beside them; the tree is that of a plain count."""
     rnd = random.Random(9)
