@@ -102,6 +102,8 @@ def multipliers(sizes: DataFrame, sources: DataFrame, max_repeat: int) -> DataFr
         then = Written(s.select("idx", "source_size", "target", "n_docs", F.col("next").alias("lam"), F.abs(off).alias("gap"), "lo", "hi", "full", F.col("ends").alias("done")), "mix-dual")
         now.drop()
         now = then
+    if now.df.where("not done").limit(1).count():
+        raise RuntimeError(f"the dual has not met its gap in {STEPS} steps")
     return now.df.select("idx", F.when(~F.col("full"), F.round("lam", LAMBDA_DIGITS)).alias("lambda"))
 
 
@@ -138,8 +140,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repea
     by = by.select(*(F.col(k).alias(f"__{k}") for k in by.columns))
     x = d.join(by, d["source"].eqNullSafe(by["__source"]) & (d["size"] == by["__size"]))
     digest = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long")
-    x = x.withColumn("__cell", digest % F.col("__cells"))
-    k = F.row_number().over(Window.partitionBy("__source", "__size", "__cell").orderBy("doc_id")).cast("long")
+    x = x.withColumns({"__cell": digest % F.col("__cells"), "__th": F.xxhash64("text")})  # rows of one doc_id go by their text
+    k = F.row_number().over(Window.partitionBy("__source", "__size", "__cell").orderBy("doc_id", "__th")).cast("long")
     turn = F.col("__cell") * GOLDEN
     x = x.withColumns({"__k": k, "__phase": F.floor((turn - F.floor(turn)) * F.col("__n"))})
     upto = lambda k: F.floor((k * F.col("__dealt") + F.col("__phase")) / F.col("__n"))

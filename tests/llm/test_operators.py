@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartolith.llm import chat, decontamination, embeddings, html, minhash, mixing, quality, substrings, suffixes, toxicity
+from cartolith.llm import textnp
 from cartolith.llm.common import components
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -319,6 +320,22 @@ def test_decontamination(spark, corpus):
     assert decontamination.decontaminate(df.limit(0), none).count() == 0
 
 
+def test_mixing_ties_go_by_text(spark):
+    """Rows that share doc_id, source and size are dealt their copies by their texts, whatever the order of rows."""
+    rows = [(7, f"w{i} " * 5, "a") for i in range(30)] + [(None, f"v{i} " * 5, "a") for i in range(30)] + [(9, "z " * 900, "b")]
+    one = mixing.mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(1))
+    two = mixing.mix_sources(spark.createDataFrame(rows[::-1], "doc_id bigint, text string, source string").repartition(7))
+    of = lambda df: {r["text"]: r["copies"] for r in df.collect()}
+    assert of(one) == of(two) and len(set(of(one).values())) > 1
+
+
+def test_mixing_tells_when_the_dual_is_not_met(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 2)
+    rows = [(i, "w " * (1 + i % 17), "abc"[i % 3]) for i in range(60)]
+    with pytest.raises(RuntimeError):
+        mixing.mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+
+
 def test_mixing(spark, corpus):
     rows = [(i, t, lang, s, n) for i, t, lang, s, n in corpus] + [(200 + i, prose(random.Random(i), 40), "en", "big", None) for i in range(60)]
     df = spark.createDataFrame([*rows, rows[0]], DOCS).withColumn("size", F.lit("x")).withColumn("target", F.lit(1)).withColumn("idx", F.lit(1))
@@ -381,6 +398,62 @@ def test_quality(spark):
     assert quality.classify(df.limit(0), none).count() == 0
 
 
+def test_quality_rates_brute_force(spark):
+    """Moments, strengths and shrunk rates by plain arithmetic, for sites of many sizes, null ones among them."""
+    rnd = random.Random(14)
+    rows = []
+    for h in [None, *"abcdefghij"]:
+        lean = rnd.uniform(-3, 3)
+        for p in [None, "x", "y", "z"][: rnd.randrange(1, 5)]:
+            rows += [(h, p, rnd.gauss(lean + (p == "y"), 2) * (50 if rnd.random() < 0.02 else 1)) for _ in range(rnd.choice([1, 2, 30, 200]))]
+    df = spark.createDataFrame(rows, "source string, lang string, __evidence double")
+    got = {(r["__host"], r["__path"]): (r["__host_rate"], r["__rate"]) for r in quality.site_rates(df, "source", "lang").collect()}
+    n, good = Counter(), Counter()
+    for h, p, e in rows:
+        n[h, p] += 1
+        good[h, p] += 1 / (1 + math.exp(-min(max(e, -30), 30)))
+
+    def strength(sites):
+        """(n, good, parent rate) of sites: the prior's strength from within and between variance."""
+        inner = [q * (1 - q) for _, _, q in sites]
+        between = (sum(m * (g / m - q) ** 2 for m, g, q in sites) - sum(inner)) / sum(m for m, _, _ in sites)
+        return min(max(sum(inner) / len(inner) / max(between, 1e-9) - 1, 1.0), 1e6)
+
+    hosts = {h: (sum(v for k, v in n.items() if k[0] == h), sum(v for k, v in good.items() if k[0] == h)) for h, _ in n}
+    root = sum(g for _, g in hosts.values()) / sum(m for m, _ in hosts.values())
+    k = strength([(m, g, root) for m, g in hosts.values()])
+    host = {h: (g + k * root) / (m + k) for h, (m, g) in hosts.items()}
+    k = strength([(n[s], good[s], host[s[0]]) for s in n])
+    want = {s: (host[s[0]], (good[s] + k * host[s[0]]) / (n[s] + k)) for s in n}
+    assert set(got) == set(want) and all(got[s] == pytest.approx(want[s], abs=1e-9) for s in want)
+
+
+def test_quality_measures_brute_force():
+    """Each measure of a text by a plain count over its bytes and words."""
+    rnd = random.Random(15)
+    rng = np.random.default_rng(15)
+    odds = rng.normal(size=quality.BINS)
+    texts = ["", "A", "Ab cd Ab", "x | y | z ||", "1 22 333 ab$$ cd%% e$$", "éÉ ñ", "the the the cat", "TAB\tand\nline", *(" ".join(rnd.choice(["Foo", "bar", "b|z", "q9", "z##", "é"]) for _ in range(rnd.randrange(90))) for _ in range(40))]
+    raw = [t.encode() for t in texts]
+    offs = np.cumsum([0, *map(len, raw)])
+    got = quality.measures(np.frombuffer(b"".join(raw), np.uint8), offs, odds)
+    symbols = b"#$%&*!@^~+=<>{}[]\\_"
+
+    def bin_of(w):
+        b = np.frombuffer(w.lower(), np.uint8)
+        return int(quality.bins_of(textnp.Quick(textnp.codes(21, lower=True)[b]).of(np.array([0]), np.array([len(b)])))[0])
+
+    for b, row in zip(raw, got, strict=True):
+        w, size = b.split(), max(len(b), 1)
+        of = max(len(w), 1)
+        upper = sum(65 <= x < 91 for x in b)
+        letters = upper + sum(97 <= x < 123 or x >= 128 for x in b)
+        mark = lambda x: len(x) >= 3 and x[-1] in symbols and x[-2] in symbols
+        want = [math.log1p(len(b)) / 12, upper / max(letters, 1), sum(x in symbols for x in b) / size, b.count(b"|") / of, sum(48 <= x < 58 for x in b) / size]
+        want += [sum(p.lower() == q.lower() for p, q in zip(w, w[1:])) / of, sum(map(mark, w)) / of, min(sum(map(len, w)) / of / 20, 2), len({x.lower() for x in w}) / of, sum(odds[bin_of(x)] for x in w) / of]
+        assert row == pytest.approx(want, abs=1e-9), b
+
+
 def test_toxicity_decoder():
     counts = np.zeros((64, 64, 64))
     for w in ["idiot", "stupid", "loser", "moron", "the", "then", "other"] * 50:
