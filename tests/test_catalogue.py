@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from cartolith.plans import catalogue, maps, shapes, unions  # noqa: F401
+from cartolith.plans import catalogue, maps, maps_land, shapes, unions  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
