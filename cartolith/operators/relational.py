@@ -67,3 +67,18 @@ def numbered(df: DataFrame, order: list[Column], name: str = "rn") -> DataFrame:
     parts = s.groupBy("__part").agg(F.count("*").alias("n"))  # as many rows as partitions
     before = parts.select("__part", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     return s.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__at")).drop("__part", "__before", "__at")
+
+
+def looked_up(df: DataFrame, column: str, table: DataFrame, name: str) -> DataFrame:
+    """Adds the code of a column's value: of the patterns that match it, case ignored, the first one's (spelling, code); else that
+    of its exact spelling; else null.  ``table``: spelling, code, is_pattern.
+
+    Values are looked up once each, not once a row: patterns meet the distinct values, spellings are an equi-join.
+    """
+    values = df.select(F.col(column).alias("__value")).where(f"`{column}` is not null").distinct()
+    patterns = table.where("is_pattern").select("spelling", "code").distinct()
+    hit = values.join(patterns, F.expr("__value ilike spelling")).groupBy(F.col("__value").alias("__hit")).agg(F.min(F.struct("spelling", "code"))["code"].alias("__first"))
+    exact = table.where("not is_pattern").groupBy(F.col("spelling").alias("__said")).agg(F.min("code").alias("__exact"))
+    codes = values.join(hit, F.col("__value") == F.col("__hit"), "left").join(exact, F.col("__value") == F.col("__said"), "left")
+    codes = codes.select("__value", F.coalesce("__first", "__exact").alias(name))
+    return df.join(codes, F.col(column) == F.col("__value"), "left").drop("__value")

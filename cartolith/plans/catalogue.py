@@ -151,9 +151,12 @@ def json_field(t):
     return t("events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-@query("select 7::bigint as id, 'fixed' as kind")
+@query("select n_regionkey as region, n_nationkey as id, n_name as name, 'listed' as kind from nation union all select r_regionkey, -1, 'all of ' || r_name, 'fixed' from region")
 def constant_row(t):
-    return t("region").sparkSession.range(1).select(F.lit(7).cast("long").alias("id"), F.lit("fixed").alias("kind"))
+    """A row written out by hand for each region, beside those of the table."""
+    fixed = t("region").select(c("r_regionkey").alias("region"), F.lit(-1).cast(t("nation").schema["n_nationkey"].dataType).alias("id"), F.concat(F.lit("all of "), c("r_name")).alias("name"), F.lit("fixed").alias("kind"))
+    listed = t("nation").select(c("n_regionkey").alias("region"), c("n_nationkey").alias("id"), c("n_name").alias("name"), F.lit("listed").alias("kind"))
+    return listed.unionByName(fixed)
 
 
 # ---- top rows and windows
@@ -241,6 +244,21 @@ def group_top_bucket(t):
     return rel.distinct_on(g, ["l_partkey"], [c("q").desc(), c("l_returnflag")]).select("l_partkey", "l_returnflag", F.round("q", 2).alias("q"))
 
 
+CODES = "select p_brand as spelling, 'brand of ' || min(p_size) as code, false as is_pattern from part group by p_brand union all select left(n_name, 2) || '%', 'nation ' || min(n_nationkey), true from nation group by left(n_name, 2)"
+
+
+@query(f"""
+with codes as ({CODES}), said as (select p_partkey, case when p_partkey % 3 = 0 then p_brand when p_partkey % 3 = 1 then lower(p_name) else p_type end as said from part)
+select p_partkey, coalesce((select arg_min(code, spelling) from codes where is_pattern and said ilike spelling), (select min(code) from codes where not is_pattern and said = spelling)) as code from said""")
+def lookup_lateral(t):
+    """Codes by the first pattern that matches, else by the exact spelling."""
+    brands = t("part").groupBy(c("p_brand").alias("spelling")).agg(F.concat(F.lit("brand of "), F.min("p_size").cast("string")).alias("code")).withColumn("is_pattern", F.lit(False))
+    nations = t("nation").groupBy(F.concat(F.left("n_name", F.lit(2)), F.lit("%")).alias("spelling")).agg(F.concat(F.lit("nation "), F.min("n_nationkey").cast("string")).alias("code")).withColumn("is_pattern", F.lit(True))
+    k = c("p_partkey") % 3
+    p = t("part").select("p_partkey", F.when(k == 0, c("p_brand")).when(k == 1, F.lower("p_name")).otherwise(c("p_type")).alias("said"))
+    return rel.looked_up(p, "said", brands.unionByName(nations), "code").select("p_partkey", "code")
+
+
 @query("select p_brand, count(distinct p_type)::bigint as n_types, min(p_size)::bigint as lo, max(p_size)::bigint as hi, round(avg(p_retailprice), 4) as mean from part group by p_brand having count(*) > 1")
 def grouped_summary(t):
     return t("part").groupBy("p_brand").agg(F.countDistinct("p_type").cast("long").alias("n_types"), F.min("p_size").cast("long").alias("lo"), F.max("p_size").cast("long").alias("hi"), F.round(F.avg("p_retailprice"), 4).alias("mean"), n_().alias("n")).where("n > 1").drop("n")
@@ -508,8 +526,11 @@ def polyline_length(t):
 
 @query(f"with p as ({PTS}), s as (select user_id, lon, lat, lead(lon) over w as x2, lead(lat) over w as y2, first_value(lon) over w as x0, first_value(lat) over w as y0 from p window w as (partition by user_id order by id rows between unbounded preceding and unbounded following)) select user_id, round(abs(sum(lon * coalesce(y2, y0) - coalesce(x2, x0) * lat)) / 2, 6) as area from s group by user_id")
 def shoelace_area(t):
-    pts = F.array_sort(F.collect_list(F.struct("event_id", c("lon").alias("x"), c("lat").alias("y"))))
-    return points(t).groupBy("user_id").agg(pts.alias("p")).select("user_id", F.round(geo.ring_area(c("p")), 6).alias("area"))
+    """Each corner meets the next one, the last the first: two window functions, no list of corners."""
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    after = lambda k: F.coalesce(F.lead(k).over(w), F.first(k).over(w))
+    x = points(t).select("user_id", (c("lon") * after("lat") - after("lon") * c("lat")).alias("d"))
+    return x.groupBy("user_id").agg(F.round(F.abs(F.sum("d")) / 2, 6).alias("area"))
 
 
 @query(f"select event_id from events where not ({LON} between -1 and 1 and {LAT} between -1 and 1)")

@@ -28,9 +28,10 @@ c = F.col
 class Catalog:
     """Tables by name, from a reader; layers by name, each built once."""
 
-    def __init__(self, spark: SparkSession, reader: Callable[[str], DataFrame] | str):
+    def __init__(self, spark: SparkSession, reader: Callable[[str], DataFrame] | str, runway_surfaces: DataFrame | None = None):
+        """``runway_surfaces``: the deployment's table of surface codes (spelling, code, is_pattern); without it, ordered rules."""
         jts.register(spark)
-        self.spark, self._made = spark, {}
+        self.spark, self._made, self.runway_surfaces = spark, {}, runway_surfaces
         self._read = (lambda name: spark.read.parquet(f"{reader}/{name}.parquet")) if isinstance(reader, str) else reader
 
     def __call__(self, name: str) -> DataFrame:
@@ -210,26 +211,42 @@ def _alike(of: Column, words: list[str]) -> Column:
     return reduce(lambda w, x: (F if w is None else w).when(tx.similar(of, F.lit(x)), x), words, None)
 
 
-def railway_normalized(cat) -> DataFrame:
-    r = cat("osm_railway_linestring").where(~c("is_area"))
-    service, usage, gauge = F.lower("service"), F.lower("usage"), c("gauge")
+def spelling(df: DataFrame, of: str, name: str, kind) -> DataFrame:
+    """Adds a column worked out once for each distinct value of another: for what is costly a row, and has few values."""
+    values = df.select(c(of).alias("__of")).distinct().select("__of", kind(c("__of")).alias(name))
+    return df.join(values, c(of).eqNullSafe(c("__of")), "left").drop("__of")
+
+
+def railway_service(said: Column) -> Column:
+    said = F.lower(said)
+    siding = tx.similar(said, F.lit("siding")) | tx.similar(said, F.lit("siting"))
+    return F.when(siding, "siding").otherwise(_alike(said, ["spur", "crossover", "yard"]))
+
+
+def railway_usage(said: Column) -> Column:
+    low = F.lower(said)
+    main = F.when(tx.similar(low, F.lit("main")) & (low != "maintenance"), "main")
+    main = main.when(tx.similar(low, F.lit("tourism")) | tx.similar(low, F.lit("tourist")), "tourism").otherwise(tx.blank_to_null(said, True))
+    return F.coalesce(_alike(low, ["siding", "spur", "crossover", "yard", "branch", "industrial"]), main)
+
+
+def railway_normalized(r: DataFrame) -> DataFrame:
+    """The rails with their normalised columns n_* beside the others; spellings are compared once for each value."""
+    r = spelling(spelling(r, "service", "n_service", railway_service), "usage", "n_usage", railway_usage)
+    gauge = c("gauge")
     powered = ~(c("electrified").isin("FIXME", "no", "NO", "unknown") | (c("electrified").isNull() & ~c("subclass").isin("tram", "monorail", "subway", "light_rail", "funicular")))
-    siding = tx.similar(service, F.lit("siding")) | tx.similar(service, F.lit("siting"))
-    used = F.when(_alike(usage, ["siding", "spur", "crossover", "yard", "branch", "industrial"]).isNotNull(), _alike(usage, ["siding", "spur", "crossover", "yard", "branch", "industrial"]))
     return r.select(
-        c("osm_id").alias("__osm_id"), tg.lifecycle_type(c("class"), c("subclass"), c("tags"), "railway").alias("n_lifecycle_type"),
+        "*", tg.lifecycle_type(c("class"), c("subclass"), c("tags"), "railway").alias("n_lifecycle_type"),
         F.when(c("subclass").isin("narrow_gauge", "miniature"), "narrow").when(gauge.isNull() | gauge.isin("railway", "rail", "unknown", "no", "standard") | gauge.ilike("14%"), "standard")
         .when(gauge.isin("wide", "broad") | gauge.rlike(r"^(15|16|17|18|19|2\d{3})"), "broad").otherwise("narrow").alias("n_gauge"),
         F.when(powered, 1).otherwise(0).alias("n_electrified"),
         F.when(c("tracks").isin("1", "single", "tram", "monorail") | tx.blank_to_null(c("tracks"), True).isNull(), "single").otherwise("multiple").alias("n_tracks"),
-        F.when(siding, "siding").otherwise(_alike(service, ["spur", "crossover", "yard"])).alias("n_service"),
-        F.coalesce(used, F.when(tx.similar(usage, F.lit("main")) & (usage != "maintenance"), "main").when(tx.similar(usage, F.lit("tourism")) | tx.similar(usage, F.lit("tourist")), "tourism").otherwise(tx.blank_to_null(c("usage"), True))).alias("n_usage"),
     )
 
 
 @layer
 def rail_line(cat):
-    r = cat("osm_railway_linestring").where(~c("is_area")).join(railway_normalized(cat), c("osm_id") == c("__osm_id"), "left")
+    r = railway_normalized(cat("osm_railway_linestring").where(~c("is_area")))
     r = r.where(~F.coalesce("n_lifecycle_type", F.lit("intact")).isin("abandoned", "proposed", "planned"))
     parts = [
         F.when(c("n_service").isNull(), "railway").otherwise("sidetrack"), F.when(c("n_lifecycle_type") == "intact", "intact").otherwise("not-intact"),
@@ -667,8 +684,9 @@ def us_military_installations_label(cat):
 
 # ---- aeroways
 
-# Runway surface codes, by what the lower-case text is or begins with, first match wins.  Spellings that no
-# rule knows stay as they are.
+# Runway surface codes, by what the lower-case text is or begins with, first match wins: in place of the table
+# of spellings, which has over 200 entries and is a parameter.  The rules agree with it on its spellings; they also know
+# spellings near those, which the table leaves as they are.
 RUNWAY_RULES = [
     ("^alum", "ALUM-DECK"),
     ("asphalt", "ASP"),
@@ -738,7 +756,11 @@ def airport_label(cat):
     several = (c("long") == c("n")) | ((c("n") > 1) & (((c("long") == 1) & (c("medium") >= 1)) | (c("medium") > 1)))
     category = F.when(large, 1).when(several, 2).when((c("n") >= 1) & (c("long") == 0) & (c("medium") == 1), 3).otherwise(4)
     a = a.join(k, c("airport_id") == c("__id"), "left").withColumns({"category": category, "rank": F.when(c("type") == "closed", 2).otherwise(1)})
-    a = a.withColumn("runway_surface", F.coalesce(tx.first_match(F.lower("runway_surface"), RUNWAY_RULES, F.lit(None).cast("string")), "runway_surface"))
+    if cat.runway_surfaces is not None:
+        a = rel.looked_up(a, "runway_surface", cat.runway_surfaces, "__code")
+        a = a.withColumn("runway_surface", F.coalesce("__code", "runway_surface")).drop("__code")
+    else:
+        a = a.withColumn("runway_surface", F.coalesce(tx.first_match(F.lower("runway_surface"), RUNWAY_RULES, F.lit(None).cast("string")), "runway_surface"))
     a = rel.distinct_on(a, ["airport_id"], [F.coalesce("runway_length_ft", F.lit(-1)).desc(), c("runway_le_ident").asc_nulls_last(), c("osm_id_runway").asc_nulls_last()])
     return a.drop("__id", "long", "medium", "n").where(~c("type").isin("heliport") & ~tx.any_ilike(c("name"), ["%helicopter%", "%helipad%", "%heliport%"]))
 

@@ -167,6 +167,16 @@ def test_runway_surfaces(spark):
     assert [tuple(r) for r in d.collect() if r["got"] != r["code"]] == []
 
 
+def test_runway_surfaces_by_table(spark):
+    """With a table, only what it lists is recoded: patterns first, then exact spellings."""
+    from cartolith.operators import relational as rel
+
+    table = spark.createDataFrame([("ALUM%", "ALUM-DECK", True), ("%asphalt%", "ASP", True), ("TURF-F", "GRE", False), ("Turf", "TURF", False), ("asphalt?", "no", False)], "spelling string, code string, is_pattern boolean")
+    said = [("Aluminium", "ALUM-DECK"), ("old ASPHALT", "ASP"), ("asphalt?", "ASP"), ("TURF-F", "GRE"), ("Turf", "TURF"), ("turf", None), ("Turf over sand", None), (None, None), ("Turf", "TURF")]
+    got = rel.looked_up(spark.createDataFrame(said, "s string, want string"), "s", table, "code")
+    assert sorted((str(r["s"]), str(r["code"])) for r in got.collect()) == sorted((str(a), str(b)) for a, b in said)
+
+
 def test_roads(cat):
     r = {x["osm_id"]: x for x in rows(cat, "road_line")}
     assert set(r) == {1, 2, 4}
