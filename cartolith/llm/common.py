@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: Largest table, in bytes of Parquet, that is broadcast after its size was measured.
 BROADCAST_BYTES = 4 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows handed to a Python worker at once: texts are long.
+BATCH_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,12 +45,17 @@ class Written:
         self.spark = df.sparkSession
         self.path = f"{scratch(self.spark)}/cartolith-{label}-{uuid.uuid4().hex}"
         self.schema = df.schema
-        before = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")  # what this write shuffled is deleted when it is done
+        rows = int(self.spark.conf.get(BATCH, "10000"))
+        # what this write shuffled is deleted when it is done
+        own = {CLEANUP: "true", BATCH: str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)}
+        before = {k: self.spark.conf.get(k, None) for k in own}
+        for k, v in own.items():
+            self.spark.conf.set(k, v)
         try:
             df.write.parquet(self.path)
         finally:
-            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
         self.df = self.spark.read.schema(self.schema).parquet(self.path)
 
     def bytes(self) -> int:
