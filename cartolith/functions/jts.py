@@ -3,8 +3,9 @@
 ``CartolithGeometry.java`` is compiled once per session by the bundled Janino compiler, added as a jar and registered
 as JVM functions ``ct_<name>``; no Python runs per row.  Coordinates are lon, lat degrees unless said otherwise.
 
-Known bounds: ``area_spheroid`` maps latitudes to the authalic sphere and takes edges as great circles there, within 0.1 %
-for features under 1000 km; ``buffer_metres`` and ``segmentize_metres`` use the local scale, within 1 % for features under
+Known bounds: ``area_spheroid`` takes edges as geodesics of the ellipsoid, with points every ten kilometres, and sums on the authalic
+sphere; ``*_spheroid`` lengths and distances are geodesic (NaN between nearly opposite points), the nearest points of lines and areas
+are those of a plane scaled to their latitude; ``*_metres`` are on the sphere; ``buffer_metres`` and ``segmentize_metres`` use the local scale, within 1 % for features under
 100 km; ``make_valid`` is the structure method and ``make_valid_linework`` the even-odd one, areas only; ``simplify_vw`` takes an area;
 ``simplify_arcs`` takes x and y of the junctions in turn.
 """
@@ -22,15 +23,15 @@ from pyspark.sql import types as T
 
 B, D, L, I, S = T.BinaryType(), T.DoubleType(), T.ArrayType(T.BinaryType()), T.IntegerType(), T.StringType()
 FUNCTIONS = (
-    dict.fromkeys("area area_mercator area_sphere area_spheroid length perimeter length_mercator distance distance_metres".split(), D)
+    dict.fromkeys("area area_mercator area_sphere area_spheroid length perimeter length_mercator length_spheroid distance distance_metres distance_spheroid".split(), D)
     | dict.fromkeys("from_wkt union_all to_3857 from_3857 to_3395 to_4087 make_valid make_valid_linework point_on_surface centroid polygons exterior inscribed_circle union_grid point polygon simplify_vw simplify buffer_metres reduce_precision interpolate segmentize_metres expand intersection difference union buffer simplify_arcs".split(), B)
-    | dict.fromkeys("is_valid is_empty is_closed intersects contains contains_properly overlaps dwithin dwithin_metres".split(), T.BooleanType())
+    | dict.fromkeys("is_valid is_empty is_closed intersects contains contains_properly overlaps dwithin dwithin_metres dwithin_spheroid".split(), T.BooleanType())
     | dict.fromkeys("dump dump_points dump_rings subdivide".split(), L)
     | {"dimension": I, "npoints": I, "type": S, "wkt": S, "bbox": T.ArrayType(D), "ring_vertices": T.ArrayType(T.ArrayType(D))}
 )
 
-TWO = frozenset("union_grid point polygon simplify_vw simplify buffer_metres reduce_precision subdivide interpolate segmentize_metres expand intersects contains contains_properly overlaps distance distance_metres intersection difference union".split())
-THREE = frozenset("dwithin dwithin_metres buffer simplify_arcs".split())
+TWO = frozenset("union_grid point polygon simplify_vw simplify buffer_metres reduce_precision subdivide interpolate segmentize_metres expand intersects contains contains_properly overlaps distance distance_metres distance_spheroid intersection difference union".split())
+THREE = frozenset("dwithin dwithin_metres dwithin_spheroid buffer simplify_arcs".split())
 
 
 def register(spark: SparkSession) -> None:

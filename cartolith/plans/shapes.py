@@ -70,6 +70,9 @@ R, MEAN, E = 6378137.0, 6371008.8, math.sqrt(0.00669437999014)
 MERCATOR = lambda y: f"ln(tan(pi() / 4 + radians({y}) / 2)) * {R}"
 BELT = lambda y: f"2 * atan2(tan(radians(w) / 2) * 2 * tan(radians({y}) / 2), 1 + pow(tan(radians({y}) / 2), 2))"
 HAV = f"2 * {MEAN} * asin(sqrt(pow(sin(radians(h) / 2), 2) + cos(radians(y)) * cos(radians(y + h)) * pow(sin(radians(w) / 2), 2)))"
+#: Length of the meridian from the equator, by the series in the third flattening.
+N3 = 0.0016792203863837
+MERIDIAN = lambda f: f"(6367449.14582342 * ({f} - {1.5 * N3 - 9 * N3**3 / 16} * sin(2 * {f}) + {15 * N3**2 / 16 - 15 * N3**4 / 32} * sin(4 * {f}) - {35 * N3**3 / 48} * sin(6 * {f}) + {315 * N3**4 / 512} * sin(8 * {f})))"
 both = lambda: F.array("a", "b")
 
 #: Name of the query: value in Spark (columns need a session, so they are made when a query runs), value in SQL, decimals.
@@ -96,6 +99,10 @@ FORMS: dict[str, tuple] = {
     "dwithin": (lambda: jts.dwithin("a", "b", 0.31).cast("double"), "(sqrt(gx * gx + gy * gy) <= 0.31)::int::double", 0),
     "distance_metres": (lambda: jts.distance_metres(jts.point(c("x"), c("y")), jts.point(c("x") + c("w"), c("y") + c("h"))), HAV, 2),
     "dwithin_metres": (lambda: jts.dwithin_metres(jts.point(c("x"), c("y")), jts.point(c("x") + c("w"), c("y") + c("h")), 100_000.0).cast("double"), f"({HAV} <= 100000.0)::int::double", 0),
+    "distance_spheroid": (lambda: jts.distance_spheroid(jts.point(c("x"), F.lit(0.0)), jts.point(c("x") + c("w"), F.lit(0.0))) + jts.distance_spheroid(jts.point(c("x"), c("y")), jts.point(c("x"), c("y") + c("h"))), f"radians(w) * 6378137.0 + {MERIDIAN('radians(y + h)')} - {MERIDIAN('radians(y)')}", 2),
+    "length_spheroid": (lambda: jts.length_spheroid(jts.from_wkt(F.concat(F.lit("LINESTRING("), F.concat_ws(" ", "x", "y"), F.lit(","), F.concat_ws(" ", c("x").cast("string"), (c("y") + c("h")).cast("string")), F.lit(")")))), f"{MERIDIAN('radians(y + h)')} - {MERIDIAN('radians(y)')}", 2),
+    "dwithin_spheroid": (lambda: jts.dwithin_spheroid(jts.point(c("x"), c("y")), jts.point(c("x"), c("y") + c("h")), 100_000.0).cast("double"), f"({MERIDIAN('radians(y + h)')} - {MERIDIAN('radians(y)')} <= 100000.0)::int::double", 0),
+    "area_spheroid": (lambda: jts.area_spheroid(jts.from_wkt(F.concat(F.lit("POLYGON(("), F.concat_ws(" ", "x", F.lit("0")), F.lit(","), F.concat_ws(" ", (c("x") + c("w")).cast("string"), F.lit("0")), F.lit(","), F.concat_ws(" ", "x", F.lit("90")), F.lit(","), F.concat_ws(" ", "x", F.lit("0")), F.lit("))")))) / 1e6, "radians(w) * 6371007.1809 * 6371007.1809 / 1e6", 0),
     "buffer": (lambda: area(jts.buffer("p", 0.5, 4)), "2 * sin(pi() / 8)", 6),
     "buffer_metres": (lambda: area(jts.to_3857(jts.buffer_metres(jts.point(0.0, c("y")), 20.0))) * F.pow(F.cos(F.radians("y")), 2), "400 * 16 * sin(pi() / 16)", 3),
     "expand": (lambda: area(jts.expand("a", 0.1)), "(w + 0.2) * (h + 0.2)", 6),

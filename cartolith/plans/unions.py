@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,9 @@ from ..functions import jts
 from ..functions.curves import cell_of, hilbert
 from ..operators.borders import simplify_shared
 from ..operators.dissolve import in_cells, union_tree
-from .catalogue import LAT, LON, points, query
+from ..operators.graph import shared_folder
+from ..tiles.flatgeobuf import read_flatgeobuf, write_flatgeobuf
+from .catalogue import BOX, LAT, LON, boxes, points, query
 from .shapes import ring
 
 c = F.col
@@ -98,3 +102,19 @@ def mosaic_simplified(t):
     x = m.select("id", jts.from_wkt(F.concat(F.lit("POLYGON(("), F.concat_ws(",", *corners), F.lit("))"))).alias("geometry"))
     x = simplify_shared(x, TOLERANCE)
     return x.select("id", F.round(jts.area("geometry"), 6).alias("area"), jts.npoints("geometry").cast("long").alias("vertices"))
+
+
+#: What is read back of the written features.
+WINDOW = (-30.0, -20.0, 60.0, 45.0)
+
+
+@query(f"{BOX} select id, round((xmax - xmin) * (ymax - ymin), 6) as area from a where xmin <= {WINDOW[2]} and xmax >= {WINDOW[0]} and ymin <= {WINDOW[3]} and ymax >= {WINDOW[1]}")
+def flatgeobuf_by_box(t):
+    """Features written to FlatGeobuf files, and those read back that meet a box, by the files' own trees."""
+    b = boxes(t)
+    spark = b.sparkSession
+    jts.register(spark)
+    path = f"{shared_folder(spark)}/cartolith-features-{uuid.uuid4().hex}"
+    shape = ring(c("xmin"), c("ymin"), c("xmax") - c("xmin"), c("ymax") - c("ymin"))
+    write_flatgeobuf(b.select("id", jts.from_wkt(shape).alias("geometry")), path)
+    return read_flatgeobuf(spark, path, WINDOW).select("id", F.round(jts.area("geometry"), 6).alias("area"))
