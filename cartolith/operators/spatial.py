@@ -176,8 +176,8 @@ def within_metres(left: DataFrame, right: DataFrame, reach: float, exact: Column
 
 # ---- nearest neighbours
 
-#: Rows that a cell should hold where the search starts.
-FEW = 2
+#: Rows that a cell should hold where the search starts, at least.
+FEW = 1
 #: What rounding may take from a distance.
 SLACK = 1e-8
 
@@ -216,7 +216,7 @@ def nearest(left: DataFrame, right: DataFrame, key: str, by: list[str] | None =
         d = F.sqrt(dx * dx + dy * dy)
         on = same("a", "b") & reduce(lambda s, t: s & t, (c(f"a.{k}") == c(f"b.{k}") for k in ("k", "cx", "cy")))
         met = look.join(at, on if exact is None else on & exact).groupBy(c(f"a.{key}").alias("__key"))
-        met = met.agg(F.min(F.struct(F.round(d, digits).alias("r"), c("b.id").alias("id"), d.alias("d"))).alias("best"))
+        met = met.agg(F.min(F.struct(F.floor(d * 10.0**digits + 0.5).alias("r"), c("b.id").alias("id"), d.alias("d"))).alias("best"))
         x = todo.join(met, c(key) == c("__key"), "left").drop("__key")
         side = F.pow(F.lit(2.0), c("k"))
         into = lambda v: c(v) / side - F.floor(c(v) / side)
