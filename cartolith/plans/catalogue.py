@@ -17,7 +17,7 @@ from ..functions import text as tx
 from ..functions import tiles as tl
 from ..functions import zoom as zm
 from ..operators import relational as rel
-from ..operators import spatial
+from ..operators import clusters, spatial
 from ..operators.graph import connected_components, sums_to_root
 from ..tiles.filters import compile_filter
 
@@ -468,6 +468,33 @@ def bbox_left(t):
     return spatial.grid_join(boxes(t), boxes(t), 2.0, exact=OTHER(), how="left").select("a.id", c("b.id").alias("other"))
 
 
+def _steps(pairs: str, rounds: int = 14) -> str:
+    """Labels of clusters by taking over the least label of neighbours, round by round."""
+    return f"""u as materialized ({pairs}), r(step, id, lab) as (select 0, id, id from a union all
+  select step + 1, id, least(lab, coalesce(low, lab)) from (select r.step, r.id, any_value(r.lab) as lab, min(n.lab) as low from r left join u on u.a = r.id left join r n on n.id = u.b where r.step < {rounds} group by r.step, r.id))
+select id, lab as cluster from r where step = {rounds}"""
+
+
+TYPED = BOX.replace("select event_id as id", "select event_id as id, event_type").replace("with a as", "with recursive a as")
+
+
+@query(f"{TYPED}, {_steps(f'select a.id as a, b.id as b from a join a b on {TOUCH} where a.id <> b.id and a.event_type = b.event_type')}")
+def cluster_touching(t):
+    """Boxes labelled by the cluster of touching ones of their type."""
+    b = boxes(t).join(t("events").select(c("event_id").alias("id"), "event_type"), "id")
+    return clusters.labelled(b, "id", ["event_type"]).select("id", "cluster")
+
+
+GAP = "greatest(greatest(a.xmin - b.xmax, b.xmin - a.xmax), 0.0)", "greatest(greatest(a.ymin - b.ymax, b.ymin - a.ymax), 0.0)"
+
+
+@query(f"{BOX.replace('with a as', 'with recursive a as')}, {_steps(f'select a.id as a, b.id as b from a join a b on a.xmin - 0.25 <= b.xmax and a.xmax + 0.25 >= b.xmin and a.ymin - 0.25 <= b.ymax and a.ymax + 0.25 >= b.ymin where a.id <> b.id and {GAP[0]} * {GAP[0]} + {GAP[1]} * {GAP[1]} <= 0.0625', 24)}")
+def cluster_within(t):
+    """Boxes labelled by the cluster of those at most a quarter of a degree apart."""
+    gap = lambda k: F.greatest(c(f"a.{k}min") - c(f"b.{k}max"), c(f"b.{k}min") - c(f"a.{k}max"), F.lit(0.0))
+    return clusters.labelled(boxes(t), "id", within=0.25, exact=gap("x") * gap("x") + gap("y") * gap("y") <= 0.0625).select("id", "cluster")
+
+
 HAV = "2 * 6371008.8 * asin(least(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)), 1.0))"
 PTS = f"select event_id as id, {LON} as lon, {LAT} as lat, event_type, user_id from events"
 REACH = 150_000
@@ -558,12 +585,16 @@ with a as (select event_id as id, user_id, event_id % 1000 as lo, event_id % 100
 s as (select a.id, coalesce(sum(case when b.id is not null then greatest(least(a.hi, b.hi) - greatest(a.lo, b.lo), 0) end), 0) as covered from a left join b on a.user_id = b.user_id and b.lo < a.hi and b.hi > a.lo and a.id <> b.id group by a.id)
 select id, covered::bigint as covered from s where covered <= 0.6 * 20""")
 def coverage_fraction_filter(t):
-    e = t("events")
-    a = e.select(c("event_id").alias("id"), "user_id", (c("event_id") % 1000).alias("lo"), (c("event_id") % 1000 + 20).alias("hi")).alias("a")
-    b = e.select(c("event_id").alias("id"), "user_id", (c("event_id") * 7 % 1000).alias("lo"), (c("event_id") * 7 % 1000 + 10).alias("hi")).alias("b")
-    x = a.join(b, (c("a.user_id") == c("b.user_id")) & (c("b.lo") < c("a.hi")) & (c("b.hi") > c("a.lo")) & OTHER(), "left")
-    common = F.when(c("b.id").isNotNull(), F.greatest(F.least("a.hi", "b.hi") - F.greatest("a.lo", "b.lo"), F.lit(0)))
-    g = x.groupBy("a.id").agg(F.coalesce(F.sum(common), F.lit(0)).cast("long").alias("covered"))
+    """Intervals meet in bins as wide as the widest, in the one where the later of both begins; so a user of many intervals is
+    many small groups."""
+    wide, e = 20, t("events")
+    of = lambda lo, n: e.select(c("event_id").alias("id"), "user_id", lo.alias("lo"), (lo + n).alias("hi"))
+    a, b = of(c("event_id") % 1000, 20), of(c("event_id") * 7 % 1000, 10)
+    bins = lambda x: x.withColumn("bin", F.explode(F.sequence(F.floor(c("lo") / wide), F.floor((c("hi") - 1) / wide))))
+    on = (c("a.user_id") == c("b.user_id")) & (c("a.bin") == c("b.bin")) & (c("a.bin") == F.floor(F.greatest("a.lo", "b.lo") / wide))
+    x = bins(a).alias("a").join(bins(b).alias("b"), on & (c("b.lo") < c("a.hi")) & (c("b.hi") > c("a.lo")) & OTHER())
+    g = x.groupBy(c("a.id").alias("of")).agg(F.sum(F.least("a.hi", "b.hi") - F.greatest("a.lo", "b.lo")).alias("covered"))
+    g = a.select("id").join(g, c("id") == c("of"), "left").select("id", F.coalesce("covered", F.lit(0)).cast("long").alias("covered"))
     return g.where(c("covered") <= 0.6 * 20)
 
 
