@@ -244,11 +244,11 @@ def group_top_bucket(t):
     return rel.distinct_on(g, ["l_partkey"], [c("q").desc(), c("l_returnflag")]).select("l_partkey", "l_returnflag", F.round("q", 2).alias("q"))
 
 
-CODES = "select p_brand as spelling, 'brand of ' || min(p_size) as code, false as is_pattern from part group by p_brand union all select left(n_name, 2) || '%', 'nation ' || min(n_nationkey), true from nation group by left(n_name, 2)"
+SPELLINGS = "select p_brand as spelling, 'brand of ' || min(p_size) as code, false as is_pattern from part group by p_brand union all select left(n_name, 2) || '%', 'nation ' || min(n_nationkey), true from nation group by left(n_name, 2)"
 
 
 @query(f"""
-with codes as ({CODES}), said as (select p_partkey, case when p_partkey % 3 = 0 then p_brand when p_partkey % 3 = 1 then lower(p_name) else p_type end as said from part)
+with codes as ({SPELLINGS}), said as (select p_partkey, case when p_partkey % 3 = 0 then p_brand when p_partkey % 3 = 1 then lower(p_name) else p_type end as said from part)
 select p_partkey, coalesce((select arg_min(code, spelling) from codes where is_pattern and said ilike spelling), (select min(code) from codes where not is_pattern and said = spelling)) as code from said""")
 def lookup_lateral(t):
     """Codes by the first pattern that matches, else by the exact spelling."""
