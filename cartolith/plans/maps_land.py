@@ -167,9 +167,10 @@ put("ocean_polygon", SEA, ["subclass", "z_level", "ground"], f"select 'ocean' as
 
 # ---- containment: three boxes inside each other, and apart from the next three
 
-_NEST = {"x": "event_id / 3 % 600 * 0.5 - 150.0", "y": "event_id / 1800 * 0.5 - 80.0"}
-_NEST = {k: v.replace("event_id / 3", "cast(floor(event_id / 3) as bigint)").replace("event_id / 1800", "cast(floor(event_id / 1800) as bigint)") for k, v in _NEST.items()}
-NEST = {"x": f"{_NEST['x']} + event_id % 3 * 0.05", "y": f"{_NEST['y']} + event_id % 3 * 0.05", "w": "0.4 - event_id % 3 * 0.1", "h": "0.4 - event_id % 3 * 0.1"}
+NEST = {
+    "x": "cast(floor(event_id / 3) as bigint) % 600 * 0.5 - 150.0 + event_id % 3 * 0.05", "y": "cast(floor(event_id / 1800) as bigint) * 0.5 - 80.0 + event_id % 3 * 0.05",
+    "w": "0.4 - event_id % 3 * 0.1", "h": "0.4 - event_id % 3 * 0.1",
+}
 GRAVES = {"osm_landuse_polygon": Made(NAMES | {"class": "'landuse'", "subclass": pick("cemetery", "Old Graveyard", "grave_yard", "farm", by=1)}, tags={"religion": pick("", "none")}, **NEST)}
 _IN = "exists (select 1 from k b where b.id // 3 = a.id // 3 and b.id < a.id)"
 _GRAVE = f"with k as (select * from {GRAVES['osm_landuse_polygon'].rows()} where subclass <> 'farm') select osm_id, {NAME}, class, subclass, nullif(tag_religion, '') as religion, 0::int as contained, {KM2}"
