@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 4 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows handed to a Python worker at once: texts are long.
 BATCH_ROWS = 2000
 
@@ -32,6 +34,19 @@ def scratch(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+@contextmanager
+def set_to(spark: SparkSession, own: dict[str, str]):
+    """Settings for what runs inside; the former ones come back."""
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
@@ -39,23 +54,21 @@ def _fs(spark: SparkSession, path: str):
 
 
 class Written:
-    """A DataFrame written as Parquet into the scratch folder: lineage ends here and survives lost executors."""
+    """A DataFrame written as Parquet into the scratch folder: lineage ends here and survives lost executors.
+    ``group_bytes``: row groups of about that size, for tables of large rows, which are written and read a row group at a time."""
 
-    def __init__(self, df: DataFrame, label: str):
+    def __init__(self, df: DataFrame, label: str, group_bytes: int | None = None):
         self.spark = df.sparkSession
         self.path = f"{scratch(self.spark)}/cartolith-{label}-{uuid.uuid4().hex}"
         self.schema = df.schema
         rows = int(self.spark.conf.get(BATCH, "10000"))
         # what this write shuffled is deleted when it is done
         own = {CLEANUP: "true", BATCH: str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)}
-        before = {k: self.spark.conf.get(k, None) for k in own}
-        for k, v in own.items():
-            self.spark.conf.set(k, v)
-        try:
-            df.write.parquet(self.path)
-        finally:
-            for k, v in before.items():
-                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
+        with set_to(self.spark, own):
+            w = df.write
+            if group_bytes:
+                w = w.option("parquet.block.size", group_bytes).option("parquet.block.size.row.check.min", 4).option("parquet.page.size.row.check.min", 4)
+            w.parquet(self.path)
         self.df = self.spark.read.schema(self.schema).parquet(self.path)
 
     def bytes(self) -> int:

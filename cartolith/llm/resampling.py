@@ -25,8 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp as tn
-from .common import Written, numbered, table
+from .common import BYTES, Written, numbered, set_to, table
 
+#: Bytes of a row group of blocks and of a batch of them: a block is large, and readers and workers hold many rows at once.
+GROUP = 8 << 20
+BATCH_BYTES = 16 << 20
 BLOCK = "doc_id array<bigint>, words array<bigint>, starts array<bigint>, bucket array<int>, count array<int>"
 
 
@@ -61,7 +64,7 @@ def _counted(buckets: int, n: int):
 def count_matrix(docs: DataFrame, buckets: int, n: int, label: str, key: str = "doc_id") -> DataFrame:
     """(key, text) -> blocks of compressed sparse rows, written: row keys, words of each row, starts of rows, buckets, counts."""
     d = docs.select(F.col(key).cast("long").alias("doc_id"), "text")
-    return Written(d.mapInArrow(_counted(buckets, n), BLOCK), label).df
+    return Written(d.mapInArrow(_counted(buckets, n), BLOCK), label, GROUP).df
 
 
 def _flat(batch, name: str) -> np.ndarray:
@@ -115,6 +118,11 @@ def _weighed(gain: np.ndarray):
 
 def importance_resample(docs: DataFrame, target: DataFrame, percent: int = 25, buckets: int = 10000, n: int = 2, least_words: int = 20, seed: int = 7, target_key: str = "item_id") -> DataFrame:
     """doc_id, words, n_features, weight, score, rank: one row per row of docs; rank is null where it is not drawn."""
+    with set_to(docs.sparkSession, {BYTES: str(BATCH_BYTES)}):
+        return _resampled(docs, target, percent, buckets, n, least_words, seed, target_key)
+
+
+def _resampled(docs: DataFrame, target: DataFrame, percent: int, buckets: int, n: int, least_words: int, seed: int, target_key: str) -> DataFrame:
     matrix = count_matrix(docs, buckets, n, "matrix")
     gain = gains(column_sums(matrix, buckets), column_sums(count_matrix(target, buckets, n, "target", target_key), buckets))
     x = matrix.mapInArrow(_weighed(gain), "doc_id bigint, words bigint, n_features bigint, weight bigint")

@@ -235,3 +235,21 @@ def test_manifest_brute_force(spark, shape, monkeypatch):
 def test_manifest_of_no_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, source string, leaf binary, now binary")
     assert merkle.manifest(none).count() == 0 and merkle.manifest(none).columns[0] == "doc_id"
+
+
+def test_matrix_is_read_in_bounded_pieces(spark, monkeypatch):
+    """Blocks are large rows: row groups and batches are bounded by bytes, not by rows alone."""
+    import pyarrow.parquet as pq
+
+    from cartolith.llm.common import BYTES
+
+    seen, gains = [], resampling.gains
+    monkeypatch.setattr(resampling, "GROUP", 1 << 18)
+    monkeypatch.setattr(resampling, "gains", lambda *x: seen.append(spark.conf.get(BYTES)) or gains(*x))
+    docs = spark.range(0, 600, 1, 1).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2000)), lambda i: F.hex(i * 7919 + F.col("id"))), " ").alias("text"))
+    before = spark.conf.get(BYTES, None)
+    matrix = resampling.count_matrix(docs, 10000, 2, "matrix")
+    sizes = [g.total_byte_size for f in matrix.inputFiles() for m in [pq.read_metadata(f.removeprefix("file:"))] for g in map(m.row_group, range(m.num_row_groups))]
+    assert sum(sizes) > 2 << 20 and max(sizes) < 1 << 20, sizes
+    assert resampling.importance_resample(docs, docs.limit(3).withColumnRenamed("doc_id", "item_id")).count() == 600
+    assert seen == [str(resampling.BATCH_BYTES)] and spark.conf.get(BYTES, None) == before
