@@ -81,3 +81,11 @@ def test_relational(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 30) if i != 14], "a bigint, b bigint")
     got = {r["id"]: r["component"] for r in connected_components(nodes, edges).collect()}
     assert got == {i: 0 if i < 15 else 15 if i < 31 else i for i in range(40)}
+
+
+def test_mercator_beyond_the_poles(spark):
+    """No image beyond a pole, as the formula says, rather than an area of nothing; at the pole it is held just off it."""
+    box = lambda y: jts.from_wkt(F.lit(f"POLYGON((0 {y},1 {y},1 {y + 0.4},0 {y + 0.4},0 {y}))"))
+    assert all(math.isnan(one(spark, jts.area_mercator(box(y)))) for y in (89.8, 90.5, -91.0, 200.0))
+    assert one(spark, jts.area_mercator(box(360.0))) == pytest.approx(one(spark, jts.area_mercator(box(0.0))))
+    assert 0 < one(spark, jts.area_mercator(box(-90.0))) < 1e15 and 0 < one(spark, jts.area_mercator(box(89.6))) < 1e15
