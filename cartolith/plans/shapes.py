@@ -35,8 +35,13 @@ def i3() -> Column:
     return c("id") % 3
 
 
+def dealt(e: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores: a file of a few MB is one task, and its rows are seconds of geometry."""
+    return e.repartition(int(e.sparkSession.conf.get("spark.sql.shuffle.partitions")), "event_id")
+
+
 def shapes(t) -> DataFrame:
-    e = t("events")
+    e = dealt(t("events").select("event_id"))
     jts.register(e.sparkSession)
     i = c("event_id")
     s = e.select(

@@ -39,3 +39,28 @@ def test_lengths(spark):
     # a line and an area: across a meridian at 60 degrees north
     assert one(spark, jts.distance_spheroid(shape("LINESTRING(10 59,10 61)"), shape("POLYGON((10.1 59.9,11 59.9,11 60.1,10.1 60.1,10.1 59.9))"))) == pytest.approx(5580, rel=0.005)
     assert one(spark, jts.dwithin_spheroid(shape("POINT(0 0)"), shape("POINT(0 1)"), 110574.4)) and not one(spark, jts.dwithin_spheroid(shape("POINT(0 0)"), shape("POINT(0 1)"), 110574.3))
+
+
+def test_long_edges_cost_little(spark):
+    """A quarter of a hemisphere needs few points along its edges, not one every ten kilometres."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    jts.register(spark)
+
+    def seconds(top):
+        x = spark.range(0, 3000, 1, 1).select(jts.area_spheroid(jts.from_wkt(F.format_string("POLYGON((%1$d 0,%2$d 0,%1$d " + top + ",%1$d 0))", F.col("id") % 90, F.col("id") % 90 + 1))).alias("a"))
+        start = time.time()
+        assert x.agg(F.min("a")).first()[0] > 0
+        return time.time() - start
+
+    seconds("0.01")
+    assert seconds("90") < 1 + 3 * seconds("0.01")
+
+
+def test_areas_of_oblique_edges_add_up(spark):
+    """A triangle of edges of thousands of kilometres, against its pieces of a tenth of a degree along the equator."""
+    whole = one(spark, jts.area_spheroid(shape("POLYGON((0 0,70 0,20 65,0 0))")))
+    parts = "POLYGON((0 0," + ",".join(f"{i / 10} 0" for i in range(1, 701)) + ",20 65,0 0))"
+    assert whole == pytest.approx(one(spark, jts.area_spheroid(shape(parts))), rel=1e-10)
