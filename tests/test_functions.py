@@ -85,7 +85,16 @@ def test_relational(spark):
 
 def test_mercator_beyond_the_poles(spark):
     """No image beyond a pole, as the formula says, rather than an area of nothing; at the pole it is held just off it."""
+    jts.register(spark)
     box = lambda y: jts.from_wkt(F.lit(f"POLYGON((0 {y},1 {y},1 {y + 0.4},0 {y + 0.4},0 {y}))"))
     assert all(math.isnan(one(spark, jts.area_mercator(box(y)))) for y in (89.8, 90.5, -91.0, 200.0))
     assert one(spark, jts.area_mercator(box(360.0))) == pytest.approx(one(spark, jts.area_mercator(box(0.0))))
     assert 0 < one(spark, jts.area_mercator(box(-90.0))) < 1e15 and 0 < one(spark, jts.area_mercator(box(89.6))) < 1e15
+
+
+def test_inscribed_circle_of_a_rectangle(spark):
+    """The middle, without a search whose answer is near it."""
+    jts.register(spark)
+    box = jts.from_wkt(F.lit("POLYGON((1 2,8.3 2,8.3 3.7,1 3.7,1 2))"))
+    assert one(spark, jts.wkt(jts.inscribed_circle(box))) == "POINT (4.65 2.85)"
+    assert one(spark, jts.distance(jts.inscribed_circle(jts.from_wkt(F.lit("POLYGON((0 0,4 0,2 4,0 0))"))), jts.point(2.0, 1.236068))) < 0.02
