@@ -115,3 +115,45 @@ def test_nearest_at_any_distance(spark):
     one = spark.createDataFrame([(1, 3.0, 3.0, "a")], POINT)
     assert [(r["nearest"], r["distance"]) for r in spatial.nearest(one, one, "id").collect()] == [(1, 0.0)]
     assert spatial.nearest(none, one, "id").count() == 0
+
+
+def test_small_boxes_climb_only_where_wide_ones_stand(spark):
+    """The cells of the few widest boxes are known, so others do not climb into the empty ones."""
+    a = spark.createDataFrame([(0, 0.0, 0.0, 60.0, 60.0)], BOX)
+    b = spark.range(500).select(F.col("id").cast("int").alias("id"), (-170.0 + F.col("id") * 0.5).alias("xmin"), F.lit(10.0).alias("ymin")).selectExpr("*", "xmin + 0.25 as xmax", "ymin + 0.25 as ymax")
+    _, y = spatial.cells_of_pairs(a, b)
+    wide = y.where("__tag = 0").groupBy("__k").count().orderBy(F.desc("__k")).first()
+    assert wide["count"] < 200
+    assert spatial.grid_join(a, b).count() == b.where("xmax >= 0 and xmin <= 60").count()
+
+
+def test_pairs_are_never_broadcast(spark):
+    """A table of a few kB may have many cells: its side of the join is shuffled; a left join moves no pairs."""
+    b = spark.createDataFrame(mixed_boxes(50, -2, 3), BOX)
+    for how in ("inner", "left", "left_semi"):
+        plan = spatial.grid_join(b, b, how=how)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("strategy=merge") >= 2, how
+
+
+def test_clusters_of_a_crowd_make_few_edges(spark):
+    """Two thousand boxes over one place: labels as by hand, and edges by the box, not by the pair."""
+    from cartolith.operators import clusters
+
+    rnd = random.Random(8)
+    rows = [(i, x := rnd.uniform(0, 3), y := rnd.uniform(0, 3), x + rnd.uniform(0.2, 1), y + rnd.uniform(0.2, 1)) for i in range(1, 600)]
+    rows += [(1000 + i, 10.0 + i, 0.0, 10.9 + i, 0.1) for i in range(20)] + [(2000 + i, 50.0 + i, 0.0, 51.0 + i, 0.01) for i in range(20)]
+    df = spark.createDataFrame(rows, BOX)
+    group = list(range(len(rows)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, p in enumerate(rows):
+        for j in range(i):
+            q = rows[j]
+            if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4] and top(i) != top(j):
+                group[max(top(i), top(j))] = min(top(i), top(j))
+    assert {r["id"]: r["cluster"] for r in clusters.labelled(df, "id").collect()} == {p[0]: rows[top(i)][0] for i, p in enumerate(rows)}
+    assert clusters._stars(df, "id", []).count() < 9 * len(rows)
