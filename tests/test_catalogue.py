@@ -56,3 +56,15 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_pairs_of_few_groups_are_dealt(spark):
+    """The self join has its own number of tasks, which adaptive execution does not join up; flags come from semi joins."""
+    import __spark_entry__ as e
+
+    sf = "/root/testdata/sf0.001"
+    plan = lambda q: e.queries()[q](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert plan("null_safe_self_join").count(f"], {tasks}") >= 2
+    flags = plan("overlap_contained_flags")
+    assert flags.count("LeftSemi") == 4 and "max(" not in flags  # in cells, then of the rows
