@@ -63,10 +63,6 @@ def in_cells(df: DataFrame, size: float, vertices: int = 1024) -> DataFrame:
     level = F.lit(0)
     cells = lambda lo, hi: F.sequence(index(c(lo) / size, level), index(c(hi) / size, level))
     x = jts.with_box(x).withColumn("cx", F.explode(cells("xmin", "xmax"))).withColumn("cy", F.explode(cells("ymin", "ymax")))
-    inside = (c("xmin") >= c("cx") * size) & (c("xmax") <= (c("cx") + 1) * size) & (c("ymin") >= c("cy") * size) & (c("ymax") <= (c("cy") + 1) * size)
-    corner = lambda i, j: F.concat_ws(" ", ((c("cx") + i) * F.lit(size)).cast("string"), ((c("cy") + j) * F.lit(size)).cast("string"))
-    frame = jts.from_wkt(F.concat(F.lit("POLYGON(("), F.concat_ws(",", corner(0, 0), corner(1, 0), corner(1, 1), corner(0, 1), corner(0, 0)), F.lit("))")))
-    cut_off = jts.intersection("geometry", frame)  # of areas that only touch the cell, points and lines are left: these go
-    cut_off = F.when(jts.dimension("geometry") == 2, jts.polygons(cut_off)).otherwise(cut_off)
-    x = x.withColumn("geometry", F.when(inside, c("geometry")).otherwise(cut_off))
-    return x.where(~jts.is_empty("geometry")).drop("xmin", "ymin", "xmax", "ymax")
+    box = F.array(c("cx") * size, c("cy") * size, (c("cx") + 1) * size, (c("cy") + 1) * size)
+    part = F.filter(F.array(jts.clip("geometry", box)), lambda g: g.isNotNull() & ~jts.is_empty(g))  # exploded, else each later filter would cut again
+    return x.withColumn("geometry", F.explode(part)).drop("xmin", "ymin", "xmax", "ymax")

@@ -14,7 +14,7 @@ from ..operators.dissolve import in_cells, union_tree
 from ..operators.graph import shared_folder
 from ..tiles.flatgeobuf import read_flatgeobuf, write_flatgeobuf
 from .catalogue import BOX, LAT, LON, boxes, points, query
-from .shapes import ring
+from .shapes import dealt, ring
 
 c = F.col
 
@@ -74,7 +74,7 @@ select id, cx, cy, round((least(x1, (cx + 1) * 2.5) - greatest(x0, cx * 2.5)) *
 where least(x1, (cx + 1) * 2.5) - greatest(x0, cx * 2.5) > 1e-9 and least(y1, (cy + 1) * 2.5) - greatest(y0, cy * 2.5) > 1e-9""")
 def cut_by_cells(t):
     """Boxes cut along the lines of a grid."""
-    p = points(t)
+    p = points(lambda name: dealt(t(name).select("event_id")))
     jts.register(p.sparkSession)
     i = c("event_id")
     box = ring(c("lon"), c("lat"), (i % 13).cast("double") / 2.0 + 0.5, (i % 7).cast("double") / 2.0 + 0.5)

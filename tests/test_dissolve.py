@@ -81,3 +81,19 @@ def test_sums_to_root(spark):
     assert graph.sums_to_root(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         graph.sums_to_root(spark.createDataFrame([(1, 2, 1), (2, 3, 1), (3, 1, 1)], "id long, parent long, value int"))
+
+
+def test_cells_cut_each_geometry_once(spark):
+    """One call a cell, below the explode, so that no filter cuts again; borders that only touch leave nothing, and a rectangle gives what the overlay gives."""
+    jts.register(spark)
+    wkt = ["POLYGON((0.5 0.5,5 0.5,5 3,0.5 3,0.5 0.5))", "POLYGON((0.5 0.5,5 0.5,5 3,3 3.1,0.5 3,0.5 0.5))", "LINESTRING(1 1,5 1)", "POINT(2 2)", "POLYGON((0 0,2 0,2 2,0 2,0 0))"]
+    df = spark.createDataFrame(list(enumerate(wkt)), "id int, wkt string").select("id", jts.from_wkt("wkt").alias("geometry"))
+    x = dissolve.in_cells(df, 2.0)
+    kept = x.select("id", "cx", "cy", jts.area("geometry").alias("area"), jts.length("geometry").alias("length")).where("area >= 0")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ct_clip(") == 1 and "ct_intersection" not in plan
+    rows = {(r["id"], r["cx"], r["cy"]): (round(r["area"], 6), round(r["length"], 6)) for r in kept.collect()}
+    assert {k[1:]: v[0] for k, v in rows.items() if k[0] == 0} == {(0, 0): 2.25, (1, 0): 3.0, (2, 0): 1.5, (0, 1): 1.5, (1, 1): 2.0, (2, 1): 1.0}
+    assert sum(v[0] for k, v in rows.items() if k[0] == 1) == pytest.approx(11.475, abs=1e-5)
+    assert {k: v[1] for k, v in rows.items() if k[0] == 2} == {(2, 0, 0): 1.0, (2, 1, 0): 2.0, (2, 2, 0): 1.0}
+    assert [k for k in rows if k[0] == 3] == [(3, 1, 1)] and {k: v for k, v in rows.items() if k[0] == 4} == {(4, 0, 0): (4.0, 0.0)}
