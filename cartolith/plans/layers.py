@@ -19,7 +19,7 @@ from ..functions.zoom import bucket
 from ..operators import relational as rel
 from ..operators import spatial
 from ..operators.dissolve import in_cells, union_tree
-from ..operators.graph import connected_components
+from ..operators.graph import connected_components, cut
 
 LAYERS: dict[str, Callable] = {}
 c = F.col
@@ -320,10 +320,13 @@ def ocean_polygon(cat):
 @layer
 def water_polygon(cat):
     """Surfaces by level of their area, and touching surfaces merged for the last level: pairs, components, union."""
-    w = water_surface(cat).where(~c("subclass").isin(OPEN_SEA) & c("geometry").isNotNull() & ~jts.is_empty("geometry"))
-    src = w.select("osm_id", jts.make_valid(jts.reduce_precision("geometry", 0.000001)).alias("geometry")).where(~jts.is_empty("geometry"))
-    boxed = jts.with_box(src)
+    w = water_surface(cat).where(~c("subclass").isin(OPEN_SEA)).select("osm_id", "water_type", "geometry")
+    w = cut(w, "surfaces").where(c("geometry").isNotNull() & ~jts.is_empty("geometry"))  # written, else each later step would mend them again
+    src = w.select("osm_id", jts.make_valid(jts.reduce_precision("geometry", 0.000001)).alias("geometry"))
+    boxed = cut(jts.with_box(src), "snapped").where(~jts.is_empty("geometry"))
+    src = boxed.select("osm_id", "geometry")
     pairs = spatial.grid_join(boxed, boxed, 1.0, (c("a.osm_id") < c("b.osm_id")) & jts.intersects("a.geometry", "b.geometry")).select(c("a.osm_id").alias("a"), c("b.osm_id").alias("b")).distinct()
+    pairs = cut(pairs, "touching")  # read twice
     parts = connected_components(pairs.select(c("a").alias("id")).union(pairs.select("b")), pairs)
     merged = union_tree(src.join(parts, c("osm_id") == c("id")), ["component"], 0.000001)
     merged = dumped(merged, jts.make_valid("geometry")).where((jts.dimension("geometry") == 2) & ~jts.is_empty("geometry"))

@@ -98,3 +98,15 @@ def test_inscribed_circle_of_a_rectangle(spark):
     box = jts.from_wkt(F.lit("POLYGON((1 2,8.3 2,8.3 3.7,1 3.7,1 2))"))
     assert one(spark, jts.wkt(jts.inscribed_circle(box))) == "POINT (4.65 2.85)"
     assert one(spark, jts.distance(jts.inscribed_circle(jts.from_wkt(F.lit("POLYGON((0 0,4 0,2 4,0 0))"))), jts.point(2.0, 1.236068))) < 0.02
+
+
+def test_rectangles_by_their_corners(spark):
+    """A rectangle is rounded and kept as the overlay and the search would, whose results a fifth vertex on a side asks for."""
+    jts.register(spark)
+    plain = jts.from_wkt(F.lit("POLYGON((1.23456789 2,1.3 2,1.3 2.7654321,1.23456789 2.7654321,1.23456789 2))"))
+    more = jts.from_wkt(F.lit("POLYGON((1.23456789 2,1.25 2,1.3 2,1.3 2.7654321,1.23456789 2.7654321,1.23456789 2))"))
+    for f in (jts.reduce_precision, jts.simplify):
+        assert one(spark, jts.bbox(f(plain, 0.001))) == one(spark, jts.bbox(f(more, 0.001))) and one(spark, jts.area(f(plain, 0.001))) == pytest.approx(one(spark, jts.area(f(more, 0.001))))
+    flat = jts.from_wkt(F.lit("POLYGON((1 2,1.3 2,1.3 2.0001,1 2.0001,1 2))"))
+    assert one(spark, jts.is_empty(jts.reduce_precision(flat, 0.001))) and one(spark, jts.npoints(jts.simplify(flat, 0.001))) < 5
+    assert one(spark, jts.npoints(jts.simplify(flat, 0.00001))) == 5

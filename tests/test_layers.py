@@ -266,3 +266,9 @@ def test_borders(cat):
     assert [x["iso_2"] for x in rows(cat, "adm1_line")] == ["Z"]
     pct = {r["cc2"]: r["pct"] for r in layers_land.border_coincidence(cat).collect()}
     assert 49 < pct["E"] < 52
+
+
+def test_water_is_mended_once(cat):
+    """Surfaces are written when they are mended and snapped: no later step holds the calls again."""
+    plan = cat.layer("water_polygon")._jdf.queryExecution().optimizedPlan().toString()
+    assert "ct_reduce_precision(" not in plan and "ct_simplify(" not in plan
