@@ -211,7 +211,7 @@ def within_metres(left: DataFrame, right: DataFrame, reach: float, exact: Column
 # ---- nearest neighbours
 
 #: Rows that a cell should hold where the search starts, at least.
-FEW = 1
+FEW = 3
 #: What rounding may take from a distance.
 SLACK = 1e-8
 
@@ -220,11 +220,12 @@ def nearest(left: DataFrame, right: DataFrame, key: str, by: list[str] | None =
     """(key, nearest, distance) for each left row: the right row of equal ``by`` columns that is nearest in the plane, of those
     equal in ``digits`` decimals the one of least id; null where there is none, at whatever distance.
 
-    ``left`` has ``key`` (unique), x, y; ``right`` has id, x, y.  Expanding rings: a row looks at the nine cells around
-    it.  If its best lies nearer than all that is outside them, the row leaves; else it comes again in the next round, with
-    cells that hold its best's circle, or twice as wide ones where it has met nothing.  Rows start where a cell holds about
-    ``few`` right rows: by the extent of the group, and by the count of the cell where that is more crowded.  So
-    the pairs that are looked at grow with the rows, each round is written, and a round has an aggregate, not a window.
+    ``left`` has ``key`` (unique), x, y; ``right`` has id, x, y.  Expanding rings: a row looks at its own cell.  If its best lies
+    nearer than the cell's border, the row leaves; else it comes once more, with the cells that the circle of its best
+    meets (nine at most, mostly two), or in a cell twice as wide where it has met nothing.  Cells as wide as the group are the
+    last, and there the nine around hold all.  Rows start where a cell holds about ``few`` right rows: by the extent of the
+    group, and by the count of the cell where that is more crowded.  So the pairs that are looked at and the rows that
+    move grow with the rows, each round is written, and a round has an aggregate, not a window.
     ``exact`` restricts pairs of the aliases a and b.
     """
     by = by or []
@@ -240,10 +241,11 @@ def nearest(left: DataFrame, right: DataFrame, key: str, by: list[str] | None =
     full = cut(full.withColumn("down", F.floor(F.log2(c("n") / few) / 2).cast("int")), "crowded")
     todo = placed(a.where("x is not null and y is not null")).alias("d")
     todo = todo.join(full.alias("f"), same("d", "f") & (c("d.cx") == c("f.cx")) & (c("d.cy") == c("f.cy")), "left")
-    todo = cut(todo.select(*(f"d.{k}" for k in [key, *by, "x", "y", "top"]), F.greatest(c("d.k") - F.coalesce("f.down", F.lit(0)), F.lit(FINEST)).alias("k")), "todo")
+    todo = cut(todo.select(*(f"d.{k}" for k in [key, *by, "x", "y", "top"]), F.greatest(c("d.k") - F.coalesce("f.down", F.lit(0)), F.lit(FINEST)).alias("k"), F.lit(None).cast("double").alias("reach")), "todo")
     done = []
     while levels := [r[0] for r in todo.select("k").distinct().collect()]:
-        around = lambda v: F.sequence(index(c(v), c("k")) - 1, index(c(v), c("k")) + 1)
+        wide = F.when(c("k") >= c("top"), F.pow(F.lit(2.0), c("k"))).otherwise(F.coalesce("reach", F.lit(0.0)))
+        around = lambda v: F.sequence(index(c(v) - wide, c("k")), index(c(v) + wide, c("k")))
         look = todo.withColumn("cx", F.explode(around("x"))).withColumn("cy", F.explode(around("y"))).alias("a")
         at = b.withColumn("k", F.explode(F.array(*map(F.lit, levels)))).withColumns({"cx": index(c("x"), c("k")), "cy": index(c("y"), c("k"))}).alias("b")
         dx, dy = c("b.x") - c("a.x"), c("b.y") - c("a.y")
@@ -254,11 +256,12 @@ def nearest(left: DataFrame, right: DataFrame, key: str, by: list[str] | None =
         x = todo.join(met, c(key) == c("__key"), "left").drop("__key")
         side = F.pow(F.lit(2.0), c("k"))
         into = lambda v: c(v) / side - F.floor(c(v) / side)
-        sure = side * (1 + F.least(into("x"), 1 - into("x"), into("y"), 1 - into("y")))
-        x = cut(x.withColumn("settled", (F.coalesce(c("best.d") + SLACK <= sure, F.lit(False))) | (c("k") >= c("top"))), "round")
+        sure = side * F.least(into("x"), 1 - into("x"), into("y"), 1 - into("y"))
+        x = cut(x.withColumn("settled", (F.coalesce(c("best.d") + SLACK <= sure, F.lit(False))) | c("reach").isNotNull() | (c("k") >= c("top"))), "round")
         done.append(x.where("settled").select(key, c("best.id").alias("nearest"), c("best.d").alias("distance")))
-        further = F.greatest(c("k") + 1, F.coalesce(level_of(c("best.d") + 2 * SLACK), c("k")))
-        todo = x.where("not settled").select(key, *by, "x", "y", "top", F.least(further, F.greatest("top", c("k") + 1)).alias("k"))
+        reach = c("best.d") + 2 * SLACK
+        further = F.when(reach.isNull(), c("k") + 1).otherwise(F.greatest(c("k"), level_of(reach)))
+        todo = x.where("not settled").select(key, *by, "x", "y", "top", F.least(further, F.greatest("top", c("k") + 1)).alias("k"), reach.alias("reach"))
     found = reduce(DataFrame.unionByName, done) if done else None
     every = left.select(key)
     if found is None:

@@ -117,6 +117,17 @@ def test_nearest_at_any_distance(spark):
     assert spatial.nearest(none, one, "id").count() == 0
 
 
+def test_nearest_moves_a_row_once_or_twice(spark, monkeypatch):
+    """Points on a lattice: a first look is at one cell a row, and the second, at the cells of the best's circle, is the last."""
+    todo = []
+    monkeypatch.setattr(spatial, "cut", lambda df, label, real=spatial.cut: (todo.append((label, real(df, label))), todo[-1][1])[1])
+    p = spark.createDataFrame([(i, float(i % 30) + 0.3, float(i // 30) + 0.3, "a") for i in range(900)], POINT)
+    got = spatial.nearest(p, p, "id", exact=F.col("a.id") != F.col("b.id")).collect()
+    assert {round(r["distance"], 9) for r in got} == {1.0} and len(got) == 900
+    first, *then = [df for label, df in todo if label == "round"]
+    assert len(then) <= 1 and "reach" in first.columns and first.where("reach is not null").count() == 0
+
+
 def test_small_boxes_climb_only_where_wide_ones_stand(spark):
     """The cells of the few widest boxes are known, so others do not climb into the empty ones."""
     a = spark.createDataFrame([(0, 0.0, 0.0, 60.0, 60.0)], BOX)
