@@ -7,7 +7,7 @@ Known bounds: ``area_spheroid`` takes edges as geodesics of the ellipsoid, with
 sphere; ``*_spheroid`` lengths and distances are geodesic (NaN between nearly opposite points), the nearest points of lines and areas
 are those of a plane scaled to their latitude; ``*_metres`` are on the sphere; ``buffer_metres`` and ``segmentize_metres`` use the local scale, within 1 % for features under
 100 km; ``make_valid`` is the structure method and ``make_valid_linework`` the even-odd one, areas only; ``simplify_vw`` takes an area;
-``simplify_arcs`` takes x and y of the junctions in turn; ``clip`` takes xmin, ymin, xmax and ymax of a box.
+``simplify_arcs`` takes x and y of the junctions in turn; ``clip`` takes xmin, ymin, xmax and ymax of a box; ``hilbert`` takes x, y and order, as that of ``curves``.
 """
 
 from __future__ import annotations
@@ -27,11 +27,11 @@ FUNCTIONS = (
     | dict.fromkeys("from_wkt union_all to_3857 from_3857 to_3395 to_4087 make_valid make_valid_linework point_on_surface centroid polygons exterior inscribed_circle union_grid point polygon simplify_vw simplify buffer_metres reduce_precision interpolate segmentize_metres expand intersection difference union buffer simplify_arcs clip".split(), B)
     | dict.fromkeys("is_valid is_empty is_closed intersects contains contains_properly overlaps dwithin dwithin_metres dwithin_spheroid".split(), T.BooleanType())
     | dict.fromkeys("dump dump_points dump_rings subdivide".split(), L)
-    | {"dimension": I, "npoints": I, "type": S, "wkt": S, "bbox": T.ArrayType(D), "ring_vertices": T.ArrayType(T.ArrayType(D))}
+    | {"hilbert": T.LongType(), "dimension": I, "npoints": I, "type": S, "wkt": S, "bbox": T.ArrayType(D), "ring_vertices": T.ArrayType(T.ArrayType(D))}
 )
 
 TWO = frozenset("union_grid point polygon simplify_vw simplify buffer_metres reduce_precision subdivide interpolate segmentize_metres expand intersects contains contains_properly overlaps distance distance_metres distance_spheroid intersection difference union clip".split())
-THREE = frozenset("dwithin dwithin_metres dwithin_spheroid buffer simplify_arcs".split())
+THREE = frozenset("hilbert dwithin dwithin_metres dwithin_spheroid buffer simplify_arcs".split())
 
 
 def register(spark: SparkSession) -> None:

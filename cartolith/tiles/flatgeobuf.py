@@ -1,8 +1,9 @@
 """FlatGeobuf files by Spark's data source interface: a file per task, each with a packed Hilbert R-tree of its own.
 
 ``write_flatgeobuf`` sorts the rows by ranges of their place on a Hilbert curve, so that neighbours lie in one file and beside each other
-in it.  A task encodes its features into a spool, keeps a box and an offset of each, and then lays header, tree and features down
-as one file, under another name until all tasks are done.  ``read_flatgeobuf`` with a box opens the files whose envelope it
+in it.  A task encodes its features into a spool, those of one layout (points, properties that are null, their lengths) at once,
+keeps a box and a size of each, and then lays header, tree and features down as one file, under another name until all tasks are
+done.  ``read_flatgeobuf`` with a box opens the files whose envelope it
 meets, walks their trees and reads only the features that may meet it.  Files are opened by pyarrow's file systems, so the
 path can be any that these know.  Rows without geometry, or with an empty one, are left out, since a tree has no place for
 them; collections are not supported.
@@ -24,7 +25,8 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from ..functions import jts
-from ..functions.curves import cell_of, hilbert
+from ..functions.curves import cell_of
+from ..operators.graph import cut
 from .mvt import parts
 
 # The format's first bytes, types of columns and geometries.
@@ -114,6 +116,10 @@ class View:
         at = self._place(slot)
         return at + struct.unpack_from("<I", self.raw, at)[0] if at else 0
 
+    def begin(self, slot: int) -> int:
+        """Where the values of an array begin."""
+        return self._target(slot) + 4
+
     def array(self, slot: int, how: str) -> np.ndarray:
         at = self._target(slot)
         return np.frombuffer(self.raw, how, struct.unpack_from("<I", self.raw, at)[0], at + 4) if at else np.zeros(0, how)
@@ -201,6 +207,81 @@ def read_properties(raw: bytes, columns: list[tuple[str, str]]) -> dict:
     return out
 
 
+FEW, PIECE = 4, 1 << 22  # rows of one layout below which they go one by one; bytes of rows taken at once
+
+
+def _bytes(column: pa.Array, how: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of a column, where each value begins and its length (-1: null)."""
+    none = column.is_null().to_numpy(zero_copy_only=False)
+    if how:
+        values = np.ascontiguousarray(column.fill_null(False if how == "<?" else 0).to_numpy(zero_copy_only=False), how)
+        return values.view("u1"), np.arange(len(column)) * values.itemsize, np.where(none, -1, values.itemsize)
+    x = column.cast(pa.large_binary())
+    at = np.frombuffer(x.buffers()[1], "<i8")[x.offset : x.offset + len(x) + 1]
+    return np.frombuffer(x.buffers()[2] or b"", "u1"), at[:-1], np.where(none, -1, np.diff(at))
+
+
+def _simple(heads: np.ndarray) -> np.ndarray:
+    """Type * 2 + byte order of points, lines and polygons of one ring, whose length tells their points; 0: others."""
+    out = np.zeros(len(heads), np.int64)
+    for order, end in enumerate("><"):
+        for kind in (1, 2, 3):
+            want = np.frombuffer(struct.pack(f"{end}BI" + "I" * (kind == 3), order, kind, *[1] * (kind == 3)), "u1")
+            out[(heads[:, : len(want)] == want).all(1)] = kind * 2 + order
+    return out
+
+
+def _feature(g: Table, raw: bytes | np.ndarray) -> bytes:
+    return buffer(Table({0: g, 1: ("<u1", np.frombuffer(raw, "u1"))}))
+
+
+def _alike(simple: int, wkb: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of one layout and their boxes, from rows of bytes of shapes and properties: the first one's buffer, refilled."""
+    xy = np.ascontiguousarray(wkb[:, 1 + 4 * (simple // 2) :]).view("<f8" if simple % 2 else ">f8").astype("<f8")
+    first = _feature(geometry_table(wkb[0].tobytes())[0], np.ascontiguousarray(raw[0]))
+    v = View(first)
+    out = np.tile(np.frombuffer(struct.pack("<I", len(first)) + first, "u1"), (len(wkb), 1))
+    for at, data in ((v.table(0).begin(1), xy.view("u1")), (v.begin(1), raw)):
+        out[:, 4 + at : 4 + at + data.shape[1]] = data
+    xy = xy.reshape(len(xy), -1, 2)
+    return out, np.concatenate([xy.min(1), xy.max(1)], 1)
+
+
+def encode(batch: pa.RecordBatch, columns: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, set[int]]:
+    """The features of some rows one after the other, their boxes, sizes and types."""
+    n = batch.num_rows
+    wkb, at, length = _bytes(batch.column("geometry"), None)
+    cells = [_bytes(batch.column(name), KINDS[kind][1]) for name, kind in columns]
+    simple = _simple(wkb[at[:, None] + np.arange(9)])
+    group = np.unique(np.stack([simple, length, *(x[2] for x in cells)], 1), axis=0, return_inverse=True)[1].reshape(-1)
+    order = np.argsort(group, kind="stable")
+    boxes, sizes, kinds, made, alone = np.empty((n, 4)), np.empty(n, np.int64), set(), [], []
+    for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+        one = rows[0]
+        if not simple[one] or len(rows) < FEW:
+            alone += rows.tolist()
+            continue
+        raw = [np.zeros((len(rows), 0), "u1")]
+        for k, ((_, kind), (data, begin, size)) in enumerate(zip(columns, cells, strict=True)):
+            if size[one] >= 0:
+                head = struct.pack("<H", k) + (b"" if KINDS[kind][1] else struct.pack("<I", size[one]))
+                raw += [np.tile(np.frombuffer(head, "u1"), (len(rows), 1)), data[begin[rows][:, None] + np.arange(size[one])]]
+        m, boxes[rows] = _alike(int(simple[one]), wkb[at[rows][:, None] + np.arange(length[one])], np.concatenate(raw, 1))
+        sizes[rows] = m.shape[1]
+        kinds.add(int(simple[one]) // 2)
+        made.append((rows, m))
+    for r, row in zip(alone, batch.take(pa.array(alone, pa.int64())).to_pylist(), strict=True):
+        g, boxes[r] = geometry_table(row["geometry"])
+        raw = _feature(g, properties(row, columns))
+        sizes[r] = 4 + len(raw)
+        kinds.add(g[6][1])
+        made.append((np.array([r]), np.frombuffer(struct.pack("<I", len(raw)) + raw, "u1")[None]))
+    starts, out = np.cumsum(sizes) - sizes, np.empty(sizes.sum(), "u1")
+    for rows, m in made:
+        out[starts[rows][:, None] + np.arange(m.shape[1])] = m
+    return out, boxes, sizes, kinds
+
+
 def levels(n: int) -> list[int]:
     """Nodes of each level of a tree over n leaves, from the leaves up."""
     out = [n]
@@ -256,20 +337,20 @@ class Writer(DataSourceArrowWriter):
         boxes, sizes, kinds = [], [], set()
         with tempfile.TemporaryFile() as spool:
             for batch in iterator:
-                for row in batch.to_pylist():
-                    g, box = geometry_table(row["geometry"])
-                    raw = buffer(Table({0: g, 1: ("<u1", np.frombuffer(properties(row, self.columns), "u1"))}))
-                    spool.write(struct.pack("<I", len(raw)) + raw)
-                    boxes.append(box), sizes.append(4 + len(raw)), kinds.add(g[6][1])
+                step = max(1, batch.num_rows * PIECE // max(batch.nbytes, PIECE))
+                for k in range(0, batch.num_rows, step):
+                    raw, box, size, kind = encode(batch.slice(k, step), self.columns)
+                    spool.write(raw)
+                    boxes.append(box), sizes.append(size), kinds.update(kind)
             if not boxes:
                 return Done(None)
-            every = np.array(boxes)
+            every, size = np.concatenate(boxes), np.concatenate(sizes)
             column = lambda n, k: Table({0: n, 1: ("<B", KINDS[k][0])})
-            header = Table({0: self.name, 1: ("<f8", np.concatenate([every[:, :2].min(0), every[:, 2:].max(0)])), 2: ("<B", kinds.pop() if len(kinds) == 1 else 0), 8: ("<Q", len(boxes)), 9: ("<H", NODE), 10: Table({0: "EPSG", 1: ("<i", self.code)})})
+            header = Table({0: self.name, 1: ("<f8", np.concatenate([every[:, :2].min(0), every[:, 2:].max(0)])), 2: ("<B", kinds.pop() if len(kinds) == 1 else 0), 8: ("<Q", len(every)), 9: ("<H", NODE), 10: Table({0: "EPSG", 1: ("<i", self.code)})})
             if self.columns:
                 header[7] = [column(n, k) for n, k in self.columns]
             head = buffer(header)
-            tree = packed_tree(every, np.cumsum([0, *sizes])[:-1].astype("<u8"))
+            tree = packed_tree(every, (np.cumsum(size) - size).astype("<u8"))
             files, top = self._open()
             files.create_dir(top, recursive=True)
             at = f"{top}/.part-{uuid.uuid4().hex}.fgb"
@@ -358,13 +439,17 @@ class FlatGeobuf(DataSource):
 
 
 def write_flatgeobuf(df: DataFrame, path: str, name: str = "", crs: int = 4326) -> None:
-    """Columns of plain types and ``geometry`` (WKB) to a folder of files."""
+    """Columns of plain types and ``geometry`` (WKB) to a folder of files.
+
+    The envelope, the ranges of the sort and the sort itself each read the rows, which are therefore made once and written to the
+    shared folder first.
+    """
     df.sparkSession.dataSource.register(FlatGeobuf)
-    df = jts.with_box(df.where(F.col("geometry").isNotNull() & ~jts.is_empty("geometry")))
+    df = cut(jts.with_box(df), "features").where("geometry is not null and xmin <= xmax")  # an empty one has no box
     low = df.agg(F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax")).first()
     span = F.lit(max(low[2] - low[0], low[3] - low[1]) or 1.0) if low[0] is not None else F.lit(1.0)
     at = lambda a, b, v: cell_of((F.col(a) + F.col(b)) / 2, F.lit(v or 0.0), span, ORDER)
-    df = df.withColumn("__at", hilbert(at("xmin", "xmax", low[0]), at("ymin", "ymax", low[1]), ORDER))
+    df = df.withColumn("__at", jts.hilbert(at("xmin", "xmax", low[0]), at("ymin", "ymax", low[1]), ORDER))
     df = df.repartitionByRange("__at").sortWithinPartitions("__at").drop("xmin", "ymin", "xmax", "ymax", "__at")
     df.write.format("flatgeobuf").mode("append").option("path", path).option("name", name).option("crs", str(crs)).save()
 

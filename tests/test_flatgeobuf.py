@@ -4,10 +4,12 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cartolith.functions import jts
+from cartolith.functions.curves import hilbert
 from cartolith.tiles import flatgeobuf as fgb
 
 
@@ -76,3 +78,52 @@ def test_many_files_by_box(spark, tmp_path):
     for box in ((0.0, 0.0, 30.0, 20.0), (-180.0, -80.0, -170.0, -60.0), (500.0, 0.0, 501.0, 1.0)):
         got = sorted(r["id"] for r in fgb.read_flatgeobuf(spark, path, box).collect())
         assert got == sorted(i for i, x, y, s in rows if x <= box[2] and x + s >= box[0] and y <= box[3] and y + s >= box[1])
+
+
+def _wkb(kind, xy, end):
+    head = struct.pack(end + "BI", end == "<", kind)
+    body = struct.pack(f"{end}{2 * len(xy)}d", *(v for p in xy for v in p))
+    n = struct.pack(end + "I", len(xy))
+    one = struct.pack(end + "I", 1)
+    return head + {1: body, 2: n + body, 3: one + n + body, 4: n + b"".join(_wkb(1, [p], end) for p in xy) if kind == 4 else b""}[kind]
+
+
+def test_features_of_one_layout_are_encoded_at_once(monkeypatch):
+    """The same bytes, boxes and types as one by one, for all types, byte orders, nulls and slices, with few buffers made."""
+    rnd = random.Random(5)
+    columns = [("name", "string"), ("x", "double"), ("f", "float"), ("b", "boolean"), ("i", "int"), ("l", "bigint"), ("raw", "binary")]
+    maybe = lambda v: None if rnd.random() < 0.1 else v
+    point = lambda: (rnd.uniform(-9, 9), rnd.uniform(-9, 9))
+    rows = []
+    for i in range(3000):
+        kind = rnd.choice([1, 2, 3, 3, 3, 4])
+        xy = [point() for _ in range(1 if kind == 1 else rnd.randint(4, 6))]
+        xy = [*xy, xy[0]] if kind == 3 else xy
+        rows.append({"name": maybe(rnd.choice(["", "né", "four"])), "x": maybe(rnd.random()), "f": maybe(0.5 * i), "b": maybe(i % 2 == 0), "i": i - 9, "l": maybe((1 << 62) + i), "raw": maybe(bytes([i % 256])), "geometry": _wkb(kind, xy, rnd.choice("<>"))})
+    types = [pa.string(), pa.float64(), pa.float32(), pa.bool_(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema(list(zip([n for n, _ in columns] + ["geometry"], types))))
+    for a, n in ((0, 3000), (7, 900), (11, 1)):
+        want = []
+        for r in rows[a : a + n]:
+            g, box = fgb.geometry_table(r["geometry"])
+            raw = fgb.buffer(fgb.Table({0: g, 1: ("<u1", np.frombuffer(fgb.properties(r, columns), "u1"))}))
+            want.append((struct.pack("<I", len(raw)) + raw, box.tolist(), g[6][1]))
+        out, boxes, sizes, kinds = fgb.encode(batch.slice(a, n), columns)
+        assert out.tobytes() == b"".join(w[0] for w in want) and sizes.tolist() == [len(w[0]) for w in want]
+        assert boxes.tolist() == [w[1] for w in want] and kinds == {w[2] for w in want}
+    same = pa.RecordBatch.from_pylist([{"id": i, "geometry": _wkb(3, [(i, 0), (i + 1, 0), (i, 1), (i, 0)], ">")} for i in range(2000)], pa.schema([("id", pa.int64()), ("geometry", pa.binary())]))
+    made = []
+    monkeypatch.setattr(fgb, "buffer", lambda t, f=fgb.buffer: made.append(1) or f(t))
+    fgb.encode(same, [("id", "bigint")])
+    assert len(made) == 1
+
+
+def test_rows_are_made_once(spark, tmp_path):
+    """What is written is not computed again for its envelope and its ranges; the place on the curve is that of ``curves``."""
+    jts.register(spark)
+    seen = spark.sparkContext.accumulator(0)
+    shape = F.udf(lambda i: seen.add(1) or f"POINT ({i} {i % 7})")
+    fgb.write_flatgeobuf(spark.range(500).select("id", jts.from_wkt(shape("id")).alias("geometry")), str(tmp_path / "c"))
+    assert seen.value == 500 and fgb.read_flatgeobuf(spark, str(tmp_path / "c")).count() == 500
+    cells = spark.range(3000).selectExpr("id * 7919 % 65536 as x", "id * 104729 % 65536 as y")
+    assert cells.where(hilbert(F.col("x"), F.col("y"), 16) != jts.hilbert("x", "y", F.lit(16))).count() == 0
