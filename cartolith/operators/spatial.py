@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import EARTH, boxes_touch, haversine
@@ -22,6 +22,8 @@ FINEST = -24
 TOLD = 20_000
 #: Rows of a cell beyond which the other side's rows of that cell are dealt out over several tasks.
 CROWD = 100_000
+#: Rows of one place that are handed on as one list, at most.
+LISTED = 1_000
 
 c = F.col
 
@@ -191,21 +193,34 @@ def wrapping_join(left: DataFrame, right: DataFrame, size: float = 0.0, exact: C
     return grid_join(wrapped(left, period), wrapped(right, period), size, once if exact is None else once & exact, crowd=crowd)
 
 
-def within_metres(left: DataFrame, right: DataFrame, reach: float, exact: Column | None = None) -> DataFrame:
-    """Pairs (aliases a and b, with a column metres) of points lon, lat that are at most ``reach`` metres apart on the sphere.
+def _places(df: DataFrame, most: int) -> DataFrame:
+    """One row for each place lon, lat with the other columns of its rows as the list __rows, written; a place of more than ``most``
+    rows has several lists."""
+    at = F.row_number().over(Window.partitionBy("lon", "lat").orderBy("lon"))
+    x = df.where("lon is not null and lat is not null").select("lon", "lat", F.struct(*(n for n in df.columns if n not in ("lon", "lat"))).alias("__row"), F.floor((at - 1) / most).alias("__list"))
+    return cut(x.groupBy("lon", "lat", "__list").agg(F.collect_list("__row").alias("__rows")).drop("__list"), "places")
+
+
+def within_metres(left: DataFrame, right: DataFrame, reach: float, exact: Column | None = None, digits: int | None = None, most: int = LISTED) -> DataFrame:
+    """Pairs (structs a and b of the columns but lon and lat, and metres, rounded to ``digits``) of points lon, lat that are at most ``reach`` metres
+    apart on the sphere.
 
     The box around a left point is as wide as the circle is at its widest, and all round where the circle holds a pole;
-    what leaves it over the antimeridian comes in on the other side.
+    what leaves it over the antimeridian comes in on the other side.  Rows of one place are met as one, so that places are
+    compared and measured once, however many rows they have; the pairs of their rows are only written out.
     """
     angle = min(reach / EARTH, math.pi) + 1e-9
     tall = math.degrees(angle)
     wide = F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(min(angle, math.pi / 2))) / F.cos(F.radians("lat")))))
     wide = F.when(F.abs("lat") + tall >= 90, F.lit(180.0)).otherwise(wide)
-    a = left.withColumns({"xmin": c("lon") - wide, "xmax": c("lon") + wide, "ymin": c("lat") - tall, "ymax": c("lat") + tall})
-    b = right.withColumns({"xmin": c("lon"), "xmax": c("lon"), "ymin": c("lat"), "ymax": c("lat")})
+    a = _places(left, most)
+    b = a if right is left else _places(right, most)
+    a = a.withColumns({"xmin": c("lon") - wide, "xmax": c("lon") + wide, "ymin": c("lat") - tall, "ymax": c("lat") + tall})
+    b = b.withColumns({"xmin": c("lon"), "xmax": c("lon"), "ymin": c("lat"), "ymax": c("lat")})
     d = haversine(c("a.lon"), c("a.lat"), c("b.lon"), c("b.lat"))
-    near = d <= reach
-    return wrapping_join(a, b, exact=near if exact is None else near & exact).withColumn("metres", d)
+    pairs = wrapping_join(a, b, exact=d <= reach).select(c("a.__rows").alias("__a"), c("b.__rows").alias("__b"), (d if digits is None else F.round(d, digits)).alias("metres"))
+    pairs = pairs.select("__b", "metres", F.explode("__a").alias("a")).select("a", "metres", F.explode("__b").alias("b")).select("a", "b", "metres")
+    return pairs if exact is None else pairs.where(exact)
 
 
 # ---- nearest neighbours

@@ -168,3 +168,17 @@ def test_clusters_of_a_crowd_make_few_edges(spark):
                 group[max(top(i), top(j))] = min(top(i), top(j))
     assert {r["id"]: r["cluster"] for r in clusters.labelled(df, "id").collect()} == {p[0]: rows[top(i)][0] for i, p in enumerate(rows)}
     assert clusters._stars(df, "id", []).count() < 9 * len(rows)
+
+
+def test_within_metres_measures_places_once(spark):
+    """Rows of one place are met as one, in lists of bounded length; pairs are those of all rows."""
+    rows = [(i, float(i % 7), float(i % 3)) for i in range(210)] + [(300, None, 1.0), (301, 1.0, None)]
+    df = spark.createDataFrame(rows, "id int, lon double, lat double")
+    assert spatial._places(df, 1000).count() == 21
+    lists = [len(r[0]) for r in spatial._places(df, 4).select("__rows").collect()]
+    assert max(lists) == 4 and sum(lists) == 210
+    for most in (4, 1000):
+        got = spatial.within_metres(df, df, 112_000.0, F.col("a.id") < F.col("b.id"), digits=0, most=most).select("a.id", "b.id", "metres").collect()
+        near = lambda p, q: abs(p[1] - q[1]) + abs(p[2] - q[2]) <= 1
+        assert sorted((r[0], r[1]) for r in got) == sorted((p[0], q[0]) for p in rows[:210] for q in rows[:210] if p[0] < q[0] and near(p, q))
+        assert {r[2] for r in got if r[0] % 21 == r[1] % 21} == {0.0}
