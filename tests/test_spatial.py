@@ -182,3 +182,14 @@ def test_within_metres_measures_places_once(spark):
         near = lambda p, q: abs(p[1] - q[1]) + abs(p[2] - q[2]) <= 1
         assert sorted((r[0], r[1]) for r in got) == sorted((p[0], q[0]) for p in rows[:210] for q in rows[:210] if p[0] < q[0] and near(p, q))
         assert {r[2] for r in got if r[0] % 21 == r[1] % 21} == {0.0}
+
+
+def test_grid_join_of_a_table_with_itself_shuffles_little(spark):
+    """Of one level, both sides are the same rows in the same cells; sparse levels are put into one above; pairs stay as by hand."""
+    b = spark.createDataFrame([p for p in mixed_boxes(300, 1.0, 9) if p[3] - p[1] <= 2.0 and p[4] - p[2] <= 2.0], BOX)
+    x, y = spatial.cells_of_pairs(b, b, 2.0)
+    assert x is y or x._jdf.queryExecution().analyzed().canonicalized().equals(y._jdf.queryExecution().analyzed().canonicalized())
+    rows = [(i, v, v, v + 2.0 ** (6 - i.bit_length()), v + 2.0 ** (6 - i.bit_length())) for i, v in ((i, float(i * 37 % 300)) for i in range(1, 1000))]
+    df = spark.createDataFrame(rows, BOX)
+    assert len({r[0] for r in spatial.cells_of_pairs(df, df)[0].select("__k").distinct().collect()}) <= 5
+    assert pairs(spatial.grid_join(df, df)) == sorted((p[0], q[0]) for p in rows for q in rows if meet(p, q))
